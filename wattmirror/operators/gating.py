@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattmirror.functions.timecols import seconds_between
-from wattmirror.plans.ordered import ordered_scan
+from wattmirror.plans.ordered import measure_spans, ordered_scan
 
 # The cadences an interval can be recognised as, the accepted ratio band, and
 # how many stored rows the gate looks back.
@@ -84,28 +84,25 @@ def cadence_decision(stored: DataFrame, incoming: DataFrame, periods: DataFrame)
     """
     judged = judged_metrics(periods)
     stamps = observed_stamps(stored, incoming, judged)
-    steps = ordered_scan(stamps, ["statistic_id"], "start_at", previous={"prev_at": "start_at"})
+    spans = measure_spans(incoming, ["statistic_id"], "start_at")
+    scan = lambda df, **adds: ordered_scan(df, ["statistic_id"], "start_at", spans=spans, **adds)
+
+    steps = scan(stamps, previous={"prev_at": "start_at"}).where(F.col("prev_at").isNotNull())
     gap = seconds_between("prev_at", "start_at")
-    steps = (steps.where(F.col("prev_at").isNotNull())
-                  .select("statistic_id", "start_at", gap.alias("gap"), nearest_cadence(gap).alias("cadence")))
-
-    outage = steps.groupBy("statistic_id").agg(
-        F.max(F.when(F.col("cadence").isNull(), F.col("start_at"))).alias("resumed_at"))
-    after = (steps.join(outage, "statistic_id")
-                  .where(F.col("resumed_at").isNull() | (F.col("start_at") > F.col("resumed_at"))))
-    seen = after.groupBy("statistic_id").agg(F.count(F.lit(1)).alias("intervals"))
-    newest_first = Window.partitionBy("statistic_id").orderBy(F.col("start_at").desc())
-    last_two = (after.withColumn("__rn", F.row_number().over(newest_first)).where(F.col("__rn") <= 2)
-                     .groupBy("statistic_id").agg(
-                         F.max(F.when(F.col("__rn") == 1, F.col("gap"))).alias("last_gap"),
-                         F.max(F.when(F.col("__rn") == 2, F.col("gap"))).alias("prior_gap"),
-                         F.max(F.when(F.col("__rn") == 1, F.col("cadence"))).alias("last_cadence"),
-                         F.max(F.when(F.col("__rn") == 2, F.col("cadence"))).alias("prior_cadence")))
-
-    facts = (incoming.select("statistic_id").distinct()
-             .join(judged, "statistic_id", "left").join(outage, "statistic_id", "left")
-             .join(seen, "statistic_id", "left").join(last_two, "statistic_id", "left"))
-    agree = F.col("last_cadence") == F.col("prior_cadence")
+    steps = steps.select("statistic_id", "start_at", F.lit(1).alias("one"), gap.alias("last_gap"),
+                         nearest_cadence(gap).alias("last_cadence"))
+    steps = scan(steps, total={"n": "one"}, previous={"prior_gap": "last_gap", "prior_cadence": "last_cadence"})
+    outage = F.when(F.col("last_cadence").isNull(), F.struct("start_at", "n"))
+    # The newest interval tells the last two cadences, the newest outage where they must start.
+    evidence = steps.groupBy("statistic_id").agg(
+        F.max_by(F.struct("n", "last_gap", "last_cadence", "prior_gap", "prior_cadence"), "start_at").alias("e"),
+        F.max(outage).alias("o"))
+    evidence = evidence.select("statistic_id", "e.*", F.col("o.start_at").alias("resumed_at"),
+                               (F.col("e.n") - F.coalesce("o.n", F.lit(0))).alias("intervals"))
+
+    facts = (incoming.select("statistic_id").distinct().join(judged, "statistic_id", "left")
+             .join(evidence, "statistic_id", "left"))
+    agree = (F.col("intervals") >= 2) & (F.col("last_cadence") == F.col("prior_cadence"))
     contradicts = agree & (F.col("last_cadence") != F.col("grain"))
     down = F.col("resumed_at").isNotNull()
     action = (F.when(F.coalesce(contradicts, F.lit(False)), "halt")

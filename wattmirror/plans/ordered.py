@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 DEFAULT_ROWS_PER_SPAN = 2_000_000
 ROWS_PER_SPAN_CONF = "wattmirror.rowsPerSpan"
@@ -37,12 +38,16 @@ class SpanPlan:
         if self.bounds is None:
             return df.withColumn(SPAN, F.lit(0))
         joined = df.join(F.broadcast(self.bounds), self.keys, "left")
-        return joined.withColumn(SPAN, F.coalesce(_span_of(F.col("__bounds"), _micros(ts)), F.lit(0))) \
-                     .drop("__bounds")
+        place = _span_of(F.col("__bounds"), _position(df, ts))
+        return joined.withColumn(SPAN, F.coalesce(place, F.lit(0))).drop("__bounds")
 
 
-def _micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+def _position(df: DataFrame, order: str) -> Column:
+    """The order column as a number: microseconds of a time, or the integer itself."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
+        return F.unix_micros(F.col(order).cast("timestamp"))
+    return F.col(order).cast("bigint")
 
 
 def _span_of(bounds: Column, value: Column) -> Column:
@@ -72,7 +77,7 @@ def measure_spans(df: DataFrame, keys: list[str], ts: str, wanted: int | None =
 
     parts = 1 << MAX_SPANS_LOG2
     fractions = [i / parts for i in range(1, parts)]
-    micros = (df.select(*keys, _micros(ts).alias("__us"))
+    micros = (df.select(*keys, _position(df, ts).alias("__us"))
                 .join(F.broadcast(hot), keys))
     every = F.greatest(F.lit(1), F.floor(F.lit(parts) * bound / F.max("__n"))).cast("int")
     grid = (micros.groupBy(*keys)

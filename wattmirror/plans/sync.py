@@ -38,13 +38,12 @@ def sync_window(stats: DataFrame, meta: DataFrame, mirror: DataFrame, catalog: D
                 watermarks: DataFrame, lo: datetime | None, hi: datetime | None, now: Column) -> SyncResult:
     """Read a window, gate it on cadence, merge it, advance the marks from what was merged.
 
-    The gated rows feed the merge, the counters and the marks; they are cut off from their
-    lineage first, so the window is read once and all three agree on it.
+    The window is read once and pinned, and so is the verdict (one row per metric): the merge,
+    the counters and the marks all work from the same rows.
     """
-    rows = _wanted(stats, meta, catalog, lo, hi)
-    decisions = gating.cadence_decision(mirror, rows, periods)
-    passed = gating.apply_decision(rows, decisions)
-    staged = src.pin_source(src.stage(gating.resolve_grain(passed, catalog, periods), view=None))
+    rows = src.pin_source(gating.resolve_grain(_wanted(stats, meta, catalog, lo, hi), catalog, periods))
+    decisions = src.pin_source(gating.cadence_decision(mirror, rows, periods))
+    staged = src.stage(gating.apply_decision(rows, decisions), view=None)
     gating.assert_resolved(staged)
     labelled = merge.label_merge(mirror, staged, src.FACT_KEY, merge.COMPARED, now)
     return SyncResult(
