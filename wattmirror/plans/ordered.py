@@ -33,6 +33,13 @@ class SpanPlan:
     rows_per_span: int
     bounds: DataFrame | None = field(default=None)
 
+    def for_keys(self, keys: list[str]) -> SpanPlan:
+        """The same cut for a table that names the keys differently."""
+        bounds = self.bounds
+        if bounds is not None:
+            bounds = bounds.select(*[F.col(a).alias(b) for a, b in zip(self.keys, keys)], "__bounds")
+        return SpanPlan(keys, self.rows_per_span, bounds)
+
     def attach(self, df: DataFrame, ts: str) -> DataFrame:
         """Add the span column: 0 for ordinary keys, the time span for hot ones."""
         if self.bounds is None:
