@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from wattmirror.functions.timecols import LOCAL_TZ, local_clock, local_day, seconds_between, wall_to_instant
 from wattmirror.functions.values import float_or
 from wattmirror.plans.ordered import SPAN, SpanPlan, measure_spans, ordered_scan
+from wattmirror.plans.pinned import pin
 
 KEY, TIES = ["entity_id"], ["event_id"]
 NEVER = -(1 << 62)           # before every time stamp in microseconds
@@ -162,8 +163,8 @@ def suppress_active(triggers: DataFrame, d: timedelta, keys: list[str] | None =
         hot = spanned.select(*keys, SPAN, "__us").join(F.broadcast(spans.bounds.select(*keys)), keys, "left_semi")
         steps = hot.groupBy(*keys, SPAN).applyInPandas(
             lambda pdf: _free_steps(pdf, keys, wait), f"{key_schema}, {SPAN} int, upto bigint, free bigint")
-        entries = steps.groupBy(*keys).applyInPandas(
-            lambda pdf: _chain_steps(pdf, keys), f"{key_schema}, {SPAN} int, __free bigint")
+        entries = pin(steps.groupBy(*keys).applyInPandas(
+            lambda pdf: _chain_steps(pdf, keys), f"{key_schema}, {SPAN} int, __free bigint"), "entries")
         entered = spanned.join(F.broadcast(entries), [*keys, SPAN], "left")
     triggers_columns = triggers.columns
     parts = int(triggers.sparkSession.conf.get("spark.sql.shuffle.partitions"))

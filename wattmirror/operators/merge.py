@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattmirror.functions.values import distinct_from
-from wattmirror.session import work_dir
+from wattmirror.plans.pinned import pin
 from wattmirror.sources.statistics import FACT_KEY
 
-# Fixed value: the columns that decide whether a stored row has changed.
+# The stored columns, and those that decide whether a row has changed.
+FACT_SCHEMA = ("statistic_id string, start_at timestamp, grain string, mean double, mean_weight double, min double, "
+               "max double, state double, sum double, last_reset_at timestamp, synced_at timestamp")
 COMPARED = ["grain", "mean", "mean_weight", "min", "max", "state", "sum", "last_reset_at"]
 
 
@@ -76,6 +77,19 @@ def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn("month", F.date_format("start_at", "yyyy-MM"))
 
 
+def read_months(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
+    """A stored fact table, or an empty one where nothing has been written yet."""
+    try:
+        stored = spark.read.schema(FACT_SCHEMA + ", month string").parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = spark.createDataFrame([], FACT_SCHEMA + ", month string")
+    if months is not None:
+        stored = stored.where(F.col("month").isin(months))
+    return stored
+
+
 def merge_into_path(path: str, incoming: DataFrame, now: Column) -> DataFrame:
     """Merge a staged batch into a stored fact table; returns the labelled rows that were written.
 
@@ -84,17 +98,15 @@ def merge_into_path(path: str, incoming: DataFrame, now: Column) -> DataFrame:
     the table is never read and overwritten by the same job, and a lost executor costs a task.
     """
     spark = incoming.sparkSession
-    batch = with_month(incoming)
+    batch = pin(with_month(incoming), "batch")
     months = [r.month for r in batch.select("month").distinct().collect()]      # one row per month
-    stored = spark.read.parquet(path).where(F.col("month").isin(months))
-    labelled = with_month(label_merge(stored, batch, FACT_KEY, COMPARED, now))
-    staging = f"{work_dir(spark)}/merge-{uuid.uuid4().hex}"
-    labelled.write.partitionBy("month").parquet(staging)
-    written = spark.read.parquet(staging)
-    (written.drop("merge_label").repartition("month", "statistic_id")
-        .sortWithinPartitions("statistic_id", "start_at")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month").parquet(path))
+    labelled = with_month(label_merge(read_months(spark, path, months), batch, FACT_KEY, COMPARED, now))
+    written = pin(labelled, "merge")
+    if months:
+        (written.drop("merge_label").repartition("month", "statistic_id")
+            .sortWithinPartitions("statistic_id", "start_at")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("month").parquet(path))
     return written.drop("month")
 
 

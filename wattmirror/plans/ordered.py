@@ -6,8 +6,9 @@ runs inside (key, span); what a row needs from neighbouring spans (the last row
 first row after, a running max or sum) comes from a summary with one row per span.
 
 Cost: one map-side-combined count per key. While no key is over the bound the result is the
-plain window. Otherwise the boundary and summary tables have at most
-``2 * rows / rows_per_span`` spans, which is what makes broadcasting them safe.
+plain window. Otherwise the boundary and summary tables have at most ``2 * rows / rows_per_span``
+spans, which is what makes broadcasting them safe; they are written to the shared folder, so
+that a chain of scans stays a short plan.
 """
 
 from __future__ import annotations
@@ -18,9 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from wattmirror.plans.pinned import pin
+
 DEFAULT_ROWS_PER_SPAN = 2_000_000
 ROWS_PER_SPAN_CONF = "wattmirror.rowsPerSpan"
-MAX_SPANS_LOG2 = 12          # 4096 spans per key
+MAX_SPANS_LOG2 = 14          # at most 16384 spans per key
 
 SPAN = "__span"
 
@@ -30,22 +33,22 @@ class SpanPlan:
     """How the hot keys of one table are cut; ``bounds`` is None when there are none."""
 
     keys: list[str]
-    rows_per_span: int
     bounds: DataFrame | None = field(default=None)
+    bits: int = 0
 
     def for_keys(self, keys: list[str]) -> SpanPlan:
         """The same cut for a table that names the keys differently."""
         bounds = self.bounds
         if bounds is not None:
             bounds = bounds.select(*[F.col(a).alias(b) for a, b in zip(self.keys, keys)], "__bounds")
-        return SpanPlan(keys, self.rows_per_span, bounds)
+        return SpanPlan(keys, bounds, self.bits)
 
     def attach(self, df: DataFrame, ts: str) -> DataFrame:
         """Add the span column: 0 for ordinary keys, the time span for hot ones."""
         if self.bounds is None:
             return df.withColumn(SPAN, F.lit(0))
         joined = df.join(F.broadcast(self.bounds), self.keys, "left")
-        place = _span_of(F.col("__bounds"), _position(df, ts))
+        place = _span_of(F.col("__bounds"), _position(df, ts), self.bits)
         return joined.withColumn(SPAN, F.coalesce(place, F.lit(0))).drop("__bounds")
 
 
@@ -57,9 +60,9 @@ def _position(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("bigint")
 
 
-def _span_of(bounds: Column, value: Column) -> Column:
+def _span_of(bounds: Column, value: Column, bits: int) -> Column:
     """Number of boundaries <= value: binary search, one fold step per bit."""
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(MAX_SPANS_LOG2))])
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(bits))])
     found = F.aggregate(
         steps, F.lit(0),
         lambda at, step: F.when(F.get(bounds, at + step - 1) <= value, at + step).otherwise(at))
@@ -79,19 +82,22 @@ def measure_spans(df: DataFrame, keys: list[str], ts: str, wanted: int | None =
     bound = rows_per_span(df, wanted)
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
              .where(F.col("__n") > bound))
-    if hot.isEmpty():
-        return SpanPlan(keys, bound)
+    largest = hot.agg(F.max("__n")).first()[0]
+    if largest is None:
+        return SpanPlan(keys)
 
-    parts = 1 << MAX_SPANS_LOG2
+    bits = min(MAX_SPANS_LOG2, max(1, (2 * largest // bound).bit_length()))
+    parts = 1 << bits
     fractions = [i / parts for i in range(1, parts)]
-    micros = (df.select(*keys, _position(df, ts).alias("__us"))
-                .join(F.broadcast(hot), keys))
+    positions = (df.select(*keys, _position(df, ts).alias("__at"))
+                   .join(F.broadcast(hot), keys))
     every = F.greatest(F.lit(1), F.floor(F.lit(parts) * bound / F.max("__n"))).cast("int")
-    grid = (micros.groupBy(*keys)
-                  .agg(F.percentile_approx("__us", fractions, 8 * parts).alias("__grid"),
-                       every.alias("__every")))
+    grid = (positions.groupBy(*keys)
+                     .agg(F.percentile_approx("__at", fractions, 8 * parts).alias("__grid"),
+                          every.alias("__every")))
     picked = F.filter("__grid", lambda _, i: (i + 1) % F.col("__every") == 0)
-    return SpanPlan(keys, bound, grid.select(*keys, F.array_distinct(picked).alias("__bounds")))
+    bounds = grid.select(*keys, F.array_distinct(picked).alias("__bounds"))
+    return SpanPlan(keys, pin(bounds, "bounds"), bits)
 
 
 def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None = None, *,
@@ -132,8 +138,8 @@ def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None
     out = spanned.withColumns(adds)
 
     if spans.bounds is not None:
-        carry = _carries(spanned.join(F.broadcast(spans.bounds.select(*keys)), keys, "left_semi"),
-                         keys, order, previous, following, known, highest, total)
+        hot_rows = spanned.join(F.broadcast(spans.bounds.select(*keys)), keys, "left_semi")
+        carry = pin(_carries(hot_rows, keys, order, previous, following, known, highest, total), "carry")
         out = out.join(F.broadcast(carry), [*keys, SPAN], "left")
         merged: dict[str, Column] = {}
         if previous:
@@ -165,7 +171,7 @@ def _carries(hot_rows, keys, order, previous, following, known, highest, total)
     aggs += [F.sum(c).alias(f"__t_{o}") for o, c in total.items()]
     summary = hot_rows.groupBy(*keys, SPAN).agg(*aggs)
 
-    across = Window.partitionBy(*keys).orderBy(SPAN)          # at most 4096 rows per key
+    across = Window.partitionBy(*keys).orderBy(SPAN)          # at most 16384 rows per key
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     cols: dict[str, Column] = {}
     if previous:

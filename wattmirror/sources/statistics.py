@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattmirror.functions.timecols import epoch_to_utc
-from wattmirror.session import work_dir
+from wattmirror.plans.pinned import pin
 
 # Columns the load depends on, the measures, and the columns of a staged row.
 REQUIRED_STATISTICS = {"metadata_id", "start_ts", "mean", "mean_weight", "min", "max", "state", "sum",
@@ -52,10 +50,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str, lower: float, upper: fl
 def pin_source(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write the source once and read it back, so that the load and the reconciliation after
     it see the same rows."""
-    spark = df.sparkSession
-    path = path or f"{work_dir(spark)}/pinned-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return pin(df, path=path)
 
 
 def available_metrics(wanted: DataFrame, meta: DataFrame) -> tuple[DataFrame, DataFrame]:
