@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattmirror.functions.values import float_or
-from wattmirror.plans.ordered import ordered_scan
+from wattmirror.plans.ordered import SpanPlan, measure_spans, ordered_scan
 
 # Unit prefixes, and the spans in days above which coarser periods are used.
 PREFIX = {"m": 1e-3, "k": 1e3, "M": 1e6, "G": 1e9, "T": 1e12}
@@ -123,32 +123,28 @@ def allocate_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     a clamped running sum, which scales whatever the size of one snapshot. Only edges whose
     endpoints are really shared are walked one by one, grouped by snapshot.
     """
-    value = lambda side: nodes.select("snapshot_at", F.col("node").alias(side), F.col("kind").alias(f"{side}_kind"),
-                                      F.col("value").alias(f"{side}_value"))
-    rows = (edges.join(value("parent"), ["snapshot_at", "parent"], "left")
-                 .join(value("child"), ["snapshot_at", "child"], "left"))
-    marked = _mark_stars(rows)
-    stars = marked.where("star").drop("star")
-    shared = marked.where("NOT star").drop("star")
-    return _allocate_stars(stars).unionByName(_allocate_shared(shared))
-
-
-def _mark_stars(rows: DataFrame) -> DataFrame:
-    """star: the parent is an entity whose children are entities fed by it alone."""
-    fed = (rows.groupBy("snapshot_at", "child").agg(F.count(F.lit(1)).alias("__n"))
-               .withColumn("__alone", F.col("__n") == 1).drop("__n"))
-    plain = (F.col("parent_kind") == "entity") & (F.col("child_kind") == "entity")
-    per_parent = (rows.join(fed, ["snapshot_at", "child"])
-                      .groupBy("snapshot_at", "parent")
-                      .agg(F.bool_and(plain & F.col("__alone")).alias("star")))
-    return (rows.join(per_parent, ["snapshot_at", "parent"], "left")
-                .withColumn("star", F.coalesce("star", F.lit(False))))
-
-
-def _allocate_stars(stars: DataFrame) -> DataFrame:
+    edges = edges.select("snapshot_at", "edge_no", "parent", "child", "cap")
+    side = lambda name: nodes.select("snapshot_at", F.col("node").alias(name), F.col("kind").alias(f"{name}_kind"),
+                                     F.col("value").alias(f"{name}_value"))
+    # One row per child and per parent carries its node and what its edges say about it, so the
+    # edges themselves are shuffled once by child and once by parent. Both grow with the edges,
+    # hence the merge hint: they must not be broadcast because they compress well.
+    children = (edges.groupBy("snapshot_at", "child").agg((F.count(F.lit(1)) == 1).alias("alone"))
+                     .join(side("child"), ["snapshot_at", "child"], "left"))
+    fed = edges.join(children.hint("merge"), ["snapshot_at", "child"])
+    plain = F.coalesce(F.col("alone") & (F.col("child_kind") == "entity"), F.lit(False))
+    parents = (fed.groupBy("snapshot_at", "parent").agg(F.bool_and(plain).alias("alone_fed"))
+                  .join(side("parent"), ["snapshot_at", "parent"], "left"))
+    rows = fed.join(parents.hint("merge"), ["snapshot_at", "parent"])
+    star = F.col("alone_fed") & F.coalesce(F.col("parent_kind") == "entity", F.lit(False))
+    spans = measure_spans(edges, ["snapshot_at", "parent"], "edge_no")
+    return _allocate_stars(rows.where(star), spans).unionByName(_allocate_shared(rows.where(~star)))
+
+
+def _allocate_stars(stars: DataFrame, spans: SpanPlan) -> DataFrame:
     demand = F.least("child_value", F.coalesce("cap", "child_value"))
     wanted = stars.withColumn("demand", F.greatest(demand, F.lit(0)))
-    summed = ordered_scan(wanted, ["snapshot_at", "parent"], "edge_no", total={"upto": "demand"})
+    summed = ordered_scan(wanted, ["snapshot_at", "parent"], "edge_no", total={"upto": "demand"}, spans=spans)
     left = F.greatest(F.col("parent_value") - (F.col("upto") - F.col("demand")), F.lit(0))
     return summed.select("snapshot_at", "edge_no", "parent", "child",
                          F.least("demand", left).cast("double").alias("flow"))

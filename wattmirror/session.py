@@ -30,7 +30,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def build_session(master: str, app: str = "wattmirror", shuffle_partitions: int | None = None,
                   **conf: str) -> SparkSession:
     """A session for local runs; a cluster hands in its own and calls prepare()."""
-    builder = SparkSession.builder.master(master).appName(app).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.master(master).appName(app).config("spark.ui.enabled", "false") \
+        .config("spark.driver.memory", "8g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**RUNTIME_CONF, **conf}.items():
