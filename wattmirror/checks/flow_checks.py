@@ -10,6 +10,7 @@ from wattmirror.checks import model as m
 from wattmirror.checks import reporting_checks as r
 from wattmirror.checks.registry import check, with_ctes
 from wattmirror.operators import flows as fl
+from wattmirror.plans.pinned import pin
 
 DEC = "decimal(18,2)"
 
@@ -104,7 +105,10 @@ def line_no():
 
 
 def star_graph(spark, sf_dir):
-    """An order as parent of its lines; a line's cap is a quantity-based limit on some lines."""
+    """An order as parent of its lines; a line's cap is a quantity-based limit on some lines.
+
+    Stored first, as a flow graph would be, so that its derivation runs once.
+    """
     name = F.concat_ws("-", F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"),
                        F.col("l_suppkey").cast("string"), F.col("l_extendedprice").cast("string"))
     ln = lines(spark, sf_dir).groupBy(F.col("l_orderkey").alias("snapshot_at"), name.alias("node")).agg(
@@ -115,7 +119,7 @@ def star_graph(spark, sf_dir):
     nodes = ln.select("snapshot_at", "node", "value").unionByName(od).withColumn("kind", F.lit("entity"))
     edges = ln.select("snapshot_at", "edge_no", F.lit("total").alias("parent"), F.col("node").alias("child"),
                       F.when(F.col("q") > 25, (F.col("q") * 400).cast(DEC)).alias("cap"))
-    return nodes, edges
+    return pin(nodes, "nodes"), pin(edges, "edges")
 
 
 @check("fl_05_allocate_stars", """
@@ -147,7 +151,7 @@ def shared_graph(spark, sf_dir):
     spare = rest.select("snapshot_at", F.lit("untracked").alias("node"), F.lit(0.0).alias("value")).distinct()
     nodes = (flags.unionByName(statuses).withColumn("kind", F.lit("entity"))
              .unionByName(spare.withColumn("kind", F.lit(fl.REMAINING_PARENT))))
-    return nodes, edges
+    return pin(nodes, "nodes"), pin(edges, "edges")
 
 
 @check("fl_05_allocate_shared")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wattmirror.functions.values import float_or
 from wattmirror.plans.ordered import SpanPlan, measure_spans, ordered_scan
+from wattmirror.plans.pinned import pin
 
 # Unit prefixes, and the spans in days above which coarser periods are used.
 PREFIX = {"m": 1e-3, "k": 1e3, "M": 1e6, "G": 1e9, "T": 1e12}
@@ -124,21 +125,22 @@ def allocate_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     endpoints are really shared are walked one by one, grouped by snapshot.
     """
     edges = edges.select("snapshot_at", "edge_no", "parent", "child", "cap")
+    # Nodes and edges grow together, hence the merge hints: neither side may be broadcast just
+    # because it compresses well.
     side = lambda name: nodes.select("snapshot_at", F.col("node").alias(name), F.col("kind").alias(f"{name}_kind"),
-                                     F.col("value").alias(f"{name}_value"))
-    # One row per child and per parent carries its node and what its edges say about it, so the
-    # edges themselves are shuffled once by child and once by parent. Both grow with the edges,
-    # hence the merge hint: they must not be broadcast because they compress well.
+                                     F.col("value").alias(f"{name}_value")).hint("merge")
+    # One row per child and per parent carries its node and what its edges say about it.
     children = (edges.groupBy("snapshot_at", "child").agg((F.count(F.lit(1)) == 1).alias("alone"))
                      .join(side("child"), ["snapshot_at", "child"], "left"))
     fed = edges.join(children.hint("merge"), ["snapshot_at", "child"])
     plain = F.coalesce(F.col("alone") & (F.col("child_kind") == "entity"), F.lit(False))
     parents = (fed.groupBy("snapshot_at", "parent").agg(F.bool_and(plain).alias("alone_fed"))
                   .join(side("parent"), ["snapshot_at", "parent"], "left"))
-    rows = fed.join(parents.hint("merge"), ["snapshot_at", "parent"])
     star = F.col("alone_fed") & F.coalesce(F.col("parent_kind") == "entity", F.lit(False))
-    spans = measure_spans(edges, ["snapshot_at", "parent"], "edge_no")
-    return _allocate_stars(rows.where(star), spans).unionByName(_allocate_shared(rows.where(~star)))
+    # Both ways of allocating read the joined edges, so they are written once.
+    rows = pin(fed.join(parents.hint("merge"), ["snapshot_at", "parent"]).withColumn("star", star), "edges")
+    spans = measure_spans(rows.where("star"), ["snapshot_at", "parent"], "edge_no")
+    return _allocate_stars(rows.where("star"), spans).unionByName(_allocate_shared(rows.where("NOT star")))
 
 
 def _allocate_stars(stars: DataFrame, spans: SpanPlan) -> DataFrame:
