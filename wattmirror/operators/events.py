@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wattmirror.functions.timecols import LOCAL_TZ, local_clock, local_day, seconds_between, wall_to_instant
 from wattmirror.functions.values import float_or
-from wattmirror.plans.ordered import SPAN, SpanPlan, measure_spans, ordered_scan
+from wattmirror.plans.ordered import SPAN, SpanPlan, measure_spans, ordered_scan, settled
 from wattmirror.plans.pinned import pin
 
 KEY, TIES = ["entity_id"], ["event_id"]
@@ -97,7 +97,8 @@ def runs_of_state(ev: DataFrame, spans: SpanPlan | None = None, keys: list[str]
     """State changes with the time of the next different state (changed_at, NULL when last)."""
     keys = keys or KEY
     spans = spans or measure_spans(ev, keys, "ts")
-    return ordered_scan(changes(ev, spans, keys), keys, "ts", TIES, following={"changed_at": "ts"}, spans=spans)
+    changed = settled(changes(ev, spans, keys), spans)
+    return ordered_scan(changed, keys, "ts", TIES, following={"changed_at": "ts"}, spans=spans)
 
 
 def held_for(ev: DataFrame, state, d: timedelta, horizon: Column | None = None,
@@ -116,7 +117,7 @@ def held_for(ev: DataFrame, state, d: timedelta, horizon: Column | None = None,
 def dwell_over(ev: DataFrame, n_seconds: float, from_=None, to=None, spans: SpanPlan | None = None) -> DataFrame:
     """Transitions out of a state that had lasted more than n seconds."""
     spans = spans or measure_spans(ev, KEY, "ts")
-    rows = ordered_scan(changes(ev, spans), KEY, "ts", TIES, previous={"since": "ts"}, spans=spans)
+    rows = ordered_scan(settled(changes(ev, spans), spans), KEY, "ts", TIES, previous={"since": "ts"}, spans=spans)
     dwell = seconds_between("since", "ts")
     return (rows.where(_one_of(F.col("from_state"), from_) & _one_of(F.col("state"), to))
                 .withColumn("dwell_seconds", dwell).where(F.col("dwell_seconds") > n_seconds).drop("since"))
@@ -339,9 +340,10 @@ def hold_over_intervals(ev: DataFrame, on, timeout: timedelta = timedelta(minute
     spans = spans or measure_spans(ev, KEY, "ts")
     starts = runs_of_state(ev, spans).where(_one_of(F.col("state"), on))
     ends = F.least(F.coalesce("changed_at", F.col("ts") + _delay(timeout)), F.col("ts") + _delay(timeout)) + _delay(hold)
-    rows = ordered_scan(starts.withColumn("ends_at", ends), KEY, "ts", TIES, highest={"__reach": "ends_at"}, spans=spans)
+    held = settled(starts.withColumn("ends_at", ends), spans)
+    rows = ordered_scan(held, KEY, "ts", TIES, highest={"__reach": "ends_at"}, spans=spans)
     fresh = F.col("__reach").isNull() | (F.col("ts") > F.col("__reach"))
-    rows = rows.withColumn("__start", F.when(fresh, F.col("ts")))
+    rows = settled(rows.withColumn("__start", F.when(fresh, F.col("ts"))), spans)
     rows = ordered_scan(rows, KEY, "ts", TIES, known={"starts_at": "__start"}, spans=spans)
     return rows.groupBy("entity_id", "starts_at").agg(
         F.max("ends_at").alias("ends_at"), F.count(F.lit(1)).alias("triggers"))
@@ -365,7 +367,7 @@ def _door(signals: DataFrame, spans: SpanPlan, **change) -> DataFrame:
 def _flag(signals: DataFrame, role: str, homes: SpanPlan) -> DataFrame:
     """A home-wide signal as an entity of its own, reduced to its changes."""
     rows = signals.where(F.col("role") == role).withColumn("entity_id", F.col("home_id"))
-    return changes(rows, homes.for_keys(["entity_id"])).drop("from_state")
+    return settled(changes(rows, homes.for_keys(["entity_id"])).drop("from_state"), homes)
 
 
 def departures(signals: DataFrame, delay: timedelta = DEPARTURE_DELAY, tz: str = LOCAL_TZ) -> DataFrame:
@@ -379,22 +381,22 @@ def departures(signals: DataFrame, delay: timedelta = DEPARTURE_DELAY, tz: str =
     horizon = latest_ts(signals)
     homes = measure_spans(signals, ["home_id"], "ts")
     devices = measure_spans(signals, ["home_id", "entity_id"], "ts")
-    of_home = lambda rows, flag, wait, prefix: asof_state(rows, flag, "home_id", wait, prefix,
+    of_home = lambda rows, flag, wait, prefix: asof_state(settled(rows, homes), flag, "home_id", wait, prefix,
                                                           spans=homes.for_keys(["__who"]))
     occupied = _flag(signals, "occupied", homes)
     closed = time_of_day(_door(signals, devices, from_="on", to="off"), *PRESENCE_HOURS, tz=tz)
     home = of_home(closed, occupied, None, "occupied").where("occupied_state = 'on'").select(*closed.columns)
-    waited = debounce(home, delay, horizon, ["home_id"], spans=homes)
+    waited = debounce(settled(home, homes), delay, horizon, ["home_id"], spans=homes)
 
     later = of_home(waited, occupied, delay, "occupied")
-    settled = seconds_between("occupied_since", F.col("ts") + _delay(delay)) > OCCUPIED_DWELL_SECONDS
-    later = later.where(settled).select(*closed.columns)
+    lasting = seconds_between("occupied_since", F.col("ts") + _delay(delay)) > OCCUPIED_DWELL_SECONDS
+    later = later.where(lasting).select(*closed.columns)
     tracker = _flag(signals, "tracker", homes)
     away = of_home(later, tracker, delay, "tracker").where("tracker_state = 'not_home'")
 
     sensors = signals.where("role = 'motion'")
     watched = sensors.select("home_id", F.col("entity_id").alias("sensor")).distinct()
-    asked = away.select(*closed.columns).join(watched, "home_id")
+    asked = settled(away.select(*closed.columns).join(watched, "home_id"), devices)
     still = asof_state(asked, sensors, "sensor", delay, "motion", keys=["home_id"],
                        spans=devices.for_keys(["home_id", "__who"]))
     return (still.groupBy("home_id", "door", "event_id", "ts")

@@ -100,6 +100,15 @@ def measure_spans(df: DataFrame, keys: list[str], ts: str, wanted: int | None =
     return SpanPlan(keys, pin(bounds, "bounds"), bits)
 
 
+def settled(df: DataFrame, spans: SpanPlan) -> DataFrame:
+    """Rows that another scan builds on, written once when keys are split.
+
+    A split scan reads its input twice (summary and rows); without this a chain of scans would
+    run its first links again and again.
+    """
+    return df if spans.bounds is None else pin(df, "rows")
+
+
 def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None = None, *,
                  previous: dict[str, str] | None = None,
                  following: dict[str, str] | None = None,
