@@ -86,6 +86,15 @@ def test_merge_into_path_is_idempotent_and_leaves_other_months(spark, tmp_path):
     assert {r.merge_label: r["count"] for r in labels} == {"unchanged": 2}
 
 
+def test_read_facts_prunes_months_and_rows(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    merge.merge_into_path(path, spark.createDataFrame([fact("m", 24 * d, 1.0) for d in range(-60, 60)], FACTS), F.lit(T0))
+    rows = merge.read_facts(spark, path, T0, T0 + timedelta(days=10))
+    assert rows.count() == 10
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "(month" in plan.split("PartitionFilters")[1] and "GreaterThanOrEqual(start_at" in plan
+
+
 # --- whole syncs ---------------------------------------------------------------------------------
 
 NOW = T0 + timedelta(hours=100)

@@ -57,7 +57,7 @@ def _leaf_sql(path, type_):
         return f"CASE WHEN n % 3 <> 0 THEN '{TEXTS[path]} ' || entity_id END"
     if type_ == "double":
         return f"CASE WHEN n % 4 <> 0 THEN mn + {_int_no(path)} END"
-    return f"CASE WHEN n % 5 <> 0 THEN (n * {_int_no(path)} + entity_id) % 100 END"
+    return f"CAST(CASE WHEN n % 5 <> 0 THEN (n * {_int_no(path)} + entity_id) % 100 END AS INTEGER)"
 
 
 def records(spark, sf_dir):
@@ -92,10 +92,10 @@ def table(spark, sf_dir, endpoint):
 
 
 STORED_SQL = {
-    "id": "entity_id || '-' || day", "day": "day", "score": "n + 50",
+    "id": "entity_id || '-' || day", "day": "day", "score": "CAST(n + 50 AS INTEGER)",
     "bedtime_start": "CAST(day AS TIMESTAMP) + INTERVAL 22 HOUR", "bedtime_end": "CAST(day AS TIMESTAMP) + INTERVAL 30 HOUR",
-    "total_sleep_duration": "n * 60", "timestamp": "CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR", "source": "'s' || entity_id",
-    "bpm": "n + 60", "activity": "'walk ' || n",
+    "total_sleep_duration": "CAST(n * 60 AS INTEGER)", "timestamp": "CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR", "source": "'s' || entity_id",
+    "bpm": "CAST(n + 60 AS INTEGER)", "activity": "'walk ' || n",
     "start_datetime": "CAST(day AS TIMESTAMP) + INTERVAL 8 HOUR", "end_datetime": "CAST(day AS TIMESTAMP) + INTERVAL 9 HOUR",
     "session_type": f"coalesce({_leaf_sql('type', 'string')}, 'rest')", "start_day": "day",
     "end_day": "CASE WHEN n % 2 = 0 THEN day + 2 END"}
@@ -165,14 +165,14 @@ def land_pages(spark, sf_dir):
     return path
 
 
-@check("src_06_unnest_pages", with_ctes(BASE_SQL, select="SELECT entity_id || '-' || day AS id, n + 50 AS score FROM b"))
+@check("src_06_unnest_pages", with_ctes(BASE_SQL, select="SELECT entity_id || '-' || day AS id, CAST(n + 50 AS INTEGER) AS score FROM b"))
 def pages(spark, sf_dir):
     rows = dp.unnest_pages(dp.read_pages(spark, land_pages(spark, sf_dir)))
     return dp.lift_fields(rows, "daily_sleep").select("id", "score")
 
 
 @check("snk_02_device_upsert", with_ctes(BASE_SQL, select="""
-SELECT entity_id || '-' || day AS id, day, CASE WHEN day >= DATE '2024-01-15' THEN n + 50 ELSE 0 END AS score,
+SELECT entity_id || '-' || day AS id, day, CAST(CASE WHEN day >= DATE '2024-01-15' THEN n + 50 ELSE 0 END AS INTEGER) AS score,
   CASE WHEN day >= DATE '2024-01-15' THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-01-15' END AS synced_at FROM b"""))
 def device_upsert(spark, sf_dir):
     """A window fetched twice: the later arrival of a record wins over the earlier and the stored one."""
@@ -186,7 +186,7 @@ def device_upsert(spark, sf_dir):
 
 
 @check("snk_05_adhoc", with_ctes(BASE_SQL, select="""
-SELECT day, count(*) AS people, sum(n + 50) AS total_score, sum(CASE WHEN n % 5 <> 0 THEN 1 ELSE 0 END) AS timed
+SELECT day, count(*) AS people, CAST(sum(n + 50) AS BIGINT) AS total_score, count(*) FILTER (WHERE n % 5 <> 0) AS timed
 FROM b GROUP BY day"""))
 def adhoc(spark, sf_dir):
     dv.device_view(table(spark, sf_dir, "daily_sleep"), "daily_sleep").createOrReplaceTempView("reporting_daily_sleep")

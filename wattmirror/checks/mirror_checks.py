@@ -350,15 +350,28 @@ def sync_inputs(spark, sf_dir):
                 watermarks=marks(spark, sf_dir), now=NOW)
 
 
-def sync_sql(where):
-    return (*BOTH, SOURCE_SQL, m.CATALOG_SQL, m.periods_sql(0), f"""
-inc AS (SELECT statistic_id, start_at, {grain_of()} AS grain, {VALUES}, reset_at AS last_reset_at FROM src s WHERE {where})""",
-            MERGE_SQL)
+def sync_sql(where, gated=True):
+    """The rows a sync merges. Only the imported metric has periods, so only it is gated."""
+    read = f"SELECT statistic_id, start_at, {grain_of()} AS grain, {VALUES}, reset_at AS last_reset_at FROM src s WHERE {where}"
+    gate = f"""
+win AS ({read}),
+seen AS (
+  SELECT start_at AS t FROM win WHERE statistic_id = 'purchase' AND start_at >= TIMESTAMP '2024-01-21'
+  UNION SELECT * FROM (SELECT start_at FROM mir WHERE statistic_id = 'purchase' AND start_at >= TIMESTAMP '2024-01-21'
+                       ORDER BY 1 DESC LIMIT 4)),
+cad AS (SELECT t, CASE WHEN g BETWEEN 1800 AND 7200 THEN 'hour' WHEN g BETWEEN 43200 AND 172800 THEN 'day' END AS c
+  FROM (SELECT t, epoch(t - lag(t) OVER (ORDER BY t)) AS g FROM seen) WHERE g IS NOT NULL),
+post AS (SELECT list(c ORDER BY t DESC) AS cs, (SELECT max(t) FROM cad WHERE c IS NULL) AS resumed FROM cad
+  WHERE t > coalesce((SELECT max(t) FROM cad WHERE c IS NULL), TIMESTAMP '0001-01-01')),
+inc AS (SELECT win.* FROM win, post WHERE statistic_id <> 'purchase' OR CASE
+    WHEN len(cs) >= 2 AND cs[1] = cs[2] THEN cs[1] = 'hour'
+    ELSE start_at < coalesce(resumed, (SELECT max(t) FROM cad WHERE c IS NULL), TIMESTAMP '9999-01-01') END)"""
+    return (*BOTH, SOURCE_SQL, m.CATALOG_SQL, m.periods_sql(0), gate if gated else f"inc AS ({read})", MERGE_SQL)
 
 
 @check("syn_03_incremental", with_ctes(*sync_sql(f"start_at >= {NOW_SQL} - INTERVAL 240 HOUR"), select=COUNTS_SQL))
 def incremental(spark, sf_dir):
-    """The whole gate: at hour cadence nothing is held, so the merge sees the full window."""
+    """Read, gate and merge in one go; where the imported metric is sparse its tail is held."""
     return sync.incremental(**sync_inputs(spark, sf_dir), hours=240).counts
 
 
@@ -370,7 +383,7 @@ def repaired(spark, sf_dir):
     return result.labelled.select("statistic_id", "start_at", "merge_label")
 
 
-@check("syn_05_backfill", with_ctes(*sync_sql("true"), f"c AS ({COUNTS_SQL})", select="""
+@check("syn_05_backfill", with_ctes(*sync_sql("true", gated=False), f"c AS ({COUNTS_SQL})", select="""
 SELECT c.*, coalesce(n, 0) AS problems FROM c LEFT JOIN (SELECT statistic_id, count(*) AS n FROM lab
   WHERE merge_label = 'kept' GROUP BY 1) k ON k.statistic_id = c.statistic_id"""))
 def backfilled(spark, sf_dir):

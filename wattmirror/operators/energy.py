@@ -91,8 +91,11 @@ def v_energy(stat: DataFrame, catalog: DataFrame, review: DataFrame,
     meters = (catalog.where(F.col("category").isin(ENERGY_CATEGORIES))
                      .select("statistic_id", "display_name", "category", "energy_role",
                              "max_plausible_kw", "source", "is_active"))
-    rows = stat.select("statistic_id", "start_at", "grain", "sum", "state").join(meters, "statistic_id")
-    rows = with_delta(with_review(with_predecessor(rows, spans), review), seed_source)
+    # The window only carries what it needs; what the catalog says is joined behind the shuffle.
+    rows = (stat.select("statistic_id", "start_at", "grain", "sum", "state")
+                .join(meters.select("statistic_id"), "statistic_id", "left_semi"))
+    rows = with_review(with_predecessor(rows, spans), review).join(meters, "statistic_id")
+    rows = with_delta(rows, seed_source)
     rows = rows.withColumn("covered_hours", covered_hours(F.col("prev_at"), F.col("start_at")))
     return rows.select(
         "statistic_id", "display_name", "category", "energy_role", "grain", "is_active",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,6 +92,16 @@ def read_months(spark: SparkSession, path: str, months: list[str] | None = None)
     return stored
 
 
+def read_facts(spark: SparkSession, path: str, lo: datetime | None = None, hi: datetime | None = None) -> DataFrame:
+    """Stored rows with start_at in [lo, hi); whole months outside are not even listed."""
+    rows = read_months(spark, path)
+    if lo is not None:
+        rows = rows.where((F.col("month") >= f"{lo:%Y-%m}") & (F.col("start_at") >= F.lit(lo)))
+    if hi is not None:
+        rows = rows.where((F.col("month") <= f"{hi:%Y-%m}") & (F.col("start_at") < F.lit(hi)))
+    return rows.drop("month")
+
+
 def merge_into_path(path: str, incoming: DataFrame, now: Column) -> DataFrame:
     """Merge a staged batch into a stored fact table; returns the labelled rows that were written.
 

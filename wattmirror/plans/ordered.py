@@ -134,36 +134,30 @@ def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None
     inside = Window.partitionBy(*keys, SPAN).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    struct = lambda cols: F.struct(*[F.col(c).alias(o) for o, c in cols.items()])
-
-    adds: dict[str, Column] = {}
-    if previous:
-        adds["__prev"] = F.lag(struct(previous)).over(inside)
-    if following:
-        adds["__next"] = F.lead(struct(following)).over(inside)
+    # Plain columns, not structs: a struct would be built below the shuffle and sent along.
+    adds: dict[str, Column] = {o: F.lag(c).over(inside) for o, c in previous.items()}
+    adds |= {o: F.lead(c).over(inside) for o, c in following.items()}
     adds |= {o: F.last(c, ignorenulls=True).over(upto) for o, c in known.items()}
     adds |= {o: F.max(c).over(before) for o, c in highest.items()}
     adds |= {o: F.sum(c).over(upto) for o, c in total.items()}
-    out = spanned.withColumns(adds)
-
-    if spans.bounds is not None:
-        hot_rows = spanned.join(F.broadcast(spans.bounds.select(*keys)), keys, "left_semi")
-        carry = pin(_carries(hot_rows, keys, order, previous, following, known, highest, total), "carry")
-        out = out.join(F.broadcast(carry), [*keys, SPAN], "left")
-        merged: dict[str, Column] = {}
-        if previous:
-            merged["__prev"] = F.coalesce("__prev", "__c_prev")
-        if following:
-            merged["__next"] = F.coalesce("__next", "__c_next")
-        merged |= {o: F.coalesce(o, f"__c_{o}") for o in known}
-        merged |= {o: F.greatest(o, f"__c_{o}") for o in highest}
-        merged |= {o: F.when(F.col(f"__c_{o}").isNull(), F.col(o))
-                       .otherwise(F.coalesce(F.col(o), F.lit(0)) + F.col(f"__c_{o}"))
-                   for o in total}
-        out = out.withColumns(merged).drop(*[c for c in carry.columns if c.startswith("__c_")])
-
-    unpacked = {o: F.col(f"__prev.{o}") for o in previous} | {o: F.col(f"__next.{o}") for o in following}
-    return (out.withColumns(unpacked) if unpacked else out).drop("__prev", "__next", SPAN)
+    if spans.bounds is None:
+        return spanned.withColumns(adds).drop(SPAN)
+
+    hot_rows = spanned.join(F.broadcast(spans.bounds.select(*keys)), keys, "left_semi")
+    carry = pin(_carries(hot_rows, keys, order, previous, following, known, highest, total), "carry")
+    if previous:
+        adds["__first"] = F.lag(ts).over(inside).isNull()
+    if following:
+        adds["__last"] = F.lead(ts).over(inside).isNull()
+    out = spanned.withColumns(adds).join(F.broadcast(carry), [*keys, SPAN], "left")
+    merged = {o: F.when(F.col("__first"), F.col(f"__c_prev.{o}")).otherwise(F.col(o)) for o in previous}
+    merged |= {o: F.when(F.col("__last"), F.col(f"__c_next.{o}")).otherwise(F.col(o)) for o in following}
+    merged |= {o: F.coalesce(o, f"__c_{o}") for o in known}
+    merged |= {o: F.greatest(o, f"__c_{o}") for o in highest}
+    merged |= {o: F.when(F.col(f"__c_{o}").isNull(), F.col(o))
+                   .otherwise(F.coalesce(F.col(o), F.lit(0)) + F.col(f"__c_{o}"))
+               for o in total}
+    return out.withColumns(merged).drop("__first", "__last", SPAN, *[c for c in carry.columns if c.startswith("__c_")])
 
 
 def _carries(hot_rows, keys, order, previous, following, known, highest, total) -> DataFrame:
