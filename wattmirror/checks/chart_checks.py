@@ -298,7 +298,14 @@ def status_listing(spark, sf_dir):
     return ch.status_listing(status_of(spark, sf_dir))
 
 
-@check("snk_03_chart_json")
+def _number(column):
+    return f"coalesce(CAST({column} AS VARCHAR), 'null')"
+
+
+@check("snk_03_chart_json", f"""
+SELECT statistic_id, '[' || string_agg('{{"bucket":"' || label || '","mean":' || {_number('mean')} || ',"min":' ||
+  {_number('min')} || ',"max":' || {_number('max')} || '}}', ',' ORDER BY bucket) || ']' AS points
+FROM ({chart_sql("temp", TEMPS, r.SPRING, SPRING, "6hour", "")}) GROUP BY 1""")
 def chart_json(spark, sf_dir):
     return ch.to_chart(rounded(temperature_chart(spark, sf_dir, r.SPRING, SPRING, "6hour")))
 
@@ -310,14 +317,10 @@ def chart_json(spark, sf_dir):
 def chart_points(spark, sf_dir):
     """The chart JSON read back, so that every point and null in it is compared."""
     shape = "array<struct<bucket:string,mean:double,min:double,max:double>>"
-    shaped = chart_json_frame(spark, sf_dir).select("statistic_id", F.posexplode(F.from_json("points", shape)))
+    shaped = chart_json(spark, sf_dir).select("statistic_id", F.posexplode(F.from_json("points", shape)))
     return shaped.select("statistic_id", (F.col("pos") + 1).cast("bigint").alias("n"), "col.*")
 
 
-def chart_json_frame(spark, sf_dir):
-    return ch.to_chart(rounded(temperature_chart(spark, sf_dir, r.SPRING, SPRING, "6hour")))
-
-
 @check("snk_04_billing_periods", with_ctes(*r.energy_ctes(r.SPRING), BILL_SQL, select="""
 SELECT statistic_id, grain, strftime(covered_from, '%Y-%m-%dT%H:%M:%S+00:00') AS covered_from,
   strftime(covered_until, '%Y-%m-%dT%H:%M:%S+00:00') AS covered_until, covered_hours, delta_kwh, delta_source,

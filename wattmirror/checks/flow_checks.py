@@ -20,7 +20,7 @@ def orders(spark, sf_dir):
 
 
 def lines(spark, sf_dir):
-    """One row per order line; the line order inside an order is (number, part, supplier, price)."""
+    """One row per order line; (number, part, supplier) orders the lines of an order."""
     return m.table(spark, sf_dir, "lineitem")
 
 
@@ -109,11 +109,9 @@ def star_graph(spark, sf_dir):
 
     Stored first, as a flow graph would be, so that its derivation runs once.
     """
-    name = F.concat_ws("-", F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"),
-                       F.col("l_suppkey").cast("string"), F.col("l_extendedprice").cast("string"))
-    ln = lines(spark, sf_dir).groupBy(F.col("l_orderkey").alias("snapshot_at"), name.alias("node")).agg(
-        F.max(F.col("l_extendedprice").cast(DEC) * 4).cast(DEC).alias("value"), F.max("l_quantity").alias("q"),
-        F.max(line_no()).alias("edge_no"))
+    ln = lines(spark, sf_dir).groupBy(F.col("l_orderkey").alias("snapshot_at"), line_no().alias("edge_no")).agg(
+        F.max(F.col("l_extendedprice").cast(DEC) * 4).cast(DEC).alias("value"), F.max("l_quantity").alias("q"))
+    ln = ln.withColumn("node", F.col("edge_no").cast("string"))
     od = orders(spark, sf_dir).select(F.col("o_orderkey").alias("snapshot_at"), F.lit("total").alias("node"),
                                       F.col("o_totalprice").cast(DEC).alias("value"))
     nodes = ln.select("snapshot_at", "node", "value").unionByName(od).withColumn("kind", F.lit("entity"))
@@ -123,13 +121,12 @@ def star_graph(spark, sf_dir):
 
 
 @check("fl_05_allocate_stars", """
-WITH ln AS (SELECT l_orderkey AS snapshot_at,
-    l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_extendedprice AS child,
-    CAST(max(CAST(l_extendedprice AS DECIMAL(18,2)) * 4) AS DECIMAL(18,2)) AS v, max(l_quantity) AS q,
-    max(l_linenumber * 1000000000::BIGINT + l_partkey * 10000 + l_suppkey) AS edge_no FROM lineitem GROUP BY 1, 2),
+WITH ln AS (SELECT l_orderkey AS snapshot_at, l_linenumber * 1000000000::BIGINT + l_partkey * 10000 + l_suppkey AS edge_no,
+    CAST(max(CAST(l_extendedprice AS DECIMAL(18,2)) * 4) AS DECIMAL(18,2)) AS v, max(l_quantity) AS q
+  FROM lineitem GROUP BY 1, 2),
 d AS (SELECT *, CASE WHEN q > 25 THEN least(v, CAST(q * 400 AS DECIMAL(18,2))) ELSE v END AS demand FROM ln),
 c AS (SELECT *, coalesce(sum(demand) OVER (PARTITION BY snapshot_at ORDER BY edge_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used FROM d)
-SELECT snapshot_at, edge_no, 'total' AS parent, child,
+SELECT snapshot_at, edge_no, 'total' AS parent, CAST(edge_no AS VARCHAR) AS child,
   CAST(least(demand, greatest(CAST(o_totalprice AS DECIMAL(18,2)) - used, 0)) AS DOUBLE) AS flow
 FROM c JOIN orders ON o_orderkey = snapshot_at""")
 def stars(spark, sf_dir):
@@ -154,10 +151,35 @@ def shared_graph(spark, sf_dir):
     return pin(nodes, "nodes"), pin(edges, "edges")
 
 
-@check("fl_05_allocate_shared")
+# The edges of an order in order: A, N, R each to F, to O, then to the rest. Written out step by step.
+SHARED_SQL = """
+WITH v AS (SELECT l_orderkey AS s,
+    coalesce(sum(l_extendedprice) FILTER (WHERE l_returnflag = 'A'), 0) AS a,
+    coalesce(sum(l_extendedprice) FILTER (WHERE l_returnflag = 'N'), 0) AS n,
+    coalesce(sum(l_extendedprice) FILTER (WHERE l_returnflag = 'R'), 0) AS r,
+    coalesce(sum(l_quantity) FILTER (WHERE l_linestatus = 'F'), 0) * 700 AS f,
+    coalesce(sum(l_quantity) FILTER (WHERE l_linestatus = 'O'), 0) * 700 AS o,
+    list_distinct(list(l_returnflag || l_linestatus)) AS pairs, list_distinct(list(l_returnflag)) AS flags
+  FROM lineitem GROUP BY 1),
+a1 AS (SELECT *, CASE WHEN list_contains(pairs, 'AF') THEN least(a, f) ELSE 0 END AS af FROM v),
+a2 AS (SELECT *, CASE WHEN list_contains(pairs, 'AO') THEN least(a - af, o) ELSE 0 END AS ao FROM a1),
+n1 AS (SELECT *, CASE WHEN list_contains(pairs, 'NF') THEN least(n, f - af) ELSE 0 END AS nf FROM a2),
+n2 AS (SELECT *, CASE WHEN list_contains(pairs, 'NO') THEN least(n - nf, o - ao) ELSE 0 END AS no FROM n1),
+r1 AS (SELECT *, CASE WHEN list_contains(pairs, 'RF') THEN least(r, f - af - nf) ELSE 0 END AS rf FROM n2),
+r2 AS (SELECT *, CASE WHEN list_contains(pairs, 'RO') THEN least(r - rf, o - ao - no) ELSE 0 END AS ro FROM r1),
+flows AS (SELECT s, pairs, flags, unnest([
+    {'p': 'A', 'c': 'F', 'x': af}, {'p': 'A', 'c': 'O', 'x': ao}, {'p': 'A', 'c': 'd', 'x': a - af - ao},
+    {'p': 'N', 'c': 'F', 'x': nf}, {'p': 'N', 'c': 'O', 'x': no}, {'p': 'N', 'c': 'd', 'x': n - nf - no},
+    {'p': 'R', 'c': 'F', 'x': rf}, {'p': 'R', 'c': 'O', 'x': ro}, {'p': 'R', 'c': 'd', 'x': r - rf - ro}], recursive := true) FROM r2)
+SELECT s AS snapshot_at, CAST(ascii(p) * 1000 + ascii(c) AS BIGINT) AS edge_no, p AS parent,
+  CASE WHEN c = 'd' THEN 'untracked' ELSE 'to ' || c END AS child, abs(round(x, 2)) AS flow
+FROM flows WHERE CASE WHEN c = 'd' THEN list_contains(flags, p) ELSE list_contains(pairs, p || c) END"""
+
+
+@check("fl_05_allocate_shared", SHARED_SQL)
 def shared(spark, sf_dir):
-    """Order-dependent allocation over shared endpoints; checked by brute force in the tests."""
-    return fl.allocate_edges(*shared_graph(spark, sf_dir)).withColumn("flow", F.round("flow", 4))
+    """Order-dependent allocation over shared endpoints."""
+    return fl.allocate_edges(*shared_graph(spark, sf_dir)).withColumn("flow", F.abs(F.round("flow", 2)))
 
 
 @check("fl_05_flow_conservation", """
@@ -170,9 +192,9 @@ def conserved(spark, sf_dir):
 
 
 @check("fl_05_passthrough", """
-WITH ln AS (SELECT l_orderkey AS snapshot_at, l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_extendedprice AS child,
-    CAST(max(CAST(l_extendedprice AS DECIMAL(18,2)) * 4) AS DECIMAL(18,2)) AS v, max(l_quantity) AS q, max(l_returnflag) AS flag,
-    max(l_linenumber * 1000000000::BIGINT + l_partkey * 10000 + l_suppkey) AS edge_no FROM lineitem GROUP BY 1, 2),
+WITH ln AS (SELECT l_orderkey AS snapshot_at, l_linenumber * 1000000000::BIGINT + l_partkey * 10000 + l_suppkey AS edge_no,
+    CAST(max(CAST(l_extendedprice AS DECIMAL(18,2)) * 4) AS DECIMAL(18,2)) AS v, max(l_quantity) AS q, max(l_returnflag) AS flag
+  FROM lineitem GROUP BY 1, 2),
 d AS (SELECT *, CASE WHEN q > 25 THEN least(v, CAST(q * 400 AS DECIMAL(18,2))) ELSE v END AS demand FROM ln),
 c AS (SELECT *, coalesce(sum(demand) OVER (PARTITION BY snapshot_at ORDER BY edge_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used FROM d)
 SELECT snapshot_at, 'via ' || flag AS node, round(CAST(sum(least(demand, greatest(CAST(o_totalprice AS DECIMAL(18,2)) - used, 0))) AS DOUBLE), 2) AS flow
