@@ -10,6 +10,7 @@ from wattmirror.checks import model as m
 from wattmirror.checks.registry import check, with_ctes
 from wattmirror.operators import device_views as dv
 from wattmirror.operators import merge
+from wattmirror.plans.pinned import pin
 from wattmirror.session import work_dir
 from wattmirror.sources import device_pages as dp
 
@@ -176,7 +177,7 @@ SELECT entity_id || '-' || day AS id, day, CAST(CASE WHEN day >= DATE '2024-01-1
   CASE WHEN day >= DATE '2024-01-15' THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-01-15' END AS synced_at FROM b"""))
 def device_upsert(spark, sf_dir):
     """A window fetched twice: the later arrival of a record wins over the earlier and the stored one."""
-    now = table(spark, sf_dir, "daily_sleep")
+    now = pin(table(spark, sf_dir, "daily_sleep"))
     stale = now.withColumn("score", F.lit(0))
     stored = stale.withColumn("synced_at", F.lit("2024-01-15").cast("timestamp"))
     fetched = now.where("day >= DATE '2024-01-15'").withColumn("page", F.lit(2)).unionByName(

@@ -69,10 +69,16 @@ def upsert_latest(target: DataFrame, incoming: DataFrame, keys: list[str], arriv
     return target.join(newest, keys, "left_anti").unionByName(newest.select(*target.columns))
 
 
-def write_months(target: DataFrame, path: str) -> None:
-    """Store a fact table by month of start_at, sorted inside the files for range skipping."""
-    (with_month(target).repartition("month", "statistic_id").sortWithinPartitions("statistic_id", "start_at")
-        .write.mode("overwrite").partitionBy("month").parquet(path))
+def write_months(facts: DataFrame, path: str) -> None:
+    """Store facts by month of start_at, replacing the months that occur.
+
+    Rows are range-partitioned, so a metric with most of the rows is spread over many tasks, and
+    each file covers a narrow range of metrics and times for min/max skipping.
+    """
+    order = ["month", "statistic_id", "start_at"]
+    (with_month(facts).repartitionByRange(*order).sortWithinPartitions(*order)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month").parquet(path))
 
 
 def with_month(df: DataFrame) -> DataFrame:
@@ -115,10 +121,7 @@ def merge_into_path(path: str, incoming: DataFrame, now: Column) -> DataFrame:
     labelled = with_month(label_merge(read_months(spark, path, months), batch, FACT_KEY, COMPARED, now))
     written = pin(labelled, "merge")
     if months:
-        (written.drop("merge_label").repartition("month", "statistic_id")
-            .sortWithinPartitions("statistic_id", "start_at")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("month").parquet(path))
+        write_months(written.drop("merge_label"), path)
     return written.drop("month")
 
 
