@@ -111,13 +111,13 @@ def star_graph(spark, sf_dir):
     """
     ln = lines(spark, sf_dir).groupBy(F.col("l_orderkey").alias("snapshot_at"), line_no().alias("edge_no")).agg(
         F.max(F.col("l_extendedprice").cast(DEC) * 4).cast(DEC).alias("value"), F.max("l_quantity").alias("q"))
-    ln = ln.withColumn("node", F.col("edge_no").cast("string"))
+    ln = pin(ln.withColumn("node", F.col("edge_no").cast("string")), "lines")
     od = orders(spark, sf_dir).select(F.col("o_orderkey").alias("snapshot_at"), F.lit("total").alias("node"),
                                       F.col("o_totalprice").cast(DEC).alias("value"))
     nodes = ln.select("snapshot_at", "node", "value").unionByName(od).withColumn("kind", F.lit("entity"))
     edges = ln.select("snapshot_at", "edge_no", F.lit("total").alias("parent"), F.col("node").alias("child"),
                       F.when(F.col("q") > 25, (F.col("q") * 400).cast(DEC)).alias("cap"))
-    return pin(nodes, "nodes"), pin(edges, "edges")
+    return nodes, edges
 
 
 @check("fl_05_allocate_stars", """

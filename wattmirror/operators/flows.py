@@ -129,15 +129,15 @@ def allocate_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     # because it compresses well.
     side = lambda name: nodes.select("snapshot_at", F.col("node").alias(name), F.col("kind").alias(f"{name}_kind"),
                                      F.col("value").alias(f"{name}_value")).hint("merge")
-    # One row per child and per parent carries its node and what its edges say about it.
+    # One row per child and per parent carries its node and what its edges say about it. The joined
+    # edges are written after each step, because the next one reads them more than once.
     children = (edges.groupBy("snapshot_at", "child").agg((F.count(F.lit(1)) == 1).alias("alone"))
                      .join(side("child"), ["snapshot_at", "child"], "left"))
-    fed = edges.join(children.hint("merge"), ["snapshot_at", "child"])
+    fed = pin(edges.join(children.hint("merge"), ["snapshot_at", "child"]), "fed")
     plain = F.coalesce(F.col("alone") & (F.col("child_kind") == "entity"), F.lit(False))
     parents = (fed.groupBy("snapshot_at", "parent").agg(F.bool_and(plain).alias("alone_fed"))
                   .join(side("parent"), ["snapshot_at", "parent"], "left"))
     star = F.col("alone_fed") & F.coalesce(F.col("parent_kind") == "entity", F.lit(False))
-    # Both ways of allocating read the joined edges, so they are written once.
     rows = pin(fed.join(parents.hint("merge"), ["snapshot_at", "parent"]).withColumn("star", star), "edges")
     spans = measure_spans(rows.where("star"), ["snapshot_at", "parent"], "edge_no")
     return _allocate_stars(rows.where("star"), spans).unionByName(_allocate_shared(rows.where("NOT star")))
