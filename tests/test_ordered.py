@@ -30,7 +30,7 @@ def plain(rows):
 
 @pytest.mark.parametrize("rows_per_span", [3, 20, 100, 10_000])
 def test_scan_equals_plain_window(spark, rows, rows_per_span):
-    spans = measure_spans(rows, ["k"], "ts", rows_per_span)
+    spans = measure_spans(rows, ["k"], "ts", ["no"], rows_per_span)
     assert (spans.bounds is None) == (rows_per_span == 10_000)
     got = ordered_scan(rows, ["k"], "ts", ["no"], spans=spans, previous={"p": "v"}, following={"f": "v"},
                        known={"l": "v"}, highest={"h": "v"}, total={"t": "w"})
@@ -41,15 +41,36 @@ def test_scan_equals_plain_window(spark, rows, rows_per_span):
 
 def test_hot_key_is_cut_into_bounded_spans(spark, rows):
     spread = rows.withColumn("ts", F.timestamp_seconds(F.col("no")))
-    spans = measure_spans(spread, ["k"], "ts", 40)
-    sizes = spans.attach(spread, "ts").groupBy("k", "__span").count()
+    spans = measure_spans(spread, ["k"], "ts", ["no"], 40)
+    sizes = spans.attach(spread, ["ts", "no"]).groupBy("k", "__span").count()
     hot = [r["count"] for r in sizes.where("k = 'hot'").collect()]
     assert len(hot) >= 300 / 40 and max(hot) <= 2 * 40
     assert sizes.where("k <> 'hot'").select("__span").distinct().collect()[0][0] == 0
 
 
+def test_one_moment_holding_most_rows_is_cut_by_the_ties(spark, rows):
+    flat = rows.withColumn("ts", F.timestamp_seconds(F.lit(5)))
+    spans = measure_spans(flat, ["k"], "ts", ["no"], 40)
+    sizes = [r["count"] for r in spans.attach(flat, ["ts", "no"]).where("k = 'hot'").groupBy("__span").count().collect()]
+    assert len(sizes) >= 300 / 40 and max(sizes) <= 2 * 40
+    got = ordered_scan(flat, ["k"], "ts", ["no"], spans=spans, previous={"p": "v"}, following={"f": "v"},
+                       known={"l": "v"}, highest={"h": "v"}, total={"t": "w"})
+    want = plain(flat)
+    assert got.select(want.columns).orderBy("k", "no").collect() == want.orderBy("k", "no").collect()
+
+
+def test_a_plan_serves_a_scan_in_another_order(spark, rows):
+    spans = measure_spans(rows, ["k"], "ts", ["no"], 20)
+    other = rows.withColumn("at", F.col("ts") + F.expr("INTERVAL 7 SECOND")).withColumn("rank", -F.col("no"))
+    got = ordered_scan(other, ["k"], "at", ["rank"], spans=spans, previous={"p": "v"}, total={"t": "w"})
+    w = Window.partitionBy("k").orderBy("at", "rank")
+    want = other.withColumns({"p": F.lag("v").over(w), "t": F.sum("w").over(w.rowsBetween(Window.unboundedPreceding, 0))})
+    order = ["k", "at", "rank"]
+    assert got.select(want.columns).orderBy(order).collect() == want.orderBy(order).collect()
+
+
 def test_integer_order_column(spark, rows):
-    spans = measure_spans(rows, ["k"], "no", 10)
+    spans = measure_spans(rows, ["k"], "no", wanted=10)
     got = ordered_scan(rows, ["k"], "no", spans=spans, total={"t": "w"})
     want = rows.withColumn("t", F.sum("w").over(Window.partitionBy("k").orderBy("no")))
     assert got.select(want.columns).orderBy("k", "no").collect() == want.orderBy("k", "no").collect()

@@ -96,7 +96,7 @@ def crossings(ev: DataFrame, above: float | None = None, below: float | None = N
 def runs_of_state(ev: DataFrame, spans: SpanPlan | None = None, keys: list[str] | None = None) -> DataFrame:
     """State changes with the time of the next different state (changed_at, NULL when last)."""
     keys = keys or KEY
-    spans = spans or measure_spans(ev, keys, "ts")
+    spans = spans or measure_spans(ev, keys, "ts", TIES)
     changed = settled(changes(ev, spans, keys), spans)
     return ordered_scan(changed, keys, "ts", TIES, following={"changed_at": "ts"}, spans=spans)
 
@@ -116,7 +116,7 @@ def held_for(ev: DataFrame, state, d: timedelta, horizon: Column | None = None,
 
 def dwell_over(ev: DataFrame, n_seconds: float, from_=None, to=None, spans: SpanPlan | None = None) -> DataFrame:
     """Transitions out of a state that had lasted more than n seconds."""
-    spans = spans or measure_spans(ev, KEY, "ts")
+    spans = spans or measure_spans(ev, KEY, "ts", TIES)
     rows = ordered_scan(settled(changes(ev, spans), spans), KEY, "ts", TIES, previous={"since": "ts"}, spans=spans)
     dwell = seconds_between("since", "ts")
     return (rows.where(_one_of(F.col("from_state"), from_) & _one_of(F.col("state"), to))
@@ -154,8 +154,8 @@ def suppress_active(triggers: DataFrame, d: timedelta, keys: list[str] | None =
     spans are walked independently.
     """
     keys = keys or KEY
-    spans = spans or measure_spans(triggers, keys, "ts")
-    spanned = spans.attach(triggers, "ts").withColumn("__us", F.unix_micros("ts"))
+    spans = spans or measure_spans(triggers, keys, "ts", TIES)
+    spanned = spans.attach(triggers, ["ts", *TIES]).withColumn("__us", F.unix_micros("ts"))
     wait = int(d.total_seconds() * 1_000_000)
     if spans.bounds is None:
         entered = spanned.withColumn("__free", F.lit(None).cast("bigint"))
@@ -337,7 +337,7 @@ def hold_over_intervals(ev: DataFrame, on, timeout: timedelta = timedelta(minute
 
     A new start before the end prolongs the interval, so overlapping ones are merged.
     """
-    spans = spans or measure_spans(ev, KEY, "ts")
+    spans = spans or measure_spans(ev, KEY, "ts", TIES)
     starts = runs_of_state(ev, spans).where(_one_of(F.col("state"), on))
     ends = F.least(F.coalesce("changed_at", F.col("ts") + _delay(timeout)), F.col("ts") + _delay(timeout)) + _delay(hold)
     held = settled(starts.withColumn("ends_at", ends), spans)
@@ -379,8 +379,8 @@ def departures(signals: DataFrame, delay: timedelta = DEPARTURE_DELAY, tz: str =
     measured once on the signals and serve every step.
     """
     horizon = latest_ts(signals)
-    homes = measure_spans(signals, ["home_id"], "ts")
-    devices = measure_spans(signals, ["home_id", "entity_id"], "ts")
+    homes = measure_spans(signals, ["home_id"], "ts", TIES)
+    devices = measure_spans(signals, ["home_id", "entity_id"], "ts", TIES)
     of_home = lambda rows, flag, wait, prefix: asof_state(settled(rows, homes), flag, "home_id", wait, prefix,
                                                           spans=homes.for_keys(["__who"]))
     occupied = _flag(signals, "occupied", homes)
@@ -407,8 +407,8 @@ def departures(signals: DataFrame, delay: timedelta = DEPARTURE_DELAY, tz: str =
 
 def arrivals(signals: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
     """Coming home: a door opens during the day while the occupied flag is off."""
-    homes = measure_spans(signals, ["home_id"], "ts")
-    devices = measure_spans(signals, ["home_id", "entity_id"], "ts")
+    homes = measure_spans(signals, ["home_id"], "ts", TIES)
+    devices = measure_spans(signals, ["home_id", "entity_id"], "ts", TIES)
     opened = time_of_day(_door(signals, devices, to="on"), *PRESENCE_HOURS, tz=tz)
     seen = asof_state(opened, _flag(signals, "occupied", homes), "home_id", prefix="occupied",
                       spans=homes.for_keys(["__who"]))

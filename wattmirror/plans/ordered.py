@@ -1,7 +1,7 @@
 """Windows over one key in time order that survive a key holding most of the rows.
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole key into one task. Here
-keys with more than ``rows_per_span`` rows are cut into equi-depth time spans. The window
+keys with more than ``rows_per_span`` rows are cut into equi-depth spans of the order. The window
 runs inside (key, span); what a row needs from neighbouring spans (the last row before, the
 first row after, a running max or sum) comes from a summary with one row per span.
 
@@ -17,47 +17,59 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from wattmirror.plans.pinned import pin
 
 DEFAULT_ROWS_PER_SPAN = 2_000_000
 ROWS_PER_SPAN_CONF = "wattmirror.rowsPerSpan"
-MAX_SPANS_LOG2 = 14          # at most 16384 spans per key
+MAX_SPANS = 16_384           # per key
+PICKED_PER_SPAN = 32
 
 SPAN = "__span"
 
 
 @dataclass
 class SpanPlan:
-    """How the hot keys of one table are cut; ``bounds`` is None when there are none."""
+    """How the hot keys of one table are cut; ``bounds`` is None when there are none.
+
+    ``order`` names the columns of the boundaries: the first order column alone, or all of them
+    where so many rows share one moment that it has to be cut itself.
+    """
 
     keys: list[str]
     bounds: DataFrame | None = field(default=None)
     bits: int = 0
+    order: list[str] = field(default_factory=list)
 
     def for_keys(self, keys: list[str]) -> SpanPlan:
         """The same cut for a table that names the keys differently."""
         bounds = self.bounds
         if bounds is not None:
             bounds = bounds.select(*[F.col(a).alias(b) for a, b in zip(self.keys, keys)], "__bounds")
-        return SpanPlan(keys, bounds, self.bits)
+        return SpanPlan(keys, bounds, self.bits, self.order)
+
+    def attach(self, df: DataFrame, order: list[str]) -> DataFrame:
+        """Add the span column: 0 for ordinary keys, the stretch of the order for hot ones.
 
-    def attach(self, df: DataFrame, ts: str) -> DataFrame:
-        """Add the span column: 0 for ordinary keys, the time span for hot ones."""
+        A scan in another order than the measured one is cut by the first order column only, so
+        that a span is a stretch of its order, too.
+        """
         if self.bounds is None:
             return df.withColumn(SPAN, F.lit(0))
-        joined = df.join(F.broadcast(self.bounds), self.keys, "left")
-        place = _span_of(F.col("__bounds"), _position(df, ts), self.bits)
-        return joined.withColumn(SPAN, F.coalesce(place, F.lit(0))).drop("__bounds")
+        whole = len(self.order) > 1 and order == self.order
+        bounds = self.bounds if whole else self.bounds.withColumn("__bounds", _first_column("__bounds"))
+        place = _position(order) if whole else F.col(order[0])
+        joined = df.join(F.broadcast(bounds), self.keys, "left")
+        span = _span_of(F.col("__bounds"), place, self.bits)
+        return joined.withColumn(SPAN, F.coalesce(span, F.lit(0))).drop("__bounds")
 
 
-def _position(df: DataFrame, order: str) -> Column:
-    """The order column as a number: microseconds of a time, or the integer itself."""
-    kind = df.schema[order].dataType
-    if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
-        return F.unix_micros(F.col(order).cast("timestamp"))
-    return F.col(order).cast("bigint")
+def _position(order: list[str]) -> Column:
+    return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+
+
+def _first_column(bounds: str) -> Column:
+    return F.array_distinct(F.transform(bounds, lambda b: b["o0"]))
 
 
 def _span_of(bounds: Column, value: Column, bits: int) -> Column:
@@ -73,31 +85,37 @@ def rows_per_span(df: DataFrame, wanted: int | None = None) -> int:
     return int(wanted or df.sparkSession.conf.get(ROWS_PER_SPAN_CONF, str(DEFAULT_ROWS_PER_SPAN)))
 
 
-def measure_spans(df: DataFrame, keys: list[str], ts: str, wanted: int | None = None) -> SpanPlan:
+def measure_spans(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None = None,
+                  wanted: int | None = None) -> SpanPlan:
     """Count rows per key and, for keys over the bound, take equi-depth boundaries.
 
     Runs one small job to learn whether any key is hot at all, so that the usual case keeps
-    the plain window plan. Reuse the plan for every step over the same events.
+    the plain window plan. Reuse the plan for every step over the same events. The boundaries
+    come from a hash-picked share of a hot key's rows, about 32 per span: the same rows give the
+    same cut again. They only place the cuts; every row goes through.
     """
     bound = rows_per_span(df, wanted)
+    order = [ts, *(ties or [])]
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
              .where(F.col("__n") > bound))
     largest = hot.agg(F.max("__n")).first()[0]
     if largest is None:
-        return SpanPlan(keys)
-
-    bits = min(MAX_SPANS_LOG2, max(1, (2 * largest // bound).bit_length()))
-    parts = 1 << bits
-    fractions = [i / parts for i in range(1, parts)]
-    positions = (df.select(*keys, _position(df, ts).alias("__at"))
-                   .join(F.broadcast(hot), keys))
-    every = F.greatest(F.lit(1), F.floor(F.lit(parts) * bound / F.max("__n"))).cast("int")
-    grid = (positions.groupBy(*keys)
-                     .agg(F.percentile_approx("__at", fractions, 8 * parts).alias("__grid"),
-                          every.alias("__every")))
-    picked = F.filter("__grid", lambda _, i: (i + 1) % F.col("__every") == 0)
-    bounds = grid.select(*keys, F.array_distinct(picked).alias("__bounds"))
-    return SpanPlan(keys, pin(bounds, "bounds"), bits)
+        return SpanPlan(keys, order=order)
+
+    wanted_spans = lambda n: F.least(F.ceil(2 * n / bound), F.lit(MAX_SPANS - 1))
+    share = max(1, bound // PICKED_PER_SPAN)
+    picked = (df.select(*keys, *[c for c in order if c not in keys])
+                .join(F.broadcast(hot), keys)
+                .where(F.pmod(F.xxhash64(*keys, *order), F.lit(share)) == 0)
+                .groupBy(*keys).agg(F.sort_array(F.collect_list(_position(order))).alias("__picked"),
+                                    wanted_spans(F.max("__n")).alias("__spans")))
+    step = F.greatest(F.lit(1), F.ceil(F.size("__picked") / (F.col("__spans") + 1)))
+    picked = picked.withColumn("__step", step)
+    cuts = F.filter("__picked", lambda _, i: (i > 0) & (i % F.col("__step") == 0))
+    bounds = pin(picked.select(*keys, cuts.alias("__bounds")), "bounds")
+    bits = min(MAX_SPANS - 1, 2 * largest // bound + 1).bit_length()
+    crowded = bounds.where(F.size(_first_column("__bounds")) < F.size("__bounds"))
+    return SpanPlan(keys, bounds, bits, [ts] if crowded.isEmpty() else order)
 
 
 def settled(df: DataFrame, spans: SpanPlan) -> DataFrame:
@@ -128,8 +146,8 @@ def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None
     previous, following = previous or {}, following or {}
     known, highest, total = known or {}, highest or {}, total or {}
     order = [ts, *(ties or [])]
-    spans = spans or measure_spans(df, keys, ts)
-    spanned = spans.attach(df, ts)
+    spans = spans or measure_spans(df, keys, ts, ties)
+    spanned = spans.attach(df, order)
 
     inside = Window.partitionBy(*keys, SPAN).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
