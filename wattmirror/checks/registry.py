@@ -43,8 +43,8 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(fn: Query) -> Query:
         days = DATE_COLUMNS.get(name, [])
-        as_text = {c: F.col(c).cast("string") for c in days}
-        QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark), sf_dir).withColumns(as_text)
+        QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark), sf_dir).withColumns(
+            {c: F.col(c).cast("string") for c in days})
         if sql is not None:
             text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in days)
             ORACLES[name] = f"SELECT * REPLACE ({text}) FROM (\n{sql.strip()})" if days else sql.strip()
