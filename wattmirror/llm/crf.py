@@ -67,13 +67,16 @@ class Field:
             behind[t] = y
         return 1 / (1 + np.exp(-np.clip(ahead + behind, -60, 60)))
 
-    def fit(self, ids: np.ndarray, tags: np.ndarray, live: np.ndarray, rounds: int, rate: float, seed: int) -> Field:
+    def fit(self, ids: np.ndarray, tags: np.ndarray, live: np.ndarray, updates: int, rate: float,
+            seed: int) -> Field:
         """Adagrad on the log likelihood of tags (n, steps); ids: (n, steps, PER_WORD) features, live: real words."""
         rng = np.random.default_rng(seed)
         size = {k: np.full(SPACE, 1e-2) for k in ("here", "before", "after")}
         size_move, size_start = np.full((2, 2), 1e-2), 1e-2
-        for _ in range(rounds):
+        done = 0
+        while done < updates:
             for rows in np.array_split(rng.permutation(len(ids)), max(1, len(ids) // 256)):
+                done += 1
                 f, y, ok = ids[rows].transpose(1, 0, 2), tags[rows].T.astype(float), live[rows].T
                 gains = self.here[f].sum(axis=2)
                 gains[1:] += self.before[f[:-1, :, 0]]

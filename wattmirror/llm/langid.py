@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -10,9 +12,8 @@ from pyspark.sql import functions as F
 from wattmirror.llm.common import map_texts
 
 # Per language: characters of raw dictionary content, and the most characters that one document adds to it.
-DICTIONARY_CHARS, PART_CHARS = 96_000, 1_500
+DICTIONARY_CHARS, PART_CHARS = 96_000, 400
 DOCUMENTS = DICTIONARY_CHARS // PART_CHARS
-LEVEL = 1
 UNKNOWN = "und"
 # Below this share of the second best size the best language is not told apart and counts as rejected.
 LEAST_MARGIN = 0.01
@@ -54,8 +55,7 @@ def predict(docs: DataFrame, content: dict[str, bytes], keep: list[str]) -> Data
     names = sorted(content)
 
     def work(texts):
-        coders = [zstandard.ZstdCompressor(dict_data=_prepared(content[n]), write_content_size=False,
-                                           write_checksum=False, write_dict_id=False) for n in names]
+        coders = [_coder(content[n]) for n in names]
         langs, scores, rejected = [], [], []
         for text in texts:
             if not names or not _has_letter(text):
@@ -77,7 +77,12 @@ def predict(docs: DataFrame, content: dict[str, bytes], keep: list[str]) -> Data
     return map_texts(docs, keep, "lang_pred string, score double, rejected boolean", work)
 
 
-def _prepared(content: bytes) -> zstandard.ZstdCompressionDict:
+@functools.lru_cache(maxsize=64)
+def _coder(content: bytes) -> zstandard.ZstdCompressor:
+    """Short matches count here: words of four letters are worth a reference to the dictionary."""
+    how = zstandard.ZstdCompressionParameters(
+        strategy=zstandard.STRATEGY_GREEDY, min_match=4, search_log=4, window_log=20, chain_log=18, hash_log=17,
+        write_content_size=False, write_checksum=False, write_dict_id=False)
     made = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    made.precompute_compress(level=LEVEL)
-    return made
+    made.precompute_compress(compression_params=how)
+    return zstandard.ZstdCompressor(dict_data=made, compression_params=how)

@@ -82,7 +82,16 @@ Recipe = tuple[int, tuple[int, ...]]          # how many sequences, and the leng
 
 
 def recipes(counts: dict[int, int], limit: int = LIMIT) -> list[Recipe]:
-    """The plan for so many pieces of each length (1 to limit)."""
+    """The plan for so many pieces of each length (1 to limit).
+
+    Complements of up to three, two, one and no lengths are tried, as small tables can miss the short lengths that
+    exact sums use up; the plan with the fewest sequences stands, of equal ones that with the largest sums.
+    """
+    plans = [_plan(counts, limit, sums) for sums in (3, 2, 1, 0)]
+    return min(plans, key=lambda plan: sum(n for n, _ in plan))
+
+
+def _plan(counts: dict[int, int], limit: int, sums: int) -> list[Recipe]:
     have = np.zeros(limit + 1, dtype=np.int64)
     for length, n in counts.items():
         have[length] += n
@@ -100,11 +109,11 @@ def recipes(counts: dict[int, int], limit: int = LIMIT) -> list[Recipe]:
     take((limit,))
     for longest in range(limit - 1, 0, -1):
         gap = limit - longest
-        if have[longest]:
+        if sums >= 1 and have[longest]:
             take((longest, gap))
-        if have[longest]:
+        if sums >= 2 and have[longest]:
             _by_pairs(have, longest, gap, take)
-        if have[longest]:
+        if sums >= 3 and have[longest]:
             _by_triples(have, longest, gap, take)
     return plan + _best_fit({x: int(have[x]) for x in np.flatnonzero(have)}, limit)
 

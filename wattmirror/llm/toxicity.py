@@ -23,9 +23,9 @@ WORDS = re.compile(WORD)
 STEPS = 32                      # words of a training window, and of the chains that a text is cut into, less overlap
 OVERLAP = 8
 SAMPLE_WINDOWS = 6_000          # the most windows the CRF is trained on, half of them from toxic documents
-ROUNDS, RATE, SEED = 6, 0.3, 11
-# A feature marks a word if so many toxic documents have it, and it is so much more usual there.
-LEAST_DOCUMENTS, LEAST_RATIO = 3, 25.0
+UPDATES, RATE, SEED = 150, 0.3, 11
+# A feature marks a word if so many and such a share of the toxic documents have it, and it is so much more usual there.
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_RATIO = 3, 0.005, 25.0
 
 
 def _feature_counts(train: DataFrame) -> DataFrame:
@@ -57,19 +57,22 @@ def _windows(train: DataFrame, marks: np.ndarray, share: int) -> DataFrame:
     """(toxic, rank, ids, tags): windows of STEPS words with their features and weak tags."""
     def run(batches):
         for batch, texts in chunks(batches):
-            out = []
+            out, known = [], {}
             for text, toxic in zip(texts, batch.column(1).to_pylist()):
                 words = WORDS.findall(text)
-                ids = np.array([features(w) for w in words[:STEPS * 64]], dtype=np.int32).reshape(-1, PER_WORD)
-                tags = marks[ids[:, :3]].any(axis=1) & bool(toxic)
-                hits = np.flatnonzero(tags)
-                starts = {max(0, int(h) - STEPS // 2) // 8 * 8 for h in hits[:4]} if toxic else {0, len(ids) // 2}
+                for w in set(words) - known.keys():
+                    known[w] = bool(marks[list(features(w)[:3])].any())
+                if toxic:
+                    hits = [i for i, w in enumerate(words) if known[w]]
+                    starts = {max(0, h // 8 * 8 - STEPS // 2) for h in hits[::max(1, len(hits) // 4)]}
+                else:
+                    starts = {0, len(words) // 3, 2 * len(words) // 3}
                 for s in sorted(starts):
-                    part = ids[s:s + STEPS]
-                    if len(part):
-                        raw = part.tobytes()
-                        rank = hash_of(raw)
-                        out.append((int(toxic), rank, raw, tags[s:s + STEPS].astype(np.int8).tobytes()))
+                    part = words[s:s + STEPS]
+                    if part:
+                        raw = np.array([features(w) for w in part], dtype=np.int32).tobytes()
+                        tags = np.array([known[w] and bool(toxic) for w in part], dtype=np.int8)
+                        out.append((int(toxic), hash_of(raw), raw, tags.tobytes()))
             if out:
                 t, r, i, y = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(r, pa.int64()),
@@ -97,7 +100,7 @@ def train(labelled: DataFrame, windows: int = SAMPLE_WINDOWS) -> Field | None:
     if not toxic or not clean:
         return None
     ratio = (F.col("toxic") + 0.01) / toxic / ((F.col("clean") + 0.5) / clean)
-    marked = _feature_counts(rows).where((F.col("toxic") >= LEAST_DOCUMENTS) & (ratio >= LEAST_RATIO)) \
+    marked = _feature_counts(rows).where((F.col("toxic") >= max(LEAST_DOCUMENTS, LEAST_SHARE * toxic)) & (ratio >= LEAST_RATIO)) \
         .select("feature").collect()
     marks = np.zeros(SPACE, dtype=bool)
     marks[[r.feature for r in marked]] = True
@@ -114,7 +117,7 @@ def train(labelled: DataFrame, windows: int = SAMPLE_WINDOWS) -> Field | None:
         part = np.frombuffer(bytes(r.ids), dtype=np.int32).reshape(-1, PER_WORD)
         ids[i, :len(part)], live[i, :len(part)] = part, True
         tags[i, :len(part)] = np.frombuffer(bytes(r.tags), dtype=np.int8)
-    return Field.fresh().fit(ids, tags, live, ROUNDS, RATE, SEED)
+    return Field.fresh().fit(ids, tags, live, UPDATES, RATE, SEED)
 
 
 def word_chances(words: list[list[str]], model: Field) -> list[np.ndarray]:
