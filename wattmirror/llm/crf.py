@@ -12,13 +12,14 @@ EDGES = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>*_-"
 
 
 def features(word: str) -> tuple[int, ...]:
-    """Hashed features of one word: itself, its first 4 and 5 letters, its last 3."""
+    """Hashed features of one word: itself, its first 4, 5 and 6 letters, its last 3."""
     w = word.strip(EDGES).lower()
     return tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) % SPACE for x in
-                 ("w " + w, "4 " + w[:4], "5 " + w[:5], "e " + w[-3:]))
+                 ("w " + w, "4 " + w[:4], "5 " + w[:5], "6 " + w[:6], "e " + w[-3:]))
 
 
-PER_WORD = 4
+PER_WORD = 5
+LEXICAL = 4                     # of these, the first ones: the word and how it begins
 
 
 @dataclass

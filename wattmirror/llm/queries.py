@@ -78,9 +78,9 @@ def op7(spark, sf_dir):
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and toxic of the documents that have a label."""
+    """doc_id, text and toxic of the documents that have a label."""
     own = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text").join(own, "doc_id").select("text", "toxic")
+    return docs.select("doc_id", "text").join(own, "doc_id")
 
 
 @query("op8_pack_best_fit")

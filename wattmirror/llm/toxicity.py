@@ -1,35 +1,47 @@
 """Toxic spans and documents by a linear-chain CRF over words.
 
-Document labels become word labels first: over all training documents every hashed word feature gets the number of
-toxic and clean documents it occurs in, and words of toxic documents whose features are far more usual there are
-marked. The CRF learns from a bounded sample of windows around marked words and of clean text. A document is scored
-from the forward-backward marginals of all its words.
+Document labels become word labels first: in a bounded sample of labelled documents every hashed word feature gets
+the number of toxic and clean documents it occurs in, and words of toxic documents whose features are far more usual
+there are marked. The CRF learns from windows around marked words and of clean text. A document is scored from the
+forward-backward marginals of all its words, calibrated on the part of the sample that the CRF did not learn from.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattmirror.llm.common import WORD, chunks, map_texts
-from wattmirror.llm.crf import PER_WORD, SPACE, Field, features
+from wattmirror.llm.common import WORD, chunks, map_texts, pin
+from wattmirror.llm.crf import LEXICAL, PER_WORD, SPACE, Field, features
 
 WORDS = re.compile(WORD)
 STEPS = 32                      # words of a training window, and of the chains that a text is cut into, less overlap
 OVERLAP = 8
+# Labelled documents to learn from, about: by a hash of id and text, so many of either label.
+SAMPLE_TOXIC, SAMPLE_CLEAN = 4_000, 8_000
 SAMPLE_WINDOWS = 6_000          # the most windows the CRF is trained on, half of them from toxic documents
+SAMPLE_PARTS = 24
 UPDATES, RATE, SEED = 150, 0.3, 11
 # A feature marks a word if so many and such a share of the toxic documents have it, and it is so much more usual there.
-LEAST_DOCUMENTS, LEAST_SHARE, LEAST_RATIO = 3, 0.005, 25.0
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_RATIO = 3, 0.015, 25.0
+
+
+@dataclass
+class Model:
+    """The word CRF, and the weights that turn a document's marginals into its score."""
+    words: Field
+    weights: np.ndarray
 
 
 def _feature_counts(train: DataFrame) -> DataFrame:
-    """(feature, toxic, clean): in how many documents of each label a feature occurs, over all training rows."""
+    """(feature, toxic, clean): in how many documents of each label a feature occurs."""
     def run(batches):
         for batch, texts in chunks(batches):
             label = np.array(batch.column(1).to_pylist())
@@ -40,7 +52,7 @@ def _feature_counts(train: DataFrame) -> DataFrame:
                 for w in set(WORDS.findall(text)):
                     got = known.get(w)
                     if got is None:
-                        got = known[w] = features(w)[:3]
+                        got = known[w] = features(w)[:LEXICAL]
                     ids.update(got)
                 if ids:
                     count[int(toxic)][np.fromiter(ids, np.int64, len(ids))] += 1
@@ -53,7 +65,7 @@ def _feature_counts(train: DataFrame) -> DataFrame:
         .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _windows(train: DataFrame, marks: np.ndarray, share: int) -> DataFrame:
+def _windows(train: DataFrame, marks: np.ndarray) -> DataFrame:
     """(toxic, rank, ids, tags): windows of STEPS words with their features and weak tags."""
     def run(batches):
         for batch, texts in chunks(batches):
@@ -61,7 +73,7 @@ def _windows(train: DataFrame, marks: np.ndarray, share: int) -> DataFrame:
             for text, toxic in zip(texts, batch.column(1).to_pylist()):
                 words = WORDS.findall(text)
                 for w in set(words) - known.keys():
-                    known[w] = bool(marks[list(features(w)[:3])].any())
+                    known[w] = bool(marks[list(features(w)[:LEXICAL])].any())
                 if toxic:
                     hits = [i for i, w in enumerate(words) if known[w]]
                     starts = {max(0, h // 8 * 8 - STEPS // 2) for h in hits[::max(1, len(hits) // 4)]}
@@ -72,7 +84,7 @@ def _windows(train: DataFrame, marks: np.ndarray, share: int) -> DataFrame:
                     if part:
                         raw = np.array([features(w) for w in part], dtype=np.int32).tobytes()
                         tags = np.array([known[w] and bool(toxic) for w in part], dtype=np.int8)
-                        out.append((int(toxic), hash_of(raw), raw, tags.tobytes()))
+                        out.append((int(toxic), xxhash.xxh64_intdigest(raw, SEED) >> 1, raw, tags.tobytes()))
             if out:
                 t, r, i, y = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(r, pa.int64()),
@@ -83,41 +95,74 @@ def _windows(train: DataFrame, marks: np.ndarray, share: int) -> DataFrame:
         .mapInArrow(run, "toxic int, rank long, ids binary, tags binary")
 
 
-def hash_of(raw: bytes) -> int:
-    import xxhash
-    return xxhash.xxh64_intdigest(raw, SEED) >> 1
-
+def train(labelled: DataFrame, windows: int = SAMPLE_WINDOWS) -> Model | None:
+    """The model, from rows with doc_id, text and toxic (0 or 1; null labels and texts are left out).
 
-def train(labelled: DataFrame, windows: int = SAMPLE_WINDOWS) -> Field | None:
-    """The CRF, from rows with text and toxic (0 or 1; null labels are left out). None if no word can be marked.
-
-    Counts cover all rows. The sample is the windows of least content hash, at most windows / 2 from toxic and as
-    many from clean documents. The driver holds at most SPACE counts and that sample.
+    None if a label is missing or no word can be marked. The sample is by hash, so it does not depend on partitions
+    or row order; a quarter of it is kept for the calibration. The driver holds at most SPACE counts, the windows of
+    least content hash and four numbers per calibrating document.
     """
-    rows = labelled.where(F.col("toxic").isNotNull() & F.col("text").isNotNull())
-    total = rows.agg(F.sum(F.col("toxic").cast("long")), F.count("*")).first()
-    toxic, clean = int(total[0] or 0), int(total[1] or 0) - int(total[0] or 0)
+    rows = labelled.where(F.col("toxic").isNotNull() & F.col("text").isNotNull()) \
+        .select("text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id", "text").alias("hash"))
+    count = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    if not count.get(0) or not count.get(1):
+        return None
+    share = F.when(F.col("toxic") == 1, min(1.0, SAMPLE_TOXIC / count[1])).otherwise(min(1.0, SAMPLE_CLEAN / count[0]))
+    sample = pin(rows.where(F.pmod("hash", F.lit(1 << 30)) < share * (1 << 30)).repartition(SAMPLE_PARTS), "labelled")
+    own = F.pmod(F.shiftright("hash", 32), F.lit(4)) != 0
+    learn = sample.where(own)
+    count = {r.toxic: r["count"] for r in learn.groupBy("toxic").count().collect()}
+    toxic, clean = count.get(1, 0), count.get(0, 0)
     if not toxic or not clean:
         return None
     ratio = (F.col("toxic") + 0.01) / toxic / ((F.col("clean") + 0.5) / clean)
-    marked = _feature_counts(rows).where((F.col("toxic") >= max(LEAST_DOCUMENTS, LEAST_SHARE * toxic)) & (ratio >= LEAST_RATIO)) \
-        .select("feature").collect()
+    least = max(LEAST_DOCUMENTS, LEAST_SHARE * toxic)
+    marked = _feature_counts(learn).where((F.col("toxic") >= least) & (ratio >= LEAST_RATIO)).collect()
     marks = np.zeros(SPACE, dtype=bool)
     marks[[r.feature for r in marked]] = True
-    share = windows // 2
-    found = _windows(rows, marks, share)
-    sample = []
+    found = pin(_windows(learn, marks), "windows")
+    picked = []
     for label in (1, 0):
-        sample += found.where(F.col("toxic") == label).orderBy("rank").limit(share).collect()
-    if not marks.any() or not sample:
+        picked += found.where(F.col("toxic") == label).orderBy("rank").limit(windows // 2).collect()
+    if not marks.any() or not picked:
         return None
-    ids = np.zeros((len(sample), STEPS, PER_WORD), dtype=np.int64)
-    tags, live = np.zeros((len(sample), STEPS), dtype=np.int64), np.zeros((len(sample), STEPS), dtype=bool)
-    for i, r in enumerate(sample):
+    ids = np.zeros((len(picked), STEPS, PER_WORD), dtype=np.int64)
+    tags, live = np.zeros((len(picked), STEPS), dtype=np.int64), np.zeros((len(picked), STEPS), dtype=bool)
+    for i, r in enumerate(picked):
         part = np.frombuffer(bytes(r.ids), dtype=np.int32).reshape(-1, PER_WORD)
         ids[i, :len(part)], live[i, :len(part)] = part, True
         tags[i, :len(part)] = np.frombuffer(bytes(r.tags), dtype=np.int8)
-    return Field.fresh().fit(ids, tags, live, UPDATES, RATE, SEED)
+    words = Field.fresh().fit(ids, tags, live, UPDATES, RATE, SEED)
+    return Model(words, _calibrate(sample.where(~own), words))
+
+
+def _signs(chance: np.ndarray) -> list[float]:
+    """What the score of a document is made from: 1, its surest words together as log odds, their number and share."""
+    over = chance[chance >= 0.5]
+    rest = np.prod(1 - over) if over.size else 1 - chance.max(initial=0.0)
+    odds = float(np.clip(np.log((1 - rest + 1e-9) / (rest + 1e-9)), -8, 16))
+    return [1.0, odds / 4, float(np.log1p(over.sum())), float(min(100 * over.sum() / max(chance.size, 1), 10) / 4)]
+
+
+def _calibrate(held: DataFrame, words: Field) -> np.ndarray:
+    """Logistic weights of the signs, from documents the CRF has not seen; the log odds alone if a label is missing."""
+    def run(batches):
+        for batch, texts in chunks(batches):
+            signs = [_signs(c) for c in word_chances([WORDS.findall(t) for t in texts], words)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(signs, pa.list_(pa.float64()))],
+                                             ["toxic", "signs"])
+
+    rows = held.select("text", "toxic").mapInArrow(run, "toxic int, signs array<double>").collect()
+    weights = np.array([0.0, 4.0, 0.0, 0.0])
+    y = np.array([r.toxic for r in rows], dtype=float)
+    if not rows or y.min() == y.max():
+        return weights
+    x = np.array(sorted([r.toxic, *r.signs] for r in rows))
+    y, x = x[:, 0], x[:, 1:]
+    for _ in range(3000):
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+        weights = weights + 0.5 * (x.T @ (y - p) / len(y) - 1e-4 * weights * [0, 1, 1, 1])
+    return weights
 
 
 def word_chances(words: list[list[str]], model: Field) -> list[np.ndarray]:
@@ -152,25 +197,21 @@ def word_chances(words: list[list[str]], model: Field) -> list[np.ndarray]:
     return np.split(out, np.cumsum(sizes)[:-1])
 
 
-def score_texts(texts: list[str], model: Field | None) -> tuple[list[float], list[list[tuple[int, int]]]]:
-    """Per text the score and the offending (start, end) offsets in code points.
+def score_texts(texts: list[str], model: Model | None) -> tuple[list[float], list[list[tuple[int, int]]]]:
+    """Per text the score and the offending (start, end) offsets in code points: runs of words over one half.
 
-    The score joins the marginals of words over one half (1 minus the product of 1 - p); without any, it is the
-    largest marginal. Texts without words, or without a model, have score 0.
+    Texts without words, or without a model, have score 0.
     """
     scores, spans = [0.0] * len(texts), [[] for _ in texts]
     if model is None:
         return scores, spans
     words = [WORDS.findall(t) for t in texts]
-    for i, chance in enumerate(word_chances(words, model)):
+    for i, chance in enumerate(word_chances(words, model.words)):
         if not chance.size:
             continue
+        scores[i] = float(1 / (1 + np.exp(-np.clip(np.dot(_signs(chance), model.weights), -30, 30))))
         over = np.flatnonzero(chance >= 0.5)
-        if not over.size:
-            scores[i] = float(min(chance.max(), 0.4999))
-            continue
-        scores[i] = float(1 - np.prod(1 - chance[over]))
-        places = [m.span() for m in WORDS.finditer(texts[i])]
+        places = [m.span() for m in WORDS.finditer(texts[i])] if over.size else []
         for k in over:
             if spans[i] and k and spans[i][-1][1] == places[k - 1][1]:
                 spans[i][-1] = (spans[i][-1][0], places[k][1])
@@ -179,7 +220,7 @@ def score_texts(texts: list[str], model: Field | None) -> tuple[list[float], lis
     return scores, spans
 
 
-def score(docs: DataFrame, model: Field | None, keep: list[str]) -> DataFrame:
+def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     """The kept columns with score (0 to 1), predicted (1 if score >= 0.5) and spans ("start:end", comma-joined).
 
     Null and empty texts score 0. Each row stands for itself, so repeated rows agree; an empty table gives no rows.
