@@ -32,9 +32,10 @@ class Field:
     move: np.ndarray
     start: float
     known: dict[str, tuple[float, float, float]] = field(default_factory=dict, repr=False)
+    plain: tuple[list, list, list] | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "known": {}}
+        return {**self.__dict__, "known": {}, "plain": None}
 
     @classmethod
     def fresh(cls) -> Field:
@@ -43,8 +44,11 @@ class Field:
     def of_word(self, word: str) -> tuple[float, float, float]:
         got = self.known.get(word)
         if got is None:
-            ids = list(features(word))
-            got = (float(self.here[ids].sum()), float(self.before[ids[0]]), float(self.after[ids[0]]))
+            if self.plain is None:              # single values come faster from lists
+                self.plain = self.here.tolist(), self.before.tolist(), self.after.tolist()
+            here, before, after = self.plain
+            ids = features(word)
+            got = (sum([here[i] for i in ids]), before[ids[0]], after[ids[0]])
             if len(self.known) > 300_000:
                 self.known.clear()
             self.known[word] = got

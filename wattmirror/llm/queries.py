@@ -71,18 +71,11 @@ def op6(spark, sf_dir):
 
 @query("op7_toxicity")
 def op7(spark, sf_dir):
-    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
-    held = split_of("doc_id", 5) == 0
-    model = toxicity.train(labelled(docs.where(~held), labels))
+    docs, held = read(spark, sf_dir, "documents"), split_of("doc_id", 5) == 0
+    model = toxicity.train(docs, read(spark, sf_dir, "labels").where(~held))
     return toxicity.score(docs.withColumn("held_out", held), model, ["doc_id", "held_out"])
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and toxic of the documents that have a label."""
-    own = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text").join(own, "doc_id")
-
-
 @query("op8_pack_best_fit")
 def op8(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), with_ids=False)

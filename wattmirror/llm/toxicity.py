@@ -95,20 +95,24 @@ def _windows(train: DataFrame, marks: np.ndarray) -> DataFrame:
         .mapInArrow(run, "toxic int, rank long, ids binary, tags binary")
 
 
-def train(labelled: DataFrame, windows: int = SAMPLE_WINDOWS) -> Model | None:
-    """The model, from rows with doc_id, text and toxic (0 or 1; null labels and texts are left out).
-
-    None if a label is missing or no word can be marked. The sample is by hash, so it does not depend on partitions
-    or row order; a quarter of it is kept for the calibration. The driver holds at most SPACE counts, the windows of
-    least content hash and four numbers per calibrating document.
+def train(docs: DataFrame, labels: DataFrame, windows: int = SAMPLE_WINDOWS) -> Model | None:
+    """The model, from documents (doc_id, text) and their labels (doc_id, toxic: 0 or 1).
+
+    Null ids, labels and texts are left out; of several labels of an id the largest counts. None if a label is
+    missing or no word can be marked. The sample is by a hash of the id, so it does not depend on partitions or row
+    order, and is chosen before texts are read: its ids, about SAMPLE_TOXIC + SAMPLE_CLEAN whatever the input, are
+    broadcast to the documents. A quarter is kept for the calibration. The driver holds at most SPACE counts, the
+    windows of least content hash and four numbers per calibrating document.
     """
-    rows = labelled.where(F.col("toxic").isNotNull() & F.col("text").isNotNull()) \
-        .select("text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id", "text").alias("hash"))
-    count = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    own = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()) \
+        .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    count = {r.toxic: r["count"] for r in own.groupBy("toxic").count().collect()}
     if not count.get(0) or not count.get(1):
         return None
     share = F.when(F.col("toxic") == 1, min(1.0, SAMPLE_TOXIC / count[1])).otherwise(min(1.0, SAMPLE_CLEAN / count[0]))
-    sample = pin(rows.where(F.pmod("hash", F.lit(1 << 30)) < share * (1 << 30)).repartition(SAMPLE_PARTS), "labelled")
+    ids = own.withColumn("hash", F.xxhash64("id")).where(F.pmod("hash", F.lit(1 << 30)) < share * (1 << 30))
+    sample = pin(docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
+                 .join(F.broadcast(ids), "id").select("text", "toxic", "hash").repartition(SAMPLE_PARTS), "labelled")
     own = F.pmod(F.shiftright("hash", 32), F.lit(4)) != 0
     learn = sample.where(own)
     count = {r.toxic: r["count"] for r in learn.groupBy("toxic").count().collect()}
