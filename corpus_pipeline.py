@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattmirror.llm import mixing, packing, pii, simhash, toxicity
 from wattmirror.llm.common import pin, read, split_of
-from wattmirror.llm.queries import labelled
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the CRF does not find toxic; it learns from the labelled rows outside the held-out fold."""
-    model = toxicity.train(labelled(docs.where(split_of("doc_id", 5) != 0), read(spark, sf_dir, "labels")))
+    model = toxicity.train(docs, read(spark, sf_dir, "labels").where(split_of("doc_id", 5) != 0))
     return toxicity.score(docs, model, docs.columns).where("predicted = 0").select(*docs.columns)
 
 
