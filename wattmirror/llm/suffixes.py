@@ -250,7 +250,8 @@ def passages(docs: DataFrame) -> DataFrame:
         "utf-8", "surrogatepass").split()) for t in texts]]), "sizes")
     light = pin(_light(rows), "grams")
     places = light.distinct()
-    often = places.groupBy("gram").count().where("count > 1").select("gram")
+    # Written, so that the join below reads both sides from shuffles and Spark can split a k-gram of many copies.
+    often = pin(places.groupBy("gram").count().where("count > 1").select("gram"), "often")
     wanted = places.join(often, "gram", "left_semi").groupBy("key").agg(F.collect_list("pos").alias("places"))
     texts = rows.select("key", "text").join(wanted, "key").dropDuplicates(["key"])
     entries = pin(_entries(texts), "suffixes")
