@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from wattmirror.llm.common import pin
 
 SAMPLE = 16_384                 # rows the tree is fitted on, those of least vec_id hash
-BRANCH, LEAF_SAMPLE = 8, 24     # children of a node; a node with at most so many sample rows is a leaf
+BRANCH, LEAF_SAMPLE = 8, 256    # children of a node; a node with at most so many sample rows is a leaf
 BLOCK = 4_096                   # rows of a leaf that one group compares, on average
 PROBES, AIM = 96, 0.97          # calibrating queries, and the recall they have to reach
 SEED = 5
