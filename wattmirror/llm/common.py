@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +15,16 @@ from wattmirror.plans.pinned import pin
 from wattmirror.session import prepare
 
 WORD = r"[^\x20\x09-\x0D]+"
-# Texts handed to one round of numpy work, in characters; a single longer text is a round of its own.
-CHUNK_CHARS = 2_000_000
+# Texts handed to one round of numpy work, in UTF-8 bytes; a single longer text is a round of its own.
+CHUNK_BYTES = 1_000_000
+
+
+# Rows of an Arrow batch: texts and id lists are wide, and a Python worker holds a batch at a time.
+BATCH_ROWS = 1_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -37,22 +44,27 @@ def typed(schema: str) -> pa.Schema:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
-           limit: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Cut Arrow batches so that each piece holds about `limit` characters; null texts read as empty."""
+           limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Cut Arrow batches so that each piece holds about `limit` bytes of text; null texts read as empty.
+
+    Texts become Python strings piece by piece, so a worker never holds those of a whole batch.
+    """
     for batch in batches:
-        texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-        start = size = 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > limit:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(t) + 64
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        if not batch.num_rows:
+            continue
+        column = batch.column(batch.schema.get_field_index(text))
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+        total = np.cumsum(sizes)
+        start = 0
+        while start < batch.num_rows:
+            done = total[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(total, done + limit, side="right")))
+            yield batch.slice(start, end - start), [t or "" for t in column.slice(start, end - start).to_pylist()]
+            start = end
 
 
 def map_texts(docs: DataFrame, keep: list[str], adds: str, work: Callable[[list[str]], list[pa.Array]],
-              text: str = "text", limit: int = CHUNK_CHARS) -> DataFrame:
+              text: str = "text", limit: int = CHUNK_BYTES) -> DataFrame:
     """Run `work` over chunks of texts and put the arrays it returns beside the kept columns."""
     frame = docs.select(*dict.fromkeys([*keep, text]))
     added = typed(adds)
@@ -75,4 +87,4 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[n for n in names if n in df.columns])
 
 
-__all__ = ["CHUNK_CHARS", "WORD", "chunks", "map_texts", "pin", "read", "split_of", "typed", "without"]
+__all__ = ["CHUNK_BYTES", "WORD", "chunks", "map_texts", "pin", "read", "split_of", "typed", "without"]

@@ -18,6 +18,7 @@ def features(word: str) -> tuple[int, ...]:
                  ("w " + w, "4 " + w[:4], "5 " + w[:5], "6 " + w[:6], "e " + w[-3:]))
 
 
+KNOWN = 100_000                 # words a task remembers
 PER_WORD = 5
 LEXICAL = 4                     # of these, the first ones: the word and how it begins
 
@@ -49,7 +50,7 @@ class Field:
             here, before, after = self.plain
             ids = features(word)
             got = (sum([here[i] for i in ids]), before[ids[0]], after[ids[0]])
-            if len(self.known) > 300_000:
+            if len(self.known) > KNOWN:
                 self.known.clear()
             self.known[word] = got
         return got
