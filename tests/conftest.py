@@ -22,7 +22,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def tiny_spans(spark):
-    """Make every key with more than a few rows hot."""
-    spark.conf.set("wattmirror.rowsPerSpan", "7")
+    """Cut every key into very narrow spans."""
+    spark.conf.set("wattmirror.spanWidth", "7")
     yield
-    spark.conf.unset("wattmirror.rowsPerSpan")
+    spark.conf.unset("wattmirror.spanWidth")

@@ -41,11 +41,11 @@ def test_entities_equal_plain_walk(spark, split):
         nodes += mine
         edges += [(s, i, p, c, float(rng.randrange(20)) if rng.random() < 0.2 else None) for i, (p, c) in enumerate(pairs)]
     if split:
-        spark.conf.set("wattmirror.rowsPerSpan", "2")
+        spark.conf.set("wattmirror.spanWidth", "2")
     try:
         got = allocate(spark, nodes, edges)
     finally:
-        spark.conf.unset("wattmirror.rowsPerSpan")
+        spark.conf.unset("wattmirror.spanWidth")
     want = {}
     for s in range(40):
         want |= in_order([n for n in nodes if n[0] == s], [e for e in edges if e[0] == s])

@@ -5,9 +5,11 @@ import pytest
 
 import __spark_entry__ as entry_point
 from tools.compare import TABLES, canon
+from wattmirror.checks import registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+registry.load_all()
+QUERIES, ORACLES = registry.TYPED_QUERIES, registry.TYPED_ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -44,5 +46,15 @@ def test_query_equals_oracle_when_keys_are_split(spark, con, tiny_spans, name):
     compare(spark, con, name)
 
 
+@pytest.mark.parametrize("name", sorted(registry.DATE_COLUMNS))
+def test_days_are_dates(spark, name):
+    kinds = dict(QUERIES[name](spark, SF_DIR).dtypes)
+    assert {c: kinds[c] for c in registry.DATE_COLUMNS[name]} == dict.fromkeys(registry.DATE_COLUMNS[name], "date")
+
+
+def test_everything_is_registered():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
+
+
 def test_entry_runs(spark):
     assert entry_point.entry(spark).count() > 0

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wattmirror.plans.ordered import measure_spans, ordered_scan
+from wattmirror.plans.ordered import SPAN, ordered_scan, span_of
 
 
 @pytest.fixture(scope="module")
@@ -28,54 +28,54 @@ def plain(rows):
         "h": F.max("v").over(before), "t": F.sum("w").over(upto)})
 
 
-@pytest.mark.parametrize("rows_per_span", [3, 20, 100, 10_000])
-def test_scan_equals_plain_window(spark, rows, rows_per_span):
-    spans = measure_spans(rows, ["k"], "ts", ["no"], rows_per_span)
-    assert (spans.bounds is None) == (rows_per_span == 10_000)
-    got = ordered_scan(rows, ["k"], "ts", ["no"], spans=spans, previous={"p": "v"}, following={"f": "v"},
-                       known={"l": "v"}, highest={"h": "v"}, total={"t": "w"})
-    want = plain(rows)
-    order = ["k", "ts", "no"]
-    assert got.select(want.columns).orderBy(order).collect() == want.orderBy(order).collect()
+ALL = {"previous": {"p": "v"}, "following": {"f": "v"}, "known": {"l": "v"}, "highest": {"h": "v"}, "total": {"t": "w"}}
 
 
-def test_hot_key_is_cut_into_bounded_spans(spark, rows):
+def same(got, want, order):
+    return got.select(want.columns).orderBy(order).collect() == want.orderBy(order).collect()
+
+
+@pytest.mark.parametrize("width", [0.5, 3, 1000, 10 ** 9])
+def test_scan_equals_plain_window(rows, width):
+    got = ordered_scan(rows, ["k"], "ts", ["no"], width=width, **ALL)
+    assert same(got, plain(rows), ["k", "ts", "no"])
+
+
+def test_many_spans_of_one_key_hold_few_rows_each(rows):
     spread = rows.withColumn("ts", F.timestamp_seconds(F.col("no")))
-    spans = measure_spans(spread, ["k"], "ts", ["no"], 40)
-    sizes = spans.attach(spread, ["ts", "no"]).groupBy("k", "__span").count()
-    hot = [r["count"] for r in sizes.where("k = 'hot'").collect()]
-    assert len(hot) >= 300 / 40 and max(hot) <= 2 * 40
-    assert sizes.where("k <> 'hot'").select("__span").distinct().collect()[0][0] == 0
+    sizes = spread.withColumn("s", span_of(spread, "ts", 30)).where("k = 'hot'").groupBy("s").count().collect()
+    assert len(sizes) == 30 and max(r["count"] for r in sizes) == 10
+    assert same(ordered_scan(spread, ["k"], "ts", ["no"], width=30, **ALL), plain(spread), ["k", "ts", "no"])
 
 
-def test_one_moment_holding_most_rows_is_cut_by_the_ties(spark, rows):
+def test_one_moment_holding_all_rows(rows):
     flat = rows.withColumn("ts", F.timestamp_seconds(F.lit(5)))
-    spans = measure_spans(flat, ["k"], "ts", ["no"], 40)
-    sizes = [r["count"] for r in spans.attach(flat, ["ts", "no"]).where("k = 'hot'").groupBy("__span").count().collect()]
-    assert len(sizes) >= 300 / 40 and max(sizes) <= 2 * 40
-    got = ordered_scan(flat, ["k"], "ts", ["no"], spans=spans, previous={"p": "v"}, following={"f": "v"},
-                       known={"l": "v"}, highest={"h": "v"}, total={"t": "w"})
-    want = plain(flat)
-    assert got.select(want.columns).orderBy("k", "no").collect() == want.orderBy("k", "no").collect()
-
-
-def test_a_plan_serves_a_scan_in_another_order(spark, rows):
-    spans = measure_spans(rows, ["k"], "ts", ["no"], 20)
-    other = rows.withColumn("at", F.col("ts") + F.expr("INTERVAL 7 SECOND")).withColumn("rank", -F.col("no"))
-    got = ordered_scan(other, ["k"], "at", ["rank"], spans=spans, previous={"p": "v"}, total={"t": "w"})
-    w = Window.partitionBy("k").orderBy("at", "rank")
-    want = other.withColumns({"p": F.lag("v").over(w), "t": F.sum("w").over(w.rowsBetween(Window.unboundedPreceding, 0))})
-    order = ["k", "at", "rank"]
-    assert got.select(want.columns).orderBy(order).collect() == want.orderBy(order).collect()
-
-
-def test_integer_order_column(spark, rows):
-    spans = measure_spans(rows, ["k"], "no", wanted=10)
-    got = ordered_scan(rows, ["k"], "no", spans=spans, total={"t": "w"})
+    assert same(ordered_scan(flat, ["k"], "ts", ["no"], width=1, **ALL), plain(flat), ["k", "no"])
+
+
+def test_spans_rise_with_the_order_also_before_the_epoch(spark):
+    df = spark.createDataFrame([(x,) for x in (-8_000_000_000, -3601, -3600, -1, 0, 1, 3599, 3600)], "s bigint") \
+        .withColumn("ts", F.timestamp_seconds("s"))
+    spans = [r[0] for r in df.orderBy("s").select(span_of(df, "ts")).collect()]
+    assert spans == sorted(spans) and spans[1:] == [-2, -1, -1, 0, 0, 0, 1]
+
+
+def test_rows_without_a_time_come_first(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("a", 9000, 3)], "k string, s bigint, v bigint") \
+        .withColumn("ts", F.timestamp_seconds("s"))
+    got = ordered_scan(df, ["k"], "ts", ["v"], previous={"p": "v"}).orderBy("v").collect()
+    assert [r.p for r in got] == [None, 1, 2]
+
+
+def test_integer_order_column(rows):
+    got = ordered_scan(rows, ["k"], "no", width=10, total={"t": "w"})
     want = rows.withColumn("t", F.sum("w").over(Window.partitionBy("k").orderBy("no")))
-    assert got.select(want.columns).orderBy("k", "no").collect() == want.orderBy("k", "no").collect()
+    assert same(got, want, ["k", "no"])
 
 
-def test_usual_plan_is_a_plain_window(rows):
-    plan = ordered_scan(rows, ["k"], "ts", ["no"], previous={"p": "v"})._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" not in plan and plan.count("Exchange hashpartitioning") == 1
+def test_building_a_scan_runs_nothing_and_hints_no_broadcast(spark, rows):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    scan = ordered_scan(rows, ["k"], "ts", ["no"], **ALL)
+    assert not tracker.getJobIdsForGroup("building")
+    assert "Hint" not in scan._jdf.queryExecution().analyzed().toString() and SPAN not in scan.columns

@@ -34,6 +34,9 @@ DATE_COLUMNS = {name: columns.split() for columns, names in DATES.items() for na
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+# The same with calendar days as the operators return them; tests hold these against each other, types included.
+TYPED_QUERIES: dict[str, Query] = {}
+TYPED_ORACLES: dict[str, str] = {}
 
 
 def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -43,9 +46,11 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(fn: Query) -> Query:
         days = DATE_COLUMNS.get(name, [])
+        TYPED_QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark), sf_dir)
         QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark), sf_dir).withColumns(
             {c: F.col(c).cast("string") for c in days})
         if sql is not None:
+            TYPED_ORACLES[name] = sql.strip()
             text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in days)
             ORACLES[name] = f"SELECT * REPLACE ({text}) FROM (\n{sql.strip()})" if days else sql.strip()
         return fn

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wattmirror.functions.labels import (IMPORTED_PREFIX, ceiling_kw, exclusion_reason, glob_regex,
                                          label_base, title_slug)
 from wattmirror.functions.timecols import instant
-from wattmirror.plans.ordered import ordered_scan
+from wattmirror.plans.ordered import MONTH, ordered_scan
 
 # The allowed words of the model, the columns a review owns, the open past.
 CATEGORIES = ("environmental_temperature", "machine_temperature", "home_energy", "device_energy",
@@ -57,7 +57,7 @@ def validate_periods(periods: DataFrame) -> DataFrame:
     Kinds: late_start, closed_end, open_middle, gap, overlap.
     """
     marked = periods.withColumn("present", F.lit(True))
-    rows = ordered_scan(marked, ["statistic_id"], "valid_from", ["valid_until"],
+    rows = ordered_scan(marked, ["statistic_id"], "valid_from", ["valid_until"], width=12 * MONTH,
                         previous={"has_previous": "present"},
                         following={"next_from": "valid_from", "has_next": "present"})
     c = F.col
@@ -74,7 +74,7 @@ def validate_periods(periods: DataFrame) -> DataFrame:
 def overlapping_periods(periods: DataFrame) -> DataFrame:
     """Periods starting before an earlier one of the same metric has ended."""
     ends = periods.withColumn("ends_at", F.coalesce("valid_until", instant(OPEN_FUTURE)))
-    scanned = ordered_scan(ends, ["statistic_id"], "valid_from", ["ends_at"],
+    scanned = ordered_scan(ends, ["statistic_id"], "valid_from", ["ends_at"], width=12 * MONTH,
                            highest={"covered_until": "ends_at"})
     return (scanned.where(F.col("covered_until") > F.col("valid_from"))
                    .select("statistic_id", "valid_from", "valid_until", "grain"))

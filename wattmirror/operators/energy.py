@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wattmirror.functions.timecols import (LOCAL_TZ, expected_hours, local_day, seconds_between)
 from wattmirror.functions.values import distinct_from, round_half_up
-from wattmirror.plans.ordered import SpanPlan, ordered_scan
+from wattmirror.plans.ordered import MONTH, ordered_scan
 
 # Categories, sources, seconds per grain, tolerance and the flag names.
 ENERGY_CATEGORIES = ["home_energy", "device_energy"]
@@ -26,9 +26,9 @@ UNRESOLVED_FLAGS = ["negative_delta", "implausible_positive", "source_disagreeme
                     "reviewed_excluded", "review_invalid"]
 
 
-def with_predecessor(stat: DataFrame, spans: SpanPlan | None = None) -> DataFrame:
+def with_predecessor(stat: DataFrame) -> DataFrame:
     """Sum, time and grain of the row before, over all grains of a metric."""
-    return ordered_scan(stat, ["statistic_id"], "start_at", spans=spans,
+    return ordered_scan(stat, ["statistic_id"], "start_at", width=MONTH,
                         previous={"prev_sum": "sum", "prev_at": "start_at", "prev_grain": "grain"})
 
 
@@ -86,7 +86,7 @@ def quality_flags() -> Column:
 
 
 def v_energy(stat: DataFrame, catalog: DataFrame, review: DataFrame,
-             spans: SpanPlan | None = None, seed_source: str = SEED_SOURCE) -> DataFrame:
+             seed_source: str = SEED_SOURCE) -> DataFrame:
     """Every row of the energy metrics with its delta, covered interval and flags."""
     meters = (catalog.where(F.col("category").isin(ENERGY_CATEGORIES))
                      .select("statistic_id", "display_name", "category", "energy_role",
@@ -94,7 +94,7 @@ def v_energy(stat: DataFrame, catalog: DataFrame, review: DataFrame,
     # The window only carries what it needs; what the catalog says is joined behind the shuffle.
     rows = (stat.select("statistic_id", "start_at", "grain", "sum", "state")
                 .join(meters.select("statistic_id"), "statistic_id", "left_semi"))
-    rows = with_review(with_predecessor(rows, spans), review).join(meters, "statistic_id")
+    rows = with_review(with_predecessor(rows), review).join(meters, "statistic_id")
     rows = with_delta(rows, seed_source)
     rows = rows.withColumn("covered_hours", covered_hours(F.col("prev_at"), F.col("start_at")))
     return rows.select(

@@ -1,7 +1,7 @@
 """Detections over state-change events: entity_id, event_id, ts, state, value, attrs.
 
 Order within an entity is (ts, event_id). Every window goes through ``ordered_scan``, so one
-chatty entity does not end up in one task; pass the span plan of the base events to reuse it.
+chatty entity does not end up in one task.
 Thresholds are strict. What is unknown makes a condition false.
 """
 
@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from wattmirror.functions.timecols import LOCAL_TZ, local_clock, local_day, seconds_between, wall_to_instant
 from wattmirror.functions.values import float_or
-from wattmirror.plans.ordered import SPAN, SpanPlan, measure_spans, ordered_scan, settled
+from wattmirror.plans.ordered import HOUR, SPAN, ordered_scan, settled, span_of
 from wattmirror.plans.pinned import pin
 
 KEY, TIES = ["entity_id"], ["event_id"]
 NEVER = -(1 << 62)           # before every time stamp in microseconds
+WAITS_PER_SPAN = 32          # of a suppressed trigger's span
 
 # Special dates with their labels and the default, button commands, band edges,
 # and the delays, dwell times and hours of the presence rules.
@@ -54,33 +55,31 @@ def _one_of(column: Column, wanted) -> Column:
 
 # --- changes, crossings, durations -----------------------------------------------------------
 
-def changes(ev: DataFrame, spans: SpanPlan | None = None, keys: list[str] | None = None) -> DataFrame:
+def changes(ev: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Rows where the state differs from the row before, the first row of an entity included.
 
     Adds from_state, NULL on the first row.
     """
-    rows = ordered_scan(ev, keys or KEY, "ts", TIES, previous={"from_state": "state"}, spans=spans)
+    rows = ordered_scan(ev, keys or KEY, "ts", TIES, previous={"from_state": "state"})
     return rows.where(~F.col("state").eqNullSafe(F.col("from_state")))
 
 
-def transitions(ev: DataFrame, from_=None, to=None, entities: list | None = None,
-                spans: SpanPlan | None = None, keys: list[str] | None = None) -> DataFrame:
+def transitions(ev: DataFrame, from_=None, to=None, entities: list | None = None, keys: list[str] | None = None) -> DataFrame:
     """State changes from any of ``from_`` to any of ``to``; either may be left open."""
     if entities is not None:
         ev = ev.where(F.col("entity_id").isin(*entities))
-    return (changes(ev, spans, keys)
+    return (changes(ev, keys)
             .where(F.col("from_state").isNotNull() & _one_of(F.col("from_state"), from_) & _one_of(F.col("state"), to))
             .withColumnRenamed("state", "to_state"))
 
 
-def attr_transitions(ev: DataFrame, path: str, to=None, spans: SpanPlan | None = None) -> DataFrame:
+def attr_transitions(ev: DataFrame, path: str, to=None) -> DataFrame:
     """Changes of one attribute inside the event payload, optionally to given values."""
     named = ev.withColumn("state", F.get_json_object("attrs", path)).where(F.col("state").isNotNull())
-    return transitions(named, to=to, spans=spans)
+    return transitions(named, to=to)
 
 
-def crossings(ev: DataFrame, above: float | None = None, below: float | None = None,
-              spans: SpanPlan | None = None) -> DataFrame:
+def crossings(ev: DataFrame, above: float | None = None, below: float | None = None) -> DataFrame:
     """Readings that satisfy the threshold right after one that did not."""
     def met(value: Column) -> Column:
         test = F.lit(True)
@@ -89,89 +88,81 @@ def crossings(ev: DataFrame, above: float | None = None, below: float | None = N
         if below is not None:
             test = test & (value < below)
         return test
-    rows = ordered_scan(ev, KEY, "ts", TIES, previous={"previous_value": "value"}, spans=spans)
+    rows = ordered_scan(ev, KEY, "ts", TIES, previous={"previous_value": "value"})
     return rows.where(met(F.col("value")) & ~met(F.col("previous_value")))
 
 
-def runs_of_state(ev: DataFrame, spans: SpanPlan | None = None, keys: list[str] | None = None) -> DataFrame:
+def runs_of_state(ev: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """State changes with the time of the next different state (changed_at, NULL when last)."""
     keys = keys or KEY
-    spans = spans or measure_spans(ev, keys, "ts", TIES)
-    changed = settled(changes(ev, spans, keys), spans)
-    return ordered_scan(changed, keys, "ts", TIES, following={"changed_at": "ts"}, spans=spans)
+    changed = settled(changes(ev, keys))
+    return ordered_scan(changed, keys, "ts", TIES, following={"changed_at": "ts"})
 
 
-def held_for(ev: DataFrame, state, d: timedelta, horizon: Column | None = None,
-             spans: SpanPlan | None = None) -> DataFrame:
+def held_for(ev: DataFrame, state, d: timedelta, horizon: Column | None = None) -> DataFrame:
     """Fires d after a state began, unless another state came sooner.
 
     The last state of an entity fires once the newest event time has reached that moment.
     """
     horizon = latest_ts(ev) if horizon is None else horizon
-    rows = runs_of_state(ev, spans).where(_one_of(F.col("state"), state))
+    rows = runs_of_state(ev).where(_one_of(F.col("state"), state))
     fires = F.col("ts") + _delay(d)
     return rows.withColumn("fires_at", fires).where(F.coalesce("changed_at", horizon) >= F.col("fires_at")) \
                .drop("changed_at")
 
 
-def dwell_over(ev: DataFrame, n_seconds: float, from_=None, to=None, spans: SpanPlan | None = None) -> DataFrame:
+def dwell_over(ev: DataFrame, n_seconds: float, from_=None, to=None) -> DataFrame:
     """Transitions out of a state that had lasted more than n seconds."""
-    spans = spans or measure_spans(ev, KEY, "ts", TIES)
-    rows = ordered_scan(settled(changes(ev, spans), spans), KEY, "ts", TIES, previous={"since": "ts"}, spans=spans)
+    rows = ordered_scan(settled(changes(ev)), KEY, "ts", TIES, previous={"since": "ts"})
     dwell = seconds_between("since", "ts")
     return (rows.where(_one_of(F.col("from_state"), from_) & _one_of(F.col("state"), to))
                 .withColumn("dwell_seconds", dwell).where(F.col("dwell_seconds") > n_seconds).drop("since"))
 
 
-def recovered(ev: DataFrame, d: timedelta = timedelta(minutes=10), spans: SpanPlan | None = None) -> DataFrame:
+def recovered(ev: DataFrame, d: timedelta = timedelta(minutes=10)) -> DataFrame:
     """A source coming back: from unavailable to a number >= 0 that stays for d."""
-    rows = held_for(ev, None, d, spans=spans)
+    rows = held_for(ev, None, d)
     return rows.where(F.col("from_state").isin(*UNAVAILABLE) & (F.col("state").try_cast("double") >= 0))
 
 
 # --- triggers -------------------------------------------------------------------------------
 
-def debounce(triggers: DataFrame, d: timedelta, horizon: Column, keys: list[str] | None = None,
-             spans: SpanPlan | None = None) -> DataFrame:
+def debounce(triggers: DataFrame, d: timedelta, horizon: Column, keys: list[str] | None = None) -> DataFrame:
     """Restart mode: a trigger counts only when no other follows within d.
 
     The last one of an entity counts once the horizon has reached its end.
     """
-    rows = ordered_scan(triggers, keys or KEY, "ts", TIES, following={"__next": "ts"}, spans=spans)
+    rows = ordered_scan(triggers, keys or KEY, "ts", TIES, following={"__next": "ts"})
     quiet = F.when(F.col("__next").isNull(), horizon >= F.col("ts") + _delay(d)) \
              .otherwise(F.col("__next") > F.col("ts") + _delay(d))
     return rows.where(quiet).drop("__next")
 
 
-def suppress_active(triggers: DataFrame, d: timedelta, keys: list[str] | None = None,
-                    spans: SpanPlan | None = None) -> DataFrame:
+def suppress_active(triggers: DataFrame, d: timedelta, keys: list[str] | None = None) -> DataFrame:
     """Single mode: a trigger counts when at least d has passed since the last counted one.
 
-    Whether a trigger counts depends on the one counted before it, so a key is walked in order.
-    For a hot key each time span first works out, for every moment at which the key could become
-    free again before or early in the span, when it becomes free after it. Chaining these steps
-    over the spans (few rows per span) gives each span its own starting moment, and then all
-    spans are walked independently.
+    Whether a trigger counts depends on the one counted before it, so a key is followed in order. A key is cut into
+    spans of at least WAITS_PER_SPAN waits. A span first works out, for every moment at which the key could become
+    free again before or within the first wait of the span, when it becomes free after it: at most the triggers of
+    one wait, a WAITS_PER_SPAN-th of a steady key's rows. Chaining these steps over the spans of a key gives each span
+    its own starting moment, and then all spans are followed independently. A key within one span needs no chain.
     """
     keys = keys or KEY
-    spans = spans or measure_spans(triggers, keys, "ts", TIES)
-    spanned = spans.attach(triggers, ["ts", *TIES]).withColumn("__us", F.unix_micros("ts"))
     wait = int(d.total_seconds() * 1_000_000)
-    if spans.bounds is None:
-        entered = spanned.withColumn("__free", F.lit(None).cast("bigint"))
-    else:
-        key_schema = ", ".join(f"`{k}` {triggers.schema[k].dataType.simpleString()}" for k in keys)
-        hot = spanned.select(*keys, SPAN, "__us").join(F.broadcast(spans.bounds.select(*keys)), keys, "left_semi")
-        steps = hot.groupBy(*keys, SPAN).applyInPandas(
-            lambda pdf: _free_steps(pdf, keys, wait), f"{key_schema}, {SPAN} int, upto bigint, free bigint")
-        entries = pin(steps.groupBy(*keys).applyInPandas(
-            lambda pdf: _chain_steps(pdf, keys), f"{key_schema}, {SPAN} int, __free bigint"), "entries")
-        entered = spanned.join(F.broadcast(entries), [*keys, SPAN], "left")
+    spanned = triggers.withColumn(SPAN, span_of(triggers, "ts", max(HOUR, WAITS_PER_SPAN * d.total_seconds()))) \
+        .withColumn("__us", F.unix_micros("ts"))
+    key_schema = ", ".join(f"`{k}` {triggers.schema[k].dataType.simpleString()}" for k in keys)
+    long = spanned.groupBy(*keys).agg(F.min(SPAN).alias("a"), F.max(SPAN).alias("b")).where("a < b").select(*keys)
+    steps = spanned.select(*keys, SPAN, "__us").join(long, keys, "left_semi").groupBy(*keys, SPAN).applyInPandas(
+        lambda pdf: _free_steps(pdf, keys, wait), f"{key_schema}, {SPAN} bigint, upto bigint, free bigint")
+    entries = steps.groupBy(*keys).applyInPandas(
+        lambda pdf: _chain_steps(pdf, keys), f"{key_schema}, {SPAN} bigint, __free bigint")
+    entered = spanned.join(entries, [*keys, SPAN], "left")
     triggers_columns = triggers.columns
     parts = int(triggers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (entered.repartition(parts, *keys, SPAN)
                       .sortWithinPartitions(*keys, SPAN, "__us", *TIES))
-    return ordered.mapInPandas(lambda batches: _walk(batches, [*keys, SPAN], wait, triggers_columns), triggers.schema)
+    return ordered.mapInPandas(lambda batches: _counted(batches, [*keys, SPAN], wait, triggers_columns), triggers.schema)
 
 
 def _free_steps(pdf: pd.DataFrame, keys: list[str], wait: int) -> pd.DataFrame:
@@ -204,37 +195,46 @@ def _chain_steps(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
         at = int(np.searchsorted(steps["upto"].to_numpy(), free, side="left"))
         if at < len(steps):
             free = int(steps["free"].iat[at])
-    out = pd.DataFrame({SPAN: np.array(spans, dtype="int32"), "__free": np.array(entries, dtype="int64")})
+    out = pd.DataFrame({SPAN: np.array(spans, dtype="int64"), "__free": np.array(entries, dtype="int64")})
     for name in keys:
         out[name] = pdf[name].iat[0]
     return out[[*keys, SPAN, "__free"]]
 
 
-def _walk(batches: Iterator[pd.DataFrame], group: list[str], wait: int,
-          columns: list[str]) -> Iterator[pd.DataFrame]:
-    """Keep the counted triggers of a sorted partition; a group may go on in the next batch."""
+def _counted(batches: Iterator[pd.DataFrame], group: list[str], wait: int,
+             columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Keep the counted triggers of a sorted partition; a group may go on in the next batch.
+
+    For every trigger of a batch the next one that is a wait later is looked up at once; only counted triggers are
+    then stepped through.
+    """
     current, free = None, NEVER
     for pdf in batches:
         if pdf.empty:
             continue
         us = pdf["__us"].to_numpy()
-        ids = list(zip(*[pdf[c].tolist() for c in group]))
-        entry = pdf["__free"].tolist()
+        moved = (pdf[group] != pdf[group].shift()).any(axis=1).to_numpy()
+        starts = np.flatnonzero(moved | (np.arange(len(us)) == 0))
         keep = np.zeros(len(us), dtype=bool)
-        for i, (who, at) in enumerate(zip(ids, us)):
+        for lo, hi in zip(starts, np.append(starts[1:], len(us))):
+            who = tuple(pdf[c].iat[lo] for c in group)
             if who != current:
-                current = who
-                free = NEVER if entry[i] is None or entry[i] != entry[i] else entry[i]
-            if at >= free:
-                keep[i] = True
-                free = at + wait
+                entry = pdf["__free"].iat[lo]
+                current, free = who, NEVER if pd.isna(entry) else int(entry)
+            own = us[lo:hi]
+            following = np.searchsorted(own, own + wait, side="left")
+            at = int(np.searchsorted(own, free, side="left"))
+            while at < len(own):
+                keep[lo + at] = True
+                free = int(own[at]) + wait
+                at = int(following[at]) if wait > 0 else at + 1
         yield pdf.loc[keep, columns]
 
 
 # --- as-of conditions -----------------------------------------------------------------------
 
 def asof_state(triggers: DataFrame, ev: DataFrame, guard: str = "guard_id", delay: timedelta | None = None,
-               prefix: str = "guard", keys: list[str] | None = None, spans: SpanPlan | None = None) -> DataFrame:
+               prefix: str = "guard", keys: list[str] | None = None) -> DataFrame:
     """Add the state and value another entity had when a trigger fired (or ``delay`` later).
 
     States at the very moment count. Adds <prefix>_state, <prefix>_value and <prefix>_since, the
@@ -257,7 +257,7 @@ def asof_state(triggers: DataFrame, ev: DataFrame, guard: str = "guard_id", dela
         nothing.cast(kind).alias(f"{prefix}_{name}") for name, kind in
         (("state", "string"), ("value", "double"), ("since", "timestamp"))])
     both = states.unionByName(asked.where(F.col("__who").isNotNull()), allowMissingColumns=True)
-    known = ordered_scan(both, [*keys, "__who"], "__at", ["__kind", "__no"], known={"__known": "__seen"}, spans=spans)
+    known = ordered_scan(both, [*keys, "__who"], "__at", ["__kind", "__no"], known={"__known": "__seen"})
     found = known.where(F.col("__kind") == 1).select(
         "__trigger.*", F.col("__known.state").alias(f"{prefix}_state"), F.col("__known.value").alias(f"{prefix}_value"),
         F.col("__known.ts").alias(f"{prefix}_since"))
@@ -275,7 +275,7 @@ def guarded_action(triggers: DataFrame, ev: DataFrame, load: str = "load_id", un
     return rows.where(~loaded & ~busy)
 
 
-def latch(set_events: DataFrame, reset_events: DataFrame, spans: SpanPlan | None = None) -> DataFrame:
+def latch(set_events: DataFrame, reset_events: DataFrame) -> DataFrame:
     """The flag set by one kind of event and cleared by another: a row per change of the flag.
 
     Both inputs: entity_id, event_id, ts. The flag starts cleared.
@@ -283,7 +283,7 @@ def latch(set_events: DataFrame, reset_events: DataFrame, spans: SpanPlan | None
     cols = ["entity_id", "event_id", "ts"]
     both = (set_events.select(*cols, F.lit(True).alias("flag"))
             .unionByName(reset_events.select(*cols, F.lit(False).alias("flag"))))
-    rows = ordered_scan(both, KEY, "ts", TIES, previous={"__was": "flag"}, spans=spans)
+    rows = ordered_scan(both, KEY, "ts", TIES, previous={"__was": "flag"})
     return rows.where(F.col("flag") != F.coalesce("__was", F.lit(False))).drop("__was")
 
 
@@ -332,19 +332,18 @@ def band(ev: DataFrame, value: Column, bands=BANDS, above: int = ABOVE_BANDS) ->
 
 
 def hold_over_intervals(ev: DataFrame, on, timeout: timedelta = timedelta(minutes=30),
-                        hold: timedelta = timedelta(minutes=5), spans: SpanPlan | None = None) -> DataFrame:
+                        hold: timedelta = timedelta(minutes=5)) -> DataFrame:
     """Times something stays on: from a state until it ends (at most ``timeout``), plus ``hold``.
 
     A new start before the end prolongs the interval, so overlapping ones are merged.
     """
-    spans = spans or measure_spans(ev, KEY, "ts", TIES)
-    starts = runs_of_state(ev, spans).where(_one_of(F.col("state"), on))
+    starts = runs_of_state(ev).where(_one_of(F.col("state"), on))
     ends = F.least(F.coalesce("changed_at", F.col("ts") + _delay(timeout)), F.col("ts") + _delay(timeout)) + _delay(hold)
-    held = settled(starts.withColumn("ends_at", ends), spans)
-    rows = ordered_scan(held, KEY, "ts", TIES, highest={"__reach": "ends_at"}, spans=spans)
+    held = settled(starts.withColumn("ends_at", ends))
+    rows = ordered_scan(held, KEY, "ts", TIES, highest={"__reach": "ends_at"})
     fresh = F.col("__reach").isNull() | (F.col("ts") > F.col("__reach"))
-    rows = settled(rows.withColumn("__start", F.when(fresh, F.col("ts"))), spans)
-    rows = ordered_scan(rows, KEY, "ts", TIES, known={"starts_at": "__start"}, spans=spans)
+    rows = settled(rows.withColumn("__start", F.when(fresh, F.col("ts"))))
+    rows = ordered_scan(rows, KEY, "ts", TIES, known={"starts_at": "__start"})
     return rows.groupBy("entity_id", "starts_at").agg(
         F.max("ends_at").alias("ends_at"), F.count(F.lit(1)).alias("triggers"))
 
@@ -359,15 +358,15 @@ def hourly_stats(ev: DataFrame) -> DataFrame:
 
 # --- presence rules ----------------------------------------------------------------------------
 
-def _door(signals: DataFrame, spans: SpanPlan, **change) -> DataFrame:
-    moved = transitions(signals.where("role = 'door'"), keys=["home_id", "entity_id"], spans=spans, **change)
+def _door(signals: DataFrame, **change) -> DataFrame:
+    moved = transitions(signals.where("role = 'door'"), keys=["home_id", "entity_id"], **change)
     return moved.select("home_id", F.col("entity_id").alias("door"), "event_id", "ts")
 
 
-def _flag(signals: DataFrame, role: str, homes: SpanPlan) -> DataFrame:
+def _flag(signals: DataFrame, role: str) -> DataFrame:
     """A home-wide signal as an entity of its own, reduced to its changes."""
     rows = signals.where(F.col("role") == role).withColumn("entity_id", F.col("home_id"))
-    return settled(changes(rows, homes.for_keys(["entity_id"])).drop("from_state"), homes)
+    return settled(changes(rows).drop("from_state"))
 
 
 def departures(signals: DataFrame, delay: timedelta = DEPARTURE_DELAY, tz: str = LOCAL_TZ) -> DataFrame:
@@ -375,30 +374,25 @@ def departures(signals: DataFrame, delay: timedelta = DEPARTURE_DELAY, tz: str =
     delay all motion is off, the flag has not just changed, and the tracker is away.
 
     ``signals``: home_id, role (door | motion | occupied | tracker), entity_id, event_id, ts,
-    state, value. A later closing within the delay starts the wait again. The two span plans are
-    measured once on the signals and serve every step.
+    state, value. A later closing within the delay starts the wait again.
     """
     horizon = latest_ts(signals)
-    homes = measure_spans(signals, ["home_id"], "ts", TIES)
-    devices = measure_spans(signals, ["home_id", "entity_id"], "ts", TIES)
-    of_home = lambda rows, flag, wait, prefix: asof_state(settled(rows, homes), flag, "home_id", wait, prefix,
-                                                          spans=homes.for_keys(["__who"]))
-    occupied = _flag(signals, "occupied", homes)
-    closed = time_of_day(_door(signals, devices, from_="on", to="off"), *PRESENCE_HOURS, tz=tz)
+    of_home = lambda rows, flag, wait, prefix: asof_state(settled(rows), flag, "home_id", wait, prefix)
+    occupied = _flag(signals, "occupied")
+    closed = time_of_day(_door(signals, from_="on", to="off"), *PRESENCE_HOURS, tz=tz)
     home = of_home(closed, occupied, None, "occupied").where("occupied_state = 'on'").select(*closed.columns)
-    waited = debounce(settled(home, homes), delay, horizon, ["home_id"], spans=homes)
+    waited = debounce(settled(home), delay, horizon, ["home_id"])
 
     later = of_home(waited, occupied, delay, "occupied")
     lasting = seconds_between("occupied_since", F.col("ts") + _delay(delay)) > OCCUPIED_DWELL_SECONDS
     later = later.where(lasting).select(*closed.columns)
-    tracker = _flag(signals, "tracker", homes)
+    tracker = _flag(signals, "tracker")
     away = of_home(later, tracker, delay, "tracker").where("tracker_state = 'not_home'")
 
     sensors = signals.where("role = 'motion'")
     watched = sensors.select("home_id", F.col("entity_id").alias("sensor")).distinct()
-    asked = settled(away.select(*closed.columns).join(watched, "home_id"), devices)
-    still = asof_state(asked, sensors, "sensor", delay, "motion", keys=["home_id"],
-                       spans=devices.for_keys(["home_id", "__who"]))
+    asked = settled(away.select(*closed.columns).join(watched, "home_id"))
+    still = asof_state(asked, sensors, "sensor", delay, "motion", keys=["home_id"])
     return (still.groupBy("home_id", "door", "event_id", "ts")
                  .agg(F.bool_and(F.coalesce(F.col("motion_state") == "off", F.lit(False))).alias("quiet"))
                  .where("quiet").select("home_id", "door", "event_id", "ts",
@@ -407,9 +401,6 @@ def departures(signals: DataFrame, delay: timedelta = DEPARTURE_DELAY, tz: str =
 
 def arrivals(signals: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
     """Coming home: a door opens during the day while the occupied flag is off."""
-    homes = measure_spans(signals, ["home_id"], "ts", TIES)
-    devices = measure_spans(signals, ["home_id", "entity_id"], "ts", TIES)
-    opened = time_of_day(_door(signals, devices, to="on"), *PRESENCE_HOURS, tz=tz)
-    seen = asof_state(opened, _flag(signals, "occupied", homes), "home_id", prefix="occupied",
-                      spans=homes.for_keys(["__who"]))
+    opened = time_of_day(_door(signals, to="on"), *PRESENCE_HOURS, tz=tz)
+    seen = asof_state(opened, _flag(signals, "occupied"), "home_id", prefix="occupied")
     return seen.where("occupied_state = 'off'").select("home_id", "door", "event_id", "ts")

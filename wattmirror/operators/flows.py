@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattmirror.functions.values import float_or
-from wattmirror.plans.ordered import SpanPlan, measure_spans, ordered_scan
+from wattmirror.plans.ordered import ordered_scan
 from wattmirror.plans.pinned import pin
 
 # Unit prefixes, and the spans in days above which coarser periods are used.
@@ -139,14 +139,13 @@ def allocate_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                   .join(side("parent"), ["snapshot_at", "parent"], "left"))
     star = F.col("alone_fed") & F.coalesce(F.col("parent_kind") == "entity", F.lit(False))
     rows = pin(fed.join(parents.hint("merge"), ["snapshot_at", "parent"]).withColumn("star", star), "edges")
-    spans = measure_spans(rows.where("star"), ["snapshot_at", "parent"], "edge_no")
-    return _allocate_stars(rows.where("star"), spans).unionByName(_allocate_shared(rows.where("NOT star")))
+    return _allocate_stars(rows.where("star")).unionByName(_allocate_shared(rows.where("NOT star")))
 
 
-def _allocate_stars(stars: DataFrame, spans: SpanPlan) -> DataFrame:
+def _allocate_stars(stars: DataFrame) -> DataFrame:
     demand = F.least("child_value", F.coalesce("cap", "child_value"))
     wanted = stars.withColumn("demand", F.greatest(demand, F.lit(0)))
-    summed = ordered_scan(wanted, ["snapshot_at", "parent"], "edge_no", total={"upto": "demand"}, spans=spans)
+    summed = ordered_scan(wanted, ["snapshot_at", "parent"], "edge_no", total={"upto": "demand"})
     left = F.greatest(F.col("parent_value") - (F.col("upto") - F.col("demand")), F.lit(0))
     return summed.select("snapshot_at", "edge_no", "parent", "child",
                          F.least("demand", left).cast("double").alias("flow"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattmirror.functions.timecols import seconds_between
-from wattmirror.plans.ordered import measure_spans, ordered_scan, settled
+from wattmirror.plans.ordered import MONTH, ordered_scan, settled
 
 # The cadences an interval can be recognised as, the accepted ratio band, and
 # how many stored rows the gate looks back.
@@ -83,15 +83,14 @@ def cadence_decision(stored: DataFrame, incoming: DataFrame, periods: DataFrame)
     the reviewed grain halt the metric.
     """
     judged = judged_metrics(periods)
-    spans = measure_spans(incoming, ["statistic_id"], "start_at")
-    stamps = settled(observed_stamps(stored, incoming, judged), spans)
-    scan = lambda df, **adds: ordered_scan(df, ["statistic_id"], "start_at", spans=spans, **adds)
+    stamps = settled(observed_stamps(stored, incoming, judged))
+    scan = lambda df, **adds: ordered_scan(df, ["statistic_id"], "start_at", width=MONTH, **adds)
 
     steps = scan(stamps, previous={"prev_at": "start_at"}).where(F.col("prev_at").isNotNull())
     gap = seconds_between("prev_at", "start_at")
     steps = steps.select("statistic_id", "start_at", F.lit(1).alias("one"), gap.alias("last_gap"),
                          nearest_cadence(gap).alias("last_cadence"))
-    steps = scan(settled(steps, spans), total={"n": "one"}, previous={"prior_gap": "last_gap", "prior_cadence": "last_cadence"})
+    steps = scan(settled(steps), total={"n": "one"}, previous={"prior_gap": "last_gap", "prior_cadence": "last_cadence"})
     outage = F.when(F.col("last_cadence").isNull(), F.struct("start_at", "n"))
     # The newest interval tells the last two cadences, the newest outage where they must start.
     evidence = steps.groupBy("statistic_id").agg(

@@ -1,130 +1,46 @@
-"""Windows over one key in time order that survive a key holding most of the rows.
-
-A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole key into one task. Here
-keys with more than ``rows_per_span`` rows are cut into equi-depth spans of the order. The window
-runs inside (key, span); what a row needs from neighbouring spans (the last row before, the
-first row after, a running max or sum) comes from a summary with one row per span.
-
-Cost: one map-side-combined count per key. While no key is over the bound the result is the
-plain window. Otherwise the boundary and summary tables have at most ``2 * rows / rows_per_span``
-spans, which is what makes broadcasting them safe; they are written to the shared folder, so
-that a chain of scans stays a short plan.
+"""Windows over one key in order that survive a key holding most of the rows.
+
+A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole key into one task. Here every scan, whatever its size,
+has one plan of two levels. Rows are cut into calendar spans: stretches of the order column of a fixed width (for
+numbers, of a fixed count of values). The window runs inside (key, span); what a row needs from other spans (the last
+row before, the first row after, a running max or sum) comes from a summary with one row per (key, span), which is
+scanned per key and joined back on (key, span).
+
+So a task sorts the rows of a key in one span, and the summary of a key has at most as many rows as the calendar has
+spans: with hours 8,766 a year. Choose the width so that both are small. Nothing runs while a scan is built and
+nothing is broadcast by hint. The input is read by both levels: write it once with ``settled`` where it is costly.
+A single moment is never cut, as its rows are ordered by the ties alone.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattmirror.plans.pinned import pin
 
-DEFAULT_ROWS_PER_SPAN = 2_000_000
-ROWS_PER_SPAN_CONF = "wattmirror.rowsPerSpan"
-MAX_SPANS = 16_384           # per key
-PICKED_PER_SPAN = 32
+HOUR, MONTH = 3_600, 31 * 86_400        # seconds of a span: of events, of hourly facts
+NUMBERS = 65_536                        # values of a span of a numeric order column
+WIDTH_CONF = "wattmirror.spanWidth"     # overrides every width, in seconds or values
 
 SPAN = "__span"
 
 
-@dataclass
-class SpanPlan:
-    """How the hot keys of one table are cut; ``bounds`` is None when there are none.
-
-    ``order`` names the columns of the boundaries: the first order column alone, or all of them
-    where so many rows share one moment that it has to be cut itself.
-    """
-
-    keys: list[str]
-    bounds: DataFrame | None = field(default=None)
-    bits: int = 0
-    order: list[str] = field(default_factory=list)
-
-    def for_keys(self, keys: list[str]) -> SpanPlan:
-        """The same cut for a table that names the keys differently."""
-        bounds = self.bounds
-        if bounds is not None:
-            bounds = bounds.select(*[F.col(a).alias(b) for a, b in zip(self.keys, keys)], "__bounds")
-        return SpanPlan(keys, bounds, self.bits, self.order)
-
-    def attach(self, df: DataFrame, order: list[str]) -> DataFrame:
-        """Add the span column: 0 for ordinary keys, the stretch of the order for hot ones.
-
-        A scan in another order than the measured one is cut by the first order column only, so
-        that a span is a stretch of its order, too.
-        """
-        if self.bounds is None:
-            return df.withColumn(SPAN, F.lit(0))
-        whole = len(self.order) > 1 and order == self.order
-        bounds = self.bounds if whole else self.bounds.withColumn("__bounds", _first_column("__bounds"))
-        place = _position(order) if whole else F.col(order[0])
-        joined = df.join(F.broadcast(bounds), self.keys, "left")
-        span = _span_of(F.col("__bounds"), place, self.bits)
-        return joined.withColumn(SPAN, F.coalesce(span, F.lit(0))).drop("__bounds")
-
-
-def _position(order: list[str]) -> Column:
-    return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
-
+def span_of(df: DataFrame, order: str, width: float | None = None) -> Column:
+    """The span a row lies in: rises with the order column; rows without a value come first."""
+    kind = df.schema[order].dataType.typeName()
+    timed = kind in ("date", "timestamp", "timestamp_ntz")
+    wide = float(df.sparkSession.conf.get(WIDTH_CONF, None) or width or (HOUR if timed else NUMBERS))
+    if timed:
+        place, wide = F.unix_micros(F.col(order).cast("timestamp")), wide * 1_000_000
+    else:
+        place = F.col(order)
+    return F.coalesce(F.floor(place / F.lit(wide)).cast("bigint"), F.lit(-(1 << 62)))
 
-def _first_column(bounds: str) -> Column:
-    return F.array_distinct(F.transform(bounds, lambda b: b["o0"]))
 
-
-def _span_of(bounds: Column, value: Column, bits: int) -> Column:
-    """Number of boundaries <= value: binary search, one fold step per bit."""
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(bits))])
-    found = F.aggregate(
-        steps, F.lit(0),
-        lambda at, step: F.when(F.get(bounds, at + step - 1) <= value, at + step).otherwise(at))
-    return F.when(bounds.isNotNull(), found)
-
-
-def rows_per_span(df: DataFrame, wanted: int | None = None) -> int:
-    return int(wanted or df.sparkSession.conf.get(ROWS_PER_SPAN_CONF, str(DEFAULT_ROWS_PER_SPAN)))
-
-
-def measure_spans(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None = None,
-                  wanted: int | None = None) -> SpanPlan:
-    """Count rows per key and, for keys over the bound, take equi-depth boundaries.
-
-    Runs one small job to learn whether any key is hot at all, so that the usual case keeps
-    the plain window plan. Reuse the plan for every step over the same events. The boundaries
-    come from a hash-picked share of a hot key's rows, about 32 per span: the same rows give the
-    same cut again. They only place the cuts; every row goes through.
-    """
-    bound = rows_per_span(df, wanted)
-    order = [ts, *(ties or [])]
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-             .where(F.col("__n") > bound))
-    largest = hot.agg(F.max("__n")).first()[0]
-    if largest is None:
-        return SpanPlan(keys, order=order)
-
-    wanted_spans = lambda n: F.least(F.ceil(2 * n / bound), F.lit(MAX_SPANS - 1))
-    share = max(1, bound // PICKED_PER_SPAN)
-    picked = (df.select(*keys, *[c for c in order if c not in keys])
-                .join(F.broadcast(hot), keys)
-                .where(F.pmod(F.xxhash64(*keys, *order), F.lit(share)) == 0)
-                .groupBy(*keys).agg(F.sort_array(F.collect_list(_position(order))).alias("__picked"),
-                                    wanted_spans(F.max("__n")).alias("__spans")))
-    step = F.greatest(F.lit(1), F.ceil(F.size("__picked") / (F.col("__spans") + 1)))
-    picked = picked.withColumn("__step", step)
-    cuts = F.filter("__picked", lambda _, i: (i > 0) & (i % F.col("__step") == 0))
-    bounds = pin(picked.select(*keys, cuts.alias("__bounds")), "bounds")
-    bits = min(MAX_SPANS - 1, 2 * largest // bound + 1).bit_length()
-    crowded = bounds.where(F.size(_first_column("__bounds")) < F.size("__bounds"))
-    return SpanPlan(keys, bounds, bits, [ts] if crowded.isEmpty() else order)
-
-
-def settled(df: DataFrame, spans: SpanPlan) -> DataFrame:
-    """Rows that another scan builds on, written once when keys are split.
-
-    A split scan reads its input twice (summary and rows); without this a chain of scans would
-    run its first links again and again.
-    """
-    return df if spans.bounds is None else pin(df, "rows")
+def settled(df: DataFrame) -> DataFrame:
+    """Rows that another scan builds on, written once: a scan reads its input twice."""
+    return pin(df, "rows")
 
 
 def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None = None, *,
@@ -133,8 +49,8 @@ def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None
                  known: dict[str, str] | None = None,
                  highest: dict[str, str] | None = None,
                  total: dict[str, str] | None = None,
-                 spans: SpanPlan | None = None) -> DataFrame:
-    """Add columns computed over the rows of one key in (ts, *ties) order.
+                 width: float | None = None) -> DataFrame:
+    """Add columns computed over the rows of one key in (ts, *ties) order. Keys are not NULL.
 
     Each argument maps an output name to an input column:
       previous   value on the row before                  (NULL on the first row)
@@ -142,12 +58,12 @@ def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None
       known      latest non-NULL value up to this row
       highest    maximum over all earlier rows            (this row excluded)
       total      sum over all rows up to and including this one
+    ``width`` is that of a span, in seconds for times (default an hour), else in values.
     """
     previous, following = previous or {}, following or {}
     known, highest, total = known or {}, highest or {}, total or {}
     order = [ts, *(ties or [])]
-    spans = spans or measure_spans(df, keys, ts, ties)
-    spanned = spans.attach(df, order)
+    spanned = df.withColumn(SPAN, span_of(df, ts, width))
 
     inside = Window.partitionBy(*keys, SPAN).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -158,16 +74,13 @@ def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None
     adds |= {o: F.last(c, ignorenulls=True).over(upto) for o, c in known.items()}
     adds |= {o: F.max(c).over(before) for o, c in highest.items()}
     adds |= {o: F.sum(c).over(upto) for o, c in total.items()}
-    if spans.bounds is None:
-        return spanned.withColumns(adds).drop(SPAN)
-
-    hot_rows = spanned.join(F.broadcast(spans.bounds.select(*keys)), keys, "left_semi")
-    carry = pin(_carries(hot_rows, keys, order, previous, following, known, highest, total), "carry")
     if previous:
-        adds["__first"] = F.lag(ts).over(inside).isNull()
+        adds["__first"] = F.row_number().over(inside) == 1
     if following:
-        adds["__last"] = F.lead(ts).over(inside).isNull()
-    out = spanned.withColumns(adds).join(F.broadcast(carry), [*keys, SPAN], "left")
+        adds["__last"] = F.lead(F.lit(True)).over(inside).isNull()
+
+    carry = _carries(spanned, keys, order, previous, following, known, highest, total)
+    out = spanned.withColumns(adds).join(carry, [*keys, SPAN], "left")
     merged = {o: F.when(F.col("__first"), F.col(f"__c_prev.{o}")).otherwise(F.col(o)) for o in previous}
     merged |= {o: F.when(F.col("__last"), F.col(f"__c_next.{o}")).otherwise(F.col(o)) for o in following}
     merged |= {o: F.coalesce(o, f"__c_{o}") for o in known}
@@ -178,8 +91,8 @@ def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None
     return out.withColumns(merged).drop("__first", "__last", SPAN, *[c for c in carry.columns if c.startswith("__c_")])
 
 
-def _carries(hot_rows, keys, order, previous, following, known, highest, total) -> DataFrame:
-    """One row per (hot key, span): what that span inherits from the spans around it."""
+def _carries(rows, keys, order, previous, following, known, highest, total) -> DataFrame:
+    """One row per (key, span): what that span inherits from the spans around it."""
     at = F.struct(*order)
     struct = lambda cols: F.struct(*[F.col(c).alias(o) for o, c in cols.items()])
     aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
@@ -190,9 +103,9 @@ def _carries(hot_rows, keys, order, previous, following, known, highest, total)
     aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(f"__k_{o}") for o, c in known.items()]
     aggs += [F.max(c).alias(f"__h_{o}") for o, c in highest.items()]
     aggs += [F.sum(c).alias(f"__t_{o}") for o, c in total.items()]
-    summary = hot_rows.groupBy(*keys, SPAN).agg(*aggs)
+    summary = rows.groupBy(*keys, SPAN).agg(*aggs)
 
-    across = Window.partitionBy(*keys).orderBy(SPAN)          # at most 16384 rows per key
+    across = Window.partitionBy(*keys).orderBy(SPAN)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     cols: dict[str, Column] = {}
     if previous:
