@@ -72,6 +72,13 @@ def staged(spark, sf_dir):
     return src.stage(gating.resolve_grain(rows, m.catalog(spark, sf_dir), m.periods(spark, sf_dir)))
 
 
+@check("src_07_duplicate_keys", with_ctes(m.statistic_sql(0), select="""
+SELECT statistic_id, start_at, CAST(2 AS BIGINT) AS "rows" FROM stat WHERE extract('hour' FROM start_at) % 6 = 0"""))
+def repeated_keys(spark, sf_dir):
+    rows = m.statistic(spark, sf_dir)
+    return src.duplicate_keys(rows.union(rows.where(F.hour("start_at") % 6 == 0)))
+
+
 @check("syn_01_resolve_grain", with_ctes(m.statistic_sql(0), m.CATALOG_SQL, m.periods_sql(0), select=f"""
 SELECT statistic_id, start_at, {grain_of()} AS grain FROM stat s"""))
 def grains(spark, sf_dir):

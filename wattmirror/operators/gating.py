@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattmirror.functions.timecols import seconds_between
+from wattmirror.operators.catalog import overlapping_periods
 from wattmirror.plans.ordered import MONTH, ordered_scan, settled
 
 # The cadences an interval can be recognised as, the accepted ratio band, and
@@ -47,6 +48,14 @@ def assert_resolved(resolved: DataFrame) -> DataFrame:
     return resolved
 
 
+def assert_disjoint(periods: DataFrame) -> DataFrame:
+    """Raise on a reviewed period that begins before an earlier one of its metric has ended, naming the first."""
+    bad = overlapping_periods(periods).orderBy("statistic_id", "valid_from").limit(1).collect()
+    if bad:
+        raise ValueError(f"{bad[0].statistic_id} has reviewed periods that overlap from {bad[0].valid_from} on")
+    return periods
+
+
 def nearest_cadence(gap_seconds: Column) -> Column:
     """The cadence an interval looks like on a log scale; NULL for an outage."""
     def distance(name: str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from wattmirror.functions.values import distinct_from
 from wattmirror.plans.pinned import pin
-from wattmirror.sources.statistics import FACT_KEY
+from wattmirror.session import work_dir
+from wattmirror.sources.statistics import FACT_KEY, assert_unique
 
 # The stored columns, and those that decide whether a row has changed.
 FACT_SCHEMA = ("statistic_id string, start_at timestamp, grain string, mean double, mean_weight double, min double, "
@@ -111,20 +113,57 @@ def read_facts(spark: SparkSession, path: str, lo: datetime | None = None, hi: d
 def merge_into_path(path: str, incoming: DataFrame, now: Column) -> DataFrame:
     """Merge a staged batch into a stored fact table; returns the labelled rows that were written.
 
-    Only the months the batch touches are read and rewritten. The merged rows are first
-    written to the shared work folder and then moved in with a dynamic partition overwrite, so
-    the table is never read and overwritten by the same job, and a lost executor costs a task.
+    Only the months the batch touches are read and rewritten. The merged rows are first written to the shared work
+    folder and noted beside the table; then the months are replaced by a dynamic partition overwrite and the note is
+    taken away. A month is gone for a moment while it is replaced: if the job dies there, the next merge finds the
+    note and writes the same months again before it reads anything (``finish_pending``). Raises on repeated keys.
     """
     spark = incoming.sparkSession
-    batch = pin(with_month(incoming), "batch")
+    finish_pending(spark, path)
+    batch = pin(with_month(assert_unique(incoming)), "batch")
     months = [r.month for r in batch.select("month").distinct().collect()]      # one row per month
     labelled = with_month(label_merge(read_months(spark, path, months), batch, FACT_KEY, COMPARED, now))
-    written = pin(labelled, "merge")
+    name = f"merge-{uuid.uuid4().hex}"
+    written = pin(labelled, path=f"{work_dir(spark)}/{name}")
     if months:
+        note = f"{_notes(path)}/{name}"
+        spark.createDataFrame([(f"{work_dir(spark)}/{name}",)], "rows_at string").coalesce(1).write.parquet(note)
         write_months(written.drop("merge_label"), path)
+        _delete(spark, note)
     return written.drop("month")
 
 
+def finish_pending(spark: SparkSession, path: str) -> int:
+    """Write the months of merges that were noted but not finished; returns how many there were.
+
+    A note without its success mark was never complete: its merge had not touched the table and is dropped.
+    """
+    folder, fs = _at(spark, _notes(path))
+    notes = sorted(str(s.getPath()) for s in fs.listStatus(folder)) if fs.exists(folder) else []
+    for note in notes:
+        mark, _ = _at(spark, f"{note}/_SUCCESS")
+        if fs.exists(mark):
+            rows_at = spark.read.parquet(note).first().rows_at
+            write_months(spark.read.parquet(rows_at).drop("merge_label", "month"), path)
+        _delete(spark, note)
+    return len(notes)
+
+
+def _notes(path: str) -> str:
+    return path.rstrip("/") + "_pending"
+
+
+def _at(spark: SparkSession, path: str):
+    """A path and the file system it is on, whichever store that is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at, fs = _at(spark, path)
+    fs.delete(at, True)
+
+
 # --- watermarks ----------------------------------------------------------------------------
 
 def advance_watermark(watermarks: DataFrame, committed: DataFrame, now: Column) -> DataFrame:

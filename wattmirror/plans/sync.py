@@ -41,10 +41,11 @@ def sync_window(stats: DataFrame, meta: DataFrame, mirror: DataFrame, catalog: D
     The window is read once and pinned, and so is the verdict (one row per metric): the merge,
     the counters and the marks all work from the same rows.
     """
+    gating.assert_disjoint(periods)
     rows = src.pin_source(gating.resolve_grain(_wanted(stats, meta, catalog, lo, hi), catalog, periods))
     decisions = src.pin_source(gating.cadence_decision(mirror, rows, periods))
     staged = src.stage(gating.apply_decision(rows, decisions), view=None)
-    gating.assert_resolved(staged)
+    gating.assert_resolved(src.assert_unique(staged))
     labelled = merge.label_merge(mirror, staged, src.FACT_KEY, merge.COMPARED, now)
     return SyncResult(
         mirror=labelled.drop("merge_label"), labelled=labelled, counts=merge.merge_counts(labelled),
@@ -67,9 +68,10 @@ def repair(stats, meta, mirror, catalog, periods, watermarks, now: datetime, lo:
 def backfill(stats: DataFrame, meta: DataFrame, mirror: DataFrame, catalog: DataFrame, periods: DataFrame,
              watermarks: DataFrame, now: datetime) -> SyncResult:
     """All history of all selected metrics, then reconciled against the same pinned source."""
+    gating.assert_disjoint(periods)
     rows = _wanted(stats, meta, catalog, None, None)
     pinned = src.pin_source(src.stage(gating.resolve_grain(rows, catalog, periods), view=None))
-    gating.assert_resolved(pinned)
+    gating.assert_resolved(src.assert_unique(pinned))
     labelled = merge.label_merge(mirror, pinned, src.FACT_KEY, merge.COMPARED, F.lit(now))
     merged = labelled.drop("merge_label")
     compared = merged.join(pinned.select("statistic_id").distinct(), "statistic_id", "left_semi")

@@ -82,3 +82,12 @@ def duplicate_keys(staged: DataFrame, keys: list[str] | None = None) -> DataFram
     """Keys that occur more than once; a staging set must have none."""
     keys = keys or FACT_KEY
     return staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+
+
+def assert_unique(staged: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Raise on a key that comes more than once, naming the first; a merge would double its rows."""
+    keys = keys or FACT_KEY
+    bad = duplicate_keys(staged, keys).orderBy(*keys).limit(1).collect()
+    if bad:
+        raise ValueError(f"{', '.join(str(bad[0][k]) for k in keys)} comes {bad[0].rows} times in the staging set")
+    return staged
