@@ -15,7 +15,7 @@ from wattmirror.llm.common import WORD
 
 WEIGHTS = (5, 2, 1)             # of the sources in code point order, null last, repeating
 MOST = 3                        # a source's words are taken at most so often
-PARTS = 256                     # hash parts in which the documents of one source are laid out
+PART_ROWS = 2_000               # documents are laid out in hash parts of about so many
 # Slope of each weight over training, repeating like the weights: weight(t) = w * (1 + slope * (2 t - 1)).
 SLOPES = (-0.5, 0.0, 0.5)
 SEED = 17
@@ -70,12 +70,13 @@ def curriculum(docs: DataFrame, most: int = MOST) -> DataFrame:
     A visit takes the document at a training position; the last one of a source may take only its first words, so
     that the words taken of a source are its target (rounded down). Documents of no visit have an empty array, and
     so have those without words. The order within a source is a seeded hash of doc_id and text; equal rows share
-    theirs and are taken one after the other. Sources are laid out in PARTS hash parts with running sums over the
-    parts, so that no task gets a whole source. Nulls: a null source is a source of its own, a null text has size 0.
+    theirs and are taken one after the other. Sources are laid out in hash parts, as many as the number of documents
+    asks for, with running sums over the parts, so that no task gets a whole source. Nulls: a null source is a source of its own, a null text has size 0.
     """
     names = docs.columns
+    parts_wanted = max(1, -(-docs.count() // PART_ROWS))
     key = F.xxhash64(F.lit(SEED), F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
-    rows = sized(docs).withColumn("__key", key).withColumn("__part", F.pmod("__key", F.lit(PARTS)).cast("int"))
+    rows = sized(docs).withColumn("__key", key).withColumn("__part", F.pmod("__key", F.lit(parts_wanted)))
     parts = rows.groupBy("source", "__part").agg(F.sum("__size").alias("__words"))
     sums = parts.groupBy("source").agg(F.sum("__words").alias("source_size"))
     goal = targets(sums, most)
