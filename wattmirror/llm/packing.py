@@ -25,7 +25,7 @@ from wattmirror.llm.common import chunks, pin
 
 LIMIT = 1024
 END = 2                         # the id that closes a document
-SALT = 64                       # parts that the pieces of one length are numbered in
+PART_ROWS = 20_000              # the pieces of one length are numbered in hash parts of at most about so many
 RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -206,34 +206,36 @@ class Places:
 def place(cut_pieces: DataFrame, order: list[str], limit: int = LIMIT) -> DataFrame:
     """Add sequence_id and offset to a written table of pieces with `length` (1 to limit).
 
-    The driver sees one count per (length, part), at most limit * SALT rows, and makes the plan. Pieces of one length
-    are numbered in SALT parts, by `order` columns in each, so a length that most pieces have is no single task.
-    Equal rows are interchangeable. An empty table stays empty.
+    The driver sees one count per length, at most `limit` rows, and makes the plan. Pieces of one length are numbered
+    in hash parts, by `order` columns in each, and running sums over the parts; there are as many parts as the number
+    of pieces asks for, so a length that most pieces have is no single task. Equal rows are interchangeable. An empty
+    table stays empty.
     """
-    part = F.pmod(F.xxhash64(*order), F.lit(SALT)).cast("int")
-    salted = cut_pieces.withColumn("__part", part)
-    counted = salted.groupBy("length", "__part").count().collect()
-    counts: Counter = Counter()
-    first = np.zeros((limit + 1, SALT), dtype=np.int64)
-    for row in sorted(counted, key=lambda r: (r["length"], r["__part"])):
-        first[row["length"], row["__part"]] = counts[row["length"]]
-        counts[row["length"]] += row["count"]
-    places = Places(recipes(dict(counts), limit))
-    numbered = salted.withColumn("__n", F.row_number().over(
-        Window.partitionBy("length", "__part").orderBy(*order)) - 1)
+    wanted = max(1, -(-cut_pieces.count() // PART_ROWS))
+    salted = cut_pieces.withColumn("__part", F.pmod(F.xxhash64(*order), F.lit(wanted)))
+    counted = salted.groupBy("length", "__part").count()
+    counts = {r["length"]: r["n"] for r in cut_pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    places = Places(recipes(counts, limit))
+    ahead = Window.partitionBy("length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    first = counted.select(F.col("length").alias("__l"), F.col("__part").alias("__p"),
+                           F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("__first"))
+    inside = Window.partitionBy("length", "__part").orderBy(*order)
+    numbered = salted.withColumn("__n", F.row_number().over(inside) - 1) \
+        .join(first, (F.col("length") == F.col("__l")) & (F.col("__part") == F.col("__p"))) \
+        .withColumn("__n", F.col("__n") + F.col("__first"))
     names = cut_pieces.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut_pieces.schema.fields)
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                length, p, n = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
-                                .astype(np.int64) for c in ("length", "__part", "__n"))
-                sequence, offset = places.find(length, first[length, p] + n)
+                length, n = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
+                             .astype(np.int64) for c in ("length", "__n"))
+                sequence, offset = places.find(length, n)
                 yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array(sequence), pa.array(offset)],
                                                  [*names, "sequence_id", "offset"])
 
-    return numbered.select(*names, "__part", "__n").mapInArrow(run, schema + ", sequence_id long, offset long")
+    return numbered.select(*names, "__n").mapInArrow(run, schema + ", sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, with_ids: bool = True, limit: int = LIMIT) -> DataFrame:
