@@ -25,7 +25,7 @@ from wattmirror.llm.common import chunks, pin
 
 LIMIT = 1024
 END = 2                         # the id that closes a document
-PART_ROWS = 20_000              # the pieces of one length are numbered in hash parts of at most about so many
+PART_ROWS = 5_000               # the pieces of one length are numbered in hash parts of at most about so many
 RANKS = "byte_bpe_50k.tiktoken"
 
 
