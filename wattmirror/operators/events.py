@@ -142,14 +142,14 @@ def suppress_active(triggers: DataFrame, d: timedelta, keys: list[str] | None =
     """Single mode: a trigger counts when at least d has passed since the last counted one.
 
     Whether a trigger counts depends on the one counted before it, so a key is followed in order. A key is cut into
-    spans of at least WAITS_PER_SPAN waits. A span first works out, for every moment at which the key could become
+    spans of a day, or of WAITS_PER_SPAN waits if those are longer. A span first works out, for every moment at which the key could become
     free again before or within the first wait of the span, when it becomes free after it: at most the triggers of
     one wait, a WAITS_PER_SPAN-th of a steady key's rows. Chaining these steps over the spans of a key gives each span
     its own starting moment, and then all spans are followed independently. A key within one span needs no chain.
     """
     keys = keys or KEY
     wait = int(d.total_seconds() * 1_000_000)
-    spanned = triggers.withColumn(SPAN, span_of(triggers, "ts", max(HOUR, WAITS_PER_SPAN * d.total_seconds()))) \
+    spanned = triggers.withColumn(SPAN, span_of(triggers, "ts", max(24 * HOUR, WAITS_PER_SPAN * d.total_seconds()))) \
         .withColumn("__us", F.unix_micros("ts"))
     key_schema = ", ".join(f"`{k}` {triggers.schema[k].dataType.simpleString()}" for k in keys)
     long = spanned.groupBy(*keys).agg(F.min(SPAN).alias("a"), F.max(SPAN).alias("b")).where("a < b").select(*keys)
