@@ -7,8 +7,10 @@ Thresholds are strict. What is unknown makes a condition false.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from datetime import timedelta
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,7 +20,6 @@ from pyspark.sql import functions as F
 from wattmirror.functions.timecols import LOCAL_TZ, local_clock, local_day, seconds_between, wall_to_instant
 from wattmirror.functions.values import float_or
 from wattmirror.plans.ordered import HOUR, SPAN, ordered_scan, settled, span_of
-from wattmirror.plans.pinned import pin
 
 KEY, TIES = ["entity_id"], ["event_id"]
 NEVER = -(1 << 62)           # before every time stamp in microseconds
@@ -148,57 +149,104 @@ def suppress_active(triggers: DataFrame, d: timedelta, keys: list[str] | None =
     its own starting moment, and then all spans are followed independently. A key within one span needs no chain.
     """
     keys = keys or KEY
+    group = [*keys, SPAN]
     wait = int(d.total_seconds() * 1_000_000)
     spanned = triggers.withColumn(SPAN, span_of(triggers, "ts", max(24 * HOUR, WAITS_PER_SPAN * d.total_seconds()))) \
         .withColumn("__us", F.unix_micros("ts"))
-    key_schema = ", ".join(f"`{k}` {triggers.schema[k].dataType.simpleString()}" for k in keys)
-    long = spanned.groupBy(*keys).agg(F.min(SPAN).alias("a"), F.max(SPAN).alias("b")).where("a < b").select(*keys)
-    steps = spanned.select(*keys, SPAN, "__us").join(long, keys, "left_semi").groupBy(*keys, SPAN).applyInPandas(
-        lambda pdf: _free_steps(pdf, keys, wait), f"{key_schema}, {SPAN} bigint, upto bigint, free bigint")
-    entries = steps.groupBy(*keys).applyInPandas(
-        lambda pdf: _chain_steps(pdf, keys), f"{key_schema}, {SPAN} bigint, __free bigint")
-    entered = spanned.join(entries, [*keys, SPAN], "left")
-    triggers_columns = triggers.columns
+    group_schema = ", ".join(f"`{k}` {spanned.schema[k].dataType.simpleString()}" for k in group)
     parts = int(triggers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (entered.repartition(parts, *keys, SPAN)
-                      .sortWithinPartitions(*keys, SPAN, "__us", *TIES))
-    return ordered.mapInPandas(lambda batches: _counted(batches, [*keys, SPAN], wait, triggers_columns), triggers.schema)
-
+    laid = lambda df, by, then: df.repartition(parts, *by).sortWithinPartitions(*by, *then)
 
-def _free_steps(pdf: pd.DataFrame, keys: list[str], wait: int) -> pd.DataFrame:
-    """Steps (upto, free): a key free from x on, x <= upto, is free again from ``free`` on."""
-    us = np.sort(pdf["__us"].to_numpy())
+    long = spanned.groupBy(*keys).agg(F.min(SPAN).alias("a"), F.max(SPAN).alias("b")).where("a < b").select(*keys)
+    asked = spanned.select(*group, "__us").join(long, keys, "left_semi")
+    steps = laid(asked, group, ["__us"]).mapInPandas(
+        lambda batches: _free_steps(batches, group, wait), f"{group_schema}, upto bigint, free bigint")
+    entries = laid(steps, keys, [SPAN, "upto"]).mapInPandas(
+        lambda batches: _chain_steps(batches, keys), f"{group_schema}, __free bigint")
+    entered = spanned.join(entries, group, "left")
+    columns = triggers.columns
+    return laid(entered, group, ["__us", *TIES]).mapInPandas(
+        lambda batches: _counted(batches, group, wait, columns), triggers.schema)
+
+
+def _begins(pdf: pd.DataFrame, group: list[str], before: tuple | None = None) -> np.ndarray:
+    """Whether a row of a sorted frame opens a group; ``before`` is the group of the row ahead of the frame."""
+    new = np.zeros(len(pdf), dtype=bool)
+    for name in group:
+        column = pdf[name]
+        ahead = column.shift()
+        new |= ((column != ahead) & ~(column.isna() & ahead.isna())).to_numpy()
+    new[0] = before is None or _group_at(pdf, group, 0) != before
+    return new
+
+
+def _group_at(pdf: pd.DataFrame, group: list[str], row: int) -> tuple:
+    return tuple(None if pd.isna(pdf[c].iat[row]) else pdf[c].iat[row] for c in group)
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame], group: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames of a sorted partition in which no group is cut; at most a batch and one group are held."""
+    held: list[pd.DataFrame] = []
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        opens = np.flatnonzero(_begins(pdf, group, _group_at(held[-1], group, -1) if held else None))
+        if len(opens):
+            if held or opens[-1]:
+                yield pd.concat([*held, pdf.iloc[:opens[-1]]])
+            held, pdf = [], pdf.iloc[opens[-1]:]
+        held.append(pdf)
+    if held:
+        yield pd.concat(held)
+
+
+def _a_wait_later(us: np.ndarray, number: np.ndarray, wait: int) -> np.ndarray:
+    """Per row the first row of its group at least a wait later, else where the next group begins."""
     n = len(us)
-    following = np.searchsorted(us, us + wait, side="left")
-    last = np.where(following == n, np.arange(n), following)
-    while True:                                  # doubling: ends at the last counted trigger
-        jumped = last[last]
-        if np.array_equal(jumped, last):
-            break
-        last = jumped
-    # Whoever comes from before the span is free before us[0] + wait.
-    starts = np.arange(min(n, int(np.searchsorted(us, us[0] + wait, side="left")) + 1))
-    free = us[last[starts]] + wait
-    keep = np.append(free[1:] != free[:-1], True)
-    out = pd.DataFrame({"upto": us[starts][keep], "free": free[keep]})
-    for name in [*keys, SPAN]:
-        out[name] = pdf[name].iat[0]
-    return out[[*keys, SPAN, "upto", "free"]]
-
-
-def _chain_steps(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
-    """The moment from which the key is free when each span begins."""
-    spans, entries, free = [], [], NEVER
-    for span, steps in pdf.sort_values([SPAN, "upto"]).groupby(SPAN, sort=True):
-        spans.append(span)
-        entries.append(free)
-        at = int(np.searchsorted(steps["upto"].to_numpy(), free, side="left"))
-        if at < len(steps):
-            free = int(steps["free"].iat[at])
-    out = pd.DataFrame({SPAN: np.array(spans, dtype="int64"), "__free": np.array(entries, dtype="int64")})
-    for name in keys:
-        out[name] = pdf[name].iat[0]
-    return out[[*keys, SPAN, "__free"]]
+    order = np.lexsort((np.repeat([0, 1], n), np.concatenate([us + wait, us]), np.tile(number, 2)))
+    rows_before = np.empty(2 * n, dtype="int64")
+    rows_before[order] = np.cumsum(order >= n)
+    return rows_before[:n]
+
+
+def _free_steps(batches: Iterator[pd.DataFrame], group: list[str], wait: int) -> Iterator[pd.DataFrame]:
+    """Steps (upto, free) of each span: a key free from x on, x <= upto, is free again from ``free`` on."""
+    for pdf in _whole_groups(batches, group):
+        us, begins = pdf["__us"].to_numpy(), _begins(pdf, group)
+        number = np.cumsum(begins) - 1
+        firsts = np.flatnonzero(begins)
+        following = _a_wait_later(us, number, wait)
+        last = np.where(following >= np.append(firsts[1:], len(us))[number], np.arange(len(us)), following)
+        while True:                                  # doubling: ends at the last counted trigger
+            jumped = last[last]
+            if np.array_equal(jumped, last):
+                break
+            last = jumped
+        # Whoever comes from before the span is free before its first trigger plus a wait.
+        in_first_wait = us < us[firsts][number] + wait
+        starts = np.flatnonzero(begins | np.append(False, in_first_wait[:-1]))
+        free = us[last[starts]] + wait
+        keep = np.append((free[1:] != free[:-1]) | (number[starts[1:]] != number[starts[:-1]]), True)
+        at = starts[keep]
+        yield pdf[group].iloc[at].assign(upto=us[at], free=free[keep])
+
+
+def _chain_steps(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The moment from which a key is free when each of its spans begins; steps come by key, span and upto."""
+    who, span, free, entry, passed = None, None, NEVER, NEVER, False
+    for pdf in batches:
+        rows, entries = [], []
+        steps = zip(zip(*(pdf[k].tolist() for k in keys)), pdf[SPAN].tolist(), pdf["upto"].tolist(), pdf["free"].tolist())
+        for row, (key, place, upto, then) in enumerate(steps):
+            if key != who:
+                who, span, free = key, None, NEVER
+            if place != span:
+                span, entry, passed = place, free, False
+                rows.append(row)
+                entries.append(entry)
+            if not passed and upto >= entry:
+                free, passed = then, True
+        yield pdf[[*keys, SPAN]].iloc[rows].assign(__free=np.array(entries, dtype="int64"))
 
 
 def _counted(batches: Iterator[pd.DataFrame], group: list[str], wait: int,
@@ -212,22 +260,21 @@ def _counted(batches: Iterator[pd.DataFrame], group: list[str], wait: int,
     for pdf in batches:
         if pdf.empty:
             continue
-        us = pdf["__us"].to_numpy()
-        moved = (pdf[group] != pdf[group].shift()).any(axis=1).to_numpy()
-        starts = np.flatnonzero(moved | (np.arange(len(us)) == 0))
+        us, begins = pdf["__us"].to_numpy(), _begins(pdf, group, current)
+        following = _a_wait_later(us, np.cumsum(begins), wait).tolist() if wait > 0 else range(1, len(us) + 1)
+        entries = pdf["__free"].fillna(NEVER).astype("int64").tolist()
+        moments = us.tolist()
         keep = np.zeros(len(us), dtype=bool)
-        for lo, hi in zip(starts, np.append(starts[1:], len(us))):
-            who = tuple(pdf[c].iat[lo] for c in group)
-            if who != current:
-                entry = pdf["__free"].iat[lo]
-                current, free = who, NEVER if pd.isna(entry) else int(entry)
-            own = us[lo:hi]
-            following = np.searchsorted(own, own + wait, side="left")
-            at = int(np.searchsorted(own, free, side="left"))
-            while at < len(own):
-                keep[lo + at] = True
-                free = int(own[at]) + wait
-                at = int(following[at]) if wait > 0 else at + 1
+        starts = np.union1d(np.flatnonzero(begins), [0]).tolist()
+        for lo, hi in zip(starts, [*starts[1:], len(moments)]):
+            if begins[lo]:
+                free = entries[lo]
+            at = bisect_left(moments, free, lo, hi)
+            while at < hi:
+                keep[at] = True
+                free = moments[at] + wait
+                at = following[at]
+        current = _group_at(pdf, group, -1)
         yield pdf.loc[keep, columns]
 
 
@@ -268,7 +315,7 @@ def guarded_action(triggers: DataFrame, ev: DataFrame, load: str = "load_id", un
                    load_above: float = 10.0, active: tuple[str, ...] = ("heating", "cooling")) -> DataFrame:
     """Triggers whose action may run: the companion load is not above its limit and the main
     unit is not active. What is unknown does not hold an action back."""
-    rows = asof_state(triggers, ev, load, prefix="load")
+    rows = settled(asof_state(triggers, ev, load, prefix="load"))
     rows = asof_state(rows, ev, unit, prefix="unit")
     loaded = F.coalesce(F.col("load_value") > load_above, F.lit(False))
     busy = F.coalesce(F.col("unit_state").isin(*active), F.lit(False))
@@ -383,20 +430,25 @@ def departures(signals: DataFrame, delay: timedelta = DEPARTURE_DELAY, tz: str =
     home = of_home(closed, occupied, None, "occupied").where("occupied_state = 'on'").select(*closed.columns)
     waited = debounce(settled(home), delay, horizon, ["home_id"])
 
-    later = of_home(waited, occupied, delay, "occupied")
-    lasting = seconds_between("occupied_since", F.col("ts") + _delay(delay)) > OCCUPIED_DWELL_SECONDS
-    later = later.where(lasting).select(*closed.columns)
+    # One sequence per home: flag changes, motion sensors going off (+1) or on again (-1), and the questions.
     tracker = _flag(signals, "tracker")
-    away = of_home(later, tracker, delay, "tracker").where("tracker_state = 'not_home'")
-
-    sensors = signals.where("role = 'motion'")
-    watched = sensors.select("home_id", F.col("entity_id").alias("sensor")).distinct()
-    asked = settled(away.select(*closed.columns).join(watched, "home_id"))
-    still = asof_state(asked, sensors, "sensor", delay, "motion", keys=["home_id"])
-    return (still.groupBy("home_id", "door", "event_id", "ts")
-                 .agg(F.bool_and(F.coalesce(F.col("motion_state") == "off", F.lit(False))).alias("quiet"))
-                 .where("quiet").select("home_id", "door", "event_id", "ts",
-                                        (F.col("ts") + _delay(delay)).alias("departed_at")))
+    motion = signals.where("role = 'motion'").withColumn("__off", F.coalesce(F.col("state") == "off", F.lit(False)).cast("int"))
+    moved = ordered_scan(motion, ["home_id", "entity_id"], "ts", TIES, previous={"__was": "__off"})
+    told = lambda rows, at, kind, **more: rows.select(
+        "home_id", at.alias("__at"), F.lit(kind).alias("__kind"), F.col("event_id").alias("__no"),
+        *[c.alias(n) for n, c in more.items()])
+    since = F.struct("state", "ts")
+    parts = [told(occupied, F.col("ts"), 0, __occupied=since), told(tracker, F.col("ts"), 0, __tracker=since),
+             told(moved, F.col("ts"), 0, __move=F.col("__off") - F.coalesce("__was", F.lit(0))).where("__move <> 0"),
+             told(waited, F.col("ts") + _delay(delay), 1, __asked=F.struct("door", "event_id", "ts"))]
+    sequence = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
+    seen = ordered_scan(settled(sequence), ["home_id"], "__at", ["__kind", "__no"],
+                        known={"occupied": "__occupied", "tracker": "__tracker"}, total={"off": "__move"})
+    sensors = motion.groupBy("home_id").agg(F.count_distinct("entity_id").alias("sensors"))
+    lasting = seconds_between("occupied.ts", "__at") > OCCUPIED_DWELL_SECONDS
+    return (seen.where((F.col("__kind") == 1) & lasting & (F.col("tracker.state") == "not_home"))
+                .join(sensors, "home_id").where("off = sensors")
+                .select("home_id", "__asked.*", F.col("__at").alias("departed_at")))
 
 
 def arrivals(signals: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
