@@ -52,10 +52,10 @@ def fired(spark, landed, rule, tmp_path):
 
 @pytest.fixture(scope="module")
 def closed(spark, rows):
-    """The events the last watermark has passed, and that watermark."""
+    """The events the last watermark has reached, and that watermark."""
     everything = [r for part in rows for r in part]
     end = max(r[2] for r in everything) - timedelta(minutes=20)
-    return spark.createDataFrame([r for r in everything if r[2] < end], SCHEMA), F.lit(end)
+    return spark.createDataFrame([r for r in everything if r[2] <= end], SCHEMA), F.lit(end)
 
 
 def test_transitions(spark, landed, closed, tmp_path):
@@ -70,6 +70,19 @@ def test_held_for(spark, landed, closed, tmp_path):
     assert want and fired(spark, landed, ru.HeldFor(("a",), 200 * SECOND), tmp_path) == want
 
 
+def test_a_clock_row_ends_the_stream(spark, rows, tmp_path):
+    """Long after its last event an entity still holds a state; the clock lets the last firings out."""
+    everything = [r for part in rows for r in part]
+    end = max(r[2] for r in everything) + timedelta(hours=2)
+    folder = str(tmp_path / "landed")
+    for part in [*rows, [(None, None, end, None, None, None)]]:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    batch = ev.held_for(spark.createDataFrame(everything, SCHEMA), ["a"], timedelta(seconds=900),
+                        horizon=F.lit(end - timedelta(minutes=20)))
+    want = sorted((r.entity_id, r.event_id, r.fires_at) for r in batch.collect())
+    assert want and fired(spark, folder, ru.HeldFor(("a",), 900 * SECOND), tmp_path) == want
+
+
 def test_cool_down(spark, landed, closed, tmp_path):
     batch = ev.suppress_active(closed[0], timedelta(seconds=300))
     want = sorted((r.entity_id, r.event_id, r.ts) for r in batch.collect())

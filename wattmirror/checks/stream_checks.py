@@ -1,7 +1,6 @@
 """Streaming forms. Each runs the event file as a stream to its end and reads what it wrote.
 
-Rows at the very end of the stream stay open until the watermark passes them, so the oracles
-state what is settled at the last watermark: the newest event time, cut to milliseconds.
+A clock row with the newest event time ends the stream, so the oracles are those of the batch forms.
 """
 
 from __future__ import annotations
@@ -20,10 +19,6 @@ from wattmirror.streaming import detections, mirror
 from wattmirror.streaming import rules as ru
 
 HOUR = 3_600_000_000
-END = "(SELECT CAST(date_trunc('millisecond', max(ts)) AS TIMESTAMP) FROM events)"
-OPEN_SQL = f"""
-ev AS (SELECT event_id, user_id AS entity_id, ts, event_type AS state FROM events WHERE ts < {END})"""
-
 
 def event_stream(spark, sf_dir):
     schema = m.table(spark, sf_dir, "events").schema
@@ -32,6 +27,15 @@ def event_stream(spark, sf_dir):
                       F.col("event_type").alias("state"), "value")
 
 
+def clock(spark, sf_dir):
+    """A stream of one clock row: the newest event time, up to the next full millisecond, as watermarks have it."""
+    folder = f"{work_dir(spark)}/clock-{uuid.uuid4().hex}"
+    newest = m.events(spark, sf_dir).agg(F.max(F.unix_micros("ts")).alias("us"))
+    row = newest.select(F.timestamp_micros((F.ceil(F.col("us") / 1000) * 1000).cast("bigint")).alias("ts"))
+    row.write.parquet(folder)
+    return spark.readStream.schema(row.schema).parquet(folder)
+
+
 def fired(spark, sf_dir, rule, only=None):
     """Run a detection to the end of the file and return what it wrote."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
@@ -39,13 +43,14 @@ def fired(spark, sf_dir, rule, only=None):
     stream = event_stream(spark, sf_dir)
     if only:
         stream = stream.where(F.col("state").isin(*only))
+    stream = stream.unionByName(clock(spark, sf_dir), allowMissingColumns=True)
     query = (detections.detect(stream, rule, "0 seconds").writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start(out))
     query.awaitTermination()
     return spark.read.schema(detections.FIRED_SCHEMA).parquet(out)
 
 
-@check("st_01_stream_transitions", with_ctes(OPEN_SQL, b.CH_SQL, select="""
+@check("st_01_stream_transitions", with_ctes(b.EV_SQL, b.CH_SQL, select="""
 SELECT entity_id, event_id, ts, from_state, state FROM ch
 WHERE from_state IN ('click', 'view') AND state IN ('purchase', 'error')"""))
 def transitions(spark, sf_dir):
@@ -53,39 +58,34 @@ def transitions(spark, sf_dir):
     return fired(spark, sf_dir, rule).drop("fires_at")
 
 
-@check("st_04_stream_held_for", with_ctes(OPEN_SQL, b.CH_SQL, select=f"""
+@check("st_04_stream_held_for", with_ctes(b.EV_SQL, b.CH_SQL, select=f"""
 SELECT entity_id, event_id, ts, state, ts + INTERVAL 6 HOUR AS fires_at FROM runs
-WHERE state IN ('click', 'error') AND coalesce(changed_at, {END}) >= ts + INTERVAL 6 HOUR"""))
+WHERE state IN ('click', 'error') AND coalesce(changed_at, {b.HORIZON}) >= ts + INTERVAL 6 HOUR"""))
 def held(spark, sf_dir):
     return fired(spark, sf_dir, ru.HeldFor(("click", "error"), 6 * HOUR)).drop("from_state")
 
 
-# The stream's own end: of the clicks only, which is what its watermark sees.
-CLICK_END = "(SELECT CAST(date_trunc('millisecond', max(ts)) AS TIMESTAMP) FROM events WHERE event_type = 'click')"
-
-
 @check("st_05_stream_debounce", f"""
 SELECT entity_id, event_id, ts FROM (SELECT user_id AS entity_id, event_id, ts, lead(ts) OVER w AS nxt FROM events
-  WHERE event_type = 'click' AND ts < {CLICK_END} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
-WHERE coalesce(nxt, {CLICK_END}) > ts + INTERVAL 2 DAY""")
+  WHERE event_type = 'click' WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+WHERE nxt > ts + INTERVAL 2 DAY OR (nxt IS NULL AND {b.HORIZON} >= ts + INTERVAL 2 DAY)""")
 def debounced(spark, sf_dir):
     return fired(spark, sf_dir, ru.Debounce(48 * HOUR), only=["click"]).select("entity_id", "event_id", "ts")
 
 
-@check("st_06_stream_suppress_active", f"""
-WITH RECURSIVE e AS (SELECT * FROM events WHERE ts < {END}),
-acc AS (
-  SELECT user_id, min(ts) AS ts FROM e GROUP BY 1
+@check("st_06_stream_suppress_active", """
+WITH RECURSIVE acc AS (
+  SELECT user_id, min(ts) AS ts FROM events GROUP BY 1
   UNION ALL
-  SELECT a.user_id, min(e.ts) FROM acc a JOIN e ON e.user_id = a.user_id AND e.ts >= a.ts + INTERVAL 12 HOUR
+  SELECT a.user_id, min(e.ts) FROM acc a JOIN events e ON e.user_id = a.user_id AND e.ts >= a.ts + INTERVAL 12 HOUR
   GROUP BY a.user_id, a.ts)
-SELECT a.user_id AS entity_id, min(e.event_id) AS event_id, a.ts FROM acc a JOIN e ON e.user_id = a.user_id AND e.ts = a.ts
+SELECT a.user_id AS entity_id, min(e.event_id) AS event_id, a.ts FROM acc a JOIN events e ON e.user_id = a.user_id AND e.ts = a.ts
 GROUP BY 1, 3""")
 def cooled(spark, sf_dir):
     return fired(spark, sf_dir, ru.CoolDown(12 * HOUR)).select("entity_id", "event_id", "ts")
 
 
-@check("st_19_stream_latch", with_ctes(OPEN_SQL, select="""
+@check("st_19_stream_latch", with_ctes(b.EV_SQL, select="""
 SELECT entity_id, event_id, ts, flag FROM (SELECT *, CASE WHEN state = 'purchase' THEN 'true' ELSE 'false' END AS flag,
     coalesce(lag(state = 'purchase') OVER (PARTITION BY entity_id ORDER BY ts, event_id), false) AS was
   FROM ev WHERE state IN ('purchase', 'error')) WHERE (flag = 'true') <> was"""))

@@ -18,7 +18,9 @@ MEMORY_SCHEMA = "state string, us bigint, event_id bigint"
 
 
 class OrderedDetector(StatefulProcessor):
-    """Holds an entity's events until the watermark has passed them, then feeds them in order.
+    """Holds an entity's events until the watermark has reached them, then feeds them in order.
+
+    Events up to and including the watermark are complete: Spark drops whatever else comes for that time.
 
     State per entity: the events inside the watermark delay and the rule's small memory. A single
     timer per entity wakes it for the next waiting event or the next pending firing.
@@ -48,7 +50,7 @@ class OrderedDetector(StatefulProcessor):
         ready, later = [], []
         if self.waiting.exists():
             for event_id, us, state in self.waiting.get():
-                (ready if us < now else later).append(Event(int(event_id), int(us), state))
+                (ready if us <= now else later).append(Event(int(event_id), int(us), state))
         remembered = Memory(*self.memory.get()) if self.memory.exists() else Memory()
         fired, remembered = run(self.rule, sorted(ready, key=lambda e: (e.us, e.event_id)), remembered, now)
         self.memory.update((remembered.state, remembered.us, remembered.event_id))
@@ -58,7 +60,7 @@ class OrderedDetector(StatefulProcessor):
             self.waiting.clear()
         next_due = [e.us for e in later] + [u for u in [self.rule.wakes_at(remembered)] if u is not None]
         if next_due:
-            self._wake(min(next_due))
+            self._wake(min(next_due), expiredTimerInfo.getExpiryTimeInMs())
         if fired:
             when = lambda values: pd.to_datetime(pd.Series(values), unit="us", utc=True)
             yield pd.DataFrame({
@@ -66,10 +68,14 @@ class OrderedDetector(StatefulProcessor):
                 "ts": when([f.us for f in fired]), "from_state": [f.from_state for f in fired],
                 "state": [f.state for f in fired], "fires_at": when([f.fires_us for f in fired])})
 
-    def _wake(self, us: int) -> None:
-        """One timer: the earliest moment there is something to do."""
-        due = us // 1000 + 1
+    def _wake(self, us: int, expired: int | None = None) -> None:
+        """One timer: the earliest moment there is something to do. It goes off once the watermark is beyond it.
+
+        An expired timer is still listed while it is handled, and taken away afterwards.
+        """
+        due = -(-us // 1000) - 1
         pending = [t[0] if isinstance(t, tuple) else t for t in self.handle.listTimers()]
+        pending = [t for t in pending if t != expired]
         if any(t <= due for t in pending):
             return
         for t in pending:
@@ -83,10 +89,14 @@ class OrderedDetector(StatefulProcessor):
 def detect(stream: DataFrame, rule, delay: str) -> DataFrame:
     """Run a rule over a stream of entity_id, event_id, ts, state.
 
-    Events later than the watermark are dropped; corrections belong to ``late_upsert``. Needs the
-    RocksDB state store.
+    Events later than the watermark are dropped; corrections belong to ``late_upsert``. What lies beyond the watermark
+    waits. A row without an event_id is a clock: it fires nothing, but time has come as far as its ts. A source that
+    has ended, or is silent for long, sends one (ts: that moment plus the delay), and everything up to it is emitted.
+    Needs the RocksDB state store.
     """
-    rows = (stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    # Clock rows go once the watermark has seen them. The condition names ts, so Spark does not move it ahead of that.
+    event = F.col("event_id").isNotNull() | F.col("ts").isNull()
+    rows = (stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).where(event)
                   .select("entity_id", "event_id", "ts", F.unix_micros("ts").alias("us"), "state"))
     return rows.groupBy("entity_id").transformWithStateInPandas(
         OrderedDetector(rule), FIRED_SCHEMA, "append", "eventTime")

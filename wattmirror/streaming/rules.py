@@ -1,7 +1,7 @@
 """Detection rules for one entity, fed its events in order.
 
 A rule keeps a small memory (a text, a moment, an event id). ``step`` takes the next event,
-``settle`` learns that no event before ``now`` can come any more. Both return what fires.
+``settle`` learns that no event up to and at ``now`` can come any more. Both return what fires.
 Times are microseconds. These are the streaming twins of the batch detections.
 """
 
@@ -103,12 +103,12 @@ class Debounce:
         return (self._due(memory) if quiet else []), Memory(event.state, event.us, event.event_id)
 
     def settle(self, now: int, memory: Memory) -> tuple[list[Fired], Memory]:
-        if memory.us is None or now <= memory.us + self.wait:
+        if memory.us is None or now < memory.us + self.wait:
             return [], memory
         return self._due(memory), replace(memory, us=None)
 
     def wakes_at(self, memory: Memory) -> int | None:
-        return None if memory.us is None else memory.us + self.wait + 1
+        return None if memory.us is None else memory.us + self.wait
 
 
 @dataclass(frozen=True)
