@@ -139,6 +139,39 @@ def test_backfill_then_incremental(spark):
     assert (total.rows_inserted, total.rows_updated) == (0, 0)
 
 
+def test_stored_sync_touches_its_months_and_checks_what_it_wrote(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    rows = [(k, h, float(h)) for k in (1, 2) for h in range(-1500, 99)]
+    catalog, periods, marks = contract(spark)
+    done = sync.store_backfill(path, *source(spark, rows), catalog, periods, marks, NOW)
+    assert done.problems.isEmpty() and merge.read_facts(spark, path).count() == len(rows)
+    files = lambda month: sorted(f.name for f in (tmp_path / "facts" / f"month={month}").iterdir())
+    before = files("2024-01"), files("2024-03")
+
+    revised = [(k, h, total + (1.0 if (k, h) == (1, 90) else 0.0)) for k, h, total in rows] + [(1, 99, 99.0)]
+    step = sync.store_incremental(path, *source(spark, revised), catalog, periods, done.watermarks, NOW)
+    total = step.counts.where("statistic_id IS NULL").first()
+    assert (total.rows_inserted, total.rows_updated) == (1, 1)
+    assert files("2024-01") == before[0] and files("2024-03") != before[1]
+    assert sync.verify_stored(path, *source(spark, revised), catalog, periods).isEmpty()
+
+    bad = src.pin_source(merge.read_facts(spark, path).withColumn(
+        "sum", F.when((F.col("statistic_id") == "n") & (F.col("sum") == 7), 7.5).otherwise(F.col("sum"))))
+    merge.write_months(bad, path)
+    found = sync.verify_stored(path, *source(spark, revised), catalog, periods).collect()
+    assert [(r.statistic_id, r.at, r.kind) for r in found] == [("n", T0 + timedelta(hours=7), "sum")]
+
+
+def test_the_gate_finds_old_stamps_of_a_sparse_metric(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    old = [fact("n", h, 1.0) for h in (-4000, -3999, -3998, -3997, -3996)] + [fact("m", h, 1.0) for h in range(-4000, 0, 100)]
+    merge.write_months(spark.createDataFrame(old, FACTS).withColumn("synced_at", F.lit(NOW)), path)
+    stamps_of = lambda rows, sid: {r.start_at for r in rows.where(F.col("statistic_id") == sid).collect()}
+    periods = spark.createDataFrame([(k, OPEN_PAST, None, "hour") for k in "mn"], PERIODS)
+    got = sync.newest_stored(spark, path, periods, T0 - timedelta(days=62))
+    assert len(stamps_of(got, "n")) == 5 and min(stamps_of(got, "m")) >= T0 - timedelta(days=62)
+
+
 def test_halted_metric_imports_nothing_and_fails_the_run(spark):
     rows = [(1, 95, 1.0), (2, 48, 1.0), (2, 72, 2.0), (2, 96, 3.0)]
     catalog, periods, marks = contract(spark)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from wattmirror.functions.timecols import epoch_to_utc, instant
 from wattmirror.functions.values import values_equal
 from wattmirror.operators import gating, merge, reconcile as rec, runs
 from wattmirror.plans import sync
+from wattmirror.plans.pinned import pin
+from wattmirror.session import work_dir
 from wattmirror.sources import statistics as src
 
 NOW = datetime(2024, 2, 1)
@@ -400,6 +403,32 @@ def backfilled(spark, sf_dir):
     return result.counts.join(problems, "statistic_id", "left").withColumn("problems", F.coalesce("problems", F.lit(0)))
 
 
+def stored_inputs(spark, sf_dir):
+    """The same inputs with the mirror as a stored table."""
+    path = f"{work_dir(spark)}/stored-{uuid.uuid4().hex}"
+    inputs = sync_inputs(spark, sf_dir)
+    merge.write_months(inputs.pop("mirror"), path)
+    return path, inputs
+
+
+@check("syn_03_stored_incremental", with_ctes(*sync_sql(f"start_at >= {NOW_SQL} - INTERVAL 240 HOUR"), select=COUNTS_SQL))
+def stored_incremental(spark, sf_dir):
+    path, inputs = stored_inputs(spark, sf_dir)
+    return sync.store_incremental(path, **inputs, hours=240).counts
+
+
+@check("syn_05_stored_backfill", with_ctes(*sync_sql("true", gated=False), select="""
+SELECT statistic_id, start_at AS at, 'absent_from_source' AS kind FROM lab WHERE merge_label = 'kept'
+UNION ALL SELECT statistic_id, start_at, 'sum' FROM inc WHERE hour(start_at) = 9 AND sum IS NOT NULL"""))
+def stored_backfill(spark, sf_dir):
+    """Sums spoilt in the stored table after the write are all found."""
+    path, inputs = stored_inputs(spark, sf_dir)
+    stored = sync.store_backfill(path, **inputs).mirror
+    merge.write_months(pin(stored.withColumn("sum", F.when(F.hour("start_at") == 9, F.col("sum") + 1).otherwise(F.col("sum")))), path)
+    found = sync.verify_stored(path, inputs["stats"], inputs["meta"], inputs["catalog"], inputs["periods"])
+    return found.select("statistic_id", "at", "kind")
+
+
 # --- reconciliation ------------------------------------------------------------------------
 
 def near(a, b):

@@ -1,11 +1,15 @@
-"""The sync jobs: incremental, repair and backfill over all metrics at once."""
+"""The sync jobs: incremental, repair and backfill over all metrics at once.
+
+Each comes in two forms: over frames (``incremental`` …), which stores nothing, and over a stored fact table
+(``store_incremental`` …), which reads and rewrites only the months that its rows fall into.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattmirror.operators import gating, merge, reconcile, runs
@@ -13,6 +17,9 @@ from wattmirror.operators.catalog import selected_metrics
 from wattmirror.sources import statistics as src
 
 
+TAIL_REACH = timedelta(days=62)      # before the window: where the gate looks for a metric's newest stamps first
+
+
 @dataclass
 class SyncResult:
     """What a sync produced; every part is a DataFrame."""
@@ -41,16 +48,34 @@ def sync_window(stats: DataFrame, meta: DataFrame, mirror: DataFrame, catalog: D
     The window is read once and pinned, and so is the verdict (one row per metric): the merge,
     the counters and the marks all work from the same rows.
     """
+    staged, decisions = _gated(_read(stats, meta, catalog, periods, lo, hi), mirror, periods)
+    labelled = merge.label_merge(mirror, staged, src.FACT_KEY, merge.COMPARED, now)
+    return _result(labelled.drop("merge_label"), labelled, staged, catalog, watermarks, now, decisions)
+
+
+def _read(stats, meta, catalog, periods, lo=None, hi=None) -> DataFrame:
+    """The source rows of a window with their grains, read once."""
     gating.assert_disjoint(periods)
-    rows = src.pin_source(gating.resolve_grain(_wanted(stats, meta, catalog, lo, hi), catalog, periods))
-    decisions = src.pin_source(gating.cadence_decision(mirror, rows, periods))
-    staged = src.stage(gating.apply_decision(rows, decisions), view=None)
+    return src.pin_source(gating.resolve_grain(_wanted(stats, meta, catalog, lo, hi), catalog, periods))
+
+
+def _gated(rows: DataFrame, stored: DataFrame, periods: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that may be imported, and the verdicts, one row per metric."""
+    decisions = src.pin_source(gating.cadence_decision(stored, rows, periods))
+    return _staged(gating.apply_decision(rows, decisions)), decisions
+
+
+def _staged(rows: DataFrame) -> DataFrame:
+    staged = src.stage(rows, view=None)
     gating.assert_resolved(src.assert_unique(staged))
-    labelled = merge.label_merge(mirror, staged, src.FACT_KEY, merge.COMPARED, now)
+    return staged
+
+
+def _result(mirror, labelled, staged, catalog, watermarks, now, decisions=None, problems=None) -> SyncResult:
     return SyncResult(
-        mirror=labelled.drop("merge_label"), labelled=labelled, counts=merge.merge_counts(labelled),
-        decisions=decisions, watermarks=merge.advance_watermark(watermarks, staged, now),
-        catalog=gating.flag_halted(catalog, decisions))
+        mirror=mirror, labelled=labelled, counts=merge.merge_counts(labelled), decisions=decisions,
+        watermarks=merge.advance_watermark(watermarks, staged, now), problems=problems,
+        catalog=catalog if decisions is None else gating.flag_halted(catalog, decisions))
 
 
 def incremental(stats, meta, mirror, catalog, periods, watermarks, now: datetime,
@@ -68,17 +93,76 @@ def repair(stats, meta, mirror, catalog, periods, watermarks, now: datetime, lo:
 def backfill(stats: DataFrame, meta: DataFrame, mirror: DataFrame, catalog: DataFrame, periods: DataFrame,
              watermarks: DataFrame, now: datetime) -> SyncResult:
     """All history of all selected metrics, then reconciled against the same pinned source."""
-    gating.assert_disjoint(periods)
-    rows = _wanted(stats, meta, catalog, None, None)
-    pinned = src.pin_source(src.stage(gating.resolve_grain(rows, catalog, periods), view=None))
-    gating.assert_resolved(src.assert_unique(pinned))
-    labelled = merge.label_merge(mirror, pinned, src.FACT_KEY, merge.COMPARED, F.lit(now))
+    staged = _staged(_read(stats, meta, catalog, periods))
+    labelled = merge.label_merge(mirror, staged, src.FACT_KEY, merge.COMPARED, F.lit(now))
     merged = labelled.drop("merge_label")
-    compared = merged.join(pinned.select("statistic_id").distinct(), "statistic_id", "left_semi")
-    return SyncResult(
-        mirror=merged, labelled=labelled, counts=merge.merge_counts(labelled), decisions=None,
-        watermarks=merge.advance_watermark(watermarks, pinned, F.lit(now)), catalog=catalog,
-        problems=reconcile.reconcile(pinned, compared))
+    return _result(merged, labelled, staged, catalog, watermarks, F.lit(now), problems=_compared(staged, merged))
+
+
+def _compared(staged: DataFrame, mirror: DataFrame) -> DataFrame:
+    """Differences over the metrics that were read."""
+    return reconcile.reconcile(staged, mirror.join(staged.select("statistic_id").distinct(), "statistic_id", "left_semi"))
+
+
+# --- on a stored table -----------------------------------------------------------------------
+
+def store_window(path: str, stats: DataFrame, meta: DataFrame, catalog: DataFrame, periods: DataFrame,
+                 watermarks: DataFrame, lo: datetime, hi: datetime | None, now: datetime) -> SyncResult:
+    """``sync_window`` into a stored table: only the months with incoming rows are read for the merge and rewritten.
+
+    The facts are stored when this returns; ``watermarks``, ``catalog`` and the run record are the caller's to store
+    afterwards, and a rerun arrives at the same. ``labelled`` holds the rows of the touched months.
+    """
+    spark = stats.sparkSession
+    merge.finish_pending(spark, path)
+    rows = _read(stats, meta, catalog, periods, lo, hi)
+    staged, decisions = _gated(rows, newest_stored(spark, path, periods, lo - TAIL_REACH), periods)
+    labelled = merge.merge_into_path(path, staged, F.lit(now))
+    return _result(merge.read_facts(spark, path), labelled, staged, catalog, watermarks, F.lit(now), decisions)
+
+
+def newest_stored(spark: SparkSession, path: str, periods: DataFrame, since: datetime) -> DataFrame:
+    """Stored stamps with, for every judged metric, at least its newest ones the gate asks for.
+
+    Months before ``since`` are read only if a metric has too few stamps after it, and then for such metrics only.
+    """
+    judged = gating.judged_metrics(periods).select("statistic_id", "last_from")
+    stamps = lambda rows: rows.select("statistic_id", "start_at")
+    recent = stamps(merge.read_facts(spark, path, since))
+    enough = (recent.join(judged, "statistic_id").where(F.col("start_at") >= F.col("last_from"))
+                    .groupBy("statistic_id").count().where(F.col("count") >= gating.STORED_TAIL))
+    short = judged.join(enough, "statistic_id", "left_anti").where(F.col("last_from") < F.lit(since))
+    if short.isEmpty():
+        return recent
+    return recent.unionByName(stamps(merge.read_facts(spark, path, hi=since)).join(short, "statistic_id", "left_semi"))
+
+
+def store_incremental(path, stats, meta, catalog, periods, watermarks, now: datetime,
+                      hours: int = runs.OVERLAP_HOURS) -> SyncResult:
+    lo, hi = runs.incremental_window(now, hours)
+    return store_window(path, stats, meta, catalog, periods, watermarks, lo, hi, now)
+
+
+def store_repair(path, stats, meta, catalog, periods, watermarks, now: datetime, lo: datetime,
+                 hi: datetime | None = None) -> SyncResult:
+    lo, hi = runs.repair_window(lo, hi)
+    return store_window(path, stats, meta, catalog, periods, watermarks, lo, hi, now)
+
+
+def store_backfill(path: str, stats: DataFrame, meta: DataFrame, catalog: DataFrame, periods: DataFrame,
+                   watermarks: DataFrame, now: datetime) -> SyncResult:
+    """All history into a stored table; what the table then holds is read back and compared with the source."""
+    spark = stats.sparkSession
+    staged = _staged(_read(stats, meta, catalog, periods))
+    labelled = merge.merge_into_path(path, staged, F.lit(now))
+    stored = merge.read_facts(spark, path)
+    return _result(stored, labelled, staged, catalog, watermarks, F.lit(now), problems=_compared(staged, stored))
+
+
+def verify_stored(path: str, stats: DataFrame, meta: DataFrame, catalog: DataFrame, periods: DataFrame) -> DataFrame:
+    """Every difference between the source as it is now and what is stored."""
+    staged = _staged(_read(stats, meta, catalog, periods))
+    return _compared(staged, merge.read_facts(stats.sparkSession, path))
 
 
 def run_failed(result: SyncResult) -> Column:
