@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import datetime
 
 import pytest
@@ -73,6 +74,17 @@ def test_remaining_node_passes_its_sum_on(spark):
     assert allocate(spark, nodes, edges) == {(1, 0): 4.0, (1, 1): 6.0, (1, 2): 5.0, (1, 3): 1.0}
 
 
+def test_a_large_shared_snapshot_takes_time_in_proportion():
+    """A remaining child with all edges of a snapshot: each list of rivals is gone through once."""
+    def seconds(m):
+        began = time.perf_counter()
+        flow = fl._settle(["rest"] * m, [f"c{i % (m // 2)}" for i in range(m)], [fl.REMAINING_CHILD] * m,
+                             ["entity"] * m, [None] * m, [1.0] * m, [None] * m)
+        assert sum(flow) == m // 2
+        return time.perf_counter() - began
+    assert seconds(100_000) < 60 * max(seconds(10_000), 0.02)
+
+
 def test_batches_may_cut_a_snapshot():
     import pandas as pd
     rows = pd.DataFrame({"snapshot_at": [1, 1, 1, 2], "edge_no": [0, 1, 2, 0], "parent": ["a", "b", "a", "a"],

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import datetime
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -163,16 +164,20 @@ def _allocate_shared(shared: DataFrame) -> DataFrame:
 
 def _settle_snapshots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Settle snapshot after snapshot of a sorted partition; one may straddle two batches."""
-    rest = None
+    rest: list[pd.DataFrame] = []
     for batch in batches:
         if batch.empty:
             continue
-        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if rest and (batch["snapshot_at"] == rest[0]["snapshot_at"].iat[0]).all():
+            rest.append(batch)
+            continue
+        rows = pd.concat([*rest, batch], ignore_index=True)
         starts = np.flatnonzero((rows["snapshot_at"] != rows["snapshot_at"].shift()).to_numpy())
         yield _settle_rows(rows.iloc[:starts[-1]], starts)
-        rest = rows.iloc[starts[-1]:].reset_index(drop=True)
-    if rest is not None:
-        yield _settle_rows(rest, np.array([0, len(rest)]))
+        rest = [rows.iloc[starts[-1]:]]
+    if rest:
+        rows = pd.concat(rest, ignore_index=True)
+        yield _settle_rows(rows, np.array([0, len(rows)]))
 
 
 def _settle_rows(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
@@ -188,7 +193,9 @@ def _settle(parents, children, parent_kind, child_kind, parent_value, child_valu
     """Flows of one snapshot's shared edges, given in order.
 
     An edge touching a remaining node waits for the other edges of the node it competes for, so
-    remaining nodes only get what is left. The waiting is a stack, not recursion.
+    remaining nodes only get what is left. The waiting is a stack, not recursion. Every list of edges
+    is gone through once: whoever comes to it later goes on where the others stopped, as what lies
+    before has been started. So the time is in proportion to the edges.
     """
     number = lambda v: 0.0 if v is None or v != v else max(v, 0.0)
     kind = dict(zip(parents, parent_kind)) | dict(zip(children, child_kind))
@@ -204,25 +211,30 @@ def _settle(parents, children, parent_kind, child_kind, parent_value, child_valu
     given = dict.fromkeys(out_of, 0.0)
     taken = dict.fromkeys(into, 0.0)
 
+    # What a remaining node is worth: the flows on its other side, once the last of them is known.
+    other_side = {n: into.get(n, []) if k == REMAINING_PARENT else out_of.get(n, [])
+                  for n, k in kind.items() if k in (REMAINING_PARENT, REMAINING_CHILD)}
+    unknown = {n: len(edges) for n, edges in other_side.items()}
+    summed = {n: 0.0 for n, edges in other_side.items() if not edges}
+
     def worth(node: str) -> float:
-        if kind[node] == REMAINING_PARENT:
-            flows = [flow[i] for i in into.get(node, [])]
-        elif kind[node] == REMAINING_CHILD:
-            flows = [flow[i] for i in out_of.get(node, [])]
-        else:
+        if node not in other_side:
             return own[node]
-        return float("inf") if None in flows else sum(flows)
-
-    def waits_for(i: int) -> Iterator[int]:
-        for node in (parents[i], children[i]):
-            if kind[node] == REMAINING_CHILD:
-                rivals = [into[children[j]] for j in out_of.get(node, []) if flow[j] is None]
-            elif kind[node] == REMAINING_PARENT:
-                rivals = [out_of[parents[j]] for j in into.get(node, []) if flow[j] is None]
-            else:
-                rivals = []
-            for edges in rivals:
-                yield from edges
+        return float("inf") if unknown[node] else summed[node]
+
+    ahead_into = {n: iter(edges) for n, edges in into.items()}
+    ahead_out = {n: iter(edges) for n, edges in out_of.items()}
+
+    def rivals(node: str) -> Iterator[int]:
+        if kind[node] == REMAINING_CHILD:
+            for j in out_of.get(node, []):
+                yield from ahead_into[children[j]]
+        elif kind[node] == REMAINING_PARENT:
+            for j in into.get(node, []):
+                yield from ahead_out[parents[j]]
+
+    rivals_of = {n: rivals(n) for n in kind}
+    waits_for = lambda i: chain(rivals_of[parents[i]], rivals_of[children[i]])
 
     def settle(i: int) -> None:
         p, c = parents[i], children[i]
@@ -232,6 +244,11 @@ def _settle(parents, children, parent_kind, child_kind, parent_value, child_valu
         flow[i] = min(room, need, limit) if room and need else 0.0
         given[p] += flow[i]
         taken[c] += flow[i]
+        for node, role in ((p, REMAINING_CHILD), (c, REMAINING_PARENT)):
+            if kind[node] == role:
+                unknown[node] -= 1
+                if not unknown[node]:
+                    summed[node] = sum(flow[j] for j in other_side[node])
 
     for first in range(len(parents)):
         if started[first]:
