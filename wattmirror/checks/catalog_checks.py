@@ -357,16 +357,16 @@ def build(spark, sf_dir):
     return rows.withColumn("missing", F.lit(False)).unionByName(lost, allowMissingColumns=True)
 
 
-@check("cat_14_grain_partition", with_ctes(m.statistic_sql(0), select="""
+@check("cat_14_grain_partition", with_ctes(m.statistic_sql(0), select=f"""
 SELECT coalesce(f.statistic_id, x.statistic_id) AS statistic_id, coalesce(f.grain, x.grain) AS grain,
   coalesce(rows, 0) AS rows, coalesce(expected, 0) AS expected, coalesce(rows, 0) = coalesce(expected, 0) AS matches
 FROM (SELECT statistic_id, grain, count(*) AS rows FROM stat GROUP BY 1, 2) f
-FULL JOIN (SELECT event_type AS statistic_id, CASE WHEN event_type = 'purchase' THEN 'day' ELSE 'hour' END AS grain,
+FULL JOIN (SELECT {m.METRIC_SQL} AS statistic_id, CASE WHEN event_type = 'purchase' THEN 'day' ELSE 'hour' END AS grain,
              count(DISTINCT date_trunc('hour', ts)) AS expected FROM events GROUP BY 1, 2) x
   ON x.statistic_id = f.statistic_id AND x.grain = f.grain"""))
 def partition(spark, sf_dir):
     expected = (m.events(spark, sf_dir)
-                .select(F.col("state").alias("statistic_id"),
+                .select(m.metric(F.col("state"), F.col("entity_id")).alias("statistic_id"),
                         F.when(F.col("state") == "purchase", "day").otherwise("hour").alias("grain"),
                         F.date_trunc("hour", "ts").alias("h"))
                 .groupBy("statistic_id", "grain").agg(F.countDistinct("h").alias("expected")))

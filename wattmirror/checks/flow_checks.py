@@ -46,7 +46,7 @@ START, END = datetime(2024, 1, 3, 5), datetime(2024, 1, 28, 7)
 
 @check("fl_02_period_change", f"""
 SELECT statistic_id, CAST(date_trunc('day', h) AS TIMESTAMP) AS period_start, CAST(sum(change) AS DOUBLE) AS change, 'day' AS period
-FROM (SELECT event_type AS statistic_id, date_trunc('hour', ts) AS h,
+FROM (SELECT {m.METRIC_SQL} AS statistic_id, date_trunc('hour', ts) AS h,
         CASE WHEN count(*) > 1 THEN sum(CAST(value AS DECIMAL(18,2))) END AS change FROM events GROUP BY 1, 2)
 WHERE h >= TIMESTAMP '{START}' AND h < TIMESTAMP '{END}' GROUP BY 1, 2""")
 def change(spark, sf_dir):
@@ -57,13 +57,13 @@ def change(spark, sf_dir):
 def hour_changes(spark, sf_dir):
     """Change per hour, NULL where only one reading arrived."""
     ev = m.events(spark, sf_dir)
-    return (ev.groupBy(F.col("state").alias("statistic_id"), F.date_trunc("hour", "ts").alias("start_at"))
+    return (ev.groupBy(m.metric(F.col("state"), F.col("entity_id")).alias("statistic_id"), F.date_trunc("hour", "ts").alias("start_at"))
               .agg(F.when(F.count(F.lit(1)) > 1, F.sum(F.col("value").cast(DEC))).alias("change")))
 
 
 @check("fl_02_node_change", f"""
 SELECT statistic_id, CAST(sum(change) AS DOUBLE) AS change
-FROM (SELECT event_type AS statistic_id, date_trunc('hour', ts) AS h,
+FROM (SELECT {m.METRIC_SQL} AS statistic_id, date_trunc('hour', ts) AS h,
         CASE WHEN count(*) > 1 THEN sum(CAST(value AS DECIMAL(18,2))) END AS change FROM events GROUP BY 1, 2)
 WHERE h >= TIMESTAMP '{START}' AND h < TIMESTAMP '{END}' GROUP BY 1""")
 def total_change(spark, sf_dir):

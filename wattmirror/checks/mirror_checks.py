@@ -27,7 +27,9 @@ VALUES = "mean, mean_weight, min, max, state, sum"
 # --- source shape --------------------------------------------------------------------------
 
 def metric_no(col):
-    return (F.length(col) * 1000 + F.ascii(col)).cast("bigint")
+    """A number per metric: its home and the first letter of its kind."""
+    home = F.coalesce(F.try_element_at(F.split(col, "_"), F.lit(2)), F.lit("0")).cast("bigint")
+    return home * 1000 + F.ascii(col)
 
 
 def source_statistics(spark, sf_dir):
@@ -168,16 +170,16 @@ def merged_path(spark, sf_dir):
     return spark.read.parquet(path).select("statistic_id", "start_at", "sum")
 
 
-@check("snk_02_upsert_latest", """
-WITH t AS (SELECT event_type AS source, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS at, max(value) AS bpm FROM events
+@check("snk_02_upsert_latest", f"""
+WITH t AS (SELECT {m.METRIC_SQL} AS source, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS at, max(value) AS bpm FROM events
            WHERE ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1, 2),
-i AS (SELECT event_type AS source, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS at, arg_max(value, event_id) AS bpm FROM events
+i AS (SELECT {m.METRIC_SQL} AS source, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS at, arg_max(value, event_id) AS bpm FROM events
       WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1, 2)
 SELECT coalesce(i.source, t.source) AS source, coalesce(i.at, t.at) AS at, coalesce(i.bpm, t.bpm) AS bpm,
   CASE WHEN i.at IS NULL THEN TIMESTAMP '2024-01-15 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END AS synced_at
 FROM t FULL JOIN i ON i.source = t.source AND i.at = t.at""")
 def latest(spark, sf_dir):
-    ev = m.events(spark, sf_dir).select("event_id", "ts", F.col("state").alias("source"),
+    ev = m.events(spark, sf_dir).select("event_id", "ts", m.metric(F.col("state"), F.col("entity_id")).alias("source"),
                                         F.date_trunc("hour", "ts").alias("at"), F.col("value").alias("bpm"))
     target = (ev.where(F.col("ts") < instant("2024-01-20")).groupBy("source", "at").agg(F.max("bpm").alias("bpm"))
                 .withColumn("synced_at", instant("2024-01-15")))
@@ -361,21 +363,22 @@ def sync_inputs(spark, sf_dir):
 
 
 def sync_sql(where, gated=True):
-    """The rows a sync merges. Only the imported metric has periods, so only it is gated."""
+    """The rows a sync merges. Only imported metrics have periods, so only they are gated, each by itself."""
     read = f"SELECT statistic_id, start_at, {grain_of()} AS grain, {VALUES}, reset_at AS last_reset_at FROM src s WHERE {where}"
     gate = f"""
 win AS ({read}),
 seen AS (
-  SELECT start_at AS t FROM win WHERE statistic_id = 'purchase' AND start_at >= TIMESTAMP '2024-01-21'
-  UNION SELECT * FROM (SELECT start_at FROM mir WHERE statistic_id = 'purchase' AND start_at >= TIMESTAMP '2024-01-21'
-                       ORDER BY 1 DESC LIMIT 4)),
-cad AS (SELECT t, CASE WHEN g BETWEEN 1800 AND 7200 THEN 'hour' WHEN g BETWEEN 43200 AND 172800 THEN 'day' END AS c
-  FROM (SELECT t, epoch(t - lag(t) OVER (ORDER BY t)) AS g FROM seen) WHERE g IS NOT NULL),
-post AS (SELECT list(c ORDER BY t DESC) AS cs, (SELECT max(t) FROM cad WHERE c IS NULL) AS resumed FROM cad
-  WHERE t > coalesce((SELECT max(t) FROM cad WHERE c IS NULL), TIMESTAMP '0001-01-01')),
-inc AS (SELECT win.* FROM win, post WHERE statistic_id <> 'purchase' OR CASE
-    WHEN len(cs) >= 2 AND cs[1] = cs[2] THEN cs[1] = 'hour'
-    ELSE start_at < coalesce(resumed, (SELECT max(t) FROM cad WHERE c IS NULL), TIMESTAMP '9999-01-01') END)"""
+  SELECT statistic_id, start_at AS t FROM win SEMI JOIN per USING (statistic_id) WHERE start_at >= TIMESTAMP '2024-01-21'
+  UNION SELECT * FROM (SELECT statistic_id, start_at FROM mir SEMI JOIN per USING (statistic_id)
+    WHERE start_at >= TIMESTAMP '2024-01-21' QUALIFY row_number() OVER (PARTITION BY statistic_id ORDER BY start_at DESC) <= 4)),
+cad AS (SELECT statistic_id, t, CASE WHEN g BETWEEN 1800 AND 7200 THEN 'hour' WHEN g BETWEEN 43200 AND 172800 THEN 'day' END AS c
+  FROM (SELECT statistic_id, t, epoch(t - lag(t) OVER (PARTITION BY statistic_id ORDER BY t)) AS g FROM seen) WHERE g IS NOT NULL),
+outage AS (SELECT statistic_id, max(t) FILTER (WHERE c IS NULL) AS resumed FROM cad GROUP BY 1),
+post AS (SELECT statistic_id, resumed, list(c ORDER BY t DESC) FILTER (WHERE resumed IS NULL OR t > resumed) AS cs
+  FROM cad JOIN outage USING (statistic_id) GROUP BY 1, 2),
+inc AS (SELECT win.* FROM win LEFT JOIN post USING (statistic_id)
+  WHERE CASE WHEN len(cs) >= 2 AND cs[1] = cs[2] THEN cs[1] = 'hour'
+    ELSE start_at < coalesce(resumed, TIMESTAMP '9999-01-01') END)"""
     return (*BOTH, SOURCE_SQL, m.CATALOG_SQL, m.periods_sql(0), gate if gated else f"inc AS ({read})", MERGE_SQL)
 
 

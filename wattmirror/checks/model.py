@@ -5,12 +5,13 @@ The two halves state the same rules twice on purpose: a check compares them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattmirror.functions.timecols import instant
 
 FIRST_DAY = "2024-01-01"
+USERS_PER_HOME = 15
 NOW = "2024-02-01 00:00:00"
 
 
@@ -25,8 +26,22 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("state"), "value", F.col("props").alias("attrs"))
 
 
+def metric(event_type: Column, user: Column) -> Column:
+    """Metric id: one per event type and home, the first home's without a number, so that metrics grow with the users."""
+    home = F.floor(user / USERS_PER_HOME)
+    return F.when(home == 0, event_type).otherwise(F.concat_ws("_", event_type, home.cast("string")))
+
+
+def kind(statistic_id) -> Column:
+    """The event type a metric stands for."""
+    return F.substring_index(statistic_id, "_", 1)
+
+
+METRIC_SQL = f"""event_type || CASE WHEN user_id < {USERS_PER_HOME} THEN '' ELSE '_' || CAST(user_id // {USERS_PER_HOME} AS VARCHAR) END"""
+
+
 def statistic(spark: SparkSession, sf_dir: str, shift_days: int = 0, perturbed: bool = True) -> DataFrame:
-    """Statistic rows per event type; purchases are imported and change grain twice.
+    """Statistic rows per metric; purchases are imported and change grain twice.
 
     The running total runs over rows already grouped to hours, so a series has at most one
     row per hour of history however many events there are.
@@ -45,7 +60,7 @@ def statistic(spark: SparkSession, sf_dir: str, shift_days: int = 0, perturbed:
               .when(imported & (day_no <= 20), "day").otherwise("hour"))
     value = F.col("value").cast("decimal(18,2)")
     grouped = (table(spark, sf_dir, "events")
-               .select(F.col("event_type").alias("statistic_id"), start.alias("start_at"),
+               .select(metric(F.col("event_type"), F.col("user_id")).alias("statistic_id"), start.alias("start_at"),
                        grain.alias("grain"), value.alias("v"))
                .groupBy("statistic_id", "start_at", "grain")
                .agg(F.sum("v").alias("tot"), F.count(F.lit(1)).alias("n"),
@@ -74,11 +89,11 @@ def statistic_sql(shift_days: int = 0, perturbed: bool = True, name: str = "stat
              if perturbed else "run")
     return f"""
 {name}_ev AS (
-  SELECT event_type, CAST(value AS DECIMAL(18,2)) AS v, ts + INTERVAL {shift_days} DAY AS ts,
+  SELECT event_type, {METRIC_SQL} AS statistic_id, CAST(value AS DECIMAL(18,2)) AS v, ts + INTERVAL {shift_days} DAY AS ts,
          date_diff('day', {base}, ts + INTERVAL {shift_days} DAY) + 1 AS d
   FROM events),
 {name}_grp AS (
-  SELECT event_type AS statistic_id,
+  SELECT statistic_id,
          CASE WHEN event_type = 'purchase' AND d <= 4 THEN {base}
               WHEN event_type = 'purchase' AND d <= 7 THEN {base} + INTERVAL 4 DAY
               WHEN event_type = 'purchase' AND d <= 10 THEN {base} + INTERVAL 7 DAY
@@ -100,26 +115,26 @@ def statistic_sql(shift_days: int = 0, perturbed: bool = True, name: str = "stat
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One catalog row per event type found in the data."""
-    sid = F.col("statistic_id")
-    pick = lambda **by: _choose(sid, by)
-    return (table(spark, sf_dir, "events").select(F.col("event_type").alias("statistic_id")).distinct()
+    """One catalog row per metric found in the data."""
+    sid, of = F.col("statistic_id"), kind("statistic_id")
+    pick = lambda **by: _choose(of, by)
+    return (table(spark, sf_dir, "events").select(metric(F.col("event_type"), F.col("user_id")).alias("statistic_id")).distinct()
             .select(
                 "statistic_id",
                 F.coalesce(pick(signup="environmental_temperature", error="machine_temperature",
                                 click="device_power", view="device_energy", purchase="home_energy"),
                            F.lit("device_power")).alias("category"),
                 F.concat(F.lit("Meter "), sid).alias("display_name"),
-                F.when(sid == "purchase", "opower").otherwise("recorder").alias("source"),
+                F.when(of == "purchase", "opower").otherwise("recorder").alias("source"),
                 pick(signup="°F", error="°C", click="W", view="kWh", purchase="kWh").alias("unit_of_measurement"),
                 pick(signup="temperature", error="temperature", click="power", view="energy",
                      purchase="energy").alias("unit_class"),
-                F.when(sid.isin("view", "purchase"), 0).otherwise(1).alias("mean_type"),
-                sid.isin("view", "purchase").alias("has_sum"),
-                F.when(sid.isin("view", "purchase"), "lifetime").alias("energy_role"),
-                F.when(sid.isin("view", "purchase"), F.lit(250.0)).alias("max_plausible_kw"),
+                F.when(of.isin("view", "purchase"), 0).otherwise(1).alias("mean_type"),
+                of.isin("view", "purchase").alias("has_sum"),
+                F.when(of.isin("view", "purchase"), "lifetime").alias("energy_role"),
+                F.when(of.isin("view", "purchase"), F.lit(250.0)).alias("max_plausible_kw"),
                 F.lit("hour").alias("default_grain"),
-                (sid != "error").alias("is_active"),
+                (of != "error").alias("is_active"),
                 F.lit(False).alias("grain_review_required"),
                 F.lit(None).cast("string").alias("notes")))
 
@@ -131,25 +146,25 @@ def _choose(key, by):
     return chain
 
 
-CATALOG_SQL = """
+CATALOG_SQL = f"""
 cat AS (
   SELECT statistic_id,
-    CASE statistic_id WHEN 'signup' THEN 'environmental_temperature' WHEN 'error' THEN 'machine_temperature'
+    CASE kind WHEN 'signup' THEN 'environmental_temperature' WHEN 'error' THEN 'machine_temperature'
       WHEN 'click' THEN 'device_power' WHEN 'view' THEN 'device_energy' WHEN 'purchase' THEN 'home_energy'
       ELSE 'device_power' END AS category,
     'Meter ' || statistic_id AS display_name,
-    CASE WHEN statistic_id = 'purchase' THEN 'opower' ELSE 'recorder' END AS source,
-    CASE statistic_id WHEN 'signup' THEN '°F' WHEN 'error' THEN '°C' WHEN 'click' THEN 'W'
+    CASE WHEN kind = 'purchase' THEN 'opower' ELSE 'recorder' END AS source,
+    CASE kind WHEN 'signup' THEN '°F' WHEN 'error' THEN '°C' WHEN 'click' THEN 'W'
       WHEN 'view' THEN 'kWh' WHEN 'purchase' THEN 'kWh' END AS unit_of_measurement,
-    CASE statistic_id WHEN 'signup' THEN 'temperature' WHEN 'error' THEN 'temperature' WHEN 'click' THEN 'power'
+    CASE kind WHEN 'signup' THEN 'temperature' WHEN 'error' THEN 'temperature' WHEN 'click' THEN 'power'
       WHEN 'view' THEN 'energy' WHEN 'purchase' THEN 'energy' END AS unit_class,
-    CASE WHEN statistic_id IN ('view','purchase') THEN 0 ELSE 1 END AS mean_type,
-    statistic_id IN ('view','purchase') AS has_sum,
-    CASE WHEN statistic_id IN ('view','purchase') THEN 'lifetime' END AS energy_role,
-    CASE WHEN statistic_id IN ('view','purchase') THEN CAST(250 AS DOUBLE) END AS max_plausible_kw,
-    'hour' AS default_grain, statistic_id <> 'error' AS is_active,
+    CASE WHEN kind IN ('view','purchase') THEN 0 ELSE 1 END AS mean_type,
+    kind IN ('view','purchase') AS has_sum,
+    CASE WHEN kind IN ('view','purchase') THEN 'lifetime' END AS energy_role,
+    CASE WHEN kind IN ('view','purchase') THEN CAST(250 AS DOUBLE) END AS max_plausible_kw,
+    'hour' AS default_grain, kind <> 'error' AS is_active,
     false AS grain_review_required, CAST(NULL AS VARCHAR) AS notes
-  FROM (SELECT DISTINCT event_type AS statistic_id FROM events))"""
+  FROM (SELECT DISTINCT event_type AS kind, {METRIC_SQL} AS statistic_id FROM events))"""
 
 
 def periods(spark: SparkSession, sf_dir: str, shift_days: int = 0) -> DataFrame:
