@@ -74,6 +74,24 @@ def test_remaining_node_passes_its_sum_on(spark):
     assert allocate(spark, nodes, edges) == {(1, 0): 4.0, (1, 1): 6.0, (1, 2): 5.0, (1, 3): 1.0}
 
 
+@pytest.mark.parametrize("linked, got", [(None, [4.0, 6.0, 6.0]), (-2.0, [4.0, 4.0, 4.0]), (-9.0, [4.0, 0.0, 0.0]),
+                                         (3.0, [4.0, 6.0, 9.0])])
+def test_linked_nodes_bound_a_remaining_child(linked, got):
+    """grid feeds tv, then rest takes what is left; other nodes add to rest or subtract from it, and it feeds a sink."""
+    flow = fl._settle(["grid", "grid", "rest"], ["tv", "rest", "sink"], ["entity", "entity", fl.REMAINING_PARENT],
+                      ["entity", fl.REMAINING_PARENT, "entity"], [10.0, 10.0, None], [4.0, None, 99.0], [None] * 3,
+                      [None, None, linked], [None, linked, None])
+    assert flow == got
+
+
+def test_linked_nodes_bound_a_remaining_parent(spark):
+    nodes = [(1, "solar", "entity", 2.0, None), (1, "other", fl.REMAINING_CHILD, None, -1.0), (1, "house", "entity", 5.0, None),
+             (1, "barn", "entity", 4.0, None)]
+    edges = [(1, 0, "other", "house", None), (1, 1, "solar", "house", None), (1, 2, "other", "barn", None)]
+    out = fl.allocate_edges(spark.createDataFrame(nodes, NODES + ", linked double"), spark.createDataFrame(edges, EDGES))
+    assert {r.edge_no: r.flow for r in out.collect()} == {0: 2.0, 1: 2.0, 2: 4.0}
+
+
 def test_a_large_shared_snapshot_takes_time_in_proportion():
     """A remaining child with all edges of a snapshot: each list of rivals is gone through once."""
     def seconds(m):

@@ -182,6 +182,36 @@ def shared(spark, sf_dir):
     return fl.allocate_edges(*shared_graph(spark, sf_dir)).withColumn("flow", F.abs(F.round("flow", 2)))
 
 
+def linked_graph(spark, sf_dir):
+    """The shared graph, where other nodes add to the remaining child and subtract from it, and it feeds a node."""
+    nodes, edges = shared_graph(spark, sf_dir)
+    ln = lines(spark, sf_dir).withColumnRenamed("l_orderkey", "snapshot_at")
+    links = ln.where("l_returnflag = 'A'").select("snapshot_at", F.lit("add").alias("role"), (F.col("l_quantity") * 50).alias("value")) \
+        .unionByName(ln.select("snapshot_at", F.lit("subtract").alias("role"), (F.col("l_quantity") * 40).alias("value")))
+    linked = fl.linked_sums(links, ["snapshot_at"]).withColumn("node", F.lit("untracked"))
+    spare = linked.select("snapshot_at")
+    sink = spare.select("snapshot_at", F.lit("to Z").alias("node"), F.lit(1e12).alias("value"), F.lit("entity").alias("kind"))
+    nodes = nodes.unionByName(sink).join(linked, ["snapshot_at", "node"], "left")
+    edges = edges.unionByName(spare.select("snapshot_at", F.lit(117_090).cast("bigint").alias("edge_no"), F.lit("untracked").alias("parent"),
+                                           F.lit("to Z").alias("child"), F.lit(None).cast("double").alias("cap")))
+    return nodes, edges
+
+
+@check("fl_05_remaining_linked", f"""
+WITH base AS ({SHARED_SQL}),
+net AS (SELECT l_orderkey AS snapshot_at, coalesce(sum(l_quantity) FILTER (WHERE l_returnflag = 'A'), 0) * 50 - sum(l_quantity) * 40 AS net
+  FROM lineitem GROUP BY 1)
+SELECT snapshot_at, edge_no, parent, child, flow FROM base WHERE child <> 'untracked'
+UNION ALL SELECT snapshot_at, edge_no, parent, child, round(CASE WHEN row_number() OVER (PARTITION BY snapshot_at ORDER BY edge_no) = 1
+    THEN greatest(0, least(flow, flow + net)) ELSE flow END, 2)
+  FROM base JOIN net USING (snapshot_at) WHERE child = 'untracked'
+UNION ALL SELECT snapshot_at, 117090, 'untracked', 'to Z', round(greatest(0, sum(flow) + any_value(net)), 2)
+  FROM base JOIN net USING (snapshot_at) WHERE child = 'untracked' GROUP BY 1""")
+def remaining_linked(spark, sf_dir):
+    """The edge that completes the remaining child's sum comes first in its order, as it waits for all the others."""
+    return fl.allocate_edges(*linked_graph(spark, sf_dir)).withColumn("flow", F.abs(F.round("flow", 2)))
+
+
 @check("fl_05_flow_conservation", """
 SELECT l_orderkey AS snapshot_at, l_returnflag AS parent, round(sum(l_extendedprice), 2) AS flow
 FROM lineitem GROUP BY 1, 2""")

@@ -96,20 +96,23 @@ def node_value(nodes: DataFrame, filters: list[tuple[str, float]] | None = None,
                               "unit": F.when(scalable, new_unit).otherwise(unit)})
 
 
-def combine_nodes(nodes: DataFrame, links: DataFrame, keys: list[str]) -> DataFrame:
-    """Node value plus its added nodes, minus its subtracted ones, not below zero.
+def linked_sums(links: DataFrame, keys: list[str]) -> DataFrame:
+    """What linked nodes add to a node less what they subtract, as ``linked``.
 
     ``links``: keys, role (add | subtract), value. Every linked value is clamped at zero, so
     taking min(value, rest) off one after the other equals one subtraction clamped at zero, and
     the result does not depend on the order of the links.
     """
-    linked = F.greatest(F.col("value"), F.lit(0).cast(links.schema["value"].dataType))
-    sums = links.groupBy(*keys).agg(
-        F.sum(F.when(F.col("role") == "add", linked)).alias("__add"),
-        F.sum(F.when(F.col("role") == "subtract", linked)).alias("__sub"))
-    zero = F.lit(0)
-    rest = F.col("value") + F.coalesce("__add", zero) - F.coalesce("__sub", zero)
-    return nodes.join(sums, keys, "left").withColumn("value", F.greatest(rest, zero)).drop("__add", "__sub")
+    value = F.greatest(F.col("value"), F.lit(0).cast(links.schema["value"].dataType))
+    signed = F.when(F.col("role") == "add", value).when(F.col("role") == "subtract", -value)
+    return links.groupBy(*keys).agg(F.sum(signed).alias("linked"))
+
+
+def combine_nodes(nodes: DataFrame, links: DataFrame, keys: list[str]) -> DataFrame:
+    """Node value plus its added nodes, minus its subtracted ones, not below zero."""
+    rest = F.col("value") + F.coalesce("linked", F.lit(0))
+    return (nodes.join(linked_sums(links, keys), keys, "left")
+                 .withColumn("value", F.greatest(rest, F.lit(0))).drop("linked"))
 
 
 # --- edge allocation -----------------------------------------------------------------------
@@ -120,21 +123,23 @@ EDGE_OUT = "snapshot_at {snapshot}, edge_no bigint, parent string, child string,
 def allocate_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """How much flows along every edge: min(parent left, child left, cap), in edge order.
 
-    ``nodes``: snapshot_at, node, kind, value; ``edges``: snapshot_at, edge_no, parent, child,
-    cap. A parent whose children have no other parent depends on nobody else, so its edges are
+    ``nodes``: snapshot_at, node, kind, value and, where remaining nodes have linked ones, linked
+    (see ``linked_sums``; entities take theirs in beforehand, by ``combine_nodes``); ``edges``:
+    snapshot_at, edge_no, parent, child, cap. A parent whose children have no other parent depends on nobody else, so its edges are
     a clamped running sum, which scales whatever the size of one snapshot. Only edges whose
     endpoints are really shared are walked one by one, grouped by snapshot.
     """
     edges = edges.select("snapshot_at", "edge_no", "parent", "child", "cap")
+    told = ["kind", "value", *(["linked"] if "linked" in nodes.columns else [])]
     # Nodes and edges grow together, hence the merge hints: neither side may be broadcast just
     # because it compresses well.
-    side = lambda name: nodes.select("snapshot_at", F.col("node").alias(name), F.col("kind").alias(f"{name}_kind"),
-                                     F.col("value").alias(f"{name}_value")).hint("merge")
+    side = lambda name: nodes.select("snapshot_at", F.col("node").alias(name),
+                                     *[F.col(c).alias(f"{name}_{c}") for c in told]).hint("merge")
     # One row per child and per parent carries its node and what its edges say about it. The joined
-    # edges are written after each step, because the next one reads them more than once.
+    # edges are written once, because stars and shared edges both read them.
     children = (edges.groupBy("snapshot_at", "child").agg((F.count(F.lit(1)) == 1).alias("alone"))
                      .join(side("child"), ["snapshot_at", "child"], "left"))
-    fed = pin(edges.join(children.hint("merge"), ["snapshot_at", "child"]), "fed")
+    fed = edges.join(children.hint("merge"), ["snapshot_at", "child"])
     plain = F.coalesce(F.col("alone") & (F.col("child_kind") == "entity"), F.lit(False))
     parents = (fed.groupBy("snapshot_at", "parent").agg(F.bool_and(plain).alias("alone_fed"))
                   .join(side("parent"), ["snapshot_at", "parent"], "left"))
@@ -156,7 +161,7 @@ def _allocate_shared(shared: DataFrame) -> DataFrame:
     """Shared edges, whole snapshots per task. A snapshot holds the edges of one flow graph."""
     snapshot = shared.schema["snapshot_at"].dataType.simpleString()
     parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbers = {c: F.col(c).cast("double") for c in ("parent_value", "child_value", "cap")}
+    numbers = {c: F.col(c).cast("double") for c in shared.columns if c == "cap" or c.endswith(("_value", "_linked"))}
     return (shared.withColumns(numbers).withColumn("edge_no", F.col("edge_no").cast("bigint"))
                   .repartition(parts, "snapshot_at").sortWithinPartitions("snapshot_at", "edge_no")
                   .mapInPandas(_settle_snapshots, EDGE_OUT.format(snapshot=snapshot)))
@@ -181,25 +186,31 @@ def _settle_snapshots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
 
 
 def _settle_rows(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-    columns = [rows[c].tolist() for c in ("parent", "child", "parent_kind", "child_kind",
-                                          "parent_value", "child_value", "cap")]
+    columns = [rows[c].tolist() for c in ("parent", "child", "parent_kind", "child_kind", "parent_value", "child_value",
+                                          "cap", "parent_linked", "child_linked") if c in rows]
     flow: list[float] = []
     for lo, hi in zip(starts[:-1], starts[1:]):
         flow += _settle(*[c[lo:hi] for c in columns])
     return rows[["snapshot_at", "edge_no", "parent", "child"]].assign(flow=flow)
 
 
-def _settle(parents, children, parent_kind, child_kind, parent_value, child_value, caps) -> list[float]:
+def _settle(parents, children, parent_kind, child_kind, parent_value, child_value, caps,
+            parent_linked=(), child_linked=()) -> list[float]:
     """Flows of one snapshot's shared edges, given in order.
 
     An edge touching a remaining node waits for the other edges of the node it competes for, so
     remaining nodes only get what is left. The waiting is a stack, not recursion. Every list of edges
     is gone through once: whoever comes to it later goes on where the others stopped, as what lies
     before has been started. So the time is in proportion to the edges.
+
+    A remaining node with linked nodes is worth its sum and what they make of it. The edge that completes the sum was
+    given without that limit, so it is judged a second time; the node keeps the worth it had then.
     """
     number = lambda v: 0.0 if v is None or v != v else max(v, 0.0)
     kind = dict(zip(parents, parent_kind)) | dict(zip(children, child_kind))
     own = dict(zip(parents, map(number, parent_value))) | dict(zip(children, map(number, child_value)))
+    linked = {n: x for n, x in chain(zip(parents, parent_linked), zip(children, child_linked))
+              if x is not None and x == x}
     out_of: dict[str, list[int]] = {}
     into: dict[str, list[int]] = {}
     for i, (p, c) in enumerate(zip(parents, children)):
@@ -215,7 +226,8 @@ def _settle(parents, children, parent_kind, child_kind, parent_value, child_valu
     other_side = {n: into.get(n, []) if k == REMAINING_PARENT else out_of.get(n, [])
                   for n, k in kind.items() if k in (REMAINING_PARENT, REMAINING_CHILD)}
     unknown = {n: len(edges) for n, edges in other_side.items()}
-    summed = {n: 0.0 for n, edges in other_side.items() if not edges}
+    total = lambda node: max(0.0, sum(flow[j] for j in other_side[node]) + linked.get(node, 0.0))
+    summed = {n: total(n) for n, edges in other_side.items() if not edges}
 
     def worth(node: str) -> float:
         if node not in other_side:
@@ -236,19 +248,26 @@ def _settle(parents, children, parent_kind, child_kind, parent_value, child_valu
     rivals_of = {n: rivals(n) for n in kind}
     waits_for = lambda i: chain(rivals_of[parents[i]], rivals_of[children[i]])
 
+    def passing(i: int) -> float:
+        room = max(0.0, worth(parents[i]) - given[parents[i]])
+        need = max(0.0, worth(children[i]) - taken[children[i]])
+        limit = float("inf") if caps[i] is None or caps[i] != caps[i] else number(caps[i])
+        return min(room, need, limit) if room and need else 0.0
+
     def settle(i: int) -> None:
         p, c = parents[i], children[i]
-        room = max(0.0, worth(p) - given[p])
-        need = max(0.0, worth(c) - taken[c])
-        limit = float("inf") if caps[i] is None or caps[i] != caps[i] else number(caps[i])
-        flow[i] = min(room, need, limit) if room and need else 0.0
-        given[p] += flow[i]
-        taken[c] += flow[i]
+        flow[i] = passing(i)
+        again = False
         for node, role in ((p, REMAINING_CHILD), (c, REMAINING_PARENT)):
             if kind[node] == role:
                 unknown[node] -= 1
                 if not unknown[node]:
-                    summed[node] = sum(flow[j] for j in other_side[node])
+                    summed[node] = total(node)
+                    again |= node in linked
+        if again:
+            flow[i] = passing(i)
+        given[p] += flow[i]
+        taken[c] += flow[i]
 
     for first in range(len(parents)):
         if started[first]:
