@@ -2,6 +2,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from wattmirror.llm import langid
 from wattmirror.llm.queries import QUERIES
@@ -31,6 +32,23 @@ def test_learned_content_is_bounded_and_repeatable(spark, content):
     assert len(langid.learn(many)["cc"]) <= langid.DICTIONARY_CHARS + langid.DOCUMENTS
 
 
+@pytest.mark.parametrize("tail", ["", "id"])
+def test_copies_count_once(spark, tail):
+    """A third of the rows is one text, or begins as one, and comes first in hash order."""
+    rng = random.Random(3)
+    texts = [text("aa", rng, 80) for _ in range(800)]
+    df = spark.createDataFrame([(t, "aa") for t in texts], "text string, lang string")
+    common = df.orderBy(F.xxhash64("text")).first().text
+    copies = spark.range(400).select(F.concat(F.lit(common), F.col(tail).cast("string") if tail else F.lit(""))
+                                     .alias("text"), F.lit("aa").alias("lang"))
+    learned, plain = langid.learn(df.union(copies))["aa"], langid.learn(df)["aa"]
+    parts = {t[:langid.PART_CHARS].encode() for t in texts}
+    width = langid.PART_CHARS + 1
+    taken = [learned[i:i + width - 1] for i in range(0, len(learned), width)]
+    assert len(taken) == len(set(taken)) == langid.DOCUMENTS and set(taken) <= parts
+    assert tail or learned == plain
+
+
 def test_held_out_texts(spark, content):
     rng = random.Random(2)
     rows = [(i, text(lang, rng, 8), lang) for i, lang in enumerate(["aa", "bb"] * 40)]

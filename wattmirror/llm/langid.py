@@ -22,13 +22,15 @@ LEAST_MARGIN = 0.01
 def learn(labelled: DataFrame) -> dict[str, bytes]:
     """Raw dictionary content per language, from rows with text and non-null lang.
 
-    The sample is bounded: at most DOCUMENTS texts of a language, those of least text hash, and PART_CHARS of each.
-    A language holding most rows is thinned by hash range first, so no task gets all its rows. The driver holds one
-    dictionary per language.
+    The sample is bounded: the first PART_CHARS of at most DOCUMENTS texts of a language, those of least text hash.
+    Copies, and texts that begin alike so far, count once: what is taken is DOCUMENTS different parts, if there are
+    as many. A language holding most rows is thinned by hash range first, so no task gets all its rows. The driver
+    holds one dictionary per language.
     """
     rank = F.xxhash64("text")
     rows = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0)) \
-        .select(F.col("lang").alias("lang"), rank.alias("rank"), F.substring("text", 1, PART_CHARS).alias("part"))
+        .select(F.col("lang").alias("lang"), rank.alias("rank"), F.substring("text", 1, PART_CHARS).alias("part")) \
+        .groupBy("lang", "part").agg(F.min("rank").alias("rank"))
     first = Window.partitionBy("lang", F.pmod(F.col("rank"), F.lit(256))).orderBy("rank", "part")
     thin = rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= DOCUMENTS)
     last = Window.partitionBy("lang").orderBy("rank", "part")
