@@ -63,6 +63,46 @@ def test_very_common_vector_is_cut_into_blocks(spark, monkeypatch):
         assert [i for _, i in sorted(got[q])] == same
 
 
+def test_equal_vectors_tie_in_64_dimensions_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    rows = rng.normal(0, 1, (1200, 64))
+    rows[::3] = rows[0]
+    near = [i for i in range(0, 1200, 50) if i % 3]             # queries close to that vector
+    rows[near] = rows[0] + rng.normal(0, 0.3, (len(near), 64))
+    rows = rows.astype(np.float32).astype(float)
+    points = ann.usable(points_of(spark, rows))
+    got = {}
+    for r in ann.search(points, points.where("vec_id % 50 = 0")).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert len(got) == 24
+    for q, own in got.items():
+        assert [i for _, i, _ in sorted(own)] == [i for i in range(0, 1200, 3) if i != q][:5]
+        assert len({s for _, _, s in own}) == 1
+
+
+def test_scores_do_not_depend_on_the_block():
+    rng = np.random.default_rng(5)
+    common, query = rng.normal(0, 1, (2, 64))
+    found = set()
+    for n in (1, 2, 3, 5, 8, 17, 64, 255, 1000):
+        for at in sorted({0, n // 2, n - 1}):
+            rows = rng.normal(0, 0.01, (n, 64)) - query
+            rows[at] = common
+            own = ann._best(np.array([-1] * 7), np.tile(query, (7, 1)), np.arange(n), rows, 1)
+            assert {i for _, i, _ in own} == {at}
+            found |= {s for _, _, s in own}
+    assert len(found) == 1
+
+
+def test_own_id_is_left_out_of_equal_vectors():
+    rows = np.ones((9, 3))
+    ids = np.array([4, 4, 4, 4, 4, 4, 9, 7, 4])
+    got = ann._best(np.array([4, 7]), np.ones((2, 3)), ids, rows, 3)
+    assert [(q, i) for q, i, _ in got] == [(4, 7), (4, 9), (7, 4), (7, 4), (7, 4)]
+    assert ann._best(np.array([4]), np.ones((1, 3)), ids[:6], rows[:6], 3) == []
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (50, [0.0, 1.0], 1), (1, None, 1), (2, [0.0, 0.0], 1), (3, [nan, 1.0], 1), (4, [inf, 1.0], 1),

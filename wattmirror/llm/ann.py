@@ -24,6 +24,7 @@ BLOCK = 4_096                   # rows of a leaf that one group compares, on ave
 PROBES, AIM = 96, 0.97          # calibrating queries, and the recall they have to reach
 SEED = 5
 ROWS = 2_048                    # rows of one matrix product
+MARGIN = 1e-9                   # cosines this close to the k-th are scored anew; far above the noise of a product
 
 
 @dataclass
@@ -125,32 +126,70 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _best(q_ids, q, ids, rows, k) -> list[tuple[int, int, float]]:
-    """Per query its k nearest rows by cosine, ties to smaller ids, without rows of the query's own id."""
+    """Per query its k nearest rows by cosine, ties to smaller ids, without rows of the query's own id.
+
+    Products of whole blocks only choose candidates, as their last bits depend on the block: every vector within
+    MARGIN of the k-th product is scored anew by `_scores`. Equal vectors are one candidate with all their ids.
+    """
     out = []
+    if not len(rows):
+        return out
+    rows, own_ids = _distinct(ids, rows)
+    least, largest = (np.array([own[end] for own in own_ids]) for end in (0, -1))
     q_norm, norm = np.linalg.norm(q, axis=1), np.linalg.norm(rows, axis=1)
     for at in range(0, len(q), 256):
         score = (q[at:at + 256] @ rows.T) / (q_norm[at:at + 256, None] * norm[None, :])
         for i, s in enumerate(score):
             me = int(q_ids[at + i])
-            keep = np.flatnonzero(ids != me)
+            keep = np.flatnonzero((least != me) | (largest != me))
             if keep.size > k:
                 floor = np.partition(s[keep], keep.size - k)[keep.size - k]
-                keep = keep[s[keep] >= floor - 1e-12]
-            for j in keep[np.lexsort((ids[keep], -s[keep]))[:k]]:
-                out.append((me, int(ids[j]), float(s[j])))
+                keep = keep[s[keep] >= floor - MARGIN]
+            near = [(-x, v) for j, x in zip(keep.tolist(), _scores(q[at + i], rows[keep]).tolist())
+                    for v in _first_ids(own_ids[j], me, k)]
+            out += [(me, v, -x) for x, v in heapq.nsmallest(k, near)]
     return out
 
 
+def _distinct(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The different rows, and for each the sorted ids that have it."""
+    rows = np.ascontiguousarray(rows) + 0.0                                       # -0.0 becomes 0.0
+    _, first, label = np.unique(rows.view(np.dtype((np.void, rows.shape[1] * 8))).ravel(),
+                                return_index=True, return_inverse=True)
+    order = np.lexsort((ids, label))
+    return rows[first], np.split(ids[order], np.flatnonzero(np.diff(label[order])) + 1)
+
+
+def _first_ids(own: np.ndarray, me: int, k: int) -> list[int]:
+    """The k smallest of the sorted ids that are not `me`."""
+    a, b = np.searchsorted(own, me, "left"), np.searchsorted(own, me, "right")
+    return [*own[:min(a, k)].tolist(), *own[b:b + k].tolist()][:k]
+
+
+def _scores(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The cosine of the query with each row, in steps that treat every row alike: equal rows get equal scores."""
+    norm = np.sqrt(_sums(rows * rows)) * np.sqrt(_sums((query * query)[None, :]))
+    return _sums(rows * query) / norm
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums of rows by adding one half of the columns to the other, again and again.
+
+    Only additions of whole columns, so a sum depends on its row alone and not on the other rows or the row's place.
+    """
+    while x.shape[1] > 1:
+        half = x.shape[1] // 2
+        folded = x[:, :half] + x[:, half:2 * half]
+        x = np.concatenate([folded, x[:, 2 * half:]], axis=1)
+    return x[:, 0]
+
+
 def _pairs(out) -> pa.RecordBatch:
     q, v, s = zip(*out) if out else ((), (), ())
     return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())],
                                       ["query_id", "vec_id", "score"])
 
 
-def _exact_score(a: np.ndarray, b: np.ndarray) -> float:
-    return float(np.dot(a, b) / (np.sqrt(np.dot(a, a)) * np.sqrt(np.dot(b, b))))
-
-
 def brute(points: DataFrame, q_ids: np.ndarray, q: np.ndarray, k: int) -> DataFrame:
     """Each task's k nearest rows of its own for a bounded set of queries."""
     def run(batches):
