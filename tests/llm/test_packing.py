@@ -43,6 +43,36 @@ def test_ids_equal_the_tokenizer(tokenizer):
         assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+END_OF_TEXT = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", "x  <|endoftext|>  y\n", "\n<|endoftext|>\n\n z",
+               "<|endoftext|", "<<|endoftext|>>", "日本<|endoftext|>don't", "word " * 1500 + "<|endoftext|>" + " word" * 1500]
+
+
+@pytest.fixture(scope="module")
+def contract_tokenizer():
+    """As it is loaded, without encode_special_tokens."""
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_added_tokens_are_those_of_the_tokenizer(contract_tokenizer):
+    assert packing.ADDED == {t.content: i for i, t in contract_tokenizer.get_added_tokens_decoder().items()}
+
+
+def test_literal_added_token(docs_of, contract_tokenizer):
+    rng = random.Random(2)
+    bits = ["<|endoftext|>", " ", "  ", "\n", "a", "'s", "12", "é", "😀", "<|", "|>", "endoftext"]
+    texts = END_OF_TEXT + ["".join(rng.choice(bits) for _ in range(30)) for _ in range(300)]
+    encode = packing.encode_text(public_tokenizers.path(packing.RANKS))
+    for text in texts:
+        assert encode(text) == contract_tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    rows = packing.pack(docs_of([(i, text) for i, text in enumerate(texts)])).collect()
+    _, by_doc = check(rows)
+    for i, text in enumerate(texts):
+        ids = contract_tokenizer.encode(text, add_special_tokens=False).ids + [2]
+        own = sorted(by_doc[i], key=lambda r: r.piece)
+        assert [x for r in own for x in r.ids] == ids
+        assert [(r.start, r.length) for r in own] == packing.cut(len(ids))
+
+
 @pytest.mark.parametrize("n", [1, 1023, 1024, 1025, 2047, 2048, 2049, 5000])
 def test_cut(n):
     pieces = packing.cut(n)
