@@ -103,6 +103,19 @@ def test_own_id_is_left_out_of_equal_vectors():
     assert ann._best(np.array([4]), np.ones((1, 3)), ids[:6], rows[:6], 3) == []
 
 
+def test_each_vector_length_is_a_set_of_its_own(spark):
+    rng = np.random.default_rng(6)
+    rows = [rng.normal(0, 1, 4 if i % 7 == 0 else 6 if i == 150 else 8) for i in range(400)]
+    points = ann.usable(points_of(spark, rows))
+    got = {}
+    for r in ann.search(points, points.where("vec_id % 50 = 0")).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q in range(0, 400, 50):
+        ids = [i for i in range(400) if len(rows[i]) == len(rows[q])]
+        want = plain(ids, np.array([np.float32(rows[i]) for i in ids], dtype=float), ids.index(q), 5)
+        assert sorted(got.get(q, [])) == list(enumerate([i for i, _ in want], 1)) and len(want) == 5 * (q != 150)
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (50, [0.0, 1.0], 1), (1, None, 1), (2, [0.0, 0.0], 1), (3, [nan, 1.0], 1), (4, [inf, 1.0], 1),

@@ -8,6 +8,7 @@ is reached. Leaves with many rows are cut into blocks, and each block gives its
 
 from __future__ import annotations
 
+import functools
 import heapq
 from dataclasses import dataclass
 
@@ -210,16 +211,28 @@ def search(points: DataFrame, queries: DataFrame, k: int = 5, aim: float = AIM)
 
     points and queries are results of `usable`; a row is no candidate of a query with its own vec_id. Fewer than k
     rows are returned only if fewer candidates exist. Repeated ids are rows of their own. Empty sides give no rows.
+    Vectors of different lengths have no cosine: the rows of each length are a set with a tree of its own, made one
+    after the other, and a query's candidates are the rows of its own length.
     The index is written to the shared folder by leaf and block; the driver holds the sample, the tree and PROBES
     queries. All rows are indexed, and leaves of any size are compared in full.
     """
-    spark = points.sparkSession
-    schema = "query_id long, rank int, vec_id long, score double"
+    wide = F.size("v")
+    lengths = [r.n for r in queries.select(wide.alias("n")).distinct().orderBy("n").collect()]
+    parts = [_found(points.where(wide == n), queries.where(wide == n), n, k, aim) for n in lengths]
+    parts = [part for part in parts if part is not None]
+    if not parts:
+        return points.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return _top(functools.reduce(DataFrame.unionAll, parts), k) \
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _found(points: DataFrame, queries: DataFrame, wide: int, k: int, aim: float) -> DataFrame | None:
+    """(query_id, vec_id, score) of every group that a query meets, where all vectors are `wide` long; not yet cut to k."""
     sample = points.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
-    if not sample:
-        return spark.createDataFrame([], schema)
-    wide = len(sample[0].v)
-    tree = fit(np.array([r.v for r in sample if len(r.v) == wide]))
+    probes = queries.orderBy(F.xxhash64("vec_id", F.lit(2)), "vec_id").limit(PROBES).collect()
+    if not sample or not probes:
+        return None
+    tree = fit(np.array([r.v for r in sample]))
 
     def into_leaves(batches):
         for batch in batches:
@@ -228,12 +241,9 @@ def search(points: DataFrame, queries: DataFrame, k: int = 5, aim: float = AIM)
             leaf = np.concatenate(leaf) if leaf else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int32())], ["vec_id", "v", "leaf"])
 
-    placed = points.where(F.size("v") == wide).mapInArrow(into_leaves, "vec_id long, v array<double>, leaf int")
+    placed = points.mapInArrow(into_leaves, "vec_id long, v array<double>, leaf int")
     index = pin(placed.withColumn("salt", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(1 << 20)).cast("int")), "index")
     blocks = {r.leaf: -(-r["count"] // BLOCK) for r in index.groupBy("leaf").count().collect()}
-    probes = queries.where(F.size("v") == wide).orderBy(F.xxhash64("vec_id", F.lit(2)), "vec_id").limit(PROBES).collect()
-    if not probes:
-        return spark.createDataFrame([], schema)
     most = _calibrate(index, tree, blocks, probes, k, aim)
 
     def walk(batches):
@@ -250,7 +260,7 @@ def search(points: DataFrame, queries: DataFrame, k: int = 5, aim: float = AIM)
             yield pa.RecordBatch.from_arrays([*own.columns, pa.array(leaf, pa.int32()), pa.array(block, pa.int32())],
                                              ["vec_id", "v", "leaf", "block"])
 
-    asked = queries.where(F.size("v") == wide).mapInArrow(walk, "vec_id long, v array<double>, leaf int, block int")
+    asked = queries.mapInArrow(walk, "vec_id long, v array<double>, leaf int, block int")
     per_leaf = F.element_at(F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair]), F.col("leaf"))
     dealt = index.withColumn("block", F.pmod("salt", per_leaf).cast("int")) if any(b > 1 for b in blocks.values()) \
         else index.withColumn("block", F.lit(0))
@@ -264,9 +274,8 @@ def search(points: DataFrame, queries: DataFrame, k: int = 5, aim: float = AIM)
     def _table(out):
         return pa.Table.from_batches([_pairs(out)])
 
-    found = asked.groupBy("leaf", "block").cogroup(dealt.select("leaf", "block", "vec_id", "v").groupBy("leaf", "block")) \
+    return asked.groupBy("leaf", "block").cogroup(dealt.select("leaf", "block", "vec_id", "v").groupBy("leaf", "block")) \
         .applyInArrow(compare, "query_id long, vec_id long, score double")
-    return _top(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def _reached(tree: Tree, blocks: dict[int, int], unit: np.ndarray, most: int) -> list[int]:
