@@ -116,6 +116,31 @@ def test_each_vector_length_is_a_set_of_its_own(spark):
         assert sorted(got.get(q, [])) == list(enumerate([i for i, _ in want], 1)) and len(want) == 5 * (q != 150)
 
 
+def test_walks_go_on_until_k_rows_are_held(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LEAF_SAMPLE", 1)                  # leaves of one row each, four visits
+    rng = np.random.default_rng(7)
+    rows = rng.normal(0, 1, (300, 8))
+    points = ann.usable(points_of(spark, rows))
+    copies = points.where("vec_id = 50").crossJoin(spark.range(30)).select("vec_id", "v")
+    for table in (points, points.union(copies)):                # the own id of a query is no candidate, however often
+        asked = table.where("vec_id % 50 = 0").dropDuplicates(["vec_id"])
+        got = {}
+        for r in ann.search(table, asked, 5, aim=0.0).collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        assert sorted(map(len, got.values())) == [5] * 6 and all(q not in own for q, own in got.items())
+
+
+def test_empty_leaves_do_not_end_a_walk():
+    rng = np.random.default_rng(8)
+    tree = ann.fit(rng.normal(0, 1, (30_000, 4)))
+    walk = tree.visits(np.array([1.0, 0, 0, 0]), tree.leaves)
+    assert len(walk) > 100
+    held = {x: 2 for x in walk[90:]}
+    assert ann._reached(tree, held, np.array([1.0, 0, 0, 0]), 4, 3) == walk[90:94]
+    assert ann._reached(tree, held, np.array([1.0, 0, 0, 0]), 1, 5) == walk[90:93]
+    assert ann._reached(tree, {walk[-1]: 1}, np.array([1.0, 0, 0, 0]), 4, 6) == walk[-1:]
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (50, [0.0, 1.0], 1), (1, None, 1), (2, [0.0, 0.0], 1), (3, [nan, 1.0], 1), (4, [inf, 1.0], 1),

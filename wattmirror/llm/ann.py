@@ -3,13 +3,15 @@
 The tree is fitted on a bounded sample of the rows; every row is then put into a leaf. A query walks the tree best
 bin first: a priority queue holds branches by their closeness, and leaves are visited in that order. How many leaves
 suffice is calibrated: sample queries are compared with all rows, and visits are widened until the recall aimed at
-is reached. Leaves with many rows are cut into blocks, and each block gives its best rows for its queries.
+is reached; a walk goes on while its leaves hold fewer rows than asked for. Leaves with many rows are cut into blocks, and each block gives its best rows for its queries.
 """
 
 from __future__ import annotations
 
 import functools
 import heapq
+import itertools
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,18 +56,21 @@ class Tree:
                 node[rows] = first + near.argmax(axis=1)
 
     def visits(self, unit: np.ndarray, most: int) -> list[int]:
-        """Leaves for one query, best bin first."""
-        queue, found = [(-1.0, 0)], []
-        while queue and len(found) < most:
+        """The first leaves of a walk."""
+        return list(itertools.islice(self.walk(unit), most))
+
+    def walk(self, unit: np.ndarray) -> Iterator[int]:
+        """All leaves for one query, best bin first."""
+        queue = [(-1.0, 0)]
+        while queue:
             _, at = heapq.heappop(queue)
             if self.leaf[at] >= 0:
-                found.append(int(self.leaf[at]))
+                yield int(self.leaf[at])
                 continue
             first = int(self.child[at])
             near = self.centre[first:first + self.count[at]] @ unit
             for k, s in enumerate(near.tolist()):
                 heapq.heappush(queue, (-s, first + k))
-        return found
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -243,24 +248,27 @@ def _found(points: DataFrame, queries: DataFrame, wide: int, k: int, aim: float)
 
     placed = points.mapInArrow(into_leaves, "vec_id long, v array<double>, leaf int")
     index = pin(placed.withColumn("salt", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(1 << 20)).cast("int")), "index")
-    blocks = {r.leaf: -(-r["count"] // BLOCK) for r in index.groupBy("leaf").count().collect()}
+    held = {r.leaf: r["count"] for r in index.groupBy("leaf").count().collect()}
+    blocks = {x: -(-n // BLOCK) for x, n in held.items()}
+    repeated = index.groupBy("vec_id").agg(F.count("*").alias("own")).where("own > 1")
+    counted = queries.join(repeated, "vec_id", "left").select("vec_id", "v", F.coalesce("own", F.lit(1)).alias("own"))
     most = _calibrate(index, tree, blocks, probes, k, aim)
 
     def walk(batches):
         for batch in batches:
             rows, leaf, block = [], [], []
             unit = _unit(_matrix(batch.column(1))) if batch.num_rows else []
-            for i, u in enumerate(unit):
-                for x in _reached(tree, blocks, u, most):
-                    for b in range(blocks.get(x, 0)):
+            for i, (u, own) in enumerate(zip(unit, batch.column(2).to_pylist())):
+                for x in _reached(tree, held, u, most, k + own):
+                    for b in range(blocks[x]):
                         rows.append(i)
                         leaf.append(x)
                         block.append(b)
-            own = batch.take(pa.array(rows, pa.int64()))
+            own = batch.select(["vec_id", "v"]).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([*own.columns, pa.array(leaf, pa.int32()), pa.array(block, pa.int32())],
                                              ["vec_id", "v", "leaf", "block"])
 
-    asked = queries.mapInArrow(walk, "vec_id long, v array<double>, leaf int, block int")
+    asked = counted.mapInArrow(walk, "vec_id long, v array<double>, leaf int, block int")
     per_leaf = F.element_at(F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair]), F.col("leaf"))
     dealt = index.withColumn("block", F.pmod("salt", per_leaf).cast("int")) if any(b > 1 for b in blocks.values()) \
         else index.withColumn("block", F.lit(0))
@@ -278,10 +286,16 @@ def _found(points: DataFrame, queries: DataFrame, wide: int, k: int, aim: float)
         .applyInArrow(compare, "query_id long, vec_id long, score double")
 
 
-def _reached(tree: Tree, blocks: dict[int, int], unit: np.ndarray, most: int) -> list[int]:
-    """The first `most` leaves of a walk that hold rows at all."""
-    walk = tree.visits(unit, tree.leaves if most >= tree.leaves else most + 64)
-    return [x for x in walk if x in blocks][:most]
+def _reached(tree: Tree, held: dict[int, int], unit: np.ndarray, most: int, want: int) -> list[int]:
+    """The first `most` leaves of a walk that hold rows at all, and further ones until they hold `want` rows."""
+    found, rows = [], 0
+    for x in tree.walk(unit):
+        if len(found) >= most and rows >= want:
+            break
+        if x in held:
+            found.append(x)
+            rows += held[x]
+    return found
 
 
 def _calibrate(index: DataFrame, tree: Tree, blocks: dict[int, int], probes, k: int, aim: float) -> int:
