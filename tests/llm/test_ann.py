@@ -141,6 +141,29 @@ def test_empty_leaves_do_not_end_a_walk():
     assert ann._reached(tree, {walk[-1]: 1}, np.array([1.0, 0, 0, 0]), 4, 6) == walk[-1:]
 
 
+def test_queries_of_a_leaf_are_cut_into_parts(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    points = ann.usable(points_of(spark, rng.normal(0, 1, (1500, 6))))
+    asked = points.where("vec_id % 3 = 0")
+
+    def found():
+        return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ann.search(points, asked).collect())
+
+    whole, groups, deal = found(), [], ann._dealt
+    monkeypatch.setattr(ann, "BLOCK", 128)
+    monkeypatch.setattr(ann, "ASKED", 32)
+
+    def watched(*given):
+        left, right = deal(*given)
+        for side, most in ((left, 32), (right, 128)):
+            groups.append(max(r["count"] for r in side.groupBy("leaf", "block", "part").count().collect()) / most)
+        return left, right
+
+    monkeypatch.setattr(ann, "_dealt", watched)
+    assert found() == whole and len(whole) == 2500
+    assert max(groups) < 2
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (50, [0.0, 1.0], 1), (1, None, 1), (2, [0.0, 0.0], 1), (3, [nan, 1.0], 1), (4, [inf, 1.0], 1),

@@ -3,7 +3,8 @@
 The tree is fitted on a bounded sample of the rows; every row is then put into a leaf. A query walks the tree best
 bin first: a priority queue holds branches by their closeness, and leaves are visited in that order. How many leaves
 suffice is calibrated: sample queries are compared with all rows, and visits are widened until the recall aimed at
-is reached; a walk goes on while its leaves hold fewer rows than asked for. Leaves with many rows are cut into blocks, and each block gives its best rows for its queries.
+is reached; a walk goes on while its leaves hold fewer rows than asked for. Leaves with many rows, and the queries of
+a leaf, are cut into blocks; a group compares one block of rows with one of queries.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from wattmirror.llm.common import pin
 SAMPLE = 16_384                 # rows the tree is fitted on, those of least vec_id hash
 BRANCH, LEAF_SAMPLE = 8, 256    # children of a node; a node with at most so many sample rows is a leaf
 BLOCK = 4_096                   # rows of a leaf that one group compares, on average
+ASKED = 16_384                  # queries of a leaf that one group compares, on average
 PROBES, AIM = 96, 0.97          # calibrating queries, and the recall they have to reach
 SEED = 5
 ROWS = 2_048                    # rows of one matrix product
@@ -256,22 +258,20 @@ def _found(points: DataFrame, queries: DataFrame, wide: int, k: int, aim: float)
 
     def walk(batches):
         for batch in batches:
-            rows, leaf, block = [], [], []
+            rows, leaf = [], []
             unit = _unit(_matrix(batch.column(1))) if batch.num_rows else []
             for i, (u, own) in enumerate(zip(unit, batch.column(2).to_pylist())):
-                for x in _reached(tree, held, u, most, k + own):
-                    for b in range(blocks[x]):
-                        rows.append(i)
-                        leaf.append(x)
-                        block.append(b)
+                reached = _reached(tree, held, u, most, k + own)
+                rows += [i] * len(reached)
+                leaf += reached
             own = batch.select(["vec_id", "v"]).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(leaf, pa.int32()), pa.array(block, pa.int32())],
-                                             ["vec_id", "v", "leaf", "block"])
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(leaf, pa.int32())], ["vec_id", "v", "leaf"])
 
-    asked = counted.mapInArrow(walk, "vec_id long, v array<double>, leaf int, block int")
-    per_leaf = F.element_at(F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair]), F.col("leaf"))
-    dealt = index.withColumn("block", F.pmod("salt", per_leaf).cast("int")) if any(b > 1 for b in blocks.values()) \
-        else index.withColumn("block", F.lit(0))
+    asked = counted.mapInArrow(walk, "vec_id long, v array<double>, leaf int")
+    parts = dict.fromkeys(held, 1)
+    if queries.count() > ASKED:
+        parts |= {r.leaf: -(-r["count"] // ASKED) for r in asked.groupBy("leaf").count().collect()}
+    left, right = _dealt(asked, index, blocks, parts)
 
     def compare(key, left, right):
         if not left.num_rows or not right.num_rows:
@@ -282,10 +282,28 @@ def _found(points: DataFrame, queries: DataFrame, wide: int, k: int, aim: float)
     def _table(out):
         return pa.Table.from_batches([_pairs(out)])
 
-    return asked.groupBy("leaf", "block").cogroup(dealt.select("leaf", "block", "vec_id", "v").groupBy("leaf", "block")) \
+    groups = ["leaf", "block", "part"]
+    return left.groupBy(*groups).cogroup(right.groupBy(*groups)) \
         .applyInArrow(compare, "query_id long, vec_id long, score double")
 
 
+def _dealt(asked: DataFrame, index: DataFrame, blocks: dict[int, int], parts: dict[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Queries and rows by leaf, block of rows and part of queries: every query of a leaf meets every row of it once."""
+    def per_leaf(numbers):
+        if max(numbers.values()) == 1:
+            return F.lit(1)
+        return F.element_at(F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair]), F.col("leaf"))
+
+    def each(numbers):
+        return F.explode(F.sequence(F.lit(0), per_leaf(numbers) - 1))
+
+    left = asked.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(3)), per_leaf(parts)).cast("int")) \
+        .withColumn("block", each(blocks))
+    right = index.withColumn("block", F.pmod("salt", per_leaf(blocks)).cast("int")).withColumn("part", each(parts))
+    names = ["leaf", "block", "part", "vec_id", "v"]
+    return left.select(*names), right.select(*names)
+
+
 def _reached(tree: Tree, held: dict[int, int], unit: np.ndarray, most: int, want: int) -> list[int]:
     """The first `most` leaves of a walk that hold rows at all, and further ones until they hold `want` rows."""
     found, rows = [], 0
