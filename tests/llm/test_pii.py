@@ -127,6 +127,46 @@ def test_tagger_adds_local_spellings_and_leaves_other_numbers(tagger):
     assert found >= 50 and wrong == 0
 
 
+class Knowing:
+    """Marks what is between spaces as an address; where a window begins inside it cannot tell beginning from inner."""
+
+    def marginals(self, x):
+        steps, n = x.shape
+        blank = np.isin(x, [pii.classes_of(" ")[0], pii.PAD])
+        chance = np.full((steps, n, 9), 0.001)
+        path = np.zeros((steps, n), dtype=np.int8)
+        for t in range(steps):
+            for w in range(n):
+                path[t, w] = 0 if blank[t, w] else 1 if t == 0 or blank[t - 1, w] else 2
+                chance[t, w, path[t, w]] = 0.992
+        return chance, path
+
+
+@pytest.mark.parametrize("size", [20, 26, 40, 47, 48, 60, 130])
+def test_spans_of_any_length_at_any_offset(size):
+    local, domain = "x" * (size // 2 - 1) + "é", "b" * (size - size // 2 - 4) + ".de"
+    for offset in range(pii.LENGTH + 1):
+        for after in ("", " and more words to come"):
+            text = "  " + " " * offset + f"{local}@{domain}" + after
+            base, spans = pii.find_spans([text, "a 1"], Knowing())[0]
+            assert base == [] and spans == [(0, 2 + offset, 2 + offset + size)], (offset, after)
+
+
+def test_windows_vote_on_a_span():
+    """A span that one window sees and the other, more central one does not, is left out."""
+    text = " " * 26 + "xxxxé@bb.de" + " " * 30
+    found = Knowing().marginals
+
+    class Half:
+        def marginals(self, x):
+            chance, path = found(x)
+            path[:, 1], chance[:, 1] = 0, np.eye(9)[0]
+            return chance, path
+
+    assert pii.find_spans([text], Knowing())[0][1] == [(0, 26, 37)]
+    assert pii.find_spans([text], Half())[0][1] == []
+
+
 def test_base_spans_stay_whatever_the_tagger_says(tagger):
     text = "mail a.b@c.de, call +1 (988) 555-2485 or 10.0.0.1 with 4111 1111 1111 1111"
     base, spans = pii.find_spans([text], tagger)[0]

@@ -3,12 +3,16 @@
 The tagger is trained in numpy from labelled spans: what the rules find in a bounded sample of windows, with phone
 numbers also rewritten in spellings the rules do not know. Every span of the four kinds holds a digit or an @, so a
 decoded span without one is never valid. Windows therefore run, overlapping by half, over all of the text near such
-characters; elsewhere there is nothing that decoding could yield. All windows of a document vote, and the spans
-are reconciled over the whole document: rule spans stay, then the heaviest set of tagger spans that do not overlap.
+characters, and over the whole stretch that a span with them could take; elsewhere there is nothing that decoding
+could yield. Windows vote per character: their tag probabilities are averaged, those far from a border counting more.
+Spans come from single windows and from the averages, so that they may be longer than a window, and all are weighted
+by the averages. They are reconciled over the whole document: rule spans stay, then the heaviest set of tagger spans
+that do not overlap.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
@@ -34,7 +38,8 @@ NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-ANCHOR = re.compile(r"[0-9@]+")
+NUMERIC = re.compile(r"[0-9(][\x20().0-9-]*")
+SPACE = re.compile(r"\s")
 LOCAL_PHONE = re.compile(r"\(?[0-9][\x20().0-9-]+[0-9]")
 
 Span = tuple[int, int, int]    # kind, start, end
@@ -92,13 +97,29 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def _stretches(text: str) -> list[tuple[int, int]]:
+    """Where spans can lie: what stands between white space around an @, and digits with signs between them."""
+    found, at = [], text.find("@")
+    while at >= 0:
+        start, least = at, found[-1][1] if found else 0
+        while start > least and not text[start - 1].isspace():
+            start -= 1
+        space = SPACE.search(text, at)
+        found.append((start, space.start() if space else len(text)))
+        at = text.find("@", found[-1][1])
+    for m in NUMERIC.finditer(text):
+        own = m.group().rstrip(" ().-")
+        if own:
+            found.append((m.start(), m.start() + len(own)))
+    return sorted(found)
+
+
 def _starts(text: str) -> list[int]:
     """Starts of the overlapping windows that cover every stretch with a digit or an @."""
     half, starts, last = LENGTH // 2, [], -1
-    for m in ANCHOR.finditer(text):
-        for k in range(max(last + 1, m.start() // half - 1), (m.end() - 1) // half + 1):
-            if k >= 0:
-                starts.append(k * half)
+    for a, b in _stretches(text):
+        for k in range(max(last + 1, a // half - 1), (b - 1) // half + 1):
+            starts.append(k * half)
             last = k
     return starts
 
@@ -209,9 +230,9 @@ def _plausible(kind: int, text: str) -> bool:
         not NUMBERS.fullmatch(text) and not re.fullmatch(r"[0-9]{4}(?:[ -][0-9]{4})+", text))
 
 
-def _decode(starts: list[int], chance: np.ndarray, path: np.ndarray) -> list[tuple[float, Span]]:
-    """Spans on the best paths, weighted by mean tag probability; cut-off spans at inner borders are left out."""
-    found: dict[Span, float] = {}
+def _decode(starts: list[int], path: np.ndarray) -> set[Span]:
+    """Spans on the best paths of single windows; those cut off at a border are left to `_voted`."""
+    found: set[Span] = set()
     for w, start in enumerate(starts):
         tags = path[:, w]
         t = 0
@@ -221,14 +242,53 @@ def _decode(starts: list[int], chance: np.ndarray, path: np.ndarray) -> list[tup
                 while end < LENGTH and tags[end] == tags[t] + 1:
                     end += 1
                 if end < LENGTH:
-                    kind = int(tags[t]) // 2
-                    p = float(chance[np.arange(t, end), w, tags[t:end]].mean())
-                    key = (kind, start + t, start + end)
-                    found[key] = max(found.get(key, 0.0), p)
+                    found.add((int(tags[t]) // 2, start + t, start + end))
                 t = end
             else:
                 t += 1
-    return [(p, s) for s, p in found.items()]
+    return found
+
+
+WEIGHT = np.minimum(np.arange(1, LENGTH + 1), np.arange(LENGTH, 0, -1)).astype(np.float32)
+
+
+def _votes(starts: np.ndarray, chance: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Per run of windows half a length apart: its start and the average tag probabilities of its characters."""
+    half, out = LENGTH // 2, []
+    weighted = (chance * WEIGHT[:, None, None]).transpose(1, 0, 2)
+    for own in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(starts) != half) + 1):
+        total = np.zeros((own.size + 1, half, chance.shape[2]), dtype=np.float32)
+        total[:-1] += weighted[own, :half]
+        total[1:] += weighted[own, half:]
+        mean = total / total.sum(axis=2, keepdims=True)
+        out.append((int(starts[own[0]]), mean.reshape(-1, chance.shape[2])))
+    return out
+
+
+def _voted(start: int, mean: np.ndarray, size: int) -> list[Span]:
+    """Spans on the averages: runs of one kind, cut where a beginning is likelier than an inner character."""
+    first, inner = mean[:, 1::2], mean[:, 2::2]
+    kinds = np.concatenate([mean[:, :1], first + inner], axis=1).argmax(axis=1)
+    new = kinds[1:] != kinds[:-1]
+    at = np.arange(1, len(kinds))
+    new |= (kinds[1:] > 0) & (mean[at, 2 * kinds[1:] - 1] > mean[at, 2 * kinds[1:]])
+    begin = np.concatenate([[0], np.flatnonzero(new) + 1])
+    end = np.append(begin[1:], len(kinds))
+    return [(int(kinds[a]) - 1, start + a, min(start + b, size)) for a, b in zip(begin.tolist(), end.tolist())
+            if kinds[a] and (b < len(kinds) or start + b >= size) and start + a < size]
+
+
+def _candidates(text: str, starts: list[int], chance: np.ndarray, proposed: set[Span]) -> list[tuple[float, Span]]:
+    """Proposed spans and those of the averages, weighted by mean average probability of their tags."""
+    votes = _votes(np.array(starts), chance)
+    begins = [start for start, _ in votes]
+    spans = proposed.union(*[_voted(start, mean, len(text)) for start, mean in votes])
+    out = []
+    for kind, a, b in spans:
+        start, mean = votes[bisect.bisect_right(begins, a) - 1]
+        p = mean[a - start, 1 + 2 * kind] + mean[a + 1 - start:b - start, 2 + 2 * kind].sum()
+        out.append((float(p) / (b - a), (kind, a, b)))
+    return out
 
 
 def _reconcile(text: str, base: list[Span], candidates: list[tuple[float, Span]]) -> list[Span]:
@@ -258,6 +318,8 @@ def find_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span]
     starts = [_starts(t) if tagger else [] for t in texts]
     owners = [(i, s) for i, own in enumerate(starts) for s in own]
     added: dict[int, list[tuple[float, Span]]] = {}
+    chances: list[np.ndarray] = []
+    proposed: set[Span] = set()
     for at in range(0, len(owners), 2048):
         part = owners[at:at + 2048]
         x = np.stack([_window(texts[i], s) for i, s in part]).T.astype(np.int64)
@@ -268,8 +330,11 @@ def find_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span]
             while end < len(part) and part[end][0] == part[col][0]:
                 end += 1
             i = part[col][0]
-            added.setdefault(i, []).extend(
-                _decode([s for _, s in part[col:end]], chance[:, col:end], path[:, col:end]))
+            chances.append(chance[:, col:end].astype(np.float32))
+            proposed |= _decode([s for _, s in part[col:end]], path[:, col:end])
+            if part[end - 1][1] == starts[i][-1]:                                # all windows of the text are there
+                added[i] = _candidates(texts[i], starts[i], np.concatenate(chances, axis=1), proposed)
+                chances, proposed = [], set()
             col = end
     out = []
     for i, text in enumerate(texts):
