@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattmirror.llm import (ann, langid, mixing, packing, pii, quality, sharding, simhash, suffixes, toxicity)
+from wattmirror.llm import (ann, collocations, conversations, langid, mixing, packing, pii, quality, sharding, simhash,
+                            suffixes, toxicity, urlfilter)
 from wattmirror.llm.common import read, split_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +96,23 @@ def op10(spark, sf_dir):
     return quality.judge(read(spark, sf_dir, "documents"), ["doc_id"])
 
 
+@query("op11_url_filter", urlfilter.ORACLE)
+def op11(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages")
+    return urlfilter.judge(pages, urlfilter.labelled(pages), ["page_id"])
+
+
+@query("op12_collocations", collocations.ORACLE)
+def op12(spark, sf_dir):
+    return collocations.rank(read(spark, sf_dir, "documents"))
+
+
+@query("op13_conversation_repair")
+def op13(spark, sf_dir):
+    turns = read(spark, sf_dir, "conversations")
+    return conversations.report(conversations.damage(turns), turns)
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
