@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import datetime
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -17,13 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattmirror.functions.values import float_or
+from wattmirror.operators.settling import REMAINING_CHILD, REMAINING_PARENT, Graphs
+from wattmirror.plans.components import components
 from wattmirror.plans.ordered import ordered_scan
 from wattmirror.plans.pinned import pin
 
 # Unit prefixes, and the spans in days above which coarser periods are used.
 PREFIX = {"m": 1e-3, "k": 1e3, "M": 1e6, "G": 1e9, "T": 1e12}
 MONTH_ABOVE_DAYS, DAY_ABOVE_DAYS = 35, 2
-REMAINING_PARENT, REMAINING_CHILD = "remaining_parent", "remaining_child"
+SNAPSHOT_EDGES = 100_000       # shared edges of a snapshot above which its components are found
 
 
 def residual(totals: DataFrame, parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -126,8 +127,8 @@ def allocate_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     ``nodes``: snapshot_at, node, kind, value and, where remaining nodes have linked ones, linked
     (see ``linked_sums``; entities take theirs in beforehand, by ``combine_nodes``); ``edges``:
     snapshot_at, edge_no, parent, child, cap. A parent whose children have no other parent depends on nobody else, so its edges are
-    a clamped running sum, which scales whatever the size of one snapshot. Only edges whose
-    endpoints are really shared are walked one by one, grouped by snapshot.
+    a clamped running sum, which scales whatever the size of one snapshot. Edges whose endpoints
+    are really shared are settled in waves of running sums, a connected graph at a time.
     """
     edges = edges.select("snapshot_at", "edge_no", "parent", "child", "cap")
     told = ["kind", "value", *(["linked"] if "linked" in nodes.columns else [])]
@@ -157,133 +158,71 @@ def _allocate_stars(stars: DataFrame) -> DataFrame:
                          F.least("demand", left).cast("double").alias("flow"))
 
 
-def _allocate_shared(shared: DataFrame) -> DataFrame:
-    """Shared edges, whole snapshots per task. A snapshot holds the edges of one flow graph."""
+def _allocate_shared(shared: DataFrame, most: int = SNAPSHOT_EDGES) -> DataFrame:
+    """Shared edges, a whole graph per group: a snapshot, or a component of one with more than ``most`` edges."""
     snapshot = shared.schema["snapshot_at"].dataType.simpleString()
     parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbers = {c: F.col(c).cast("double") for c in shared.columns if c == "cap" or c.endswith(("_value", "_linked"))}
-    return (shared.withColumns(numbers).withColumn("edge_no", F.col("edge_no").cast("bigint"))
-                  .repartition(parts, "snapshot_at").sortWithinPartitions("snapshot_at", "edge_no")
+    return (_graphs(shared, most).withColumns(numbers).withColumn("edge_no", F.col("edge_no").cast("bigint"))
+                  .repartition(parts, "snapshot_at", "graph").sortWithinPartitions("snapshot_at", "graph", "edge_no")
                   .mapInPandas(_settle_snapshots, EDGE_OUT.format(snapshot=snapshot)))
 
 
+def _graphs(shared: DataFrame, most: int) -> DataFrame:
+    """The edges with the graph they belong to. No flow depends on edges of another component, so those of a large
+    snapshot are settled apart from each other; the driver sees how many snapshots are large."""
+    large = pin(shared.groupBy("snapshot_at").count().where(F.col("count") > most).select("snapshot_at"), "large")
+    if not large.count():
+        return shared.withColumn("graph", F.lit(""))
+    roots = components(shared.join(large, "snapshot_at", "left_semi"), ["snapshot_at"], "parent", "child")
+    return shared.join(roots.select("snapshot_at", F.col("node").alias("parent"), F.col("root").alias("graph")).hint("merge"),
+                       ["snapshot_at", "parent"], "left").withColumn("graph", F.coalesce("graph", F.lit("")))
+
+
 def _settle_snapshots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Settle snapshot after snapshot of a sorted partition; one may straddle two batches."""
+    """Settle graph after graph of a sorted partition; one may straddle batches."""
     rest: list[pd.DataFrame] = []
     for batch in batches:
         if batch.empty:
             continue
-        if rest and (batch["snapshot_at"] == rest[0]["snapshot_at"].iat[0]).all():
+        starts = _starts([*rest[-1:], batch])
+        if rest and starts.size == 1:
             rest.append(batch)
             continue
         rows = pd.concat([*rest, batch], ignore_index=True)
-        starts = np.flatnonzero((rows["snapshot_at"] != rows["snapshot_at"].shift()).to_numpy())
-        yield _settle_rows(rows.iloc[:starts[-1]], starts)
-        rest = [rows.iloc[starts[-1]:]]
+        last = _starts([rows])[-1]
+        if last:
+            yield _settle_rows(rows.iloc[:last])
+        rest = [rows.iloc[last:]]
     if rest:
-        rows = pd.concat(rest, ignore_index=True)
-        yield _settle_rows(rows, np.array([0, len(rows)]))
+        yield _settle_rows(pd.concat(rest, ignore_index=True))
 
 
-def _settle_rows(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-    columns = [rows[c].tolist() for c in ("parent", "child", "parent_kind", "child_kind", "parent_value", "child_value",
-                                          "cap", "parent_linked", "child_linked") if c in rows]
-    flow: list[float] = []
-    for lo, hi in zip(starts[:-1], starts[1:]):
-        flow += _settle(*[c[lo:hi] for c in columns])
-    return rows[["snapshot_at", "edge_no", "parent", "child"]].assign(flow=flow)
+def _starts(pieces: list[pd.DataFrame]) -> np.ndarray:
+    """Where the graphs begin in rows that follow each other; of a piece before the last, only its last row counts."""
+    rows = pd.concat([*(p.iloc[-1:] for p in pieces[:-1]), pieces[-1]], ignore_index=True)
+    new = np.zeros(len(rows), dtype=bool)
+    for key in ("snapshot_at", "graph"):
+        if key in rows:
+            new |= (rows[key] != rows[key].shift()).to_numpy()
+    return np.flatnonzero(new)
 
 
-def _settle(parents, children, parent_kind, child_kind, parent_value, child_value, caps,
-            parent_linked=(), child_linked=()) -> list[float]:
-    """Flows of one snapshot's shared edges, given in order.
+def _settle_rows(rows: pd.DataFrame) -> pd.DataFrame:
+    starts = _starts([rows])
+    graph = np.repeat(np.arange(starts.size), np.diff(np.append(starts, len(rows))))
+    told = [rows[c] if c in rows else None for c in _TOLD]
+    return rows[["snapshot_at", "edge_no", "parent", "child"]].assign(flow=Graphs(graph, *told).flows())
 
-    An edge touching a remaining node waits for the other edges of the node it competes for, so
-    remaining nodes only get what is left. The waiting is a stack, not recursion. Every list of edges
-    is gone through once: whoever comes to it later goes on where the others stopped, as what lies
-    before has been started. So the time is in proportion to the edges.
 
-    A remaining node with linked nodes is worth its sum and what they make of it. The edge that completes the sum was
-    given without that limit, so it is judged a second time; the node keeps the worth it had then.
-    """
-    number = lambda v: 0.0 if v is None or v != v else max(v, 0.0)
-    kind = dict(zip(parents, parent_kind)) | dict(zip(children, child_kind))
-    own = dict(zip(parents, map(number, parent_value))) | dict(zip(children, map(number, child_value)))
-    linked = {n: x for n, x in chain(zip(parents, parent_linked), zip(children, child_linked))
-              if x is not None and x == x}
-    out_of: dict[str, list[int]] = {}
-    into: dict[str, list[int]] = {}
-    for i, (p, c) in enumerate(zip(parents, children)):
-        out_of.setdefault(p, []).append(i)
-        into.setdefault(c, []).append(i)
-
-    flow: list[float | None] = [None] * len(parents)
-    started = [False] * len(parents)
-    given = dict.fromkeys(out_of, 0.0)
-    taken = dict.fromkeys(into, 0.0)
-
-    # What a remaining node is worth: the flows on its other side, once the last of them is known.
-    other_side = {n: into.get(n, []) if k == REMAINING_PARENT else out_of.get(n, [])
-                  for n, k in kind.items() if k in (REMAINING_PARENT, REMAINING_CHILD)}
-    unknown = {n: len(edges) for n, edges in other_side.items()}
-    total = lambda node: max(0.0, sum(flow[j] for j in other_side[node]) + linked.get(node, 0.0))
-    summed = {n: total(n) for n, edges in other_side.items() if not edges}
-
-    def worth(node: str) -> float:
-        if node not in other_side:
-            return own[node]
-        return float("inf") if unknown[node] else summed[node]
-
-    ahead_into = {n: iter(edges) for n, edges in into.items()}
-    ahead_out = {n: iter(edges) for n, edges in out_of.items()}
-
-    def rivals(node: str) -> Iterator[int]:
-        if kind[node] == REMAINING_CHILD:
-            for j in out_of.get(node, []):
-                yield from ahead_into[children[j]]
-        elif kind[node] == REMAINING_PARENT:
-            for j in into.get(node, []):
-                yield from ahead_out[parents[j]]
-
-    rivals_of = {n: rivals(n) for n in kind}
-    waits_for = lambda i: chain(rivals_of[parents[i]], rivals_of[children[i]])
-
-    def passing(i: int) -> float:
-        room = max(0.0, worth(parents[i]) - given[parents[i]])
-        need = max(0.0, worth(children[i]) - taken[children[i]])
-        limit = float("inf") if caps[i] is None or caps[i] != caps[i] else number(caps[i])
-        return min(room, need, limit) if room and need else 0.0
-
-    def settle(i: int) -> None:
-        p, c = parents[i], children[i]
-        flow[i] = passing(i)
-        again = False
-        for node, role in ((p, REMAINING_CHILD), (c, REMAINING_PARENT)):
-            if kind[node] == role:
-                unknown[node] -= 1
-                if not unknown[node]:
-                    summed[node] = total(node)
-                    again |= node in linked
-        if again:
-            flow[i] = passing(i)
-        given[p] += flow[i]
-        taken[c] += flow[i]
-
-    for first in range(len(parents)):
-        if started[first]:
-            continue
-        started[first] = True
-        stack = [(first, waits_for(first))]
-        while stack:
-            i, pending = stack[-1]
-            rival = next((j for j in pending if not started[j]), None)
-            if rival is None:
-                settle(i)
-                stack.pop()
-            else:
-                started[rival] = True
-                stack.append((rival, waits_for(rival)))
-    return flow
+_TOLD = ("parent", "child", "parent_kind", "child_kind", "parent_value", "child_value", "cap", "parent_linked", "child_linked")
+
+
+def _settle(parents, children, parent_kind, child_kind, parent_value, child_value, caps,
+            parent_linked=None, child_linked=None) -> list[float]:
+    """Flows of the shared edges of one graph, given in order."""
+    return Graphs(np.zeros(len(parents), dtype=np.int64), parents, children, parent_kind, child_kind, parent_value,
+                  child_value, caps, parent_linked, child_linked).flows().tolist()
 
 
 def passthrough_flows(allocated: DataFrame, via: DataFrame) -> DataFrame:
