@@ -154,6 +154,10 @@ def test_stored_sync_touches_its_months_and_checks_what_it_wrote(spark, tmp_path
     assert (total.rows_inserted, total.rows_updated) == (1, 1)
     assert files("2024-01") == before[0] and files("2024-03") != before[1]
     assert sync.verify_stored(path, *source(spark, revised), catalog, periods).isEmpty()
+    marks = sync.read_beside(spark, path, "watermarks", done.watermarks.schema.simpleString()[7:-1].replace(":", " "))
+    assert sorted(marks.collect()) == sorted(step.watermarks.collect())
+    run = sync.read_beside(spark, path, "counts", "statistic_id string, rows_inserted bigint, rows_updated bigint, finished_at timestamp")
+    assert [tuple(r)[1:] for r in run.where("statistic_id IS NULL").collect()] == [(1, 1, NOW)]
 
     bad = src.pin_source(merge.read_facts(spark, path).withColumn(
         "sum", F.when((F.col("statistic_id") == "n") & (F.col("sum") == 7), 7.5).otherwise(F.col("sum"))))

@@ -160,14 +160,14 @@ def upserted(spark, sf_dir):
 SELECT statistic_id, start_at, CASE WHEN merge_label IN ('inserted', 'updated') THEN new_sum ELSE old_sum END AS sum
 FROM lab"""))
 def merged_path(spark, sf_dir):
-    """The stored form: month partitions, only the touched ones rewritten."""
+    """The stored form: only what changed is written, beside the months it falls into."""
     import uuid
 
     from wattmirror.session import work_dir
     path = f"{work_dir(spark)}/facts-{uuid.uuid4().hex}"
     merge.write_months(mirror_table(spark, sf_dir), path)
     merge.merge_into_path(path, incoming_rows(spark, sf_dir), F.lit(NOW))
-    return spark.read.parquet(path).select("statistic_id", "start_at", "sum")
+    return merge.read_months(spark, path).select("statistic_id", "start_at", "sum")
 
 
 @check("snk_02_upsert_latest", f"""

@@ -2,33 +2,34 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattmirror.functions.values import distinct_from
+from wattmirror.plans import monthly
 from wattmirror.plans.pinned import pin
-from wattmirror.session import work_dir
 from wattmirror.sources.statistics import FACT_KEY, assert_unique
 
 # The stored columns, and those that decide whether a row has changed.
 FACT_SCHEMA = ("statistic_id string, start_at timestamp, grain string, mean double, mean_weight double, min double, "
                "max double, state double, sum double, last_reset_at timestamp, synced_at timestamp")
+MOST_CHANGES = 24              # of a month, above which a merge writes it whole again
 COMPARED = ["grain", "mean", "mean_weight", "min", "max", "state", "sum", "last_reset_at"]
 
 
 def label_merge(target: DataFrame, incoming: DataFrame, keys: list[str], compared: list[str],
-                now: Column) -> DataFrame:
-    """Full outer merge with a ``merge_label`` per row: inserted, updated, unchanged, kept.
+                now: Column, how: str = "full_outer") -> DataFrame:
+    """Merge with a ``merge_label`` per row: inserted, updated, unchanged, kept.
 
-    Only inserted and updated rows take the incoming values and a new ``synced_at``.
+    Only inserted and updated rows take the incoming values and a new ``synced_at``. With ``how`` "right_outer"
+    rows that did not come are left out.
     """
     old = target.select(*keys, F.struct(*compared, "synced_at").alias("__old"))
     new = incoming.select(*keys, F.struct(*compared).alias("__new"))
-    joined = old.join(new, keys, "full_outer")
+    joined = old.join(new, keys, how)
     was, comes = F.col("__old").isNotNull(), F.col("__new").isNotNull()
     old_values = F.struct(*[F.col(f"__old.{c}") for c in compared])
     label = (F.when(~was, "inserted").when(~comes, "kept")
@@ -72,15 +73,12 @@ def upsert_latest(target: DataFrame, incoming: DataFrame, keys: list[str], arriv
 
 
 def write_months(facts: DataFrame, path: str) -> None:
-    """Store facts by month of start_at, replacing the months that occur.
-
-    Rows are range-partitioned, so a metric with most of the rows is spread over many tasks, and
-    each file covers a narrow range of metrics and times for min/max skipping.
-    """
-    order = ["month", "statistic_id", "start_at"]
-    (with_month(facts).repartitionByRange(*order).sortWithinPartitions(*order)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month").parquet(path))
+    """Store facts by month of start_at, replacing the months that occur, all at once."""
+    spark = facts.sparkSession
+    held = monthly.current(spark, path)
+    folder = monthly.next_folder(held)
+    monthly.write_rows(with_month(facts), path, folder, FACT_KEY)
+    monthly.commit(spark, path, held, {m: [folder] for m in monthly.months_of(spark, path, folder)})
 
 
 def with_month(df: DataFrame) -> DataFrame:
@@ -88,21 +86,15 @@ def with_month(df: DataFrame) -> DataFrame:
 
 
 def read_months(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
-    """A stored fact table, or an empty one where nothing has been written yet."""
-    try:
-        stored = spark.read.schema(FACT_SCHEMA + ", month string").parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = spark.createDataFrame([], FACT_SCHEMA + ", month string")
-    if months is not None:
-        stored = stored.where(F.col("month").isin(months))
-    return stored
+    """A stored fact table as of now, or an empty one where nothing has been written yet."""
+    return monthly.read(spark, path, monthly.current(spark, path), FACT_SCHEMA, FACT_KEY, months)
 
 
 def read_facts(spark: SparkSession, path: str, lo: datetime | None = None, hi: datetime | None = None) -> DataFrame:
     """Stored rows with start_at in [lo, hi); whole months outside are not even listed."""
-    rows = read_months(spark, path)
+    held = monthly.current(spark, path)
+    inside = [m for m in held.months if (lo is None or m >= f"{lo:%Y-%m}") and (hi is None or m <= f"{hi:%Y-%m}")]
+    rows = monthly.read(spark, path, held, FACT_SCHEMA, FACT_KEY, inside)
     if lo is not None:
         rows = rows.where((F.col("month") >= f"{lo:%Y-%m}") & (F.col("start_at") >= F.lit(lo)))
     if hi is not None:
@@ -110,58 +102,31 @@ def read_facts(spark: SparkSession, path: str, lo: datetime | None = None, hi: d
     return rows.drop("month")
 
 
-def merge_into_path(path: str, incoming: DataFrame, now: Column) -> DataFrame:
-    """Merge a staged batch into a stored fact table; returns the labelled rows that were written.
+def merge_into_path(path: str, incoming: DataFrame, now: Column, most_changes: int = MOST_CHANGES,
+                    beside: Callable[[DataFrame], dict[str, DataFrame]] | None = None) -> DataFrame:
+    """Merge a staged batch into a stored fact table; returns the incoming rows with their labels.
 
-    Only the months the batch touches are read and rewritten. The merged rows are first written to the shared work
-    folder and noted beside the table; then the months are replaced by a dynamic partition overwrite and the note is
-    taken away. A month is gone for a moment while it is replaced: if the job dies there, the next merge finds the
-    note and writes the same months again before it reads anything (``finish_pending``). Raises on repeated keys.
+    Only the months the batch touches are read, and only inserted and updated rows are written, as a change of their
+    months. ``beside`` makes further small tables from the labelled rows (watermarks, a run record): they are committed
+    together with the facts. A job that dies leaves the table as it was, and a rerun arrives at the same. Months with
+    more than ``most_changes`` changes are then written whole again. Raises on repeated keys.
     """
     spark = incoming.sparkSession
-    finish_pending(spark, path)
+    held = monthly.current(spark, path)
     batch = pin(with_month(assert_unique(incoming)), "batch")
     months = [r.month for r in batch.select("month").distinct().collect()]      # one row per month
-    labelled = with_month(label_merge(read_months(spark, path, months), batch, FACT_KEY, COMPARED, now))
-    name = f"merge-{uuid.uuid4().hex}"
-    written = pin(labelled, path=f"{work_dir(spark)}/{name}")
-    if months:
-        note = f"{_notes(path)}/{name}"
-        spark.createDataFrame([(f"{work_dir(spark)}/{name}",)], "rows_at string").coalesce(1).write.parquet(note)
-        write_months(written.drop("merge_label"), path)
-        _delete(spark, note)
-    return written.drop("month")
-
-
-def finish_pending(spark: SparkSession, path: str) -> int:
-    """Write the months of merges that were noted but not finished; returns how many there were.
-
-    A note without its success mark was never complete: its merge had not touched the table and is dropped.
-    """
-    folder, fs = _at(spark, _notes(path))
-    notes = sorted(str(s.getPath()) for s in fs.listStatus(folder)) if fs.exists(folder) else []
-    for note in notes:
-        mark, _ = _at(spark, f"{note}/_SUCCESS")
-        if fs.exists(mark):
-            rows_at = spark.read.parquet(note).first().rows_at
-            write_months(spark.read.parquet(rows_at).drop("merge_label", "month"), path)
-        _delete(spark, note)
-    return len(notes)
-
-
-def _notes(path: str) -> str:
-    return path.rstrip("/") + "_pending"
-
-
-def _at(spark: SparkSession, path: str):
-    """A path and the file system it is on, whichever store that is."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    at, fs = _at(spark, path)
-    fs.delete(at, True)
+    stored = monthly.read(spark, path, held, FACT_SCHEMA, FACT_KEY, months)
+    written = pin(label_merge(stored, batch, FACT_KEY, COMPARED, now, how="right_outer"), "merged")
+    folder = monthly.next_folder(held)
+    monthly.write_rows(with_month(written.where("merge_label IN ('inserted', 'updated')").drop("merge_label")), path, folder, FACT_KEY)
+    tables = beside(written) if beside else {}
+    for name, rows in tables.items():
+        monthly.write_table(rows, path, name, folder)
+    changed = monthly.months_of(spark, path, folder, months)
+    if changed or tables:
+        monthly.commit(spark, path, held, {m: [*held.months.get(m, []), folder] for m in changed}, dict.fromkeys(tables, folder))
+        monthly.compact(spark, path, FACT_SCHEMA, FACT_KEY, most_changes)
+    return written
 
 
 # --- watermarks ----------------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """The sync jobs: incremental, repair and backfill over all metrics at once.
 
 Each comes in two forms: over frames (``incremental`` …), which stores nothing, and over a stored fact table
-(``store_incremental`` …), which reads and rewrites only the months that its rows fall into.
+(``store_incremental`` …), which reads only the months that its rows fall into and writes only what changed.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wattmirror.operators import gating, merge, reconcile, runs
 from wattmirror.operators.catalog import selected_metrics
+from wattmirror.plans import monthly
 from wattmirror.sources import statistics as src
 
 
@@ -108,19 +109,32 @@ def _compared(staged: DataFrame, mirror: DataFrame) -> DataFrame:
 
 def store_window(path: str, stats: DataFrame, meta: DataFrame, catalog: DataFrame, periods: DataFrame,
                  watermarks: DataFrame, lo: datetime, hi: datetime | None, now: datetime) -> SyncResult:
-    """``sync_window`` into a stored table: only the months with incoming rows are read for the merge and rewritten.
+    """``sync_window`` into a stored table: only the months with incoming rows are read for the merge.
 
-    The facts are stored when this returns; ``watermarks``, ``catalog`` and the run record are the caller's to store
-    afterwards, and a rerun arrives at the same. ``labelled`` holds the rows of the touched months.
+    The facts, the advanced ``watermarks``, the flagged ``catalog`` and the ``counts`` of the run are stored in one
+    commit (``read_beside``): after a crash there are all of them or none. ``labelled`` holds the rows that came.
     """
     spark = stats.sparkSession
-    merge.finish_pending(spark, path)
     rows = _read(stats, meta, catalog, periods, lo, hi)
     staged, decisions = _gated(rows, newest_stored(spark, path, periods, lo - TAIL_REACH), periods)
-    labelled = merge.merge_into_path(path, staged, F.lit(now))
+    labelled = merge.merge_into_path(path, staged, F.lit(now), beside=_beside(staged, watermarks, now, catalog, decisions))
     return _result(merge.read_facts(spark, path), labelled, staged, catalog, watermarks, F.lit(now), decisions)
 
 
+def _beside(staged: DataFrame, watermarks: DataFrame, now: datetime, catalog: DataFrame, decisions: DataFrame | None = None):
+    """The small tables that a sync commits together with its facts."""
+    def tables(labelled: DataFrame) -> dict[str, DataFrame]:
+        return {"watermarks": merge.advance_watermark(watermarks, staged, F.lit(now)),
+                "counts": merge.merge_counts(labelled).withColumn("finished_at", F.lit(now)),
+                "catalog": catalog if decisions is None else gating.flag_halted(catalog, decisions)}
+    return tables
+
+
+def read_beside(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    """``watermarks``, ``catalog`` or ``counts`` as the last sync committed them; empty before the first."""
+    return monthly.read_table(spark, path, name, schema)
+
+
 def newest_stored(spark: SparkSession, path: str, periods: DataFrame, since: datetime) -> DataFrame:
     """Stored stamps with, for every judged metric, at least its newest ones the gate asks for.
 
@@ -154,7 +168,7 @@ def store_backfill(path: str, stats: DataFrame, meta: DataFrame, catalog: DataFr
     """All history into a stored table; what the table then holds is read back and compared with the source."""
     spark = stats.sparkSession
     staged = _staged(_read(stats, meta, catalog, periods))
-    labelled = merge.merge_into_path(path, staged, F.lit(now))
+    labelled = merge.merge_into_path(path, staged, F.lit(now), beside=_beside(staged, watermarks, now, catalog))
     stored = merge.read_facts(spark, path)
     return _result(stored, labelled, staged, catalog, watermarks, F.lit(now), problems=_compared(staged, stored))
 

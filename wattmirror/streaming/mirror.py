@@ -27,8 +27,9 @@ def late_upsert(rows: DataFrame, path: str, checkpoint: str, order: list[str] |
                 mode: str = "update") -> DataStreamWriter:
     """Merge a stream of mirror rows into a stored table, however late they come.
 
-    Nothing is dropped for being late: a correction of an old hour is a change like any other.
-    The merge is idempotent, so a micro-batch that runs again after a failure changes nothing.
+    Nothing is dropped for being late: a correction of an old hour is a change like any other. A micro-batch writes
+    only its inserted and updated rows, as a change of their months; a month with many changes is written whole by the
+    batch that brings one too many, and ``plans.monthly.compact`` does so between runs. The merge is idempotent, so a micro-batch that runs again after a failure changes nothing.
     ``order`` names the columns telling which of two versions of a row in one batch is newer.
     """
     def merge_batch(batch: DataFrame, _: int) -> None:
