@@ -148,3 +148,67 @@ def test_query(spark, tokenizer):
         assert [r.piece for r in own] == list(range(len(own))) and sum(r.length for r in own) == ids.size
         assert all(zlib.crc32(ids[r.start:r.start + r.length].tobytes()) == r.ids_crc32 for r in own)
     assert len(by_sequence) <= 1.02 * sum(r.length for r in rows) / 1024 + 1
+
+
+@pytest.mark.parametrize("run", [" " * 1_000_000, " " * 2_000_000, "\n" * 1_000_000, "\n" * 2_000_000, "\t \n " * 300_000])
+def test_long_white_space_has_the_tokenizers_ids(docs_of, contract_tokenizer, run):
+    texts = [run, "a" + run + "b <|endoftext|> c", "x" + run]
+    want = [contract_tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    rows = packing.pack(docs_of([(i, t) for i, t in enumerate(texts)])).collect()
+    _, by_doc = check(rows)
+    for i, ids in enumerate(want):
+        assert [x for r in sorted(by_doc[i], key=lambda r: r.piece) for x in r.ids] == ids
+
+
+@pytest.mark.parametrize("n", [49_999, 50_000, 50_001])
+def test_white_space_around_the_bound(contract_tokenizer, n):
+    encode = packing.encode_text(public_tokenizers.path(packing.RANKS))
+    for text in (" " * n, "\n" * n + "x", "x " + "\r\n" * n):
+        assert encode(text) == contract_tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_sums_of_three_and_four_are_spent_and_never_cost_a_sequence():
+    """On lengths of documents (uniform first pieces, many short ones) sums are used, and best fit alone is no shorter."""
+    rng = random.Random(6)
+    for n in (200, 1500, 15_000, 60_000):
+        lengths = Counter(rng.randint(1, 1024) if rng.random() < .5 else min(1024, 1 + int(rng.expovariate(1 / 150)))
+                          for _ in range(n))
+        plan = packing.recipes(dict(lengths))
+        assert sum(c for c, _ in plan) <= plain_best_fit_counts(lengths)
+        exact = Counter()
+        for c, own in plan:
+            exact[len(own)] += c if sum(own) == 1024 else 0
+        if n >= 15_000:
+            assert exact[2] > 0 and exact[3] > 100
+
+
+def plain_best_fit_counts(lengths, limit=1024):
+    """plain_best_fit with the rooms counted."""
+    rooms, used = Counter(), 0
+    for x in sorted(lengths, reverse=True):
+        for _ in range(lengths[x]):
+            room = next((r for r in range(x, limit) if rooms[r]), None)
+            if room is None:
+                used += 1
+                rooms[limit - x] += 1
+            else:
+                rooms[room] -= 1
+                rooms[room - x] += 1
+    return used
+
+
+def test_every_way_to_fill_a_gap_is_indexed():
+    rng = random.Random(7)
+    for _ in range(40):
+        limit = 40
+        lengths = np.array(sorted(rng.sample(range(1, limit), rng.randint(1, 20))))
+        have = np.zeros(limit + 1, dtype=np.int64)
+        have[lengths] = 1
+        sums = packing.Sums(lengths, limit)
+        for gap in range(1, limit):
+            most = limit - gap
+            ok = [x for x in lengths.tolist() if x <= most]
+            assert list(sums.filling(have, gap, 1, most)) == [(x,) for x in ok if x == gap]
+            assert sorted(sums.filling(have, gap, 2, most)) == sorted((x, gap - x) for x in ok if 2 * x >= gap and gap - x in ok)
+            assert sorted(sums.filling(have, gap, 3, most)) == sorted(
+                (x, y, gap - x - y) for x in ok for y in ok if x >= y >= gap - x - y and gap - x - y in ok)

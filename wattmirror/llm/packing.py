@@ -1,9 +1,9 @@
 """Packing token sequences: exact complements first, best fit for the rest.
 
 Only the counts of the 1024 possible lengths decide, so the plan is made once from that bounded table: full pieces go
-alone; for every length, from the longest, the gap it leaves is looked up among single lengths, sums of two and sums
-of three, and as many sequences are filled exactly as the counts allow; what is left is packed by best fit on runs of
-equal lengths. A plan row says: so many sequences hold these lengths. Pieces find their place by their number among
+alone; for every length, from the longest, the gap it leaves is looked up in indexes of single lengths, of sums of two
+and of sums of three, and as many sequences are filled exactly as the counts allow; what is left is packed by best fit
+on runs of equal lengths. A plan row says: so many sequences hold these lengths. Pieces find their place by their number among
 the pieces of their length.
 """
 
@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 import zlib
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -21,13 +22,17 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from wattmirror.llm.common import chunks, pin
 
 LIMIT = 1024
 END = 2                         # the id that closes a document
 PART_ROWS = 5_000               # the pieces of one length are numbered in hash parts of at most about so many
-RANKS = "byte_bpe_50k.tiktoken"
+BLOCK = 32                      # lengths whose exact sums are judged together
+RANKS, VOCABULARY = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
+# Runs of white space that go to the tokenizer itself: the pattern's look-ahead makes the faster one recurse along them.
+LONG_SPACE = re.compile(r"\s{50000}")
 ADDED = {"<|endoftext|>": 50256}                # the added tokens of byte_bpe_50k.json, absent from the ranks
 
 
@@ -43,11 +48,19 @@ def encoder(path: str) -> tiktoken.Encoding:
                              special_tokens=ADDED)
 
 
-def encode_text(path: str) -> Callable[[str], list[int]]:
+@functools.cache
+def tokenizer(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
+def encode_text(path: str, vocabulary: str | None = None) -> Callable[[str], list[int]]:
     """What byte_bpe_50k.json makes of a text with add_special_tokens=False: the literal added token is one id."""
     own, added = encoder(path), frozenset(ADDED)
+    vocabulary = vocabulary or public_tokenizers.path(VOCABULARY)
 
     def encode(text: str) -> list[int]:
+        if LONG_SPACE.search(text):
+            return tokenizer(vocabulary).encode(text, add_special_tokens=False).ids
         if any(a in text for a in added):
             return own.encode(text, allowed_special=added)
         return own.encode_ordinary(text)
@@ -63,7 +76,7 @@ def cut(n: int, limit: int = LIMIT) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, keep: list[str], with_ids: bool = True, limit: int = LIMIT,
-           ranks_path: str | None = None) -> DataFrame:
+           ranks_path: str | None = None, vocabulary: str | None = None) -> DataFrame:
     """One row per piece: the kept columns, piece, start, length, ids_crc32 and, if asked, the ids.
 
     Null texts count as empty; a document's ids are those of its text and END, so none is without a piece.
@@ -73,7 +86,7 @@ def pieces(docs: DataFrame, keep: list[str], with_ids: bool = True, limit: int =
     names = list(keep)
 
     def run(batches):
-        encode = encode_text(path)
+        encode = encode_text(path, vocabulary)
         for batch, texts in chunks(batches):
             rows, cols = [], ([], [], [], [], [])
             for i, text in enumerate(texts):
@@ -98,65 +111,84 @@ def pieces(docs: DataFrame, keep: list[str], with_ids: bool = True, limit: int =
 Recipe = tuple[int, tuple[int, ...]]          # how many sequences, and the lengths in each
 
 
+class Sums:
+    """Index of the lengths that occur, and of all sums of two of them; sums of three are one length and a pair."""
+
+    def __init__(self, lengths: np.ndarray, limit: int):
+        self.single = lengths[::-1]
+        large, small = np.meshgrid(lengths, lengths, indexing="ij")
+        fits = (small <= large) & (large + small < limit)
+        large, small = large[fits], small[fits]
+        order = np.lexsort((-large, large + small))
+        total = (large + small)[order]
+        cuts = np.searchsorted(total, np.arange(limit + 1))
+        self.pairs = [np.stack([large[order][i:j], small[order][i:j]], axis=1) for i, j in zip(cuts[:-1], cuts[1:])]
+
+    def filling(self, have: np.ndarray, gap: int, parts: int, most: int) -> Iterator[tuple[int, ...]]:
+        """The ways to fill a gap with so many lengths up to `most`, of which some are left; largest parts first."""
+        if parts == 1:
+            if gap <= most and have[gap]:
+                yield (gap,)
+        elif parts == 2:
+            known = self.pairs[gap]
+            known = known[(known[:, 0] <= most) & (have[known[:, 0]] > 0) & (have[known[:, 1]] > 0)]
+            yield from map(tuple, known.tolist())
+        else:
+            for x in self.single[(self.single <= min(most, gap - 2)) & (3 * self.single >= gap)].tolist():
+                if have[x]:
+                    for pair in self.filling(have, gap - x, 2, x):
+                        yield (x, *pair)
+                        if not have[x]:
+                            break
+
+
 def recipes(counts: dict[int, int], limit: int = LIMIT) -> list[Recipe]:
-    """The plan for so many pieces of each length (1 to limit).
+    """The plan for so many pieces of each length (1 to limit): exact sums of two, three and four lengths, then best fit."""
+    return _plan(counts, limit, 3)
 
-    Complements of up to three, two, one and no lengths are tried, as small tables can miss the short lengths that
-    exact sums use up; the plan with the fewest sequences stands, of equal ones that with the largest sums.
-    """
-    plans = [_plan(counts, limit, sums) for sums in (3, 2, 1, 0)]
-    return min(plans, key=lambda plan: sum(n for n, _ in plan))
 
+def _plan(counts: dict[int, int], limit: int, parts: int) -> list[Recipe]:
+    """Gaps are filled by single lengths first, then by pairs, then by triples, from the longest length down.
 
-def _plan(counts: dict[int, int], limit: int, sums: int) -> list[Recipe]:
+    Exact sums use up the short lengths that others need later. So after every BLOCK of lengths what is left is packed by
+    best fit for a trial, and if the whole has become longer, the sums of the block are given back. The plan is thus no
+    longer than best fit alone.
+    """
     have = np.zeros(limit + 1, dtype=np.int64)
     for length, n in counts.items():
         have[length] += n
-    plan: list[Recipe] = []
-
-    def take(lengths: tuple[int, ...]) -> bool:
-        need = Counter(lengths)
-        n = min(int(have[x]) // k for x, k in need.items())
-        if n > 0:
-            plan.append((n, lengths))
-            for x, k in need.items():
-                have[x] -= n * k
-        return n > 0
-
-    take((limit,))
-    for longest in range(limit - 1, 0, -1):
-        gap = limit - longest
-        if sums >= 1 and have[longest]:
-            take((longest, gap))
-        if sums >= 2 and have[longest]:
-            _by_pairs(have, longest, gap, take)
-        if sums >= 3 and have[longest]:
-            _by_triples(have, longest, gap, take)
-    return plan + _best_fit({x: int(have[x]) for x in np.flatnonzero(have)}, limit)
-
-
-def _by_pairs(have, longest, gap, take) -> None:
-    """Sequences of `longest` and two lengths that sum to the gap, longer one first."""
-    b = np.arange(min(gap - 1, longest), (gap - 1) // 2, -1)
-    for x in b[(have[b] > 0) & (have[gap - b] > 0)].tolist():
-        take((longest, x, gap - x))
-        if not have[longest]:
-            return
-
-
-def _by_triples(have, longest, gap, take) -> None:
-    """Sequences of `longest` and three lengths that sum to the gap, in descending order."""
-    for x in range(min(gap - 2, longest), (gap - 1) // 3, -1):
-        if not have[x]:
-            continue
-        rest = gap - x
-        b = np.arange(min(rest - 1, x), (rest - 1) // 2, -1)
-        for y in b[(have[b] > 0) & (have[rest - b] > 0)].tolist():
-            take((longest, x, y, rest - y))
-            if not have[longest]:
-                return
-            if not have[x]:
-                break
+    sums = Sums(np.flatnonzero(have[:limit]), limit)
+    plan: list[Recipe] = [(int(have[limit]), (limit,))] if have[limit] else []
+    have[limit] = 0
+
+    def rest() -> list[Recipe]:
+        return _best_fit({x: int(have[x]) for x in np.flatnonzero(have)}, limit)
+
+    def sequences(recipes_: list[Recipe]) -> int:
+        return sum(n for n, _ in recipes_)
+
+    shortest = sequences(plan) + sequences(rest())
+    for size in range(1, parts + 1):
+        for top in range(limit - 1, 0, -BLOCK):
+            before, known = have.copy(), len(plan)
+            for longest in range(top, max(top - BLOCK, 0), -1):
+                if have[longest]:
+                    for filling in sums.filling(have, limit - longest, size, longest):
+                        need = Counter((longest, *filling))
+                        n = min(int(have[x]) // k for x, k in need.items())
+                        if n:
+                            plan.append((n, (longest, *filling)))
+                            for x, k in need.items():
+                                have[x] -= n * k
+                        if not have[longest]:
+                            break
+            if len(plan) > known:
+                now = sequences(plan) + sequences(rest())
+                if now > shortest:
+                    have, plan = before, plan[:known]
+                else:
+                    shortest = now
+    return plan + rest()
 
 
 def _best_fit(left: dict[int, int], limit: int) -> list[Recipe]:
