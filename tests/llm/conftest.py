@@ -35,3 +35,14 @@ def odd_rows():
             (None, "one two three four five six seven eight nine ten eleven", "en", None),
             (None, None, "en", "a"), (7, "word " * 30_000, "en", "b"), (8, "ünï 日本 😀 " * 40, "fr", "a"),
             (9, "x" * 50_000, None, "b")]
+
+
+# Names that operators use for columns of their own, and the struct that carries foreign ones.
+HIDDEN = ["'x' AS __size", "1 AS __part", "2 AS __key", "'y' AS __visits", "3 AS __h", "'z' AS __id", "4 AS __hash", "5 AS __redacted",
+          "'v' AS __visit", "6 AS __s", "7 AS __n", "'u' AS __row", "8 AS rest", "9 AS predicted", "'t' AS redacted", "'s' AS `a b.c`",
+          "'r' AS row", "10 AS f0"]
+
+
+@pytest.fixture
+def hidden():
+    return HIDDEN

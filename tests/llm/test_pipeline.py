@@ -93,3 +93,17 @@ def test_odd_rows_go_through(spark, docs_of, odd_rows):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_columns_with_clashing_names_pass(spark, docs_of, odd_rows, clashes, hidden):
+    """Every stage gives the rows it gives without them, and their values stay with their documents."""
+    plain, extra = docs_of(odd_rows), docs_of(odd_rows, [*clashes, *hidden])
+    kept = extra.columns
+    values = [c for c in kept if c not in plain.columns]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain, extra = stage(spark, plain, SF), stage(spark, extra, SF)
+        assert extra.columns == kept
+        rows = extra.collect()
+        assert sorted(str(tuple(r)[:5]) for r in rows) == sorted(str(tuple(r)) for r in plain.collect())
+        assert len({tuple(r)[5:] for r in rows}) == 1 and len(values) == len(kept) - 5
+    assert corpus_pipeline.STAGES[-1][1](spark, extra, SF).count() == corpus_pipeline.STAGES[-1][1](spark, plain, SF).count()

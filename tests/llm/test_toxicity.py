@@ -126,3 +126,9 @@ def test_query(spark):
     assert all(r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for r in rows)
     held = [(r.predicted, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
     assert sum(p == y for p, y in held) / len(held) > 0.9
+
+
+def test_labels_other_than_0_and_1_are_left_out(docs_of, spark):
+    docs = docs_of([(i, "you vile wretch" if i % 2 else "a fine day") for i in range(40)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(38)] + [(38, 7), (39, -1), (1, None)], "doc_id long, toxic int")
+    assert toxicity.train(docs, labels) is not None

@@ -83,8 +83,22 @@ def map_texts(docs: DataFrame, keep: list[str], adds: str, work: Callable[[list[
     return frame.mapInArrow(run, schema)
 
 
+def packed(docs: DataFrame, own: list[str]) -> DataFrame:
+    """The columns of `own` that are there, and all others in one struct `rest`, so that no name of theirs can clash."""
+    others = [c for c in docs.columns if c not in own]
+    fields = [F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(others)] or [F.lit(0).alias("f0")]
+    return docs.select(*[c for c in own if c in docs.columns], F.struct(*fields).alias("rest"))
+
+
+def unpacked(df: DataFrame, names: list[str], own: list[str]) -> DataFrame:
+    """The columns `names` in their order, from what `packed` made of them; all else goes."""
+    place = {c: i for i, c in enumerate(c for c in names if c not in own)}
+    return df.select(*[F.col(c) if c in own else F.col("rest")[f"f{place[c]}"].alias(c) for c in names])
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[n for n in names if n in df.columns])
 
 
-__all__ = ["CHUNK_BYTES", "WORD", "chunks", "map_texts", "pin", "read", "split_of", "typed", "without"]
+__all__ = ["CHUNK_BYTES", "WORD", "chunks", "map_texts", "packed", "pin", "read", "split_of", "typed", "unpacked",
+           "without"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattmirror.llm.common import WORD
+from wattmirror.llm.common import WORD, packed, unpacked
 
 WEIGHTS = (5, 2, 1)             # of the sources in code point order, null last, repeating
 MOST = 3                        # a source's words are taken at most so often
@@ -107,18 +107,20 @@ def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
     """The mix: one row per visit, range-sorted by training position, columns as in the documents.
 
     The one document of a source that is taken in part keeps its first words and the space between them; n_chars
-    follows the text, if there is one.
+    follows the text, if there is one. Documents without words, null texts among them, are in no visit and go. Equal
+    rows are taken one after the other, ties in position go by doc_id and turn. An empty table gives no rows. Columns
+    beside doc_id, text, source and n_chars pass, whatever their names.
     """
-    names = docs.columns
-    rows = curriculum(docs, most).withColumn("__visit", F.explode("__visits"))
-    if "text" in names:
-        lead = F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), 1,
-                       F.col("__visit.words").cast("int"))
-        partial = F.col("__visit.words") < F.col("__size")
-        if "n_chars" in names:
-            rows = rows.withColumn("n_chars", F.when(partial, F.length(F.array_join(lead, "")))
-                                   .otherwise(F.col("n_chars")).cast(dict(docs.dtypes)["n_chars"]))
-        rows = rows.withColumn("text", F.when(partial, F.array_join(lead, "")).otherwise(F.col("text")))
+    own = ["doc_id", "text", "source", "n_chars"]
+    rows = curriculum(packed(docs, own), most).withColumn("__visit", F.explode("__visits"))
+    lead = F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), 1,
+                   F.col("__visit.words").cast("int"))
+    partial = F.col("__visit.words") < F.col("__size")
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(partial, F.length(F.array_join(lead, "")))
+                               .otherwise(F.col("n_chars")).cast(dict(docs.dtypes)["n_chars"]))
+    rows = rows.withColumn("text", F.when(partial, F.array_join(lead, "")).otherwise(F.col("text")))
     tie = ["doc_id", F.col("__visit.turn")]
-    return rows.repartitionByRange(F.col("__visit.position"), *tie) \
-        .sortWithinPartitions(F.col("__visit.position"), *tie).select(*names)
+    ordered = rows.repartitionByRange(F.col("__visit.position"), *tie) \
+        .sortWithinPartitions(F.col("__visit.position"), *tie)
+    return unpacked(ordered, docs.columns, own)

@@ -1,8 +1,7 @@
 """Personal data in texts: fixed rules for e-mail, ip, card and phone, widened by a character BiLSTM-CRF.
 
-The tagger is trained in numpy from labelled spans: what the rules find in a bounded sample of windows, with phone
-numbers also rewritten in spellings the rules do not know. Every span of the four kinds holds a digit or an @, so a
-decoded span without one is never valid. Windows therefore run, overlapping by half, over all of the text near such
+The tagger is trained in numpy from labelled spans: what the rules find in a bounded sample of windows, with the values
+also rewritten in forms the rules do not know. Every span of the four kinds holds a digit or an @, so a decoded span without one is never valid. Windows therefore run, overlapping by half, over all of the text near such
 characters, and over the whole stretch that a span with them could take; elsewhere there is nothing that decoding
 could yield. Windows vote per character: their tag probabilities are averaged, those far from a border counting more.
 Spans come from single windows and from the averages, so that they may be longer than a window, and all are weighted
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattmirror.llm.bilstm import PAD, Tagger, classes_of
-from wattmirror.llm.common import map_texts, without
+from wattmirror.llm.common import map_texts, packed, unpacked
 
 KINDS = ["email", "ip", "card", "phone"]
 LENGTH = 48                    # characters of a window; windows start every half length
@@ -142,23 +141,34 @@ def _window(text: str, start: int) -> np.ndarray:
     return x
 
 
-def _respelled(text: str, spans: list[Span]) -> tuple[str, list[Span]] | None:
-    """The text with its phone numbers in a spelling without country code."""
-    phones = [s for s in spans if s[0] == 3]
-    if not phones:
-        return None
-    out, marked, at = "", [], 0
-    for i, (_, a, b) in enumerate(sorted(phones, key=lambda s: s[1])):
-        digits = _digits(text[a:b])[-10:]
-        if a < at or len(digits) < 9:
-            continue
-        area, mid, rest = digits[:-7], digits[-7:-4], digits[-4:]
-        spelled = [f"({area}) {mid}-{rest}", f"{area}-{mid}-{rest}", f"{area}.{mid}.{rest}", f"({area}) {mid} {rest}",
-                   f"{area} {mid} {rest}"][(a + i) % 5]
-        out += text[at:a]
-        marked.append((3, len(out), len(out) + len(spelled)))
-        out, at = out + spelled, b
-    return out + text[at:], marked
+def spellings(kind: int, text: str) -> list[str]:
+    """Forms of a value that no rule finds: set apart, bracketed, with other signs, without country code."""
+    if kind == 0:
+        name, domain = text.split("@")
+        return [f"{name} @ {domain}", f"{name}[@]{domain}", f"{name}@{domain.replace('.', '[.]')}", f"{name}@{domain.replace('.', ' . ')}"]
+    if kind == 1:
+        return [text.replace(".", "[.]"), text.replace(".", " . "), text.replace(".", "-"), text.replace(".", "(.)")]
+    digits = _digits(text)
+    if kind == 2:
+        fours = [digits[i:i + 4] for i in range(0, len(digits), 4)]
+        return [".".join(fours), "/".join(fours), "  ".join(fours), "_".join(fours)]
+    area, mid, rest = digits[-10:-7], digits[-7:-4], digits[-4:]
+    return [f"({area}) {mid}-{rest}", f"{area}-{mid}-{rest}", f"{area}.{mid}.{rest}", f"({area}) {mid} {rest}",
+            f"{area} {mid} {rest}"] if len(digits[-10:]) >= 9 else []
+
+
+def respelled(text: str, spans: list[Span]) -> tuple[str, list[Span]] | None:
+    """The text with its values in forms that the rules do not know, and where these stand."""
+    parts, marked, at, size = [], [], 0, 0
+    for i, (kind, a, b) in enumerate(sorted(spans, key=lambda s: (s[1], -s[2]))):
+        forms = spellings(kind, text[a:b]) if a >= at else []
+        if forms:
+            form = forms[(a + i) % len(forms)]
+            parts += [text[at:a], form]
+            size += a - at
+            marked.append((kind, size, size + len(form)))
+            size, at = size + len(form), b
+    return ("".join([*parts, text[at:]]), marked) if marked else None
 
 
 def labelled_windows(docs: DataFrame) -> DataFrame:
@@ -168,12 +178,16 @@ def labelled_windows(docs: DataFrame) -> DataFrame:
         for text in texts:
             spans = base_spans(text)
             variants = [(text, spans)]
-            if (other := _respelled(text, spans)):
+            if (other := respelled(text, spans)):
                 variants.append(other)
             for turn, (t, s) in enumerate(variants):
-                by_start = sorted(s, key=lambda p: p[1])
+                by_start, ahead = sorted(s, key=lambda p: p[1]), 0
+                open_: list[Span] = []                      # begun before the window's end and not over at its start
                 for start in _starts(t):
-                    near = [p for p in by_start if p[1] < start + LENGTH and p[2] > start]
+                    while ahead < len(by_start) and by_start[ahead][1] < start + LENGTH:
+                        open_.append(by_start[ahead])
+                        ahead += 1
+                    near = open_ = [p for p in open_ if p[2] > start]
                     if turn and not near:
                         continue
                     y = _tags(near, start)
@@ -216,14 +230,25 @@ def train(docs: DataFrame, windows: int = SAMPLE_WINDOWS) -> Tagger | None:
     return Tagger.fresh(2 * len(KINDS) + 1, HIDDEN, SEED).fit(x, y, STEPS, BATCH, RATE, SEED)
 
 
+BRACKETED = re.compile(r"\[([@.])\]|\((\.)\)|\x20([@.])\x20")
+OTHER_CARD = re.compile(r"[0-9](?:(?:[ ./_-]|\x20\x20)?[0-9])+")
+
+
+def _plain(text: str) -> str:
+    """The value without brackets and spaces around its signs."""
+    return BRACKETED.sub(lambda m: m[1] or m[2] or m[3], text)
+
+
 def _plausible(kind: int, text: str) -> bool:
     if kind == 0:
-        name, at, domain = text.partition("@")
-        return bool(at and name.strip() and "." in domain and not re.search(r"\s", text))
+        name, at, domain = _plain(text).partition("@")
+        return bool(at and name.strip() and "." in domain.strip(".") and not re.search(r"\s", name + domain))
     if kind == 1:
-        return bool(re.fullmatch(r"[0-9.]+", text)) and _ip_ok(text)
+        own = _plain(text)
+        own = own.replace("-", ".") if "." not in own else own
+        return bool(re.fullmatch(r"[0-9.]+", own)) and _ip_ok(own)
     if kind == 2:
-        return bool(CARD.fullmatch(text)) and _card_ok(text)
+        return bool(OTHER_CARD.fullmatch(text)) and _card_ok(text)
     if not LOCAL_PHONE.fullmatch(text) or not 9 <= len(_digits(text)) <= 15:
         return False
     return bool(re.fullmatch(r"[0-9]{3}\.[0-9]{3}\.[0-9]{4}", text)) or bool(
@@ -252,17 +277,38 @@ def _decode(starts: list[int], path: np.ndarray) -> set[Span]:
 WEIGHT = np.minimum(np.arange(1, LENGTH + 1), np.arange(LENGTH, 0, -1)).astype(np.float32)
 
 
-def _votes(starts: np.ndarray, chance: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Per run of windows half a length apart: its start and the average tag probabilities of its characters."""
-    half, out = LENGTH // 2, []
-    weighted = (chance * WEIGHT[:, None, None]).transpose(1, 0, 2)
-    for own in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(starts) != half) + 1):
-        total = np.zeros((own.size + 1, half, chance.shape[2]), dtype=np.float32)
-        total[:-1] += weighted[own, :half]
-        total[1:] += weighted[own, half:]
-        mean = total / total.sum(axis=2, keepdims=True)
-        out.append((int(starts[own[0]]), mean.reshape(-1, chance.shape[2])))
-    return out
+class Votes:
+    """Per run of windows half a length apart: its start and the average tag probabilities of its characters.
+
+    Windows come in order, a few at a time. Only sums per character are held.
+    """
+
+    def __init__(self):
+        self.runs: list[tuple[int, list[np.ndarray]]] = []
+        self.next = -1                     # where the next window begins if it goes on with the last run
+
+    def add(self, starts: np.ndarray, chance: np.ndarray) -> None:
+        half = LENGTH // 2
+        weighted = (chance * WEIGHT[:, None, None]).transpose(1, 0, 2)
+        for own in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(starts) != half) + 1):
+            total = np.zeros((own.size + 1, half, chance.shape[2]), dtype=np.float32)
+            total[:-1] += weighted[own, :half]
+            total[1:] += weighted[own, half:]
+            if starts[own[0]] == self.next:
+                self.runs[-1][1][-1][-1] += total[0]
+                self.runs[-1][1].append(total[1:])
+            else:
+                self.runs.append((int(starts[own[0]]), [total]))
+            self.next = int(starts[own[-1]]) + half
+
+    def means(self) -> list[tuple[int, np.ndarray]]:
+        out = []
+        for start, parts in self.runs:
+            mean = np.concatenate(parts)
+            parts.clear()
+            mean /= mean.sum(axis=2, keepdims=True)
+            out.append((start, mean.reshape(-1, mean.shape[2])))
+        return out
 
 
 def _voted(start: int, mean: np.ndarray, size: int) -> list[Span]:
@@ -278,9 +324,8 @@ def _voted(start: int, mean: np.ndarray, size: int) -> list[Span]:
             if kinds[a] and (b < len(kinds) or start + b >= size) and start + a < size]
 
 
-def _candidates(text: str, starts: list[int], chance: np.ndarray, proposed: set[Span]) -> list[tuple[float, Span]]:
+def _candidates(text: str, votes: list[tuple[int, np.ndarray]], proposed: set[Span]) -> list[tuple[float, Span]]:
     """Proposed spans and those of the averages, weighted by mean average probability of their tags."""
-    votes = _votes(np.array(starts), chance)
     begins = [start for start, _ in votes]
     spans = proposed.union(*[_voted(start, mean, len(text)) for start, mean in votes])
     out = []
@@ -292,24 +337,42 @@ def _candidates(text: str, starts: list[int], chance: np.ndarray, proposed: set[
 
 
 def _reconcile(text: str, base: list[Span], candidates: list[tuple[float, Span]]) -> list[Span]:
-    """The heaviest set of candidates that overlap neither each other nor a rule span (weighted intervals)."""
-    taken = sorted((a, b) for _, a, b in base)
+    """The heaviest set of candidates that overlap neither each other nor a rule span (weighted intervals).
+
+    Rule spans may overlap each other, those of other kinds; united, they are looked up by bisection, as are earlier
+    candidates. A link per candidate leads to the best set that ends before it.
+    """
+    taken: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
+    begins = [a for a, _ in taken]
     free = []
     for p, (kind, a, b) in candidates:
-        if p < LEAST_SCORE or any(a < y and x < b for x, y in taken) or not _plausible(kind, text[a:b]):
-            continue
-        if (a and text[a - 1].isalnum()) or text[b:b + 1].isalnum():
+        if p < LEAST_SCORE or (a and text[a - 1].isalnum()) or text[b:b + 1].isalnum():
             continue
-        free.append((b, a, kind, p * (b - a)))
+        before = bisect.bisect_left(begins, b) - 1           # the last rule span that begins before the end
+        if (before < 0 or taken[before][1] <= a) and _plausible(kind, text[a:b]):
+            free.append((b, a, kind, p * (b - a)))
     free.sort()
-    best: list[tuple[float, list[Span]]] = [(0.0, [])]
     ends = [-1]
-    for b, a, kind, weight in free:
-        before = max(i for i, e in enumerate(ends) if e <= a)
-        with_it = best[before][0] + weight
-        best.append((with_it, best[before][1] + [(kind, a, b)]) if with_it > best[-1][0] else best[-1])
+    weight, chosen, link = [0.0], [-1], [0]                  # of the best set among the first candidates
+    for i, (b, a, _, own) in enumerate(free):
+        before = bisect.bisect_right(ends, a) - 1
+        with_it = weight[before] + own
+        better = with_it > weight[-1]
+        weight.append(with_it if better else weight[-1])
+        chosen.append(i if better else chosen[-1])
+        link.append(before if better else link[-1])
         ends.append(b)
-    return best[-1][1]
+    out, at = [], len(free)
+    while chosen[at] >= 0:
+        b, a, kind, _ = free[chosen[at]]
+        out.append((kind, a, b))
+        at = link[at]
+    return out[::-1]
 
 
 def find_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span], list[Span]]]:
@@ -318,8 +381,7 @@ def find_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span]
     starts = [_starts(t) if tagger else [] for t in texts]
     owners = [(i, s) for i, own in enumerate(starts) for s in own]
     added: dict[int, list[tuple[float, Span]]] = {}
-    chances: list[np.ndarray] = []
-    proposed: set[Span] = set()
+    votes, proposed = Votes(), set()
     for at in range(0, len(owners), 2048):
         part = owners[at:at + 2048]
         x = np.stack([_window(texts[i], s) for i, s in part]).T.astype(np.int64)
@@ -330,11 +392,11 @@ def find_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span]
             while end < len(part) and part[end][0] == part[col][0]:
                 end += 1
             i = part[col][0]
-            chances.append(chance[:, col:end].astype(np.float32))
+            votes.add(np.array([s for _, s in part[col:end]]), chance[:, col:end].astype(np.float32))
             proposed |= _decode([s for _, s in part[col:end]], path[:, col:end])
             if part[end - 1][1] == starts[i][-1]:                                # all windows of the text are there
-                added[i] = _candidates(texts[i], starts[i], np.concatenate(chances, axis=1), proposed)
-                chances, proposed = [], set()
+                added[i] = _candidates(texts[i], votes.means(), proposed)
+                votes, proposed = Votes(), set()
             col = end
     out = []
     for i, text in enumerate(texts):
@@ -362,7 +424,7 @@ def detect(docs: DataFrame, tagger: Tagger | None, keep: list[str]) -> DataFrame
 
 def redact(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; overlapping spans become one, named by the
-    first. n_chars, if there, follows the text; a null text stays null."""
+    first. n_chars, if there, follows the text; a null text stays null. Other columns pass, whatever their names."""
     def work(texts):
         out = []
         for text, (_, spans) in zip(texts, find_spans(texts, tagger)):
@@ -374,11 +436,12 @@ def redact(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
             out.append("".join(parts) + text[at:] if parts else text)
         return [out]
 
-    names = docs.columns
-    redone = map_texts(docs, names, "__redacted string", work) \
-        .withColumn("text", F.when(F.col("text").isNotNull(), F.col("__redacted")))
-    if "n_chars" in names:
+    own = ["text", "n_chars"]
+    held = packed(docs, own)
+    redone = map_texts(held, held.columns, "redacted string", work) \
+        .withColumn("text", F.when(F.col("text").isNotNull(), F.col("redacted")))
+    if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         redone = redone.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(kind))
                                    .otherwise(F.col("n_chars")))
-    return without(redone, "__redacted").select(*names)
+    return unpacked(redone, docs.columns, own)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattmirror.llm.common import map_texts, pin
+from wattmirror.llm.common import map_texts, packed, pin, unpacked
 from wattmirror.llm.components import roots
 
 WORDS, BITS, SEED = 3, 3, 42
@@ -221,9 +221,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> Da
 def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
     """The documents, one of each class: the smallest doc_id (nulls last), then the smallest text hash.
 
-    Rows equal in both count as copies of one row. Columns and their names stay as they are.
+    Rows equal in both count as copies of one row. Columns and their names stay as they are, whatever they are called.
+    A null text counts as empty, and of all texts without words one stays. An empty table gives no rows.
     """
-    names = docs.columns
+    own = ["doc_id", "text"]
     hashed = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     prints = pin(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                                           hashed.alias("text_hash")), ["doc_id", "text_hash"], words), "prints")
@@ -231,14 +232,15 @@ def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     best = rows.groupBy("root").agg(F.min(order).alias("best")) \
         .select(F.col("best.doc_id").alias("__id"), F.col("best.text_hash").alias("__hash")).distinct()
-    kept = docs.withColumn("__h", hashed).join(
+    held = packed(docs, own)
+    kept = held.withColumn("__h", hashed).join(
         best, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash")), "left_semi")
     repeated = pin(rows.groupBy("doc_id", "text_hash").count().where("count > 1").drop("count"), "repeats")
     if repeated.isEmpty():
-        return kept.select(*names)
+        return unpacked(kept, docs.columns, own)
     twice = F.col("doc_id").cast("long").eqNullSafe(F.col("__r")) & (F.col("__h") == F.col("__rh"))
     again = repeated.select(F.col("doc_id").alias("__r"), F.col("text_hash").alias("__rh"))
     once = kept.join(again, twice, "left_anti")
     first = kept.join(again, twice, "left_semi").groupBy("doc_id", "__h") \
-        .agg(F.min(F.struct(*names)).alias("__row")).select("__row.*")
-    return once.select(*names).unionByName(first.select(*names))
+        .agg(F.min(F.struct(*held.columns)).alias("__row")).select("__row.*")
+    return unpacked(once.select(*held.columns).unionByName(first.select(*held.columns)), docs.columns, own)

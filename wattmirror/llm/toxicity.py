@@ -98,13 +98,13 @@ def _windows(train: DataFrame, marks: np.ndarray) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, windows: int = SAMPLE_WINDOWS) -> Model | None:
     """The model, from documents (doc_id, text) and their labels (doc_id, toxic: 0 or 1).
 
-    Null ids, labels and texts are left out; of several labels of an id the largest counts. None if a label is
+    Null ids, null texts and labels other than 0 and 1 are left out; of several labels of an id the largest counts. None if a label is
     missing or no word can be marked. The sample is by a hash of the id, so it does not depend on partitions or row
     order, and is chosen before texts are read: its ids, about SAMPLE_TOXIC + SAMPLE_CLEAN whatever the input, are
     broadcast to the documents. A quarter is kept for the calibration. The driver holds at most SPACE counts, the
     windows of least content hash and four numbers per calibrating document.
     """
-    own = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()) \
+    own = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)) \
         .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
     count = {r.toxic: r["count"] for r in own.groupBy("toxic").count().collect()}
     if not count.get(0) or not count.get(1):
