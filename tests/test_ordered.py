@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wattmirror.plans.ordered import SPAN, ordered_scan, span_of
+from wattmirror.plans.composed import interval_starts, state_runs
+from wattmirror.plans.ordered import ROWS_CONF, SPAN, STRETCH, ordered_scan, span_of, spanned
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +80,74 @@ def test_building_a_scan_runs_nothing_and_hints_no_broadcast(spark, rows):
     scan = ordered_scan(rows, ["k"], "ts", ["no"], **ALL)
     assert not tracker.getJobIdsForGroup("building")
     assert "Hint" not in scan._jdf.queryExecution().analyzed().toString() and SPAN not in scan.columns
+
+
+@pytest.fixture
+def few_rows(spark):
+    """Cut a key's span above five rows."""
+    spark.conf.set(ROWS_CONF, "5")
+    yield
+    spark.conf.unset(ROWS_CONF)
+
+
+@pytest.mark.parametrize("width", [None, 3, 1000])
+def test_scan_over_crowded_spans_equals_plain_window(rows, few_rows, width):
+    assert same(ordered_scan(rows, ["k"], "ts", ["no"], width=width, **ALL), plain(rows), ["k", "ts", "no"])
+    flat = rows.withColumn("ts", F.timestamp_seconds(F.lit(5)))
+    assert same(ordered_scan(flat, ["k"], "ts", ["no"], width=width, **ALL), plain(flat), ["k", "no"])
+    got = ordered_scan(rows, ["k"], "no", total={"t": "w"}, width=width)
+    want = rows.withColumn("t", F.sum("w").over(Window.partitionBy("k").orderBy("no")))
+    assert same(got, want, ["k", "no"])
+
+
+def test_sparse_numbers_are_bundled(spark, few_rows):
+    """However far apart the values are: at most one span, and one more per five rows of a key."""
+    df = spark.range(600).selectExpr("IF(id % 3 = 0, 'hot', concat('k', id % 100)) AS k", "id * 1000000007 AS no", "id AS w")
+    spans = spanned(df, ["k"], "no").groupBy("k", SPAN, STRETCH).count()
+    sizes = df.groupBy("k").count().withColumnRenamed("count", "n")
+    for r in spans.groupBy("k").agg(F.count("*").alias("spans"), F.max("count").alias("most")).join(sizes, "k").collect():
+        assert r["spans"] <= -(-r["n"] // 5) and r["most"] <= 6
+    want = df.withColumn("t", F.sum("w").over(Window.partitionBy("k").orderBy("no")))
+    assert same(ordered_scan(df, ["k"], "no", total={"t": "w"}), want, ["k", "no"])
+
+
+def test_a_million_rows_at_one_moment_are_cut_by_their_ties(spark):
+    spark.conf.set(ROWS_CONF, "50000")
+    try:
+        df = spark.range(1_000_000).selectExpr("'hot' AS k", "timestamp_seconds(5) AS ts", "id * 3 AS no", "id % 7 AS w")
+        sizes = spanned(df, ["k"], "ts", ["no"]).groupBy(SPAN, STRETCH).count().collect()
+        assert len(sizes) == 20 and max(r["count"] for r in sizes) <= 51_000
+        got = ordered_scan(df, ["k"], "ts", ["no"], previous={"p": "w"}, total={"t": "w"})
+        ids = "id % 7 AS w, (id - 1) % 7 AS p, (id div 7) * 21 + (id % 7) * (id % 7 + 1) div 2 AS t".split(", ", 2)
+        want = spark.range(1_000_000).selectExpr("id * 3 AS no", ids[0], "IF(id > 0, (id - 1) % 7, NULL) AS p", ids[2])
+        assert got.select("no", "w", "p", "t").exceptAll(want).count() == 0 and got.count() == 1_000_000
+    finally:
+        spark.conf.unset(ROWS_CONF)
+
+
+def plain_runs(rows, value):
+    w = Window.partitionBy("k").orderBy("ts", "no")
+    changed = rows.withColumn("was", F.lag(value).over(w)).where(~F.col(value).eqNullSafe(F.col("was")))
+    return changed.withColumn("until", F.lead("ts").over(w)).withColumn("since", F.lag("ts").over(w))
+
+
+@pytest.mark.parametrize("cut", [None, "1", "2", "5", "40"])
+def test_composed_scans_equal_chained_plain_windows(spark, rows, cut):
+    """Runs of states, and the intervals they make, over spans of any size."""
+    states = rows.withColumn("st", F.when(F.col("w") % 5 == 0, None).otherwise(F.col("w") % 3))
+    if cut:
+        spark.conf.set(ROWS_CONF, cut)
+    try:
+        runs = state_runs(states, ["k"], "ts", ["no"], "st", "was", changed_at="until", since="since")
+        want = plain_runs(states, "st")
+        assert same(runs, want, ["k", "ts", "no"])
+        held = runs.where("st = 1").withColumn("ends", F.least("until", F.col("ts") + F.expr("INTERVAL 300 SECONDS")))
+        got = interval_starts(held, ["k"], "ts", ["no"], "ends", "starts")
+        w = Window.partitionBy("k").orderBy("ts", "no")
+        plain_held = want.where("st = 1").withColumn("ends", F.least("until", F.col("ts") + F.expr("INTERVAL 300 SECONDS")))
+        reach = plain_held.withColumn("reach", F.max("ends").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+        fresh = F.when(F.col("reach").isNull() | (F.col("ts") > F.col("reach")), F.col("ts"))
+        islands = reach.withColumn("starts", F.last(fresh, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        assert same(got, islands.drop("reach"), ["k", "ts", "no"])
+    finally:
+        spark.conf.unset(ROWS_CONF)

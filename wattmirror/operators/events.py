@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from wattmirror.functions.timecols import LOCAL_TZ, local_clock, local_day, seconds_between, wall_to_instant
 from wattmirror.functions.values import float_or
-from wattmirror.plans.ordered import HOUR, SPAN, ordered_scan, settled, span_of
+from wattmirror.plans.composed import interval_starts, state_runs
+from wattmirror.plans.ordered import HOUR, SPAN, STRETCH, ordered_scan, settled, span_of
 
 KEY, TIES = ["entity_id"], ["event_id"]
 NEVER = -(1 << 62)           # before every time stamp in microseconds
@@ -61,8 +62,7 @@ def changes(ev: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
     Adds from_state, NULL on the first row.
     """
-    rows = ordered_scan(ev, keys or KEY, "ts", TIES, previous={"from_state": "state"})
-    return rows.where(~F.col("state").eqNullSafe(F.col("from_state")))
+    return state_runs(ev, keys or KEY, "ts", TIES, "state", "from_state").drop(SPAN, STRETCH)
 
 
 def transitions(ev: DataFrame, from_=None, to=None, entities: list | None = None, keys: list[str] | None = None) -> DataFrame:
@@ -95,9 +95,11 @@ def crossings(ev: DataFrame, above: float | None = None, below: float | None = N
 
 def runs_of_state(ev: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """State changes with the time of the next different state (changed_at, NULL when last)."""
-    keys = keys or KEY
-    changed = settled(changes(ev, keys))
-    return ordered_scan(changed, keys, "ts", TIES, following={"changed_at": "ts"})
+    return _runs(ev, keys).drop(SPAN, STRETCH)
+
+
+def _runs(ev: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    return state_runs(ev, keys or KEY, "ts", TIES, "state", "from_state", changed_at="changed_at")
 
 
 def held_for(ev: DataFrame, state, d: timedelta, horizon: Column | None = None) -> DataFrame:
@@ -114,7 +116,7 @@ def held_for(ev: DataFrame, state, d: timedelta, horizon: Column | None = None)
 
 def dwell_over(ev: DataFrame, n_seconds: float, from_=None, to=None) -> DataFrame:
     """Transitions out of a state that had lasted more than n seconds."""
-    rows = ordered_scan(settled(changes(ev)), KEY, "ts", TIES, previous={"since": "ts"})
+    rows = state_runs(ev, KEY, "ts", TIES, "state", "from_state", since="since").drop(SPAN, STRETCH)
     dwell = seconds_between("since", "ts")
     return (rows.where(_one_of(F.col("from_state"), from_) & _one_of(F.col("state"), to))
                 .withColumn("dwell_seconds", dwell).where(F.col("dwell_seconds") > n_seconds).drop("since"))
@@ -384,13 +386,9 @@ def hold_over_intervals(ev: DataFrame, on, timeout: timedelta = timedelta(minute
 
     A new start before the end prolongs the interval, so overlapping ones are merged.
     """
-    starts = runs_of_state(ev).where(_one_of(F.col("state"), on))
+    starts = _runs(ev).where(_one_of(F.col("state"), on))
     ends = F.least(F.coalesce("changed_at", F.col("ts") + _delay(timeout)), F.col("ts") + _delay(timeout)) + _delay(hold)
-    held = settled(starts.withColumn("ends_at", ends))
-    rows = ordered_scan(held, KEY, "ts", TIES, highest={"__reach": "ends_at"})
-    fresh = F.col("__reach").isNull() | (F.col("ts") > F.col("__reach"))
-    rows = settled(rows.withColumn("__start", F.when(fresh, F.col("ts"))))
-    rows = ordered_scan(rows, KEY, "ts", TIES, known={"starts_at": "__start"})
+    rows = interval_starts(starts.withColumn("ends_at", ends), KEY, "ts", TIES, "ends_at", "starts_at")
     return rows.groupBy("entity_id", "starts_at").agg(
         F.max("ends_at").alias("ends_at"), F.count(F.lit(1)).alias("triggers"))
 

@@ -1,15 +1,15 @@
 """Windows over one key in order that survive a key holding most of the rows.
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole key into one task. Here every scan, whatever its size,
-has one plan of two levels. Rows are cut into calendar spans: stretches of the order column of a fixed width (for
-numbers, of a fixed count of values). The window runs inside (key, span); what a row needs from other spans (the last
-row before, the first row after, a running max or sum) comes from a summary with one row per (key, span), which is
-scanned per key and joined back on (key, span).
-
-So a task sorts the rows of a key in one span, and the summary of a key has at most as many rows as the calendar has
-spans: with hours 8,766 a year. Choose the width so that both are small. Nothing runs while a scan is built and
-nothing is broadcast by hint. The input is read by both levels: write it once with ``settled`` where it is costly.
-A single moment is never cut, as its rows are ordered by the ties alone.
+has one plan of two levels. A key is cut into spans: calendar spans of a month (``width``; numbers are not cut by
+value), and where a key has more than SPAN_ROWS rows in one of them, into as many stretches of its own range as its
+rows fill. The window runs inside (key, span); what a row needs from other spans (the last row before, the first row
+after, a running max or sum) comes from a summary with one row per (key, span), which is scanned per key and joined back.
+
+So a key has at most one span a month and one per SPAN_ROWS rows, however sparse its values are, and a span of evenly
+spread rows has about SPAN_ROWS of them. A single moment is cut by the first tie, if that is a number. Which keys are
+crowded is a part of the plan, with at most rows / SPAN_ROWS rows; nothing runs while a scan is built and nothing is
+broadcast by hint. The input is read by all parts: write it once with ``settled`` where it is costly.
 """
 
 from __future__ import annotations
@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from wattmirror.plans.pinned import pin
 
-HOUR, MONTH = 3_600, 31 * 86_400        # seconds of a span: of events, of hourly facts
+HOUR, MONTH = 3_600, 31 * 86_400        # seconds
 NUMBERS = 65_536                        # values of a span of a numeric order column
+SPAN_ROWS = 500_000                     # rows of a key in one span, above which the span is cut
 WIDTH_CONF = "wattmirror.spanWidth"     # overrides every width, in seconds or values
+ROWS_CONF = "wattmirror.spanRows"       # overrides SPAN_ROWS
 
-SPAN = "__span"
+SPAN, STRETCH = "__span", "__stretch"
 
 
 def span_of(df: DataFrame, order: str, width: float | None = None) -> Column:
@@ -38,6 +40,29 @@ def span_of(df: DataFrame, order: str, width: float | None = None) -> Column:
     return F.coalesce(F.floor(place / F.lit(wide)).cast("bigint"), F.lit(-(1 << 62)))
 
 
+def _timed(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
+
+
+def spanned(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None = None, width: float | None = None) -> DataFrame:
+    """Add SPAN and STRETCH: the calendar span, and the stretch of it where the key is crowded there (else 0)."""
+    conf = df.sparkSession.conf
+    most = int(conf.get(ROWS_CONF, None) or SPAN_ROWS)
+    timed = _timed(df, ts)
+    whole = not timed and width is None and conf.get(WIDTH_CONF, None) is None
+    rows = df.withColumn(SPAN, F.lit(0).cast("bigint") if whole else span_of(df, ts, width or MONTH))
+    place = (F.unix_micros(F.col(ts).cast("timestamp")) if timed else F.col(ts)).cast("double")
+    tie = ties[0] if ties and df.schema[ties[0]].dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal") else None
+    other = F.col(tie).cast("double") if tie else F.lit(None).cast("double")
+    crowded = rows.groupBy(*keys, SPAN).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(place).alias("__lo"), F.max(place).alias("__hi"),
+        F.min(other).alias("__tie_lo"), F.max(other).alias("__tie_hi")).where(F.col("__n") > most)
+    within = lambda value, lo, hi: F.floor((value - F.col(lo)) / ((F.col(hi) - F.col(lo) + 1) / F.ceil(F.col("__n") / most)))
+    stretch = F.when(F.col("__lo") < F.col("__hi"), within(place, "__lo", "__hi")).otherwise(within(other, "__tie_lo", "__tie_hi"))
+    return rows.join(crowded, [*keys, SPAN], "left").withColumn(STRETCH, F.coalesce(stretch.cast("bigint"), F.lit(0))) \
+               .drop("__n", "__lo", "__hi", "__tie_lo", "__tie_hi")
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Rows that another scan builds on, written once: a scan reads its input twice."""
     return pin(df, "rows")
@@ -58,14 +83,15 @@ def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None
       known      latest non-NULL value up to this row
       highest    maximum over all earlier rows            (this row excluded)
       total      sum over all rows up to and including this one
-    ``width`` is that of a span, in seconds for times (default an hour), else in values.
+    ``width`` is that of a calendar span, in seconds for times (default a month), else in values (default all).
     """
     previous, following = previous or {}, following or {}
     known, highest, total = known or {}, highest or {}, total or {}
     order = [ts, *(ties or [])]
-    spanned = df.withColumn(SPAN, span_of(df, ts, width))
+    cut = spanned(df, keys, ts, ties, width)
+    parts = [*keys, SPAN, STRETCH]
 
-    inside = Window.partitionBy(*keys, SPAN).orderBy(*order)
+    inside = Window.partitionBy(*parts).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     # Plain columns, not structs: a struct would be built below the shuffle and sent along.
@@ -79,8 +105,8 @@ def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None
     if following:
         adds["__last"] = F.lead(F.lit(True)).over(inside).isNull()
 
-    carry = _carries(spanned, keys, order, previous, following, known, highest, total)
-    out = spanned.withColumns(adds).join(carry, [*keys, SPAN], "left")
+    carry = _carries(cut, keys, order, previous, following, known, highest, total)
+    out = cut.withColumns(adds).join(carry, parts, "left")
     merged = {o: F.when(F.col("__first"), F.col(f"__c_prev.{o}")).otherwise(F.col(o)) for o in previous}
     merged |= {o: F.when(F.col("__last"), F.col(f"__c_next.{o}")).otherwise(F.col(o)) for o in following}
     merged |= {o: F.coalesce(o, f"__c_{o}") for o in known}
@@ -88,7 +114,7 @@ def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None
     merged |= {o: F.when(F.col(f"__c_{o}").isNull(), F.col(o))
                    .otherwise(F.coalesce(F.col(o), F.lit(0)) + F.col(f"__c_{o}"))
                for o in total}
-    return out.withColumns(merged).drop("__first", "__last", SPAN, *[c for c in carry.columns if c.startswith("__c_")])
+    return out.withColumns(merged).drop("__first", "__last", SPAN, STRETCH, *[c for c in carry.columns if c.startswith("__c_")])
 
 
 def _carries(rows, keys, order, previous, following, known, highest, total) -> DataFrame:
@@ -103,9 +129,9 @@ def _carries(rows, keys, order, previous, following, known, highest, total) -> D
     aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(f"__k_{o}") for o, c in known.items()]
     aggs += [F.max(c).alias(f"__h_{o}") for o, c in highest.items()]
     aggs += [F.sum(c).alias(f"__t_{o}") for o, c in total.items()]
-    summary = rows.groupBy(*keys, SPAN).agg(*aggs)
+    summary = rows.groupBy(*keys, SPAN, STRETCH).agg(*aggs)
 
-    across = Window.partitionBy(*keys).orderBy(SPAN)
+    across = Window.partitionBy(*keys).orderBy(SPAN, STRETCH)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     cols: dict[str, Column] = {}
     if previous:
@@ -115,4 +141,4 @@ def _carries(rows, keys, order, previous, following, known, highest, total) -> D
     cols |= {f"__c_{o}": F.last(f"__k_{o}", ignorenulls=True).over(earlier) for o in known}
     cols |= {f"__c_{o}": F.max(f"__h_{o}").over(earlier) for o in highest}
     cols |= {f"__c_{o}": F.sum(f"__t_{o}").over(earlier) for o in total}
-    return summary.select(*keys, SPAN, *[c.alias(n) for n, c in cols.items()])
+    return summary.select(*keys, SPAN, STRETCH, *[c.alias(n) for n, c in cols.items()])
