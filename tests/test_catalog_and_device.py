@@ -93,3 +93,10 @@ def test_adhoc_guard_and_limit(spark):
     for bad in ("DROP TABLE numbers", "INSERT INTO numbers VALUES (1)", ""):
         with pytest.raises(ValueError):
             dv.adhoc(spark, bad)
+
+
+def test_adhoc_says_when_it_cut_rows(spark):
+    spark.range(1000).createOrReplaceTempView("thousand")
+    for limit, rows, cut in ((10, 10, True), (999, 999, True), (1000, 1000, False), (5000, 1000, False)):
+        got = dv.adhoc(spark, "SELECT * FROM thousand", limit, mark="cut").collect()
+        assert len(got) == rows and {r.cut for r in got} == {cut}

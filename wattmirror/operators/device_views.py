@@ -65,10 +65,17 @@ def device_view(table: DataFrame, view: str, lenient: bool = False) -> DataFrame
     return project(table, VIEWS[view], lenient)
 
 
-def adhoc(spark: SparkSession, sql: str, row_limit: int = ROW_LIMIT) -> DataFrame:
-    """A read-only query over the registered views, capped to a row limit of 1..5000."""
+def adhoc(spark: SparkSession, sql: str, row_limit: int = ROW_LIMIT, mark: str | None = None) -> DataFrame:
+    """A read-only query over the registered views, capped to a row limit of 1..5000.
+
+    ``mark`` names a column that is true on every row if the query has more rows than are returned. To know that, one
+    row more than the limit is read.
+    """
     head = sql.strip().lstrip("(").strip().upper()
     if not head.startswith(("SELECT", "WITH")):
         raise ValueError("only SELECT and WITH statements are allowed")
     limit = max(1, min(row_limit, ROW_LIMIT_MAX))
-    return spark.sql(f"SELECT * FROM ({sql}) AS q LIMIT {limit}")
+    if mark is None:
+        return spark.sql(f"SELECT * FROM ({sql}) AS q LIMIT {limit}")
+    return spark.sql(f"""SELECT *, count(*) OVER () > {limit} AS `{mark}`
+                         FROM (SELECT * FROM ({sql}) AS q LIMIT {limit + 1}) AS r""").limit(limit)
