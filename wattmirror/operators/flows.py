@@ -170,10 +170,11 @@ def _allocate_shared(shared: DataFrame, most: int = SNAPSHOT_EDGES) -> DataFrame
 
 def _graphs(shared: DataFrame, most: int) -> DataFrame:
     """The edges with the graph they belong to. No flow depends on edges of another component, so those of a large
-    snapshot are settled apart from each other; the driver sees how many snapshots are large."""
-    large = pin(shared.groupBy("snapshot_at").count().where(F.col("count") > most).select("snapshot_at"), "large")
-    if not large.count():
+    snapshot are settled apart from each other; the driver sees whether there is one."""
+    large = shared.groupBy("snapshot_at").count().where(F.col("count") > most).select("snapshot_at")
+    if large.isEmpty():
         return shared.withColumn("graph", F.lit(""))
+    large = pin(large, "large")
     roots = components(shared.join(large, "snapshot_at", "left_semi"), ["snapshot_at"], "parent", "child")
     return shared.join(roots.select("snapshot_at", F.col("node").alias("parent"), F.col("root").alias("graph")).hint("merge"),
                        ["snapshot_at", "parent"], "left").withColumn("graph", F.coalesce("graph", F.lit("")))

@@ -1,9 +1,9 @@
 """Windows over one key in order that survive a key holding most of the rows.
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole key into one task. Here every scan, whatever its size,
-has one plan of two levels. A key is cut into spans: calendar spans of a month (``width``; numbers are not cut by
-value), and where a key has more than SPAN_ROWS rows in one of them, into as many stretches of its own range as its
-rows fill. The window runs inside (key, span); what a row needs from other spans (the last row before, the first row
+has one plan of two levels. A key is cut into spans: calendar spans of a month (numbers are not cut by value), and where a
+key has more than SPAN_ROWS rows in one of them, into as many stretches of its own range as its rows fill. A caller that
+knows how many rows a span can have (hourly facts: 744 a month) gives a ``width``, and nothing is counted. The window runs inside (key, span); what a row needs from other spans (the last row before, the first row
 after, a running max or sum) comes from a summary with one row per (key, span), which is scanned per key and joined back.
 
 So a key has at most one span a month and one per SPAN_ROWS rows, however sparse its values are, and a span of evenly
@@ -51,6 +51,8 @@ def spanned(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None = No
     timed = _timed(df, ts)
     whole = not timed and width is None and conf.get(WIDTH_CONF, None) is None
     rows = df.withColumn(SPAN, F.lit(0).cast("bigint") if whole else span_of(df, ts, width or MONTH))
+    if width is not None and conf.get(ROWS_CONF, None) is None:
+        return rows.withColumn(STRETCH, F.lit(0).cast("bigint"))
     place = (F.unix_micros(F.col(ts).cast("timestamp")) if timed else F.col(ts)).cast("double")
     tie = ties[0] if ties and df.schema[ties[0]].dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal") else None
     other = F.col(tie).cast("double") if tie else F.lit(None).cast("double")
@@ -83,7 +85,8 @@ def ordered_scan(df: DataFrame, keys: list[str], ts: str, ties: list[str] | None
       known      latest non-NULL value up to this row
       highest    maximum over all earlier rows            (this row excluded)
       total      sum over all rows up to and including this one
-    ``width`` is that of a calendar span, in seconds for times (default a month), else in values (default all).
+    ``width`` is that of a calendar span, in seconds for times, else in values; give it where a span of that width
+    has a bounded number of rows. Without it spans are a month or all values, and crowded ones are cut.
     """
     previous, following = previous or {}, following or {}
     known, highest, total = known or {}, highest or {}, total or {}
