@@ -76,3 +76,29 @@ def test_query(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
     held = [r.lang_pred == truth[r.doc_id] for r in rows if r.held_out]
     assert sum(held) / len(held) > 0.97
+
+
+def test_query_equals_plain_sizes_text_by_text(spark):
+    """Every text under every language's dictionary, each with a compressor of its own: the smallest wins."""
+    import zstandard
+
+    from wattmirror.llm import langid
+    from wattmirror.llm.common import read, split_of
+    from wattmirror.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    docs = read(spark, sf, "documents")
+    content = langid.learn(docs.where(split_of("doc_id", 4) != 2))
+    how = zstandard.ZstdCompressionParameters(
+        strategy=zstandard.STRATEGY_GREEDY, min_match=4, search_log=4, window_log=20, chain_log=18, hash_log=17,
+        write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    def smallest(text):
+        if text is None or not any(map(str.isalpha, text)):
+            return "und"
+        data = text.lower().encode("utf-8", "replace")
+        sizes = {lang: len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(
+            raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=how).compress(data)) for lang, raw in content.items()}
+        return min(sorted(sizes), key=sizes.get)
+
+    want = {r.doc_id: smallest(r.text) for r in docs.select("doc_id", "text").collect()}
+    assert {r.doc_id: r.lang_pred for r in QUERIES["op6_language_id"](spark, sf).collect()} == want
