@@ -161,7 +161,7 @@ def _neighbours(entries: DataFrame, first: str, second: str) -> DataFrame:
     ordered = entries.repartitionByRange(*order).sortWithinPartitions(*order)
     made = pin(ordered.select("gram", "key", "pos", "after", "before").mapInArrow(
         run, "kind int, key long, begin long, end long, gram long, pos long, after binary, before binary"), "matches")
-    edges = made.where("kind = 1").select("gram", "key", "pos", "after", "before").coalesce(1) \
+    edges = made.where("kind = 1").select("gram", "key", "pos", "after", "before").repartition(1) \
         .sortWithinPartitions(*order)
     across = edges.mapInArrow(lambda batches: (matches(b) for b in _joined(batches)), made.schema)
     return made.where("kind = 0").select("key", "begin", "end").union(across.select("key", "begin", "end"))
