@@ -201,6 +201,49 @@ def test_one_corrupt_cell_is_one_problem(spark):
     assert [(r.kind, r.source_value, r.mirror_value) for r in got] == [("sum", "7.0", "7.5")]
 
 
+def test_a_damaged_cell_makes_one_part_differ(spark, tmp_path):
+    hours = range(0, 24 * 730, 24)                                  # 24 months, two metrics
+    clean = spark.createDataFrame([fact(k, h, float(h)) for k in "mn" for h in hours], FACTS)
+    hit = (F.col("statistic_id") == "n") & (F.col("sum") == 24.0 * 400)
+    bad = clean.withColumn("sum", F.when(hit, -1.0).otherwise(F.col("sum")))
+    merge.write_months(clean.withColumn("synced_at", F.lit(NOW)), str(tmp_path / "facts"))
+    stored = merge.read_facts(spark, str(tmp_path / "facts"))
+    assert reconcile.differing_parts(clean.repartition(7), stored).isEmpty()
+    parts = reconcile.differing_parts(bad, stored)
+    month = T0 + timedelta(hours=24 * 400)
+    assert [tuple(r) for r in parts.collect()] == [("n", month.year * 12 + month.month - 1)]
+    months = reconcile.months_of(parts)
+    again = reconcile.rows_of(stored, parts, months)
+    assert {(r.statistic_id, r.start_at.month) for r in again.collect()} == {("n", month.month)} and again.count() <= 31
+    assert "GreaterThanOrEqual(start_at" in again._jdf.queryExecution().executedPlan().toString()
+    got = reconcile.reconcile(bad, stored).collect()
+    assert [(r.statistic_id, r.kind, r.source_value, r.mirror_value) for r in got] == [("n", "sum", "-1.0", "9600.0")]
+
+
+def test_digests_see_nulls_repeats_and_rows_without_a_time(spark):
+    row = lambda low, high, at=T0: ("m", at, "hour", None, None, low, high, None, None, None)
+    of = lambda *rows: spark.createDataFrame(list(rows), FACTS)
+    digest = lambda df: sorted(map(tuple, reconcile.digests(df).collect()))
+    assert digest(of(row(1.0, None))) != digest(of(row(None, 1.0)))
+    one, two, three = row(1.0, 1.0), row(2.0, 2.0), row(3.0, 3.0)
+    assert digest(of(one, two, two)) != digest(of(one, three, three))
+    assert digest(of(one, two)) == digest(of(two, one)) and digest(of(row(-0.0, float("nan")))) == digest(of(row(0.0, float("nan"))))
+    assert digest(of().limit(0)) == [] and reconcile.reconcile(of(one), of(one).limit(0)).first().kind == "missing_from_mirror"
+    lost = row(1.0, 1.0, None)
+    assert reconcile.reconcile(of(one, lost), of(one)).first().kind == "missing_from_mirror"
+    near = row(1.0 + 1e-12, 1.0)
+    assert reconcile.differing_parts(of(one), of(near)).count() == 1 and reconcile.reconcile(of(one), of(near)).isEmpty()
+
+
+def test_digest_first_reports_what_comparing_all_rows_does(spark):
+    rows = [(k, T0 + timedelta(hours=7 * h), "hour", None, 1.0, float(h % 5), None, 1.0, float(h), None) for k in "mno" for h in range(400)]
+    a = spark.createDataFrame(rows, FACTS)
+    b = a.where("statistic_id <> 'o' OR sum < 300").withColumn("min", F.when(F.col("sum") % 97 == 5, None).otherwise(F.col("min")))
+    b = b.withColumn("grain", F.when((F.col("sum") == 201) & (F.col("statistic_id") == "m"), "day").otherwise(F.col("grain")))
+    for x, y in ((a, b), (b, a)):
+        assert sorted(map(str, reconcile.reconcile(x, y).collect())) == sorted(map(str, reconcile.differences(x, y).collect()))
+
+
 def test_rows_above_the_watermark_are_out_of_scope_on_both_sides(spark):
     a = spark.createDataFrame([fact("m", h, float(h)) for h in range(10)], FACTS)
     b = spark.createDataFrame([fact("m", h, float(h)) for h in range(6)] + [fact("m", 40, 1.0)], FACTS)

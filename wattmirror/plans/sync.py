@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wattmirror.operators import gating, merge, reconcile, runs
 from wattmirror.operators.catalog import selected_metrics
 from wattmirror.plans import monthly
+from wattmirror.plans.pinned import pin
 from wattmirror.sources import statistics as src
 
 
@@ -93,16 +94,26 @@ def repair(stats, meta, mirror, catalog, periods, watermarks, now: datetime, lo:
 
 def backfill(stats: DataFrame, meta: DataFrame, mirror: DataFrame, catalog: DataFrame, periods: DataFrame,
              watermarks: DataFrame, now: datetime) -> SyncResult:
-    """All history of all selected metrics, then reconciled against the same pinned source."""
+    """All history of all selected metrics, merged and written once.
+
+    Nothing is stored that could be read back, so the problems are the rows of the read metrics that the source no
+    longer has; ``store_backfill`` compares what is stored with the source.
+    """
     staged = _staged(_read(stats, meta, catalog, periods))
-    labelled = merge.label_merge(mirror, staged, src.FACT_KEY, merge.COMPARED, F.lit(now))
-    merged = labelled.drop("merge_label")
-    return _result(merged, labelled, staged, catalog, watermarks, F.lit(now), problems=_compared(staged, merged))
+    labelled = pin(merge.label_merge(mirror, staged, src.FACT_KEY, merge.COMPARED, F.lit(now)), "merged")
+    kept = _of_read(labelled.where("merge_label = 'kept'"), staged)
+    return _result(labelled.drop("merge_label"), labelled, staged, catalog, watermarks, F.lit(now),
+                   problems=reconcile.absent(kept))
+
+
+def _of_read(rows: DataFrame, staged: DataFrame) -> DataFrame:
+    """The rows of metrics that were read."""
+    return rows.join(staged.select("statistic_id").distinct(), "statistic_id", "left_semi")
 
 
 def _compared(staged: DataFrame, mirror: DataFrame) -> DataFrame:
     """Differences over the metrics that were read."""
-    return reconcile.reconcile(staged, mirror.join(staged.select("statistic_id").distinct(), "statistic_id", "left_semi"))
+    return reconcile.reconcile(staged, _of_read(mirror, staged))
 
 
 # --- on a stored table -----------------------------------------------------------------------
