@@ -313,12 +313,39 @@ def asof_state(triggers: DataFrame, ev: DataFrame, guard: str = "guard_id", dela
     return found.unionByName(lost)
 
 
+def asof_states(triggers: DataFrame, ev: DataFrame, guards: dict[str, str]) -> DataFrame:
+    """``asof_state`` for several guards at once: ``guards`` maps a prefix to the column that names its entity.
+
+    The questions of all guards and the events form one sequence, so there is one scan however many guards there are.
+    The answers to a trigger meet again by the trigger itself: equal triggers have equal answers and stay as many.
+    Columns of the triggers must be comparable (no maps).
+    """
+    fields = ("state", "value", "ts")
+    questions = F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).cast(ev.schema["entity_id"].dataType).alias("who"))
+                                    for i, c in enumerate(guards.values())]))
+    asked = triggers.select(F.struct(*triggers.columns).alias("__trigger"), questions.alias("__q")).select(
+        F.col("__q.who").alias("__who"), F.col("__trigger.ts").alias("__at"), F.lit(1).alias("__kind"),
+        F.col("__trigger.event_id").alias("__no"), F.col("__q.slot").alias("__slot"), "__trigger")
+    states = ev.select(F.col("entity_id").alias("__who"), F.col("ts").alias("__at"), F.lit(0).alias("__kind"),
+                       F.col("event_id").alias("__no"), F.struct(*fields).alias("__seen"))
+    both = states.unionByName(asked.where(F.col("__who").isNotNull()), allowMissingColumns=True)
+    found = ordered_scan(both, ["__who"], "__at", ["__kind", "__no"], known={"__known": "__seen"}).where("__kind = 1")
+    # A question without an entity is not answered; keeping it out of the scan spares one group of NULL keys.
+    answers = found.select("__trigger", "__slot", "__known").unionByName(
+        asked.where(F.col("__who").isNull()).select("__trigger", "__slot"), allowMissingColumns=True)
+    of = lambda i, name: F.max(F.when(F.col("__slot") == i, F.col(f"__known.{name}")))
+    met = answers.groupBy("__trigger").agg(
+        F.count(F.when(F.col("__slot") == 0, 1)).alias("__times"),
+        *[of(i, name).alias(f"{prefix}_{'since' if name == 'ts' else name}") for i, prefix in enumerate(guards) for name in fields])
+    return met.withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times")))) \
+              .select("__trigger.*", *[c for c in met.columns if c not in ("__trigger", "__times")])
+
+
 def guarded_action(triggers: DataFrame, ev: DataFrame, load: str = "load_id", unit: str = "unit_id",
                    load_above: float = 10.0, active: tuple[str, ...] = ("heating", "cooling")) -> DataFrame:
     """Triggers whose action may run: the companion load is not above its limit and the main
     unit is not active. What is unknown does not hold an action back."""
-    rows = settled(asof_state(triggers, ev, load, prefix="load"))
-    rows = asof_state(rows, ev, unit, prefix="unit")
+    rows = asof_states(triggers, ev, {"load": load, "unit": unit})
     loaded = F.coalesce(F.col("load_value") > load_above, F.lit(False))
     busy = F.coalesce(F.col("unit_state").isin(*active), F.lit(False))
     return rows.where(~loaded & ~busy)
@@ -422,33 +449,54 @@ def departures(signals: DataFrame, delay: timedelta = DEPARTURE_DELAY, tz: str =
     state, value. A later closing within the delay starts the wait again.
     """
     horizon = latest_ts(signals)
-    of_home = lambda rows, flag, wait, prefix: asof_state(settled(rows), flag, "home_id", wait, prefix)
-    occupied = _flag(signals, "occupied")
-    closed = time_of_day(_door(signals, from_="on", to="off"), *PRESENCE_HOURS, tz=tz)
-    home = of_home(closed, occupied, None, "occupied").where("occupied_state = 'on'").select(*closed.columns)
-    waited = debounce(settled(home), delay, horizon, ["home_id"])
-
-    # One sequence per home: flag changes, motion sensors going off (+1) or on again (-1), and the questions.
-    tracker = _flag(signals, "tracker")
-    motion = signals.where("role = 'motion'").withColumn("__off", F.coalesce(F.col("state") == "off", F.lit(False)).cast("int"))
-    moved = ordered_scan(motion, ["home_id", "entity_id"], "ts", TIES, previous={"__was": "__off"})
-    told = lambda rows, at, kind, **more: rows.select(
-        "home_id", at.alias("__at"), F.lit(kind).alias("__kind"), F.col("event_id").alias("__no"),
-        *[c.alias(n) for n, c in more.items()])
+    told = settled(_told(signals, tz))
+    flag = lambda role: told.where(F.col("role") == role)
     since = F.struct("state", "ts")
-    parts = [told(occupied, F.col("ts"), 0, __occupied=since), told(tracker, F.col("ts"), 0, __tracker=since),
-             told(moved, F.col("ts"), 0, __move=F.col("__off") - F.coalesce("__was", F.lit(0))).where("__move <> 0"),
-             told(waited, F.col("ts") + _delay(delay), 1, __asked=F.struct("door", "event_id", "ts"))]
-    sequence = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
-    seen = ordered_scan(settled(sequence), ["home_id"], "__at", ["__kind", "__no"],
-                        known={"occupied": "__occupied", "tracker": "__tracker"}, total={"off": "__move"})
-    sensors = motion.groupBy("home_id").agg(F.count_distinct("entity_id").alias("sensors"))
+    event = lambda rows, at, kind, *more: rows.select(
+        "home_id", at.alias("__at"), F.lit(kind).alias("__kind"), F.col("event_id").alias("__no"), *more)
+    together = lambda parts: reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
+    ts, occupied = F.col("ts"), event(flag("occupied"), F.col("ts"), 0, since.alias("__occupied"))
+
+    # Closings while the home is occupied, each with its number among the closings of the home.
+    closed = event(flag("door"), ts, 1, F.struct("entity_id", "event_id", "ts").alias("__closing"), F.lit(1).alias("__one"))
+    home = ordered_scan(together([occupied, closed]), ["home_id"], "__at", ["__kind", "__no"],
+                        known={"occupied": "__occupied"}, total={"number": "__one"}) \
+        .where("__kind = 1 AND occupied.state = 'on'") \
+        .select("home_id", "__closing.entity_id", "__closing.event_id", "__closing.ts", "number")
+
+    # One sequence per home: flags, closings, sensors going off (+1) or on again (-1), and the questions after the
+    # delay. A closing has not been followed by another if it is still the last one when its question is asked.
+    later = F.col("ts") + _delay(delay)
+    sequence = together([
+        occupied, event(flag("tracker"), ts, 0, since.alias("__tracker")), event(flag("motion"), ts, 0, F.col("move").alias("__move")),
+        event(home, ts, 0, F.col("number").alias("__number")),
+        event(home, later, 1, F.struct(F.col("entity_id").alias("door"), "event_id", "ts").alias("__asked"), F.col("number").alias("__mine"))])
+    seen = ordered_scan(sequence, ["home_id"], "__at", ["__kind", "__no", "__number"], total={"off": "__move"},
+                        known={"occupied": "__occupied", "tracker": "__tracker", "last": "__number"})
+    sensors = flag("motion").where("first").groupBy("home_id").agg(F.count(F.lit(1)).alias("sensors"))
     lasting = seconds_between("occupied.ts", "__at") > OCCUPIED_DWELL_SECONDS
-    return (seen.where((F.col("__kind") == 1) & lasting & (F.col("tracker.state") == "not_home"))
+    return (seen.where((F.col("__kind") == 1) & (F.col("last") == F.col("__mine")) & (horizon >= F.col("__at")) & lasting
+                       & (F.col("tracker.state") == "not_home"))
                 .join(sensors, "home_id").where("off = sensors")
                 .select("home_id", "__asked.*", F.col("__at").alias("departed_at")))
 
 
+def _told(signals: DataFrame, tz: str) -> DataFrame:
+    """What departures need of the signals, from one scan: flag changes, closings of doors during the day, and for
+    motion sensors their first row and every change between off and not off (move: +1 off, -1 no longer off)."""
+    of = F.when(F.col("role").isin("door", "motion"), F.col("entity_id").cast("string")).otherwise("")
+    rows = signals.where(F.col("role").isin("door", "motion", "occupied", "tracker")).select(
+        "home_id", "role", "entity_id", "event_id", "ts", "state", of.alias("__of"), F.struct("state").alias("__held"))
+    rows = ordered_scan(rows, ["home_id", "role", "__of"], "ts", TIES, previous={"__was": "__held"})
+    first, was, state = F.col("__was").isNull(), F.col("__was.state"), F.col("state")
+    off = lambda c: F.coalesce(c == "off", F.lit(False)).cast("int")
+    rows = rows.withColumns({"first": first, "move": off(state) - off(was)})
+    wanted = (F.when(F.col("role") == "motion", first | (F.col("move") != 0))
+               .when(F.col("role") == "door", (was == "on") & (state == "off")).otherwise(first | ~state.eqNullSafe(was)))
+    rows = rows.where(wanted).select("home_id", "role", "entity_id", "event_id", "ts", "state", "first", "move")
+    return rows.where(F.col("role") != "door").unionByName(time_of_day(rows.where("role = 'door'"), *PRESENCE_HOURS, tz=tz))
+
+
 def arrivals(signals: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
     """Coming home: a door opens during the day while the occupied flag is off."""
     opened = time_of_day(_door(signals, to="on"), *PRESENCE_HOURS, tz=tz)
