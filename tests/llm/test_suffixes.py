@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from wattmirror.llm import suffixes
 from wattmirror.llm.queries import QUERIES
@@ -85,6 +86,25 @@ def test_a_passage_in_most_documents(spark):
         assert r.spans == "20:90"
 
 
+def test_texts_of_one_64_bit_key_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "text_keys", lambda text: (F.lit(7).cast("long"), F.xxhash64(F.lit(suffixes.SECOND_SEED), text)))
+    texts = corpus(6)
+    want = plain(texts)
+    for r in suffixes.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        assert np.array_equal(found(r), want[r.doc_id]) and r.copies == texts.count(texts[r.doc_id])
+
+
+def test_a_large_group_of_copies(spark):
+    rng = random.Random(8)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = fresh(55)
+    texts = [fresh(30) + " " + passage + " " + fresh(20)] * 2000 + [fresh(9) + " " + passage, fresh(80)]
+    rows = {r.doc_id: r for r in suffixes.passages(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)).collect()}
+    assert {(rows[i].copies, rows[i].spans) for i in range(2000)} == {(2000, "0:105")}
+    assert rows[2000].spans == "9:64" and rows[2001].spans == "" and len(rows) == 2002
+
+
 def test_odd_rows(docs_of, odd_rows, clashes):
     docs = docs_of(odd_rows, clashes)
     rows = suffixes.passages(docs).collect()

@@ -14,7 +14,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattmirror.llm.common import chunks, map_texts, pin
@@ -22,6 +22,9 @@ from wattmirror.llm.common import chunks, map_texts, pin
 LEAST = 50                      # words of a passage
 GRAM = 12                       # words of a k-gram
 WINDOW = LEAST - GRAM + 1       # k-grams of which the least is kept: any passage of LEAST words holds a minimiser
+KEY = ["key", "key2"]           # two 64-bit hashes of a text
+SECOND_SEED = 17
+SUFFIX = ["gram", *KEY, "pos", "after", "before"]
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)      # odd, for rolling hashes modulo 2^64
 
 
@@ -70,62 +73,68 @@ def minimisers(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return np.unique(np.where(hashes[b] < hashes[a], b, a))
 
 
+def text_keys(text: Column) -> tuple[Column, Column]:
+    """What tells texts apart: XXH64 under two seeds."""
+    return F.xxhash64(text), F.xxhash64(F.lit(SECOND_SEED), text)
+
+
 def _light(docs: DataFrame) -> DataFrame:
-    """(gram, key, pos) of the minimisers of every text of at least LEAST words."""
+    """(gram, key, key2, pos) of the minimisers of every text of at least LEAST words."""
     def run(batches):
         for batch, texts in chunks(batches):
             flat, sizes = word_hashes(texts)
-            keys, out = batch.column(0).to_numpy(zero_copy_only=False), ([], [], [])
-            for key, start, n in zip(keys, np.cumsum(sizes) - sizes, sizes):
+            keys, out = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)], ([], [], [], [])
+            for key, key2, start, n in zip(*keys, np.cumsum(sizes) - sizes, sizes):
                 if n >= LEAST:
                     hashes = grams(flat[start:start + n])
                     at = minimisers(hashes)
-                    for c, v in zip(out, (hashes[at].view(np.int64), np.full(at.size, key), at)):
+                    for c, v in zip(out, (hashes[at].view(np.int64), np.full(at.size, key), np.full(at.size, key2), at)):
                         c.append(v)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out],
-                                                 ["gram", "key", "pos"])
+                                                 ["gram", *KEY, "pos"])
 
-    return docs.select("key", "text").mapInArrow(run, "gram long, key long, pos long")
+    return docs.select(*KEY, "text").mapInArrow(run, "gram long, key long, key2 long, pos long")
 
 
 def _entries(wanted: DataFrame) -> DataFrame:
-    """Suffixes at the wanted positions (key, text, places): gram, key, pos, after and before.
+    """Suffixes at the wanted positions (key, key2, text, places): gram, key, key2, pos, after and before.
 
     after: 32 bits of the hash of each of the next LEAST words; before: the same of the words before, nearest first.
     """
     def run(batches):
         for batch, texts in chunks(batches):
             flat, sizes = word_hashes(texts)
-            rows = zip(batch.column(0).to_pylist(), batch.column(batch.schema.get_field_index("places")).to_pylist(),
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(batch.schema.get_field_index("places")).to_pylist(),
                        np.cumsum(sizes) - sizes, sizes)
-            out = ([], [], [], [], [])
-            for key, places, start, n in rows:
+            out = ([], [], [], [], [], [])
+            for key, key2, places, start, n in rows:
                 own = flat[start:start + n]
                 at = np.sort(np.array(places, dtype=np.int64))
                 short = (own >> np.uint64(32)).astype(">u4")
                 back = short[::-1]
                 out[0].append(grams(own)[at].view(np.int64))
                 out[1].append(np.full(at.size, key))
-                out[2].append(at)
-                out[3].extend(short[p:p + LEAST].tobytes() for p in at)
-                out[4].extend(back[n - p:n - p + LEAST].tobytes() for p in at)
+                out[2].append(np.full(at.size, key2))
+                out[3].append(at)
+                out[4].extend(short[p:p + LEAST].tobytes() for p in at)
+                out[5].extend(back[n - p:n - p + LEAST].tobytes() for p in at)
             if out[0]:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c), pa.int64()) for c in out[:3]]
-                    + [pa.array(c, pa.binary()) for c in out[3:]], ["gram", "key", "pos", "after", "before"])
+                    [pa.array(np.concatenate(c), pa.int64()) for c in out[:4]]
+                    + [pa.array(c, pa.binary()) for c in out[4:]], SUFFIX)
 
-    return wanted.select("key", "text", "places").mapInArrow(
-        run, "gram long, key long, pos long, after binary, before binary")
+    return wanted.select(*KEY, "text", "places").mapInArrow(
+        run, "gram long, key long, key2 long, pos long, after binary, before binary")
 
 
 def _neighbours(entries: DataFrame, first: str, second: str) -> DataFrame:
-    """Sort the suffixes and compare neighbours: (key, begin, end) of matches of at least LEAST words, both sides.
+    """Sort the suffixes and compare neighbours: (key, key2, begin, end) of matches of at least LEAST words, both sides.
 
     The sort is a range partitioning over the corpus, so a k-gram of any number of copies is cut over tasks. Each
     task also gives its first and last suffix; those of neighbouring tasks are compared afterwards.
     """
-    order = ["gram", first, second, "key", "pos"]
+    order = ["gram", first, second, *KEY, "pos"]
 
     def run(batches):
         last, head = None, True
@@ -142,29 +151,29 @@ def _neighbours(entries: DataFrame, first: str, second: str) -> DataFrame:
         if last is not None:
             yield edge(last)
 
-    names = ["kind", "key", "begin", "end", "gram", "pos", "after", "before"]
+    names = ["kind", *KEY, "begin", "end", "gram", "pos", "after", "before"]
 
     def edge(row):
         get = {n: row.column(row.schema.get_field_index(n)) for n in row.schema.names}
         none = pa.nulls(1, pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), get["key"], none, none, get["gram"], get["pos"],
-                                           get["after"].cast(pa.binary()), get["before"].cast(pa.binary())], names)
+        return pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), get["key"], get["key2"], none, none, get["gram"],
+                                           get["pos"], get["after"].cast(pa.binary()), get["before"].cast(pa.binary())], names)
 
     def matches(batch):
-        key, begin, end = compare(batch)
-        n = key.size
+        found = compare(batch)
+        n = found[0].size
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.zeros(n), pa.int32()), pa.array(key), pa.array(begin), pa.array(end),
+            [pa.array(np.zeros(n), pa.int32()), *map(pa.array, found),
              pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
             names)
 
     ordered = entries.repartitionByRange(*order).sortWithinPartitions(*order)
-    made = pin(ordered.select("gram", "key", "pos", "after", "before").mapInArrow(
-        run, "kind int, key long, begin long, end long, gram long, pos long, after binary, before binary"), "matches")
-    edges = made.where("kind = 1").select("gram", "key", "pos", "after", "before").repartition(1) \
+    made = pin(ordered.select(*SUFFIX).mapInArrow(
+        run, "kind int, key long, key2 long, begin long, end long, gram long, pos long, after binary, before binary"), "matches")
+    edges = made.where("kind = 1").select(*SUFFIX).repartition(1) \
         .sortWithinPartitions(*order)
     across = edges.mapInArrow(lambda batches: (matches(b) for b in _joined(batches)), made.schema)
-    return made.where("kind = 0").select("key", "begin", "end").union(across.select("key", "begin", "end"))
+    return made.where("kind = 0").select(*KEY, "begin", "end").union(across.select(*KEY, "begin", "end"))
 
 
 def _joined(batches):
@@ -192,34 +201,35 @@ def _common(a: pa.Array, b: pa.Array) -> np.ndarray:
     return np.where(same.all(axis=1), LEAST, same.argmin(axis=1))
 
 
-def compare(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, begin, end) of both sides of every match between neighbours, extended right and left."""
+def compare(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """(key, key2, begin, end) of both sides of every match between neighbours, extended right and left."""
     gram = batch.column(batch.schema.get_field_index("gram")).to_numpy()
     near = np.flatnonzero(gram[1:] == gram[:-1])
     if not near.size:
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none
-    get = {n: batch.column(batch.schema.get_field_index(n)) for n in ("key", "pos", "after", "before")}
+        return none, none, none, none
+    get = {n: batch.column(batch.schema.get_field_index(n)) for n in (*KEY, "pos", "after", "before")}
     a, b = pa.array(near), pa.array(near + 1)
     right = _common(get["after"].take(a), get["after"].take(b))
     back = _common(get["before"].take(a), get["before"].take(b))
     long = np.flatnonzero(right + back >= LEAST)
-    out = [], [], []
+    out = [], [], [], []
     for side in (near, near + 1):
         rows = side[long]
         pos = get["pos"].to_numpy()[rows]
         out[0].append(get["key"].to_numpy()[rows])
-        out[1].append(pos - back[long])
-        out[2].append(pos + right[long])
+        out[1].append(get["key2"].to_numpy()[rows])
+        out[2].append(pos - back[long])
+        out[3].append(pos + right[long])
     return tuple(np.concatenate(c).astype(np.int64) for c in out)
 
 
 def _united(key_spans: DataFrame) -> DataFrame:
-    """(key, spans, repeated): the matches of a text as ordered spans that neither touch nor overlap."""
+    """(key, key2, spans, repeated): the matches of a text as ordered spans that neither touch nor overlap."""
     def run(batches):
         for batch in batches:
             texts, words = [], []
-            for own in batch.column(1).to_pylist():
+            for own in batch.column(2).to_pylist():
                 out: list[list[int]] = []
                 for s in sorted((x["begin"], x["end"]) for x in own):
                     if out and s[0] <= out[-1][1]:
@@ -228,11 +238,11 @@ def _united(key_spans: DataFrame) -> DataFrame:
                         out.append(list(s))
                 texts.append(",".join(f"{x}:{y}" for x, y in out))
                 words.append(sum(y - x for x, y in out))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()),
-                                              pa.array(words, pa.int64())], ["key", "spans", "repeated"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
+                                              pa.array(words, pa.int64())], [*KEY, "spans", "repeated"])
 
-    return key_spans.groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("own")) \
-        .mapInArrow(run, "key long, spans string, repeated long")
+    return key_spans.groupBy(*KEY).agg(F.collect_set(F.struct("begin", "end")).alias("own")) \
+        .mapInArrow(run, "key long, key2 long, spans string, repeated long")
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -240,26 +250,29 @@ def passages(docs: DataFrame) -> DataFrame:
 
     copies: documents with exactly this text, itself included. spans: "begin:end" in words, comma-joined, of the
     text that lies in a passage of at least LEAST words occurring at another place of the corpus, the same text
-    included; of a text with copies all of it. repeated_words: the words in them. Equal texts are searched once, by
-    a 64-bit hash of the text, so a large group of copies costs one text. Null texts count as empty, and texts under
+    included; of a text with copies all of it. repeated_words: the words in them. Equal texts are told by 128 bits of
+    hashes and searched once: a group of copies is reduced to one row in every task before it is shuffled. Null texts count as empty, and texts under
     LEAST words have no spans. doc_id may repeat or be null; other columns are ignored. No rows give no rows.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
-    sizes = pin(map_texts(rows, ["doc_id", "key"], "n_words long", lambda texts: [[len(t.encode(
+    key, key2 = text_keys(text)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), key2.alias("key2"), text.alias("text"))
+    sizes = pin(map_texts(rows, ["doc_id", *KEY], "n_words long", lambda texts: [[len(t.encode(
         "utf-8", "surrogatepass").split()) for t in texts]]), "sizes")
     light = pin(_light(rows), "grams")
     places = light.distinct()
     # Written, so that the join below reads both sides from shuffles and Spark can split a k-gram of many copies.
     often = pin(places.groupBy("gram").count().where("count > 1").select("gram"), "often")
-    wanted = places.join(often, "gram", "left_semi").groupBy("key").agg(F.collect_list("pos").alias("places"))
-    texts = rows.select("key", "text").join(wanted, "key").dropDuplicates(["key"])
+    wanted = places.join(often, "gram", "left_semi").groupBy(*KEY).agg(F.collect_list("pos").alias("places"))
+    texts = rows.select(*KEY, "text").dropDuplicates(KEY).join(wanted, KEY)
     entries = pin(_entries(texts), "suffixes")
     found = _neighbours(entries, "after", "before").union(_neighbours(entries, "before", "after"))
     spans = _united(found.distinct())
-    copies = sizes.groupBy("key").agg(F.count("*").alias("copies"))
+    copies = sizes.groupBy(*KEY).agg(F.count("*").alias("copies"))
+    # Written as well: the rows of a large group of copies meet it in a join that Spark can split.
+    told = pin(copies.join(spans, KEY, "left").where("copies > 1 OR spans IS NOT NULL"), "told")
     whole = (F.col("copies") > 1) & (F.col("n_words") >= LEAST)
-    return sizes.join(copies.join(spans, "key", "left"), "key").select(
-        "doc_id", "n_words", "copies",
+    return sizes.join(told, KEY, "left").select(
+        "doc_id", "n_words", F.coalesce("copies", F.lit(1)).cast("long").alias("copies"),
         F.when(whole, F.col("n_words")).otherwise(F.coalesce("repeated", F.lit(0))).alias("repeated_words"),
         F.when(whole, F.concat(F.lit("0:"), "n_words")).otherwise(F.coalesce("spans", F.lit(""))).alias("spans"))
