@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from wattmirror.llm import sharding
 from wattmirror.llm.queries import QUERIES
 
@@ -12,12 +14,13 @@ def check(rows, shards):
         assert sorted(r["__slot"] for r in rows if r["__shard"] == s) == list(range(counts[s]))
 
 
-def test_odd_rows(docs_of, odd_rows, clashes):
-    docs = docs_of(odd_rows, clashes)
+def test_odd_rows(docs_of, odd_rows, clashes, hidden):
+    docs = docs_of(odd_rows, [*clashes, *hidden])
     out = sharding.external_shuffle(docs, shards=4)
     rows = out.collect()
     check(rows, 4)
-    assert out.columns[:len(docs.columns)] == docs.columns
+    assert out.columns == [*[c for c in docs.columns if c != "__size"], *sharding.OWN]
+    assert {r["a b.c"] for r in rows} == {"s"} and {r["__key"] for r in rows} == {2}
     assert sorted(str(r.doc_id) for r in rows) == sorted(str(d) for d, *_ in odd_rows)
     assert {r["__size"] for r in rows if r.text is None} == {16}
     assert sharding.external_shuffle(docs.limit(0)).count() == 0
@@ -30,6 +33,33 @@ def test_law_for_many_sizes(spark, monkeypatch):
         check(sharding.external_shuffle(df).collect(), 40)
 
 
+def test_equal_rows_are_spread_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(sharding, "CROWD", 50)
+    monkeypatch.setattr(sharding, "PIECE", 7)
+    # Two kinds of rows of one hash, which other columns tell apart, and plain ones.
+    df = spark.range(3000).selectExpr("if(id < 1500, null, id) AS doc_id", "if(id < 1000, '', if(id < 1500, null, string(id))) AS text",
+                                      "int(id < 700) AS more")
+    out = sharding.external_shuffle(df, 5)
+    rows = out.collect()
+    check(rows, 5)
+    key = lambda r: (r.doc_id, r.text, r.more)
+    assert Counter(map(key, rows)) == Counter(map(key, df.collect()))
+    common = sorted(r["__shard"] * 600 + r["__slot"] for r in rows if r.doc_id is None)
+    assert all(80 <= sum(lo <= c < lo + 300 for c in common) <= 220 for lo in range(0, 3000, 300))
+    again = {(key(r), r["__shard"], r["__slot"]) for r in sharding.external_shuffle(df.repartition(6), 5).collect()}
+    assert again == {(key(r), r["__shard"], r["__slot"]) for r in rows}
+    scattered = sharding._scattered(df.selectExpr("7L AS hash", "struct(doc_id, text, more) AS row", "1L AS size"), 3)
+    assert scattered.groupBy("hash").count().agg(F.max("count")).first()[0] <= 5       # no hash holds a group of copies
+
+
+def test_buckets_lie_in_the_partition_of_their_number(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 10)
+    df = spark.range(800).selectExpr("id AS doc_id", "string(id) AS text")
+    sizes = [r["count"] for r in sharding.external_shuffle(df, 4).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 80
+
+
 def test_reruns_agree_and_order_is_drawn(spark, monkeypatch):
     monkeypatch.setattr(sharding, "BUCKET_ROWS", 50)
     df = spark.range(600).selectExpr("id AS doc_id", "string(id % 7) AS text")
