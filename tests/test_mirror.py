@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -176,6 +177,31 @@ def test_the_gate_finds_old_stamps_of_a_sparse_metric(spark, tmp_path):
     assert len(stamps_of(got, "n")) == 5 and min(stamps_of(got, "m")) >= T0 - timedelta(days=62)
 
 
+def test_merges_carry_the_newest_stamps_and_the_gate_reads_nothing_else(spark, tmp_path, monkeypatch):
+    path, rng = str(tmp_path / "facts"), random.Random(2)
+    held = set()
+    for step in range(4):
+        came = {(rng.choice("mno"), rng.randrange(-900, 90)) for _ in range(12)}
+        merge.merge_into_path(path, spark.createDataFrame([fact(k, h, float(step)) for k, h in came], FACTS), F.lit(T0))
+        held |= came
+        want = sorted((k, T0 + timedelta(hours=h)) for k in "mno" for h in sorted(x for j, x in held if j == k)[-4:])
+        assert sorted(tuple(r) for r in merge.stored_stamps(spark, path).collect()) == want
+        if step == 1:                       # months replaced behind it: made anew by the next merge
+            merge.write_months(src.pin_source(merge.read_facts(spark, path)), path)
+            assert merge.stored_stamps(spark, path) is None
+
+    path = str(tmp_path / "synced")
+    rows = [(k, h, float(h)) for k in (1, 2) for h in range(0, 90)]
+    catalog, periods, marks = contract(spark)
+    done = sync.store_backfill(path, *source(spark, rows), catalog, periods, marks, NOW)
+    monkeypatch.setattr(sync, "newest_stored", lambda *a: pytest.fail("facts were read"))
+    later = [*rows, (2, 90 + 24, 1.0), (2, 90 + 48, 1.0), (2, 90 + 72, 1.0)]
+    step = sync.store_repair(path, *source(spark, later), catalog, periods, done.watermarks, NOW, T0 + timedelta(hours=95))
+    plain = sync.repair(*source(spark, later), src.pin_source(done.mirror), catalog, periods, done.watermarks, NOW, T0 + timedelta(hours=95))
+    assert sorted(map(str, step.decisions.collect())) == sorted(map(str, plain.decisions.collect()))
+    assert {r.action for r in step.decisions.collect()} == {"halt"}
+
+
 def test_halted_metric_imports_nothing_and_fails_the_run(spark):
     rows = [(1, 95, 1.0), (2, 48, 1.0), (2, 72, 2.0), (2, 96, 3.0)]
     catalog, periods, marks = contract(spark)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattmirror.functions.values import distinct_from
@@ -16,6 +16,8 @@ from wattmirror.sources.statistics import FACT_KEY, assert_unique
 # The stored columns, and those that decide whether a row has changed.
 FACT_SCHEMA = ("statistic_id string, start_at timestamp, grain string, mean double, mean_weight double, min double, "
                "max double, state double, sum double, last_reset_at timestamp, synced_at timestamp")
+STAMPS, STAMPS_SCHEMA = "stamps", "statistic_id string, start_at timestamp"
+TAIL = 4                       # newest stamps kept per metric
 MOST_CHANGES = 24              # of a month, above which a merge writes it whole again
 COMPARED = ["grain", "mean", "mean_weight", "min", "max", "state", "sum", "last_reset_at"]
 
@@ -76,6 +78,7 @@ def write_months(facts: DataFrame, path: str) -> None:
     """Store facts by month of start_at, replacing the months that occur, all at once."""
     spark = facts.sparkSession
     held = monthly.current(spark, path)
+    held.tables.pop(STAMPS, None)          # the next merge makes them anew
     folder = monthly.next_folder(held)
     monthly.write_rows(with_month(facts), path, folder, FACT_KEY)
     monthly.commit(spark, path, held, {m: [folder] for m in monthly.months_of(spark, path, folder)})
@@ -108,7 +111,7 @@ def merge_into_path(path: str, incoming: DataFrame, now: Column, most_changes: i
 
     Only the months the batch touches are read, and only inserted and updated rows are written, as a change of their
     months. ``beside`` makes further small tables from the labelled rows (watermarks, a run record): they are committed
-    together with the facts. A job that dies leaves the table as it was, and a rerun arrives at the same. Months with
+    together with the facts, and so are the newest stamps of every metric (``stored_stamps``). A job that dies leaves the table as it was, and a rerun arrives at the same. Months with
     more than ``most_changes`` changes are then written whole again. Raises on repeated keys.
     """
     spark = incoming.sparkSession
@@ -119,16 +122,33 @@ def merge_into_path(path: str, incoming: DataFrame, now: Column, most_changes: i
     written = pin(label_merge(stored, batch, FACT_KEY, COMPARED, now, how="right_outer"), "merged")
     folder = monthly.next_folder(held)
     monthly.write_rows(with_month(written.where("merge_label IN ('inserted', 'updated')").drop("merge_label")), path, folder, FACT_KEY)
+    changed = monthly.months_of(spark, path, folder, months)
     tables = beside(written) if beside else {}
+    if changed:
+        known = stored_stamps(spark, path, held)
+        if known is None:                  # once: all stored keys are read
+            known = monthly.read(spark, path, held, FACT_SCHEMA, FACT_KEY).select(*FACT_KEY)
+        tables[STAMPS] = newest_stamps(newest_stamps(known).unionByName(newest_stamps(batch)).distinct())
     for name, rows in tables.items():
         monthly.write_table(rows, path, name, folder)
-    changed = monthly.months_of(spark, path, folder, months)
     if changed or tables:
         monthly.commit(spark, path, held, {m: [*held.months.get(m, []), folder] for m in changed}, dict.fromkeys(tables, folder))
         monthly.compact(spark, path, FACT_SCHEMA, FACT_KEY, most_changes)
     return written
 
 
+def newest_stamps(stamps: DataFrame, n: int = TAIL) -> DataFrame:
+    """The n newest of each metric's stamps; cut to n in every task before they are shuffled."""
+    place = F.row_number().over(Window.partitionBy("statistic_id").orderBy(F.col("start_at").desc()))
+    return stamps.select(*FACT_KEY).withColumn("__place", place).where(F.col("__place") <= n).drop("__place")
+
+
+def stored_stamps(spark: SparkSession, path: str, held: monthly.Manifest | None = None) -> DataFrame | None:
+    """The newest stamps of every stored metric as the last merge committed them; None where no merge has."""
+    folder = (held or monthly.current(spark, path)).tables.get(STAMPS)
+    return spark.read.schema(STAMPS_SCHEMA).parquet(f"{path}/{monthly.TABLES}/{STAMPS}/{folder}") if folder else None
+
+
 # --- watermarks ----------------------------------------------------------------------------
 
 def advance_watermark(watermarks: DataFrame, committed: DataFrame, now: Column) -> DataFrame:

@@ -124,10 +124,14 @@ def store_window(path: str, stats: DataFrame, meta: DataFrame, catalog: DataFram
 
     The facts, the advanced ``watermarks``, the flagged ``catalog`` and the ``counts`` of the run are stored in one
     commit (``read_beside``): after a crash there are all of them or none. ``labelled`` holds the rows that came.
+    The gate works from the newest stamps that the last merge committed and reads no stored fact.
     """
     spark = stats.sparkSession
     rows = _read(stats, meta, catalog, periods, lo, hi)
-    staged, decisions = _gated(rows, newest_stored(spark, path, periods, lo - TAIL_REACH), periods)
+    stamps = merge.stored_stamps(spark, path)
+    if stamps is None:                     # before the first merge: months may have been written whole
+        stamps = newest_stored(spark, path, periods, lo - TAIL_REACH)
+    staged, decisions = _gated(rows, stamps, periods)
     labelled = merge.merge_into_path(path, staged, F.lit(now), beside=_beside(staged, watermarks, now, catalog, decisions))
     return _result(merge.read_facts(spark, path), labelled, staged, catalog, watermarks, F.lit(now), decisions)
 
