@@ -190,6 +190,11 @@ def test_merges_carry_the_newest_stamps_and_the_gate_reads_nothing_else(spark, t
             merge.write_months(src.pin_source(merge.read_facts(spark, path)), path)
             assert merge.stored_stamps(spark, path) is None
 
+    folder = lambda: merge.monthly.current(spark, path).tables[merge.STAMPS]
+    before = folder()                       # a late row that is older than the newest four changes no stamps
+    merge.merge_into_path(path, spark.createDataFrame([fact("m", -2000, 1.0)], FACTS), F.lit(T0))
+    assert folder() == before
+
     path = str(tmp_path / "synced")
     rows = [(k, h, float(h)) for k in (1, 2) for h in range(0, 90)]
     catalog, periods, marks = contract(spark)

@@ -125,10 +125,7 @@ def merge_into_path(path: str, incoming: DataFrame, now: Column, most_changes: i
     changed = monthly.months_of(spark, path, folder, months)
     tables = beside(written) if beside else {}
     if changed:
-        known = stored_stamps(spark, path, held)
-        if known is None:                  # once: all stored keys are read
-            known = monthly.read(spark, path, held, FACT_SCHEMA, FACT_KEY).select(*FACT_KEY)
-        tables[STAMPS] = newest_stamps(newest_stamps(known).unionByName(newest_stamps(batch)).distinct())
+        tables |= _advanced_stamps(spark, path, held, written.where("merge_label = 'inserted'"))
     for name, rows in tables.items():
         monthly.write_table(rows, path, name, folder)
     if changed or tables:
@@ -143,6 +140,16 @@ def newest_stamps(stamps: DataFrame, n: int = TAIL) -> DataFrame:
     return stamps.select(*FACT_KEY).withColumn("__place", place).where(F.col("__place") <= n).drop("__place")
 
 
+def _advanced_stamps(spark: SparkSession, path: str, held: monthly.Manifest, inserted: DataFrame) -> dict[str, DataFrame]:
+    """The newest stamps with the inserted rows, if these change them: corrections and late rows write none."""
+    known = stored_stamps(spark, path, held)
+    if known is None:                      # once: all stored keys are read
+        known = newest_stamps(monthly.read(spark, path, held, FACT_SCHEMA, FACT_KEY))
+        return {STAMPS: newest_stamps(known.unionByName(newest_stamps(inserted)))}
+    newest = newest_stamps(known.unionByName(newest_stamps(inserted)))
+    return {} if newest.join(known, FACT_KEY, "left_anti").isEmpty() else {STAMPS: newest}
+
+
 def stored_stamps(spark: SparkSession, path: str, held: monthly.Manifest | None = None) -> DataFrame | None:
     """The newest stamps of every stored metric as the last merge committed them; None where no merge has."""
     folder = (held or monthly.current(spark, path)).tables.get(STAMPS)
