@@ -143,3 +143,37 @@ def test_reconcile_scales_relatives(spark):
     rules = spark.createDataFrame([(1, "t", "equal", "max")], "snapshot_at int, node string, should_be string, reconcile_to string")
     got = {r.node: r.value for r in fl.reconcile_sums(nodes, edges, rules, "children").collect()}
     assert got == {"t": 10.0, "a": 7.5, "b": 2.5}
+
+
+def mixed_snapshots(spark):
+    """Stars, shared edges and remaining nodes, some node rows there twice and some missing."""
+    rng = random.Random(8)
+    nodes, edges = [], []
+    for s in range(30):
+        names = [f"p{i}" for i in range(3)] + [f"c{i}" for i in range(6)]
+        kinds = {n: fl.REMAINING_PARENT if n == "c5" and s % 3 == 0 else "entity" for n in names}
+        nodes += [(s, n, kinds[n], float(rng.randrange(40))) for n in names if n != "c4" or s % 5]
+        if s % 7 == 0:
+            nodes.append((s, "c0", "entity", nodes[-1][3]))
+        pairs = dict.fromkeys((f"p{rng.randrange(3)}", f"c{i % 6}") for i in range(6 if s % 2 else 9))
+        edges += [(s, i, p, c, None) for i, (p, c) in enumerate(pairs)]
+    nodes.append((None, "p0", "entity", 1.0))
+    edges.append((None, 0, "p0", "c0", None))
+    return spark.createDataFrame(nodes, NODES), spark.createDataFrame(edges, EDGES)
+
+
+def test_snapshots_kept_together_equal_those_cut_by_their_nodes(spark):
+    nodes, edges = mixed_snapshots(spark)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    told = ["kind", "value"]
+    side = lambda df: sorted(map(str, df.drop("hash").select(sorted(set(df.columns) - {"hash", "alone", "alone_fed"})).collect()))
+    assert side(fl._side_by_side(nodes, edges, told)) == side(fl._joined(nodes, edges, told))
+    plain = nodes.dropDuplicates(["snapshot_at", "node"])
+    whole = rows(fl.allocate_edges(plain, edges))
+    assert whole and whole == rows(fl.allocate_edges(plain, edges, most=15)) == rows(fl.allocate_edges(plain, edges, most=1))
+
+
+def test_a_small_snapshot_is_shuffled_once(spark):
+    out = fl.allocate_edges(*mixed_snapshots(spark))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan

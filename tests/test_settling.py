@@ -125,3 +125,16 @@ def test_one_large_snapshot_spreads_over_tasks(spark):
     assert dealt.agg(F.max("count")).first()[0] < n / 4
     one, many = (fl._allocate_shared(shared, most) for most in (10 * n, 1000))
     assert one.count() == n + 40 and one.exceptAll(many).count() == 0
+
+
+def test_graphs_of_one_shape_are_walked_once(monkeypatch):
+    walks = []
+    plain = settling.waiting_order
+    monkeypatch.setattr(settling, "waiting_order", lambda *a: (walks.append(1), plain(*a))[1])
+    rng = random.Random(3)
+    shapes = [graph(rng, 6, 4, MIXED, True) for _ in range(3)]
+    graphs = [shapes[i % 3] for i in range(60)]
+    number = np.repeat(np.arange(60), 6)
+    together = [[x for g in graphs for x in g[k]] for k in range(9)]
+    assert settling.Graphs(number, *together).flows().tolist() == [x for g in graphs for x in walk(*g)]
+    assert len(walks) <= 3

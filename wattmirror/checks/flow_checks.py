@@ -135,20 +135,26 @@ def stars(spark, sf_dir):
 
 def shared_graph(spark, sf_dir):
     """Return flags feed line statuses inside an order, with a remaining child for the rest."""
-    ln = lines(spark, sf_dir).withColumnRenamed("l_orderkey", "snapshot_at")
-    flags = ln.groupBy("snapshot_at", F.col("l_returnflag").alias("node")).agg(F.sum("l_extendedprice").alias("value"))
-    statuses = ln.groupBy("snapshot_at", F.concat(F.lit("to "), "l_linestatus").alias("node")).agg(
-        (F.sum("l_quantity") * 700).alias("value"))
-    pairs = ln.select("snapshot_at", F.col("l_returnflag").alias("parent"),
-                      F.concat(F.lit("to "), "l_linestatus").alias("child")).distinct()
-    rest = flags.select("snapshot_at", F.col("node").alias("parent"), F.lit("untracked").alias("child"))
+    nodes, edges = flags_and_statuses(spark, sf_dir)
+    return pin(nodes, "nodes"), pin(edges, "edges")
+
+
+def flags_and_statuses(spark, sf_dir):
+    """Nodes and edges of the shared graph, from the lines read once: one row per order, flag and status is stored."""
+    base = pin(lines(spark, sf_dir).groupBy(F.col("l_orderkey").alias("snapshot_at"), "l_returnflag", "l_linestatus").agg(
+        F.sum("l_extendedprice").alias("price"), F.sum("l_quantity").alias("quantity")), "lines")
+    child = F.concat(F.lit("to "), "l_linestatus")
+    flags = base.groupBy("snapshot_at", F.col("l_returnflag").alias("node")).agg(F.sum("price").alias("value"))
+    statuses = base.groupBy("snapshot_at", child.alias("node")).agg((F.sum("quantity") * 700).alias("value"))
+    pairs = base.select("snapshot_at", F.col("l_returnflag").alias("parent"), child.alias("child"))
+    rest = base.select("snapshot_at", F.col("l_returnflag").alias("parent"), F.lit("untracked").alias("child")).distinct()
     number = (F.ascii("parent") * 1000 + F.ascii(F.substring("child", -1, 1))).cast("bigint")
     edges = pairs.unionByName(rest).select("snapshot_at", number.alias("edge_no"), "parent", "child",
                                            F.lit(None).cast("double").alias("cap"))
-    spare = rest.select("snapshot_at", F.lit("untracked").alias("node"), F.lit(0.0).alias("value")).distinct()
+    spare = base.select("snapshot_at", F.lit("untracked").alias("node"), F.lit(0.0).alias("value")).distinct()
     nodes = (flags.unionByName(statuses).withColumn("kind", F.lit("entity"))
              .unionByName(spare.withColumn("kind", F.lit(fl.REMAINING_PARENT))))
-    return pin(nodes, "nodes"), pin(edges, "edges")
+    return nodes, edges
 
 
 # The edges of an order in order: A, N, R each to F, to O, then to the rest. Written out step by step.
@@ -184,17 +190,19 @@ def shared(spark, sf_dir):
 
 def linked_graph(spark, sf_dir):
     """The shared graph, where other nodes add to the remaining child and subtract from it, and it feeds a node."""
-    nodes, edges = shared_graph(spark, sf_dir)
+    nodes, edges = flags_and_statuses(spark, sf_dir)
     ln = lines(spark, sf_dir).withColumnRenamed("l_orderkey", "snapshot_at")
     links = ln.where("l_returnflag = 'A'").select("snapshot_at", F.lit("add").alias("role"), (F.col("l_quantity") * 50).alias("value")) \
         .unionByName(ln.select("snapshot_at", F.lit("subtract").alias("role"), (F.col("l_quantity") * 40).alias("value")))
-    linked = fl.linked_sums(links, ["snapshot_at"]).withColumn("node", F.lit("untracked"))
+    linked = pin(fl.linked_sums(links, ["snapshot_at"]), "linked").withColumn("node", F.lit("untracked"))
     spare = linked.select("snapshot_at")
     sink = spare.select("snapshot_at", F.lit("to Z").alias("node"), F.lit(1e12).alias("value"), F.lit("entity").alias("kind"))
-    nodes = nodes.unionByName(sink).join(linked, ["snapshot_at", "node"], "left")
+    is_rest = F.col("node").eqNullSafe(F.lit("untracked"))
+    nodes = (nodes.where(is_rest).join(linked, ["snapshot_at", "node"], "left")
+             .unionByName(nodes.where(~is_rest).unionByName(sink), allowMissingColumns=True))
     edges = edges.unionByName(spare.select("snapshot_at", F.lit(117_090).cast("bigint").alias("edge_no"), F.lit("untracked").alias("parent"),
                                            F.lit("to Z").alias("child"), F.lit(None).cast("double").alias("cap")))
-    return nodes, edges
+    return pin(nodes, "nodes"), pin(edges, "edges")
 
 
 @check("fl_05_remaining_linked", f"""

@@ -12,7 +12,7 @@ from datetime import datetime
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattmirror.functions.values import float_or
@@ -24,7 +24,8 @@ from wattmirror.plans.pinned import pin
 # Unit prefixes, and the spans in days above which coarser periods are used.
 PREFIX = {"m": 1e-3, "k": 1e3, "M": 1e6, "G": 1e9, "T": 1e12}
 MONTH_ABOVE_DAYS, DAY_ABOVE_DAYS = 35, 2
-SNAPSHOT_EDGES = 100_000       # shared edges of a snapshot above which its components are found
+SNAPSHOT_EDGES = 100_000       # edges and nodes of a snapshot above which it is not kept together; also shared edges above which its components are found
+HASHES = 65_536                # numbers that snapshots are hashed to, to find large ones
 
 
 def residual(totals: DataFrame, parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -118,10 +119,11 @@ def combine_nodes(nodes: DataFrame, links: DataFrame, keys: list[str]) -> DataFr
 
 # --- edge allocation -----------------------------------------------------------------------
 
+FLOWS = ["snapshot_at", "edge_no", "parent", "child", "flow"]
 EDGE_OUT = "snapshot_at {snapshot}, edge_no bigint, parent string, child string, flow double"
 
 
-def allocate_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def allocate_edges(nodes: DataFrame, edges: DataFrame, most: int = SNAPSHOT_EDGES) -> DataFrame:
     """How much flows along every edge: min(parent left, child left, cap), in edge order.
 
     ``nodes``: snapshot_at, node, kind, value and, where remaining nodes have linked ones, linked
@@ -129,15 +131,79 @@ def allocate_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     snapshot_at, edge_no, parent, child, cap. A parent whose children have no other parent depends on nobody else, so its edges are
     a clamped running sum, which scales whatever the size of one snapshot. Edges whose endpoints
     are really shared are settled in waves of running sums, a connected graph at a time.
+
+    A snapshot of up to ``most`` edges and nodes is shuffled once, as a whole, and all else happens where it lies. Larger
+    ones are cut by their nodes. The driver sees whether there is one. Nodes and edges are read more than once: write them
+    where they are costly.
     """
     edges = edges.select("snapshot_at", "edge_no", "parent", "child", "cap")
     told = ["kind", "value", *(["linked"] if "linked" in nodes.columns else [])]
+    nodes = nodes.select("snapshot_at", "node", *told)
+    large = _large(nodes.select("snapshot_at").union(edges.select("snapshot_at")), most)
+    if large is None:
+        return _allocate_whole(nodes, edges, told)
+    of = lambda df, how: df.join(large, "snapshot_at", how)
+    rows = pin(_joined(of(nodes, "left_semi"), of(edges, "left_semi"), told), "edges")
+    return (_allocate_whole(of(nodes, "left_anti"), of(edges, "left_anti"), told)
+            .unionByName(_allocate_stars(rows.where("star"))).unionByName(_allocate_shared(rows.where("NOT star"), most)))
+
+
+def _large(rows: DataFrame, most: int) -> DataFrame | None:
+    """The snapshots with more than ``most`` rows. Rows are counted by a hash first, and by snapshot only where that is crowded."""
+    rows = rows.select("snapshot_at", F.pmod(F.xxhash64("snapshot_at"), F.lit(HASHES)).alias("hash"))
+    crowded = rows.groupBy("hash").count().where(F.col("count") > most).select("hash")
+    if crowded.isEmpty():
+        return None
+    large = pin(rows.join(crowded, "hash", "left_semi").groupBy("snapshot_at").count()
+                    .where(F.col("count") > most).select("snapshot_at"), "large")
+    return None if large.isEmpty() else large
+
+
+def _allocate_whole(nodes: DataFrame, edges: DataFrame, told: list[str]) -> DataFrame:
+    """Snapshots that are kept together. Every step works inside a snapshot, on the one shuffle by it."""
+    rows = _demanding(_side_by_side(nodes, edges, told))
+    upto = F.sum("demand").over(Window.partitionBy("hash", "snapshot_at", "parent").orderBy("edge_no")
+                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    flow = F.when(F.col("star"), _left_for(F.col("demand"), F.col("upto")))
+    return _settled(rows.withColumn("upto", upto).withColumn("flow", flow), ["snapshot_at"], ["star", "flow"])
+
+
+def _side_by_side(nodes: DataFrame, edges: DataFrame, told: list[str]) -> DataFrame:
+    """Every edge with what is known of its child and its parent, and whether it is a star's: ``_joined`` for snapshots that
+    are kept together. Nodes lie between the edges and are looked up in windows; an edge has a row for each row of its ends."""
+    edges = edges.where("snapshot_at IS NOT NULL AND parent IS NOT NULL AND child IS NOT NULL")
+    nodes = nodes.where("snapshot_at IS NOT NULL AND node IS NOT NULL").withColumn("told", F.struct(*told)).drop(*told)
+    rows = edges.unionByName(nodes, allowMissingColumns=True).repartition("snapshot_at")
+    is_edge = F.col("node").isNull()
+
+    def placed(df, end):
+        """The hash comes first in the windows, as sorting by one number is far cheaper."""
+        df = df.withColumn("place", F.coalesce("node", end)).withColumn("hash", F.xxhash64("snapshot_at", "place"))
+        return df, Window.partitionBy("hash", "snapshot_at", "place")
+
+    def looked_up(df, end):
+        """Node rows stay single; an edge without a row of its end stays, too."""
+        return df.withColumn(f"{end}_told", F.explode_outer(F.when(is_edge, F.col(f"{end}_told"))))
+
+    rows, here = placed(rows, "child")
+    rows = looked_up(rows.withColumns({"child_told": F.collect_list("told").over(here),
+                                       "alone": F.count("child").over(here) == 1}), "child")
+    plain = F.when(is_edge, F.coalesce(F.col("alone") & (F.col("child_told.kind") == "entity"), F.lit(False)))
+    rows, here = placed(rows.withColumn("plain", plain), "parent")
+    rows = looked_up(rows.withColumns({"parent_told": F.collect_list("told").over(here),
+                                       "alone_fed": F.bool_and("plain").over(here)}).where(is_edge), "parent")
+    star = F.col("alone_fed") & F.coalesce(F.col("parent_told.kind") == "entity", F.lit(False))
+    return rows.select("snapshot_at", "edge_no", "parent", "child", "cap", "hash", star.alias("star"), *[
+        F.col(f"{end}_told.{c}").alias(f"{end}_{c}") for end in ("child", "parent") for c in told])
+
+
+def _joined(nodes: DataFrame, edges: DataFrame, told: list[str]) -> DataFrame:
+    """Every edge with what is known of its child and its parent, and whether it is a star's."""
     # Nodes and edges grow together, hence the merge hints: neither side may be broadcast just
     # because it compresses well.
     side = lambda name: nodes.select("snapshot_at", F.col("node").alias(name),
                                      *[F.col(c).alias(f"{name}_{c}") for c in told]).hint("merge")
-    # One row per child and per parent carries its node and what its edges say about it. The joined
-    # edges are written once, because stars and shared edges both read them.
+    # One row per child and per parent carries its node and what its edges say about it.
     children = (edges.groupBy("snapshot_at", "child").agg((F.count(F.lit(1)) == 1).alias("alone"))
                      .join(side("child"), ["snapshot_at", "child"], "left"))
     fed = edges.join(children.hint("merge"), ["snapshot_at", "child"])
@@ -145,27 +211,40 @@ def allocate_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     parents = (fed.groupBy("snapshot_at", "parent").agg(F.bool_and(plain).alias("alone_fed"))
                   .join(side("parent"), ["snapshot_at", "parent"], "left"))
     star = F.col("alone_fed") & F.coalesce(F.col("parent_kind") == "entity", F.lit(False))
-    rows = pin(fed.join(parents.hint("merge"), ["snapshot_at", "parent"]).withColumn("star", star), "edges")
-    return _allocate_stars(rows.where("star")).unionByName(_allocate_shared(rows.where("NOT star")))
+    return fed.join(parents.hint("merge"), ["snapshot_at", "parent"]).withColumn("star", star)
 
 
 def _allocate_stars(stars: DataFrame) -> DataFrame:
-    demand = F.least("child_value", F.coalesce("cap", "child_value"))
-    wanted = stars.withColumn("demand", F.greatest(demand, F.lit(0)))
-    summed = ordered_scan(wanted, ["snapshot_at", "parent"], "edge_no", total={"upto": "demand"})
-    left = F.greatest(F.col("parent_value") - (F.col("upto") - F.col("demand")), F.lit(0))
+    summed = ordered_scan(_demanding(stars), ["snapshot_at", "parent"], "edge_no", total={"upto": "demand"})
     return summed.select("snapshot_at", "edge_no", "parent", "child",
-                         F.least("demand", left).cast("double").alias("flow"))
+                         _left_for(F.col("demand"), F.col("upto")).alias("flow"))
+
+
+def _demanding(stars: DataFrame) -> DataFrame:
+    demand = F.least("child_value", F.coalesce("cap", "child_value"))
+    return stars.withColumn("demand", F.greatest(demand, F.lit(0)))
+
+
+def _left_for(demand: Column, upto: Column) -> Column:
+    """The flow of a star's edge: what it demands of what those before it leave."""
+    return F.least(demand, F.greatest(F.col("parent_value") - (upto - demand), F.lit(0))).cast("double")
 
 
 def _allocate_shared(shared: DataFrame, most: int = SNAPSHOT_EDGES) -> DataFrame:
     """Shared edges, a whole graph per group: a snapshot, or a component of one with more than ``most`` edges."""
-    snapshot = shared.schema["snapshot_at"].dataType.simpleString()
     parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbers = {c: F.col(c).cast("double") for c in shared.columns if c == "cap" or c.endswith(("_value", "_linked"))}
-    return (_graphs(shared, most).withColumns(numbers).withColumn("edge_no", F.col("edge_no").cast("bigint"))
-                  .repartition(parts, "snapshot_at", "graph").sortWithinPartitions("snapshot_at", "graph", "edge_no")
-                  .mapInPandas(_settle_snapshots, EDGE_OUT.format(snapshot=snapshot)))
+    keys = ["snapshot_at", "graph"]
+    return _settled(_graphs(shared, most).repartition(parts, *keys), keys)
+
+
+def _settled(shared: DataFrame, keys: list[str], known: list[str] | None = None) -> DataFrame:
+    """Settle shared edges; the rows of a graph, told by the keys, lie in one partition. ``known``: star and flow, where
+    edges of stars, whose flow is known, are among them."""
+    snapshot = shared.schema["snapshot_at"].dataType.simpleString()
+    numbers = [F.col(c).cast("double").alias(c) for c in shared.columns if c == "cap" or c.endswith(("_value", "_linked"))]
+    return (shared.select(*keys, F.col("edge_no").cast("bigint").alias("edge_no"), "parent", "child", "parent_kind", "child_kind",
+                          *numbers, *(known or []))
+                  .sortWithinPartitions(*keys).mapInPandas(_settle_snapshots, EDGE_OUT.format(snapshot=snapshot)))
 
 
 def _graphs(shared: DataFrame, most: int) -> DataFrame:
@@ -181,9 +260,14 @@ def _graphs(shared: DataFrame, most: int) -> DataFrame:
 
 
 def _settle_snapshots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Settle graph after graph of a sorted partition; one may straddle batches."""
+    """Settle graph after graph of a partition sorted by them; one may straddle batches."""
     rest: list[pd.DataFrame] = []
     for batch in batches:
+        if "star" in batch:
+            star = batch["star"].to_numpy(dtype=bool)
+            if star.any():
+                yield batch.loc[star, FLOWS]
+                batch = batch.loc[~star]
         if batch.empty:
             continue
         starts = _starts([*rest[-1:], batch])
@@ -212,8 +296,10 @@ def _starts(pieces: list[pd.DataFrame]) -> np.ndarray:
 def _settle_rows(rows: pd.DataFrame) -> pd.DataFrame:
     starts = _starts([rows])
     graph = np.repeat(np.arange(starts.size), np.diff(np.append(starts, len(rows))))
+    number = rows["edge_no"].to_numpy(dtype=float, na_value=-np.inf) if rows["edge_no"].hasnans else rows["edge_no"].to_numpy()
+    rows = rows.iloc[np.lexsort((number, graph))]
     told = [rows[c] if c in rows else None for c in _TOLD]
-    return rows[["snapshot_at", "edge_no", "parent", "child"]].assign(flow=Graphs(graph, *told).flows())
+    return rows[FLOWS[:-1]].assign(flow=Graphs(graph, *told).flows())
 
 
 _TOLD = ("parent", "child", "parent_kind", "child_kind", "parent_value", "child_value", "cap", "parent_linked", "child_linked")

@@ -123,14 +123,25 @@ class Graphs:
 
     @staticmethod
     def _order(graph, p, c, kind, remaining) -> np.ndarray:
+        """Graphs of one shape (ends and kinds, by the places of the nodes in their graph) are walked once."""
         order = np.arange(p.size)
         touched = remaining[p] | remaining[c]
         if touched.any():
             starts = np.flatnonzero(np.concatenate([[True], graph[1:] != graph[:-1], [True]]))
-            for lo, hi in zip(starts[:-1], starts[1:]):
-                if touched[lo:hi].any():
-                    own_p, own_c = p[lo:hi].tolist(), c[lo:hi].tolist()
-                    order[lo:hi] = lo + np.array(waiting_order(own_p, own_c, {x: kind[x] for x in {*own_p, *own_c}}))
+            # The nodes of a graph are numbered without gaps, after those of the graphs before it.
+            base = np.append(np.minimum.reduceat(np.minimum(p, c), starts[:-1]), kind.size)
+            size = np.diff(starts)
+            own_p, own_c = p - np.repeat(base[:-1], size), c - np.repeat(base[:-1], size)
+            code = np.where(kind == REMAINING_CHILD, 1, np.where(kind == REMAINING_PARENT, 2, 0)).astype(np.int8)
+            walked: dict = {}
+            bounds, nodes = starts.tolist(), base.tolist()
+            for k in np.flatnonzero(np.logical_or.reduceat(touched, starts[:-1])).tolist():
+                lo, hi = bounds[k], bounds[k + 1]
+                shape = (own_p[lo:hi].tobytes(), own_c[lo:hi].tobytes(), code[nodes[k]:nodes[k + 1]].tobytes())
+                if shape not in walked:
+                    kinds = dict(enumerate(kind[nodes[k]:nodes[k + 1]]))
+                    walked[shape] = np.array(waiting_order(own_p[lo:hi].tolist(), own_c[lo:hi].tolist(), kinds))
+                order[lo:hi] = lo + walked[shape]
         return order
 
     def _limits(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
