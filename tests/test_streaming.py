@@ -99,3 +99,20 @@ def test_hourly_stats_converge_to_the_batch(spark, landed, rows, tmp_path):
     want = {(str(r.entity_id), r.start_at): (round(r["mean"], 6), r["min"], r["max"], r.state, r["sum"])
             for r in batch.collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_entities_of_one_group_do_not_mix(spark, landed, closed, tmp_path, groups):
+    """Entities share their state by groups: the store holds rows for groups, not for entities; without a key is one, too."""
+    nobody = lambda df: df.withColumn("entity_id", F.when(F.col("entity_id") != 3, F.col("entity_id")))
+    out = str(tmp_path / "out")
+    rule = ru.HeldFor(("a",), 200 * SECOND)
+    query = (detections.detect(nobody(stream(spark, landed)), rule, "20 minutes", groups).writeStream.format("parquet")
+             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(out))
+    query.awaitTermination()
+    batch = ev.held_for(closed[0], ["a"], timedelta(seconds=200), horizon=closed[1])
+    want = sorted((-1 if r.entity_id == 3 else r.entity_id, r.event_id, r.fires_at) for r in batch.collect())
+    got = spark.read.schema(detections.FIRED_SCHEMA).parquet(out).collect()
+    assert want and sorted((-1 if r.entity_id is None else r.entity_id, r.event_id, r.fires_at) for r in got) == want
+    timers = spark.read.format("statestore").option("path", str(tmp_path / "cp")).option("stateVarName", "memory").load()
+    assert timers.select("key").distinct().count() <= groups
