@@ -25,6 +25,7 @@ from wattmirror.plans.pinned import pin
 PREFIX = {"m": 1e-3, "k": 1e3, "M": 1e6, "G": 1e9, "T": 1e12}
 MONTH_ABOVE_DAYS, DAY_ABOVE_DAYS = 35, 2
 SNAPSHOT_EDGES = 100_000       # edges and nodes of a snapshot above which it is not kept together; also shared edges above which its components are found
+TASK_ROWS = 250_000            # edges and nodes of a task, where snapshots are kept together
 HASHES = 65_536                # numbers that snapshots are hashed to, to find large ones
 
 
@@ -133,47 +134,51 @@ def allocate_edges(nodes: DataFrame, edges: DataFrame, most: int = SNAPSHOT_EDGE
     are really shared are settled in waves of running sums, a connected graph at a time.
 
     A snapshot of up to ``most`` edges and nodes is shuffled once, as a whole, and all else happens where it lies. Larger
-    ones are cut by their nodes. The driver sees whether there is one. Nodes and edges are read more than once: write them
+    ones are cut by their nodes. The driver sees two counts. Nodes and edges are read more than once: write them
     where they are costly.
     """
     edges = edges.select("snapshot_at", "edge_no", "parent", "child", "cap")
     told = ["kind", "value", *(["linked"] if "linked" in nodes.columns else [])]
     nodes = nodes.select("snapshot_at", "node", *told)
-    large = _large(nodes.select("snapshot_at").union(edges.select("snapshot_at")), most)
+    large, count = _large(nodes.select("snapshot_at").union(edges.select("snapshot_at")), most)
+    parts = -(-count // TASK_ROWS) or 1
     if large is None:
-        return _allocate_whole(nodes, edges, told)
+        return _allocate_whole(nodes, edges, told, parts)
     of = lambda df, how: df.join(large, "snapshot_at", how)
     rows = pin(_joined(of(nodes, "left_semi"), of(edges, "left_semi"), told), "edges")
-    return (_allocate_whole(of(nodes, "left_anti"), of(edges, "left_anti"), told)
+    return (_allocate_whole(of(nodes, "left_anti"), of(edges, "left_anti"), told, parts)
             .unionByName(_allocate_stars(rows.where("star"))).unionByName(_allocate_shared(rows.where("NOT star"), most)))
 
 
-def _large(rows: DataFrame, most: int) -> DataFrame | None:
-    """The snapshots with more than ``most`` rows. Rows are counted by a hash first, and by snapshot only where that is crowded."""
+def _large(rows: DataFrame, most: int) -> tuple[DataFrame | None, int]:
+    """The snapshots with more than ``most`` rows, and how many rows there are. Rows are counted by a hash first, and by
+    snapshot only where that is crowded."""
     rows = rows.select("snapshot_at", F.pmod(F.xxhash64("snapshot_at"), F.lit(HASHES)).alias("hash"))
-    crowded = rows.groupBy("hash").count().where(F.col("count") > most).select("hash")
-    if crowded.isEmpty():
-        return None
+    hashes = rows.groupBy("hash").count()
+    total, fullest = hashes.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+    if fullest <= most:
+        return None, total
+    crowded = hashes.where(F.col("count") > most).select("hash")
     large = pin(rows.join(crowded, "hash", "left_semi").groupBy("snapshot_at").count()
                     .where(F.col("count") > most).select("snapshot_at"), "large")
-    return None if large.isEmpty() else large
+    return (None if large.isEmpty() else large), total
 
 
-def _allocate_whole(nodes: DataFrame, edges: DataFrame, told: list[str]) -> DataFrame:
+def _allocate_whole(nodes: DataFrame, edges: DataFrame, told: list[str], parts: int) -> DataFrame:
     """Snapshots that are kept together. Every step works inside a snapshot, on the one shuffle by it."""
-    rows = _demanding(_side_by_side(nodes, edges, told))
+    rows = _demanding(_side_by_side(nodes, edges, told, parts))
     upto = F.sum("demand").over(Window.partitionBy("hash", "snapshot_at", "parent").orderBy("edge_no")
                                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     flow = F.when(F.col("star"), _left_for(F.col("demand"), F.col("upto")))
     return _settled(rows.withColumn("upto", upto).withColumn("flow", flow), ["snapshot_at"], ["star", "flow"])
 
 
-def _side_by_side(nodes: DataFrame, edges: DataFrame, told: list[str]) -> DataFrame:
+def _side_by_side(nodes: DataFrame, edges: DataFrame, told: list[str], parts: int = 1) -> DataFrame:
     """Every edge with what is known of its child and its parent, and whether it is a star's: ``_joined`` for snapshots that
     are kept together. Nodes lie between the edges and are looked up in windows; an edge has a row for each row of its ends."""
     edges = edges.where("snapshot_at IS NOT NULL AND parent IS NOT NULL AND child IS NOT NULL")
     nodes = nodes.where("snapshot_at IS NOT NULL AND node IS NOT NULL").withColumn("told", F.struct(*told)).drop(*told)
-    rows = edges.unionByName(nodes, allowMissingColumns=True).repartition("snapshot_at")
+    rows = edges.unionByName(nodes, allowMissingColumns=True).repartition(parts, "snapshot_at")
     is_edge = F.col("node").isNull()
 
     def placed(df, end):
